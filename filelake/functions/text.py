@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,3 +21,12 @@ def html_title(html: Column) -> Column:
     """Text of the first ``<title>``, null if there is none or it is empty."""
     title = F.trim(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
     return F.when(title != "", title)
+
+
+def each(rows: DataFrame, keep: list[str], array: Column, name: str) -> DataFrame:
+    """One row per element of ``array``.
+
+    A plain explode makes Catalyst filter on the array's size below it, which would compute a
+    costly array twice; the outer form does not.
+    """
+    return rows.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())

@@ -30,14 +30,14 @@ def _own_key(prefix: str):
     return F.concat(F.lit(f"\x00{prefix}"), F.col("kind"), F.col("path_lower"), F.col("file_id"), F.col("seq"))
 
 
-def _round(events: DataFrame, max_group: int) -> DataFrame:
+def _round(events: DataFrame, max_group: int, rows: int) -> DataFrame:
     """One evaluation of both rules. ``taken`` and ``target`` are replaced, ``changed`` is set."""
     at_path = F.col("kind").isin("file", "deleted", "seed_path")
     events = events.withColumn("_pkey", F.when(at_path, F.col("path_lower")).otherwise(_own_key("p")))
     holds = F.when(
         (F.col("kind") == "seed_path") | F.col("taken"), F.struct(F.col("file_id").alias("id"))
     ).when(F.col("kind") == "deleted", F.struct(F.lit(None).cast("string").alias("id")))
-    paths = skew.with_previous(events, "_pkey", "seq", holds, "_at", max_group)
+    paths = skew.with_previous(events, "_pkey", "seq", holds, "_at", max_group, rows)
     paths = paths.withColumn("_new_target", F.when(F.col("kind") == "deleted", F.col("_at.id")))
 
     owner = (
@@ -49,7 +49,7 @@ def _round(events: DataFrame, max_group: int) -> DataFrame:
     rev = F.when(
         F.col("ok") | (F.col("kind") == "seed_rev"), F.struct(F.col("rev").alias("rev"))
     ).when(F.col("_new_target").isNotNull(), F.struct(F.lit(None).cast("string").alias("rev")))
-    ids = skew.with_previous(paths, "_ikey", "seq", rev, "_held", max_group)
+    ids = skew.with_previous(paths, "_ikey", "seq", rev, "_held", max_group, rows)
 
     held = F.col("_held.rev")
     new_taken = F.col("ok") & F.coalesce(held != F.col("rev"), F.lit(True))
@@ -96,9 +96,11 @@ def replay(
             allowMissingColumns=True,
         )
     events = events.withColumn("taken", F.col("ok")).withColumn("target", F.lit(None).cast("string"))
+    # Written to the shared folder: the loop must not grow its lineage.
+    events = stage(events, "replay")
+    rows = events.count()
     while True:
-        # Written to the shared folder: the loop must not grow its lineage.
-        events = stage(_round(events, max_group), "replay")
+        events = stage(_round(events, max_group, rows), "replay")
         if events.where("changed").isEmpty():
             break
         events = events.drop("changed", "prev_rev")

@@ -25,24 +25,29 @@ def with_previous(
     value: Column,
     name: str,
     max_group: int = MAX_GROUP,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add ``name``: the last non-null ``value`` of the same key strictly before this row.
 
     ``order`` must be a bigint that is unique within a key. Ordinary keys take one window over
     their rows. The history of a hot key is cut into spans of ``max_group`` order values: each span
     is its own window group, and what a span inherits comes from the one-row summaries of the spans
-    before it. No group is longer than ``max_group`` rows, whatever the skew.
+    before it. No group is longer than ``max_group`` rows, whatever the skew. Where ``df`` is known
+    to have no more ``rows`` than that in all, there is nothing to look for.
     """
+    if rows is not None and rows <= max_group:
+        plain = W.partitionBy(key).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+        return df.withColumn(name, F.last(value, ignorenulls=True).over(plain))
     # Bounded by rows / max_group keys, hence the broadcast.
     hot = F.broadcast(hot_keys(df, key, max_group).withColumn("_hot", F.lit(True)))
     span = F.when(F.col("_hot"), F.floor(F.col(order) / F.lit(max_group))).cast("bigint")
-    rows = df.join(hot, key, "left").withColumn("_span", span).withColumn("_value", value)
+    marked = df.join(hot, key, "left").withColumn("_span", span).withColumn("_value", value)
 
     inside = W.partitionBy(key, "_span").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    local = rows.withColumn("_local", F.last("_value", ignorenulls=True).over(inside))
+    local = marked.withColumn("_local", F.last("_value", ignorenulls=True).over(inside))
 
     tails = (
-        rows.where(F.col("_span").isNotNull())
+        marked.where(F.col("_span").isNotNull())
         .groupBy(key, "_span")
         .agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col(order))).alias("_tail"))
     )

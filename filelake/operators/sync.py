@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from filelake import constants as C
 from filelake.functions import paths as P
+from filelake.functions import text as X
 from filelake.operators import skew
 
 
@@ -41,28 +42,30 @@ def with_previous_rev(
     changes: DataFrame,
     prior: DataFrame | None = None,
     max_group: int = skew.MAX_GROUP,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Enriched non-folder events with ``prev_rev``: the revision held just before the event.
+    """Enriched non-folder events with ``prev_rev`` and ``prev_id``: what the path held just before.
 
     The feed must pair paths and ids one to one; ``replay.replay`` covers the general case.
-    ``prior`` is ``(path_lower, rev)``, the state before this feed.
+    ``prior`` is ``(path_lower, file_id, rev)``, the state before this feed; ``rows`` is how many rows both
+    have at most, if the caller knows.
     """
     events = enrich(changes.where(F.col("kind") != "folder")).withColumn("ok", acceptable())
     if prior is not None:
         seeds = prior.select(
-            F.lit(-1).cast("bigint").alias("seq"), F.lit("seed").alias("kind"), "path_lower", "rev",
+            F.lit(-1).cast("bigint").alias("seq"), F.lit("seed").alias("kind"), "path_lower", "file_id", "rev",
             F.lit(True).alias("ok"),
         )
         events = events.unionByName(seeds, allowMissingColumns=True)
     # A deletion leaves a state of its own: a struct that holds no revision.
     state = F.when(
         F.col("ok") | (F.col("kind") == "deleted"),
-        F.struct(F.when(F.col("kind") != "deleted", F.col("rev")).alias("rev")),
+        F.struct(*[F.when(F.col("kind") != "deleted", F.col(c)).alias(c) for c in ("rev", "file_id")]),
     )
-    out = skew.with_previous(events, "path_lower", "seq", state, "_state", max_group)
+    out = skew.with_previous(events, "path_lower", "seq", state, "_state", max_group, rows)
     if prior is not None:
         out = out.where(F.col("kind") != "seed")
-    return out.withColumn("prev_rev", F.col("_state.rev")).drop("_state")
+    return out.withColumns({"prev_rev": F.col("_state.rev"), "prev_id": F.col("_state.file_id")}).drop("_state")
 
 
 def outcome() -> Column:
@@ -90,10 +93,11 @@ def classify(
     changes: DataFrame,
     prior: DataFrame | None = None,
     max_group: int = skew.MAX_GROUP,
+    rows: int | None = None,
 ) -> DataFrame:
     """Every event with its ``outcome``; folders bypass the state window."""
     folders = changes.where(F.col("kind") == "folder")
-    events = with_previous_rev(changes, prior, max_group).withColumn("outcome", outcome())
+    events = with_previous_rev(changes, prior, max_group, rows).withColumn("outcome", outcome())
     return events.unionByName(
         enrich(folders).withColumn("outcome", F.lit("folder")), allowMissingColumns=True
     )
@@ -110,9 +114,11 @@ def counters(classified: DataFrame, member_totals: DataFrame) -> DataFrame:
     their distinct paths, and the documents among them. An archive event adds its members; deleting
     a live archive counts each member path, not the archive. ``docs_imported`` is what was queued.
     """
+    # A deletion names a path only: its archive is the one the path held.
+    owner = F.when(F.col("kind") == "deleted", F.col("prev_id")).otherwise(F.col("file_id"))
     per_archive = (
         classified.where(F.col("archive"))
-        .groupBy("file_id")
+        .groupBy(owner.alias("file_id"))
         .agg(
             F.count_if(F.col("outcome") == "archive").alias("stored"),
             F.count_if(
@@ -210,10 +216,10 @@ def doomed_objects(resolved: DataFrame, meta: DataFrame) -> DataFrame:
 
 def archive_cascade(deleted_archives: DataFrame, path_index: DataFrame) -> DataFrame:
     """Paths that go away with a deleted archive, by equi-join on each path's parent archives."""
-    children = path_index.select(
-        F.col("path_lower").alias("child_path"), F.col("file_id").alias("child_id"),
-        F.explode(P.archive_parents(F.col("path_lower"))).alias("path_lower"),
+    below = path_index.where(F.col("path_lower").contains(".zip!/")).select(
+        F.col("path_lower").alias("child_path"), F.col("file_id").alias("child_id")
     )
+    children = X.each(below, ["child_path", "child_id"], P.archive_parents(F.col("child_path")), "path_lower")
     gone = deleted_archives.select("path_lower").distinct()
     return children.join(gone, "path_lower").select(
         F.col("path_lower").alias("archive_path"), "child_path", "child_id"

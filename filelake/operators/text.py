@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from filelake import constants as C
 from filelake.functions import text as X
 from filelake.operators import skew
-from filelake.session import stage
+from filelake.session import send_if_small, spread, stage
 
 # Not a term: marks the one row per document that its own counts hang on.
 _WHOLE = ""
@@ -16,9 +16,13 @@ _WHOLE = ""
 
 def tokenized(docs: DataFrame) -> DataFrame:
     """``(doc_id, dl, toks)`` of ``(doc_id, text)``; tokens of the whole text in order."""
-    return docs.select("doc_id", X.tokens(F.col("text")).alias("toks")).withColumn(
-        "dl", F.size("toks").cast("bigint")
-    )
+    return _tokenized(docs)[0]
+
+
+def _tokenized(docs: DataFrame) -> tuple[DataFrame, bool]:
+    rows, moved = spread(docs.select("doc_id", "text"), "doc_id")
+    rows = rows.select("doc_id", X.tokens(F.col("text")).alias("toks"))
+    return rows.withColumn("dl", F.size("toks").cast("bigint")), moved
 
 
 def postings(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
@@ -27,10 +31,11 @@ def postings(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     Rows are spread by document, which is unique, not by term: the commonest word is in most
     documents. A search that groups by document then needs no further shuffle.
     """
-    words = tokenized(docs).select("doc_id", "dl", F.explode("toks").alias("term"))
+    rows, moved = _tokenized(docs)
+    words = X.each(rows, ["doc_id", "dl"], F.col("toks"), "term")
     if terms is not None:
         words = words.join(terms.select("term"), "term", "left_semi")
-        words = words.repartition("doc_id")
+        words = words if moved else words.repartition("doc_id")
     return words.groupBy("doc_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -40,34 +45,36 @@ def doc_stats(docs: DataFrame) -> DataFrame:
 
 def query_terms(queries: DataFrame) -> DataFrame:
     """Distinct ``(query_id, term)`` of the query texts."""
-    return queries.select("query_id", F.explode(F.array_distinct(X.tokens(F.col("text")))).alias("term"))
+    return X.each(queries, ["query_id"], F.array_distinct(X.tokens(F.col("text"))), "term")
 
 
-def corpus_term_stats(docs: DataFrame, terms: DataFrame) -> DataFrame:
+def wanted_terms(terms: DataFrame) -> DataFrame:
+    """Distinct terms of the queries, with the mark for whole documents; small and of known size."""
+    whole = terms.sparkSession.range(1).select(F.lit(_WHOLE).alias("term"))
+    return send_if_small(stage(terms.select("term").unionByName(whole).distinct(), "wanted-terms"))
+
+
+def corpus_term_stats(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Document frequency of each wanted term with the corpus totals, in one pass over the texts.
 
     ``(term, df, n_docs, avg_dl)``. Counts combine map-side, so a word found everywhere is one row
     per task.
     """
-    marked = tokenized(docs).select(
-        "dl", F.explode(F.concat(F.array(F.lit(_WHOLE)), F.array_distinct("toks"))).alias("term")
-    )
-    return _stats_of(marked, terms)
+    marked = X.each(tokenized(docs), ["dl"], F.concat(F.array(F.lit(_WHOLE)), F.array_distinct("toks")), "term")
+    return _stats_of(marked, wanted)
 
 
-def index_term_stats(index: DataFrame, stats: DataFrame, terms: DataFrame) -> DataFrame:
+def index_term_stats(index: DataFrame, stats: DataFrame, wanted: DataFrame) -> DataFrame:
     """The same from a stored index: ``postings`` and ``doc_stats`` tables."""
     marked = index.select("dl", "term").unionByName(stats.select("dl", F.lit(_WHOLE).alias("term")))
-    return _stats_of(marked, terms)
+    return _stats_of(marked, wanted)
 
 
-def _stats_of(marked: DataFrame, terms: DataFrame) -> DataFrame:
-    wanted = terms.select("term").distinct()
-    wanted = wanted.unionByName(terms.sparkSession.range(1).select(F.lit(_WHOLE).alias("term")))
+def _stats_of(marked: DataFrame, wanted: DataFrame) -> DataFrame:
     counted = marked.join(wanted, "term", "left_semi").groupBy("term").agg(
         F.count(F.lit(1)).alias("df"), F.sum("dl").alias("sum_dl")
     )
-    # One row per wanted term. Written, so that the ranking plan sees how small it is.
+    # One row per wanted term. Written, because it is read for the terms and for the totals.
     counted = stage(counted, "terms")
     whole = counted.where(F.col("term") == _WHOLE)
     n_docs = whole.select("df").scalar()
@@ -86,6 +93,7 @@ def scored(terms: DataFrame, stats: DataFrame, index: DataFrame) -> DataFrame:
     """
     idf = F.log(F.lit(1.0) + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = terms.join(stats, "term").select("query_id", "term", idf.alias("idf"), "avg_dl")
+    weighted = send_if_small(stage(weighted, "weighted-terms"))
     length = F.lit(1 - C.BM25_B) + F.lit(C.BM25_B) * F.col("dl") / F.col("avg_dl")
     gain = F.col("idf") * F.col("tf") * F.lit(C.BM25_K1 + 1) / (F.col("tf") + F.lit(C.BM25_K1) * length)
     return index.join(weighted, "term").groupBy("query_id", "doc_id").agg(
@@ -96,7 +104,7 @@ def scored(terms: DataFrame, stats: DataFrame, index: DataFrame) -> DataFrame:
 def match(queries: DataFrame, docs: DataFrame) -> DataFrame:
     """``scored`` straight from the documents, without a stored index."""
     terms = stage(query_terms(queries), "query-terms")
-    wanted = terms.select("term").distinct()
+    wanted = wanted_terms(terms)
     return scored(terms, corpus_term_stats(docs, wanted), postings(docs, wanted))
 
 
@@ -121,9 +129,9 @@ def snippets(hits: DataFrame, terms: DataFrame, docs: DataFrame) -> DataFrame:
     ``hits`` is one page per query; it is written first, so that the texts are joined where they
     are instead of being shuffled.
     """
-    page = stage(hits.select("query_id", "doc_id"), "page")
     wanted = terms.groupBy("query_id").agg(F.collect_set("term").alias("terms"))
-    found = docs.select("doc_id", "text").join(page.join(wanted, "query_id"), "doc_id")
+    page = send_if_small(stage(hits.select("query_id", "doc_id").join(wanted, "query_id"), "page"))
+    found = docs.select("doc_id", "text").join(page, "doc_id")
     low = F.lower(F.col("text"))
     at = F.array_min(F.filter(F.transform("terms", lambda t: F.position(t, low)), lambda p: p > 0))
     cut = F.substring(F.col("text"), F.coalesce(at, F.lit(1)), F.lit(C.SNIPPET_CHARS))

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from filelake import constants as C
 from filelake.functions import text as X
 from filelake.operators import skew
+from filelake.session import spread
 
 # Most query vectors that are sent to every task at once, and their size in bytes.
 MAX_SENT_QUERIES = 4096
@@ -50,7 +51,8 @@ def allows(restricts: Column, namespace: str, token: str) -> Column:
 
 def text_weights(texts: DataFrame, key: str, text: str, dim: int) -> DataFrame:
     """Non-zero components ``(key, bucket, weight)`` of the hashed, unit-length text vector."""
-    terms = texts.select(key, F.explode(X.tokens(F.col(text))).alias("_term"))
+    rows, _ = spread(texts.select(key, text), key)
+    terms = X.each(rows, [key], X.tokens(F.col(text)), "_term")
     counts = terms.groupBy(key, X.term_bucket(F.col("_term"), dim).alias("bucket")).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -117,7 +119,8 @@ def encode_batch(
                     rows.append((file_id, rev, None, f"{type(error).__name__}: {error}"))
             yield pd.DataFrame(rows, columns=["file_id", "rev", "feature_vector", "error"])
 
-    return objects.select("file_id", "rev", "content").mapInPandas(
+    rows, _ = spread(objects.select("file_id", "rev", "content"), "file_id")
+    return rows.mapInPandas(
         run, "file_id string, rev string, feature_vector array<float>, error string"
     )
 

@@ -196,7 +196,7 @@ def bm25_index(spark, sf):
     d, q = I.docs(spark, sf), I.queries(spark, sf)
     index, stats = stage(text.postings(d), "postings"), stage(text.doc_stats(d), "doc-stats")
     terms = stage(text.query_terms(q), "query-terms")
-    scores = text.scored(terms, text.index_term_stats(index, stats, terms), index)
+    scores = text.scored(terms, text.index_term_stats(index, stats, text.wanted_terms(terms)), index)
     return _rank(text.first_page(scores, q))
 
 

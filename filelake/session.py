@@ -6,6 +6,12 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Largest table sent to every task, by the size of its files or by Catalyst's estimate of a scan.
+MAX_SENT_TABLE = 64 * 1024**2
+# Input below this much per core may sit in too few row groups to keep the cores busy.
+SPREAD_BYTES_PER_CORE = 8 * 1024**2
 
 
 def build_session(app: str = "filelake", master: str | None = None, **conf: str) -> SparkSession:
@@ -57,3 +63,27 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def send_if_small(staged: DataFrame) -> DataFrame:
+    """Broadcast a table just written by ``stage`` if its files are small, else leave it to Spark.
+
+    Only for scans: their size is that of the files, not a guess about an operator.
+    """
+    return F.broadcast(staged) if _estimated_bytes(staged) <= MAX_SENT_TABLE else staged
+
+
+def spread(df: DataFrame, key: str) -> tuple[DataFrame, bool]:
+    """Hash a small input by ``key`` over all cores before costly per-row work.
+
+    A large input already has more splits than cores and is left where it is. Also tells whether
+    the rows moved, so that they need not be shuffled by ``key`` again.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if _estimated_bytes(df) > cores * SPREAD_BYTES_PER_CORE:
+        return df, False
+    return df.repartition(cores, key), True

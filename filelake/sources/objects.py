@@ -34,6 +34,22 @@ def _open(uri: str):
     return filesystem.open_input_file(path)
 
 
+class _ZipSource:
+    """An open file whose seeks before its start fail the way ``zipfile`` expects."""
+
+    def __init__(self, stream):
+        self._stream = stream
+
+    def seek(self, offset: int, whence: int = 0) -> int:
+        try:
+            return self._stream.seek(offset, whence)
+        except ValueError as error:
+            raise OSError(str(error)) from error
+
+    def __getattr__(self, name):
+        return getattr(self._stream, name)
+
+
 def _digest(stream) -> tuple[int, str]:
     total, sha = 0, hashlib.sha256()
     while chunk := stream.read(CHUNK):
@@ -74,7 +90,7 @@ def zip_entries(archives: DataFrame) -> DataFrame:
         for batch in batches:
             for path in batch["path"]:
                 try:
-                    with _open(path) as stream, zipfile.ZipFile(stream) as archive:
+                    with _open(path) as stream, zipfile.ZipFile(_ZipSource(stream)) as archive:
                         rows = [(path, e.filename, e.file_size, n, None) for n, e in enumerate(archive.infolist())]
                 except Exception as error:
                     rows = [(path, None, None, None, _error(error))]
@@ -104,7 +120,7 @@ def zip_members(archives: DataFrame, parallelism: int | None = None) -> DataFram
             rows = []
             for path, group in batch.groupby("file_id", sort=False):
                 try:
-                    with _open(path) as stream, zipfile.ZipFile(stream) as archive:
+                    with _open(path) as stream, zipfile.ZipFile(_ZipSource(stream)) as archive:
                         entries = archive.infolist()
                         for inner, pos, category in group[["inner_path", "pos", "category"]].itertuples(index=False):
                             try:

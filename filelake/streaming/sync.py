@@ -92,29 +92,19 @@ class SyncJob:
             batch.unpersist()
 
     def _merge(self, batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.withColumn("attempts", F.lit(0).cast("bigint"))
-        events = fresh.unionByName(self.retry.read(batch_id - 1))
+        events = batch.withColumn("attempts", F.lit(0).cast("bigint"))
+        if self.fetch:
+            events = events.unionByName(self.retry.read(batch_id - 1))
         paths = events.select("path_lower").distinct()
         prior = self.live.read(batch_id - 1).join(paths, "path_lower", "left_semi")
-        judged = stage(classify(events, prior, self.max_group), "judged")
-
-        attempted = judged.where(F.col("outcome").isin("synced", "archive"))
-        failed = self.fetch(attempted) if self.fetch else attempted.limit(0).select("seq", F.lit("").alias("error"))
-        failed = stage(failed.where(F.col("error").isNotNull()).select("seq", "error"), "failed")
-        marked = judged.join(failed, "seq", "left").withColumn(
-            "outcome", F.when(F.col("error").isNotNull(), "skipped").otherwise(F.col("outcome"))
-        )
-
-        settled = F.col("outcome").isin("synced", "archive", "deleted", "archive_deleted")
-        change = skew.latest(marked.where(settled | F.col("error").isNotNull()), "path_lower", "seq")
+        # Every event brings at most one row of prior state.
+        marked = stage(classify(events, prior, self.max_group, rows=2 * events.count()), "judged")
+        if self.fetch:
+            marked = self._fetch(marked, batch_id)
         # The last event that took effect; a failed one leaves the state as it was.
+        settled = F.col("outcome").isin("synced", "archive", "deleted", "archive_deleted")
         effect = skew.latest(marked.where(settled), "path_lower", "seq")
         self.live.write(batch_id, effect.withColumn("removed", F.col("kind") == "deleted"))
-        waiting = change.where(F.col("error").isNotNull()).withColumn("attempts", F.col("attempts") + 1)
-        waiting = waiting.select(*_RETRY.fieldNames(), F.lit(False).alias("removed"))
-        # Everything tried before and not waiting now has been settled or superseded.
-        closed = self.retry.read(batch_id - 1).join(waiting.select("path_lower"), "path_lower", "left_anti")
-        self.retry.write(batch_id, waiting.unionByName(closed.withColumn("removed", F.lit(True))))
         totals = marked.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
         before = self.counts.read(batch_id - 1)
         self.counts.write(
@@ -122,3 +112,21 @@ class SyncJob:
         )
         seen = batch.select(F.col("seq").alias("cursor")).unionByName(self.cursor.read(batch_id - 1))
         self.cursor.write(batch_id, seen.agg(F.max("cursor").alias("cursor")), full=True)
+
+    def _fetch(self, judged: DataFrame, batch_id: int) -> DataFrame:
+        """Fetch what is to be stored; a failure counts as skipped and is kept for the next batch."""
+        attempted = judged.where(F.col("outcome").isin("synced", "archive"))
+        failed = self.fetch(attempted).where(F.col("error").isNotNull()).select("seq", "error")
+        marked = judged.join(failed, "seq", "left").withColumn(
+            "outcome", F.when(F.col("error").isNotNull(), "skipped").otherwise(F.col("outcome"))
+        )
+        marked = stage(marked, "fetched")
+        tried = F.col("outcome").isin("synced", "archive", "deleted", "archive_deleted") | F.col("error").isNotNull()
+        # A failed event is waiting unless a later one of its path took effect.
+        waiting = skew.latest(marked.where(tried), "path_lower", "seq").where(F.col("error").isNotNull())
+        waiting = waiting.withColumn("attempts", F.col("attempts") + 1)
+        waiting = waiting.select(*_RETRY.fieldNames(), F.lit(False).alias("removed"))
+        # Everything tried before and not waiting now has been settled or superseded.
+        closed = self.retry.read(batch_id - 1).join(waiting.select("path_lower"), "path_lower", "left_anti")
+        self.retry.write(batch_id, waiting.unionByName(closed.withColumn("removed", F.lit(True))))
+        return marked
