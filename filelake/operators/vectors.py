@@ -49,31 +49,33 @@ def allows(restricts: Column, namespace: str, token: str) -> Column:
 # --- text and image encoding -------------------------------------------------------------------
 
 
-def text_weights(texts: DataFrame, key: str, text: str, dim: int) -> DataFrame:
-    """Non-zero components ``(key, bucket, weight)`` of the hashed, unit-length text vector."""
+def _hashed(texts: DataFrame, key: str, text: str, dim: int) -> DataFrame:
+    """``(key, cells)``: the non-zero components of the unit-length text vector, at most ``dim``."""
     rows, _ = spread(texts.select(key, text), key)
     terms = X.each(rows, [key], X.tokens(F.col(text)), "_term")
     counts = terms.groupBy(key, X.term_bucket(F.col("_term"), dim).alias("bucket")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    # At most dim rows per key from here on.
     packed = counts.groupBy(key).agg(
-        F.collect_list(F.struct("bucket", "n")).alias("cells"),
+        F.collect_list(F.struct("bucket", "n")).alias("counts"),
         F.sqrt(F.sum(F.col("n") * F.col("n")).cast("double")).alias("norm"),
     )
-    return packed.select(key, "norm", F.inline("cells")).select(
-        key, "bucket", (F.col("n") / F.col("norm")).alias("weight")
-    )
+    return packed.select(key, F.transform(
+        "counts", lambda c: F.struct(c["bucket"].alias("bucket"), (c["n"] / F.col("norm")).alias("weight"))
+    ).alias("cells"))
+
+
+def text_weights(texts: DataFrame, key: str, text: str, dim: int) -> DataFrame:
+    """Non-zero components ``(key, bucket, weight)`` of the hashed, unit-length text vector."""
+    return _hashed(texts, key, text, dim).select(key, F.inline("cells"))
 
 
 def text_vectors(texts: DataFrame, key: str, text: str, dim: int) -> DataFrame:
-    """Dense text vector per key. A text without a token has the zero vector."""
-    packed = text_weights(texts, key, text, dim).groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("bucket", "weight"))).alias("cells")
-    )
+    """``texts`` with the dense ``vector`` of each. A text without a token has the zero vector."""
+    cells = _hashed(texts, key, text, dim).select(key, F.map_from_entries("cells").alias("cells"))
     buckets = F.sequence(F.lit(0).cast("bigint"), F.lit(dim - 1).cast("bigint"))
     dense = F.transform(buckets, lambda b: F.coalesce(F.try_element_at("cells", b), F.lit(0.0)))
-    return texts.join(packed, key, "left").withColumn("vector", dense).drop("cells")
+    return texts.join(cells, key, "left").withColumn("vector", dense).drop("cells")
 
 
 def hashing_encoder(dim: int) -> Callable[[bytes], np.ndarray]:
@@ -129,10 +131,11 @@ def encode_batch(
 
 
 def dense(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
-    """Matrix of an Arrow list column whose lists all have ``dim`` numbers."""
+    """Matrix of an Arrow list column whose lists all have length ``dim``; a null is not a number."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), dim)
+    flat = column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+    return flat.reshape(len(column), dim)
 
 
 def best_of(queries: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -164,8 +167,9 @@ def keep_best(rows: pd.DataFrame, k: int) -> pd.DataFrame:
 
 
 def ranked_batch(query_ids: np.ndarray, queries: np.ndarray, ids: pa.Array, vectors: np.ndarray, k: int) -> pd.DataFrame:
-    """Candidates of one batch of vectors as ``(q, id, score)``."""
+    """Candidates of one batch of vectors as ``(q, id, score)``; vectors with a NaN never rank."""
     order = pc.sort_indices(ids)
+    order = order.filter(pa.array(~np.isnan(vectors).any(axis=1)[order.to_numpy()]))
     q, v, score = best_of(queries, vectors[order.to_numpy()], k)
     return pd.DataFrame({"q": query_ids[q], "id": ids.take(order).take(pa.array(v)).to_pandas().to_numpy(), "score": score})
 
@@ -207,7 +211,8 @@ def topk(queries: DataFrame, vectors: DataFrame, dim: int, max_sent: int = MAX_S
     Neither way emits the pairs.
     """
     k_max = queries.agg(F.max("k")).first()[0] or 0
-    usable = vectors.where(valid_vector(F.col("feature_vector"), dim)).select("datapoint_id", "feature_vector")
+    # Components are checked in the tasks, as matrices, and not one by one here.
+    usable = vectors.where(F.size("feature_vector") == dim).select("datapoint_id", "feature_vector")
     asked = queries.where(valid_vector(F.col("vector"), dim))
     schema = _result_schema(queries, vectors)
     sent = sent_queries(asked, ["query_id", "vector"], max_sent, dim)

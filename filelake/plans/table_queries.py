@@ -6,17 +6,18 @@ import io
 import zipfile
 
 import pandas as pd
-from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
+from filelake import schemas
 from filelake.functions import paths as P
-from filelake.operators import archive, sync
+from filelake.operators import archive, catalog
+from filelake.operators.imports import manifest
 from filelake.plans import inputs as I
 from filelake.plans.registry import query
 from filelake.session import new_folder
 from filelake.sources import objects, sidecar
 from filelake.sources.state import StateTable
-from filelake import schemas
 from filelake.streaming.sync import SyncJob
 
 _META = "file_id, path, rev, mime_type, size, server_modified, category, object_uri, caption"
@@ -63,8 +64,6 @@ select '{"id":"' || regexp_extract(split_part(uri, '/', -1), '(?s)\A(.*?[^./][^/
   || '","content":{"mimeType":"' || coalesce(mime, 'application/octet-stream') || '","uri":"' || uri || '"}}' as value
 from doc_uris left join ext_dim on lower(regexp_extract(uri, '(\.[^./]*)$', 1)) = ext""")
 def write_manifest(spark, sf):
-    from filelake.operators.imports import manifest
-
     folder = new_folder(spark, "manifest")
     sidecar.write_lines(manifest(I.doc_uris(spark, sf)).select("line"), folder)
     return spark.read.text(folder)
@@ -98,8 +97,6 @@ select cast(null as bigint) as cursor, file_id, rev from rev_index where file_id
   select file_id from meta where category = 'images' or category = 'docs')""")
 def resync(spark, sf):
     """Re-scan on demand: only valid revisions stay on record, and the cursor is cleared."""
-    from filelake.operators import catalog
-
     revs = StateTable(spark, new_folder(spark, "revs"), "file_id", schemas.REV_INDEX)
     cursor = StateTable(spark, new_folder(spark, "cursor"), "cursor", schemas.SYNC_STATE)
     revs.write(0, I.rev_index(spark, sf), full=True)
@@ -130,10 +127,6 @@ def _zip_documents(spark, sf, broken: bool = False):
     folder = new_folder(spark, "zips")
 
     def run(batches):
-        from pyspark import TaskContext
-
-        filesystem, root = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
-        filesystem.create_dir(root, recursive=True)
         part, n = TaskContext.get().partitionId(), 0
         for batch in batches:
             for start in range(0, len(batch), 50):
@@ -148,12 +141,9 @@ def _zip_documents(spark, sf, broken: bool = False):
                         out.writestr(f"src/{doc_id}.exe", "x")
                 content = buffer.getvalue()
                 corrupt = broken and rows["lang"].iloc[0] == "en"
-                path = f"{root}/{part}-{n}.zip"
-                with filesystem.open_output_stream(path) as sink:
-                    sink.write(content[: len(content) // 2] if corrupt else content)
-                uri = path if "://" not in folder else f"{folder}/{part}-{n}.zip"
-                yield pd.DataFrame({"path": [f"file://{uri}" if "://" not in uri else uri],
-                                    "n_docs": [len(rows)], "corrupt": [corrupt]})
+                path = f"{folder}/{part}-{n}.zip"
+                objects.put(path, content[: len(content) // 2] if corrupt else content)
+                yield pd.DataFrame({"path": [path], "n_docs": [len(rows)], "corrupt": [corrupt]})
                 n += 1
 
     d = I.table(spark, sf, "documents").select("doc_id", "text", "lang")

@@ -29,11 +29,25 @@ def list_objects(spark: SparkSession, path: str, glob: str | None = None) -> Dat
     return reader.load(path).select("path", "length")
 
 
+def _locate(uri: str) -> tuple[fs.FileSystem, str]:
+    if uri.startswith("/"):
+        uri = f"file://{uri}"
+    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+
+
 def _open(uri: str):
-    filesystem, path = fs.FileSystem.from_uri(uri)
+    filesystem, path = _locate(uri)
     return filesystem.open_input_file(path)
 
 
+def put(uri: str, content: bytes) -> None:
+    """Write one object; a repeated task attempt writes the same again."""
+    filesystem, path = _locate(uri)
+    filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    with filesystem.open_output_stream(path) as sink:
+        sink.write(content)
+
+
 class _ZipSource:
     """An open file whose seeks before its start fail the way ``zipfile`` expects."""
 

@@ -21,6 +21,13 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# Spark type of each SQL type that the checks use.
+TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
 def _plain(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else repr(value + 0.0)
@@ -40,6 +47,10 @@ def compare(spark, con, name, fn, sql, sf_dir) -> str | None:
     right_cols, right = _rows(rel.columns, rel.fetchall())
     if left_cols != right_cols:
         return f"columns {left_cols} != {right_cols}"
+    spark_types = dict(df.dtypes)
+    sql_types = {c: TYPES.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    if spark_types != sql_types:
+        return f"types {[(c, t, sql_types[c]) for c, t in spark_types.items() if t != sql_types[c]]}"
     if not left:
         return "no rows"
     if left != right:
