@@ -55,6 +55,15 @@ def expand(archives: DataFrame, members: DataFrame, root: str) -> DataFrame:
     return skew.latest(rows, "file_id", "pos")
 
 
+def vanished(stored: DataFrame, current: DataFrame) -> DataFrame:
+    """Members on record that the new revision of their archive no longer holds: to be deleted.
+
+    ``stored`` and ``current`` are results of ``expand``; only archives in ``current`` count.
+    """
+    updated = current.select("zip_id").distinct()
+    return stored.join(updated, "zip_id", "left_semi").join(current.select("file_id"), "file_id", "left_anti")
+
+
 def member_totals(members: DataFrame) -> DataFrame:
     """Per archive: members stored, members skipped for their type, stored paths, stored documents."""
     per_path = visible_members(members).groupBy("file_id", "inner_path", "category").agg(

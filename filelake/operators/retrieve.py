@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from filelake import constants as C
 from filelake import schemas
+from filelake.operators import text, vectors
+from filelake.session import stage
 
 
 def combined(queries: DataFrame, images: DataFrame, documents: DataFrame) -> DataFrame:
@@ -42,6 +44,25 @@ def combined(queries: DataFrame, images: DataFrame, documents: DataFrame) -> Dat
     )
 
 
+def document_page(queries: DataFrame, docs: DataFrame) -> DataFrame:
+    """Best documents of every query with score, rank, title, link and snippet.
+
+    ``docs`` is ``(doc_id, text, title, link)``.
+    """
+    terms = stage(text.query_terms(queries), "query-terms")
+    page = text.first_page(text.match(queries, docs, terms), queries)
+    return text.snippets(page, terms, docs)
+
+
+def search(queries: DataFrame, docs: DataFrame, datapoints: DataFrame, dim: int) -> DataFrame:
+    """Nearest images and best documents of ``(query_id, text, k)``, one row per query.
+
+    Query texts are encoded into the space of the datapoints; see ``vectors.text_vectors``.
+    """
+    asked = vectors.text_vectors(queries, "query_id", "text", dim)
+    return combined(queries, vectors.topk(asked, datapoints, dim), document_page(queries, docs))
+
+
 def as_json(results: DataFrame) -> DataFrame:
     """The combined result as one JSON document per query."""
     body = F.to_json(F.struct("query", "image_matches", "document_matches"))

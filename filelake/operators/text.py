@@ -101,9 +101,13 @@ def scored(terms: DataFrame, stats: DataFrame, index: DataFrame) -> DataFrame:
     )
 
 
-def match(queries: DataFrame, docs: DataFrame) -> DataFrame:
-    """``scored`` straight from the documents, without a stored index."""
-    terms = stage(query_terms(queries), "query-terms")
+def match(queries: DataFrame, docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
+    """``scored`` straight from the documents, without a stored index.
+
+    ``terms`` may pass the written query terms on.
+    """
+    if terms is None:
+        terms = stage(query_terms(queries), "query-terms")
     wanted = wanted_terms(terms)
     return scored(terms, corpus_term_stats(docs, wanted), postings(docs, wanted))
 
@@ -123,19 +127,18 @@ def totals(scores: DataFrame, queries: DataFrame) -> DataFrame:
     )
 
 
-def snippets(hits: DataFrame, terms: DataFrame, docs: DataFrame) -> DataFrame:
-    """Add ``snippet``: the text from the first query term on, cut to the display length.
+def snippets(page: DataFrame, terms: DataFrame, docs: DataFrame) -> DataFrame:
+    """Add ``title, link, snippet`` to the hits: the text from the first query term on, cut to size.
 
-    ``hits`` is one page per query; it is written first, so that the texts are joined where they
-    are instead of being shuffled.
+    ``page`` holds one page per query; it is written first, so that it goes to the texts and the
+    texts are not shuffled.
     """
-    wanted = terms.groupBy("query_id").agg(F.collect_set("term").alias("terms"))
-    page = send_if_small(stage(hits.select("query_id", "doc_id").join(wanted, "query_id"), "page"))
-    found = docs.select("doc_id", "text").join(page, "doc_id")
+    wanted = terms.groupBy("query_id").agg(F.array_join(F.collect_set("term"), "|").alias("_terms"))
+    hits = send_if_small(stage(page.join(wanted, "query_id"), "hits"))
     # Terms are letters and digits, so their alternation finds the first of them in one pass.
-    at = F.regexp_instr(F.lower(F.col("text")), F.array_join("terms", "|"))
-    cut = F.substring(F.col("text"), F.greatest(at, F.lit(1)), F.lit(C.SNIPPET_CHARS))
-    return found.select("query_id", "doc_id", cut.alias("snippet"))
+    at = F.greatest(F.regexp_instr(F.lower(F.col("text")), F.col("_terms")), F.lit(1))
+    cut = F.substring(F.col("text"), at, F.lit(C.SNIPPET_CHARS)).alias("snippet")
+    return docs.join(hits, "doc_id").select(*page.columns, "title", "link", cut)
 
 
 def upsert_index(index: DataFrame, changed: DataFrame) -> DataFrame:

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from filelake import constants as C
 from filelake.functions import text as X
 from filelake.operators import ann, imports, retrieve, text, vectors
+from filelake.operators.embed import EmbedJob
 from filelake.plans import inputs as I
 from filelake.plans.registry import query
-from filelake.session import stage
+from filelake.session import new_folder, stage
 
 
 def _rank(df):
@@ -128,6 +129,47 @@ def embed_outcomes(spark, sf):
     return plan.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _embed_job(spark, sf):
+    """Run over the images with the documents as their contents; long ones cannot be read."""
+    dim = I.DIM
+
+    def make():
+        encode = vectors.hashing_encoder(dim)
+
+        def run(content):
+            if len(content) > 2000:
+                raise OSError("unreadable")
+            return encode(content)
+
+        return run
+
+    job = EmbedJob(spark, new_folder(spark, "embed"), make, dim)
+    text_id = F.col("file_id").cast("string").alias("file_id")
+    job.state.write(0, I.emb_state(spark, sf).select(text_id, "rev"), full=True)
+    contents = I.table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("file_id"), F.encode("text", "UTF-8").alias("content")
+    )
+    return job, job.run(I.images(spark, sf).select(text_id, "rev", "size"), contents)
+
+
+_EMBED_JOB = f"""(select coalesce(i.file_id, s.file_id) as file_id, i.rev as new_rev, s.rev as old_rev, case
+  when i.file_id is null then 'removed' when i.rev = s.rev or i.size > {C.MAX_IMAGE_BYTES} then 'skipped'
+  when octet_length(encode(d.text)) <= 2000 then 'embedded' else 'errors' end as outcome
+from images i full join emb_state s on i.file_id = s.file_id left join documents d on i.file_id = d.doc_id)"""
+
+
+@query("embed_job", f"select outcome, count(*) as n from {_EMBED_JOB} j group by outcome")
+def embed_job(spark, sf):
+    return _embed_job(spark, sf)[1]
+
+
+@query("embed_job_state", f"""
+select cast(file_id as varchar) as file_id, case when outcome = 'embedded' then new_rev else old_rev end as rev
+from {_EMBED_JOB} j where outcome = 'embedded' or outcome <> 'removed' and old_rev is not null""")
+def embed_job_state(spark, sf):
+    return _embed_job(spark, sf)[0].state.read()
+
+
 @query("embed_pending", """
 select file_id, rev from images i where not exists (
   select 1 from emb_state s where s.file_id = i.file_id and s.rev = i.rev)""")
@@ -208,10 +250,7 @@ def search_total(spark, sf):
 
 
 def _hits(spark, sf):
-    d, q = I.docs(spark, sf), I.queries(spark, sf)
-    page = stage(text.first_page(text.match(q, d), q), "hits")
-    cut = text.snippets(page, text.query_terms(q), d)
-    return page.join(cut, ["query_id", "doc_id"]).join(d.select("doc_id", "title", "link"), "doc_id")
+    return retrieve.document_page(I.queries(spark, sf), I.docs(spark, sf))
 
 
 @query("snippets", "select query_id, doc_id, snippet from snippets")
@@ -289,9 +328,7 @@ def import_totals(spark, sf):
 @query("combined_search")
 def combined_search(spark, sf):
     """Flagship: nearest images and best documents of every query in one row."""
-    q = I.queries(spark, sf)
-    images = vectors.topk(I.query_vectors(spark, sf), I.datapoints(spark, sf), I.DIM)
-    return retrieve.combined(q, images, _hits(spark, sf))
+    return retrieve.search(I.queries(spark, sf), I.docs(spark, sf), I.datapoints(spark, sf), I.DIM)
 
 
 @query("combined_flat", """

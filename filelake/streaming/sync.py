@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from filelake import schemas
 from filelake.operators import skew
-from filelake.operators.sync import classify
+from filelake.operators.sync import classify, file_meta
 from filelake.session import stage
 from filelake.sources.state import StateTable
 
@@ -22,6 +22,11 @@ _LIVE = T.StructType([
     T.StructField("category", T.StringType()),
     T.StructField("size", T.LongType()),
     T.StructField("seq", T.LongType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("path_display", T.StringType()),
+    T.StructField("server_modified", T.TimestampNTZType()),
+    T.StructField("ext", T.StringType()),
+    T.StructField("archive", T.BooleanType()),
 ])
 _RETRY = T.StructType([*schemas.CHANGE.fields, T.StructField("attempts", T.LongType())])
 _COUNTS = T.StructType([T.StructField("outcome", T.StringType()), T.StructField("n", T.LongType())])
@@ -61,6 +66,10 @@ class SyncJob:
     def cursor(self) -> StateTable:
         return StateTable(self.spark, f"{self.root}/cursor", "cursor", schemas.SYNC_STATE)
 
+    def sidecars(self, mirror: str) -> DataFrame:
+        """Sidecars of the live plain files, with their objects below ``mirror``."""
+        return file_meta(self.live.read(), mirror)
+
     def run(self, feed: str, max_files: int | None = None) -> list[int]:
         """Process what is new in ``feed`` and stop; the sizes of the batches that ran.
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from filelake.operators import ann, retrieve, text, vectors
+from filelake.operators.embed import EmbedJob
 
 DIM = 8
 
@@ -116,6 +117,37 @@ def test_embed_plan_keeps_the_vector_of_an_outgrown_image(spark):
     assert plan == {"A": "skipped_size", "B": "embedded", "C": "removed"}
 
 
+def test_embed_job_repeats_failures_and_removes_stale_vectors(spark, tmp_path):
+    broken = tmp_path / "broken"
+    broken.mkdir()
+
+    def make():
+        encode = vectors.hashing_encoder(16)
+
+        def run(content):
+            if content == b"bad" and (broken / "on").exists():
+                raise OSError("unreadable")
+            return encode(content)
+
+        return run
+
+    def counts(df):
+        return {r.outcome: r.n for r in df.collect()}
+
+    images = spark.createDataFrame([("A", "r1", 5), ("B", "r1", 5), ("C", "r1", 20971521), ("D", "r1", None)],
+                                   "file_id string, rev string, size bigint")
+    contents = spark.createDataFrame([("A", b"one"), ("B", b"bad"), ("C", b"big")], "file_id string, content binary")
+    job = EmbedJob(spark, str(tmp_path / "job"), make, 16)
+    (broken / "on").write_text("")
+    assert counts(job.run(images, contents)) == {"embedded": 1, "errors": 2, "skipped": 1}
+    assert [tuple(r) for r in job.state.read().collect()] == [("A", "r1")]
+    (broken / "on").rename(broken / "off")
+    assert counts(job.run(images, contents)) == {"embedded": 1, "errors": 1, "skipped": 2}
+    assert counts(job.run(images.where("file_id <> 'A'"), contents)) == {"errors": 1, "skipped": 2, "removed": 1}
+    points = job.points.read().collect()
+    assert [(p.datapoint_id, p.restricts[0].allow_list) for p in points] == [("B", ["images"])]
+
+
 DOCS = [(1, "The cat sat on the mat."), (2, "the the the dog"), (3, "Cats and dogs"), (4, ""), (5, "ÉTÉ été 42"),
         (6, "a cat, a DOG; it's \"quoted\"")]
 QUERIES = [(1, "the cat", 2), (2, "été", 5), (3, "zebra", 5), (4, "it's \"quoted\" '); drop", 5), (5, "", 5)]

@@ -30,6 +30,8 @@ def test_stream_equals_replay_and_stops_when_nothing_is_new(spark, tmp_path):
     for outcome in list(replay(rows)[0].values()) + ["folder"] * sum(r[1] == "folder" for r in rows):
         want[outcome] = want.get(outcome, 0) + 1
     assert counts == want
+    metas = {r.file_id: r.object_uri for r in job.sidecars("lake://t").collect()}
+    assert set(metas) == {i for p, (i, _) in state(job).items() if not p.endswith(".zip")}
     # A full snapshot in place of the deltas changes nothing.
     job.live.compact()
     assert state(job) == expected(rows)
@@ -42,7 +44,8 @@ def test_repeated_and_broken_off_batches(spark, tmp_path):
     job.apply(first, 0)
     # What a batch that broke off before its cursor leaves behind.
     job.live.write(1, second.select("path_lower").distinct().selectExpr(
-        "path_lower", "'bad' as file_id", "'bad' as rev", "'' as category", "0L as size", "0L as seq"))
+        "path_lower", "'bad' as file_id", "'bad' as rev", "'' as category", "0L as size", "0L as seq", "'' as name",
+        "'' as path_display", "timestamp_ntz'2024-01-01 00:00:00' as server_modified", "'' as ext", "false as archive"))
     job.apply(second, 1)
     job.apply(second, 1)
     job.apply(second, 1, again=True)

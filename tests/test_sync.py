@@ -152,9 +152,8 @@ def test_member_collision_keeps_the_later_member(spark):
 
 
 def test_new_archive_revision_replaces_the_members(spark):
-    """Expansion always gives the members of the live manifest, so a member that vanished is gone."""
     heads = spark.sql("select 'Z' as file_id, '/z.zip' as path_lower, '/Z.zip' as path_display, 'r2' as rev, timestamp_ntz'2024-01-01 00:00:00' as server_modified")
     schema = "file_id string, inner_path string, file_size bigint, pos bigint"
     old = archive.expand(heads, spark.createDataFrame([("Z", "a.jpg", 1, 0), ("Z", "b.jpg", 1, 1)], schema), "lake://t")
     new = archive.expand(heads, spark.createDataFrame([("Z", "a.jpg", 1, 0)], schema), "lake://t")
-    assert [r.file_id for r in old.join(new, "file_id", "left_anti").collect()] == ["Z___b.jpg"]
+    assert [r.file_id for r in archive.vanished(old, new).collect()] == ["Z___b.jpg"]
