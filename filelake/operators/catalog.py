@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from filelake.functions import paths as P
 from filelake.operators import skew
+from filelake.session import small_side
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -74,5 +75,5 @@ def resync_summary(rev_index: DataFrame, keep_ids: DataFrame) -> DataFrame:
 
 def apply_deletes(objects: DataFrame, doomed: DataFrame) -> DataFrame:
     """Objects that remain. Deleting what is not there is no error."""
-    keys = doomed.where(F.col("object_key").isNotNull()).select("object_key").distinct()
+    keys = small_side(doomed.where(F.col("object_key").isNotNull()).select("object_key").distinct(), "doomed")
     return objects.join(keys, "object_key", "left_anti")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from filelake import schemas
 from filelake.operators import vectors
-from filelake.session import send_if_small, stage
+from filelake.session import small_side, stage
 from filelake.sources.state import StateTable
 
 
@@ -44,7 +44,7 @@ class EmbedJob:
         """
         version = max((v for v, _ in self.state.versions()), default=-1) + 1
         plan = stage(vectors.embed_plan(images, self.state.read(version - 1)), "embed-plan")
-        todo = send_if_small(stage(plan.where(F.col("action") == "embedded").select("file_id", "rev"), "pending"))
+        todo = small_side(plan.where(F.col("action") == "embedded").select("file_id", "rev"), "pending")
         found = contents.select("file_id", "content").join(todo, "file_id")
         done = stage(vectors.encode_batch(found, self.make_encoder, self.dim), "encoded")
         good = done.where(F.col("error").isNull())

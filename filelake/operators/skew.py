@@ -38,16 +38,17 @@ def with_previous(
     if rows is not None and rows <= max_group:
         plain = W.partitionBy(key).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
         return df.withColumn(name, F.last(value, ignorenulls=True).over(plain))
-    # Bounded by rows / max_group keys, hence the broadcast.
+    # Bounded by rows / max_group keys, hence the broadcast. Where it turns out empty, adaptive
+    # execution drops both joins and everything that feeds the second one.
     hot = F.broadcast(hot_keys(df, key, max_group).withColumn("_hot", F.lit(True)))
-    span = F.when(F.col("_hot"), F.floor(F.col(order) / F.lit(max_group))).cast("bigint")
-    marked = df.join(hot, key, "left").withColumn("_span", span).withColumn("_value", value)
-
+    of_span = F.floor(F.col(order) / F.lit(max_group)).cast("bigint")
+    spans = df.join(hot, key, "left").withColumn("_span", F.when(F.col("_hot"), of_span))
     inside = W.partitionBy(key, "_span").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    local = marked.withColumn("_local", F.last("_value", ignorenulls=True).over(inside))
+    local = spans.withColumn("_local", F.last(value, ignorenulls=True).over(inside))
 
     tails = (
-        marked.where(F.col("_span").isNotNull())
+        df.join(hot, key)
+        .select(key, of_span.alias("_span"), F.col(order), value.alias("_value"))
         .groupBy(key, "_span")
         .agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col(order))).alias("_tail"))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from filelake import constants as C
 from filelake.functions import text as X
 from filelake.operators import skew
-from filelake.session import send_if_small, spread, stage
+from filelake.session import small_side, spread, stage
 
 # Not a term: marks the one row per document that its own counts hang on.
 _WHOLE = ""
@@ -51,7 +51,7 @@ def query_terms(queries: DataFrame) -> DataFrame:
 def wanted_terms(terms: DataFrame) -> DataFrame:
     """Distinct terms of the queries, with the mark for whole documents; small and of known size."""
     whole = terms.sparkSession.range(1).select(F.lit(_WHOLE).alias("term"))
-    return send_if_small(stage(terms.select("term").unionByName(whole).distinct(), "wanted-terms"))
+    return small_side(terms.select("term").unionByName(whole).distinct(), "wanted-terms")
 
 
 def corpus_term_stats(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ def scored(terms: DataFrame, stats: DataFrame, index: DataFrame) -> DataFrame:
     """
     idf = F.log(F.lit(1.0) + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = terms.join(stats, "term").select("query_id", "term", idf.alias("idf"), "avg_dl")
-    weighted = send_if_small(stage(weighted, "weighted-terms"))
+    weighted = small_side(weighted, "weighted-terms")
     length = F.lit(1 - C.BM25_B) + F.lit(C.BM25_B) * F.col("dl") / F.col("avg_dl")
     gain = F.col("idf") * F.col("tf") * F.lit(C.BM25_K1 + 1) / (F.col("tf") + F.lit(C.BM25_K1) * length)
     return index.join(weighted, "term").groupBy("query_id", "doc_id").agg(
@@ -134,7 +134,7 @@ def snippets(page: DataFrame, terms: DataFrame, docs: DataFrame) -> DataFrame:
     texts are not shuffled.
     """
     wanted = terms.groupBy("query_id").agg(F.array_join(F.collect_set("term"), "|").alias("_terms"))
-    hits = send_if_small(stage(page.join(wanted, "query_id"), "hits"))
+    hits = small_side(page.join(wanted, "query_id"), "hits")
     # Terms are letters and digits, so their alternation finds the first of them in one pass.
     at = F.greatest(F.regexp_instr(F.lower(F.col("text")), F.col("_terms")), F.lit(1))
     cut = F.substring(F.col("text"), at, F.lit(C.SNIPPET_CHARS)).alias("snippet")
@@ -146,5 +146,6 @@ def upsert_index(index: DataFrame, changed: DataFrame) -> DataFrame:
 
     Only the changed documents are tokenised.
     """
-    kept = index.join(changed.select("doc_id"), "doc_id", "left_anti")
+    ids = small_side(changed.select("doc_id"), "changed")
+    kept = index.join(ids, "doc_id", "left_anti")
     return kept.unionByName(postings(changed))

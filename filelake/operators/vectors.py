@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from filelake import constants as C
 from filelake.functions import text as X
 from filelake.operators import skew
-from filelake.session import spread
+from filelake.session import send_if_small, small_side, spread, stage
 
 # Most query vectors that are sent to every task at once, and their size in bytes.
 MAX_SENT_QUERIES = 4096
@@ -312,11 +312,16 @@ def stale(state: DataFrame, images: DataFrame) -> DataFrame:
 
 
 def upsert(datapoints: DataFrame, new: DataFrame) -> DataFrame:
-    """Datapoints with ``new`` replacing or joining them by id."""
-    kept = datapoints.join(new.select("datapoint_id"), "datapoint_id", "left_anti")
+    """Datapoints with ``new`` replacing or joining them by id.
+
+    The new rows are written once, so that the vector table need not be shuffled to meet them.
+    """
+    new = stage(new, "upsert")
+    kept = datapoints.join(send_if_small(new.select("datapoint_id")), "datapoint_id", "left_anti")
     return kept.unionByName(new)
 
 
 def remove(datapoints: DataFrame, gone: DataFrame) -> DataFrame:
     """Datapoints without the ids in ``gone``; unknown ids are no error."""
-    return datapoints.join(gone.select("datapoint_id"), "datapoint_id", "left_anti")
+    ids = small_side(gone.select("datapoint_id").distinct(), "removed")
+    return datapoints.join(ids, "datapoint_id", "left_anti")

@@ -77,6 +77,11 @@ def send_if_small(staged: DataFrame) -> DataFrame:
     return F.broadcast(staged) if _estimated_bytes(staged) <= MAX_SENT_TABLE else staged
 
 
+def small_side(df: DataFrame, label: str) -> DataFrame:
+    """Join side expected to be small: written once, then broadcast only if its files are small."""
+    return send_if_small(stage(df, label))
+
+
 def spread(df: DataFrame, key: str) -> tuple[DataFrame, bool]:
     """Hash a small input by ``key`` over all cores before costly per-row work.
 

@@ -48,7 +48,7 @@ def test_archive_parents_equal_prefix_join(spark):
 
 
 def test_uri_id(spark):
-    uris = ["gs://b/mirror/docs/A1.pdf", "gs://b/mirror/docs/A.b.TXT", "gs://b/mirror/docs/A1"]
+    uris = ["lake://b/mirror/docs/A1.pdf", "lake://b/mirror/docs/A.b.TXT", "lake://b/mirror/docs/A1"]
     assert column(spark, uris, P.uri_id) == ["A1", "A.b", "A1"]
 
 
