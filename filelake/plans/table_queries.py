@@ -162,6 +162,57 @@ def archive_files(spark, sf):
     return members.select(P.basename(F.col("inner_path")).alias("filename"), "category", "n_bytes", "sha256")
 
 
+@query("archive_directory", """
+select 'src/' || doc_id || '.txt' as inner_path, cast(octet_length(encode(text)) as bigint) as file_size from documents
+union all select 'src/' || doc_id || '.exe', 1 from documents""")
+def archive_directory(spark, sf):
+    """Visible entries by the archives' own directories."""
+    zips = _zip_documents(spark, sf).withColumn("file_id", P.uri_id(F.col("path")))
+    return archive.visible_members(objects.manifest(zips)).select("inner_path", "file_size")
+
+
+def _stored(spark, folder):
+    listed = objects.list_objects(spark, folder)
+    found = objects.digests(listed).where(F.col("error").isNull())
+    return found.select(P.basename(F.col("path")).alias("name"), "n_bytes", "sha256")
+
+
+@query("archive_unpack", """
+select doc_id || '.txt' as name, cast(octet_length(encode(text)) as bigint) as n_bytes, sha256(text) as sha256
+from documents""")
+def archive_unpack(spark, sf):
+    """Documents unpacked from the archives into the mirror, read back from there."""
+    folder = new_folder(spark, "mirror")
+    members = objects.zip_members(_zip_documents(spark, sf))
+    target = F.concat(F.lit(folder + "/mirror/docs/"), P.basename(F.col("inner_path")))
+    done = objects.unpack(members.select("path", "inner_path", "pos", target.alias("target")))
+    done.write.parquet(new_folder(spark, "unpacked"))
+    return _stored(spark, folder)
+
+
+@query("mirror_objects", """
+select doc_id || '.txt' as name, cast(octet_length(encode(text)) as bigint) as n_bytes, sha256(text) as sha256
+from documents""")
+def mirror_objects(spark, sf):
+    """Documents written as source objects, copied into the mirror and read back from there."""
+    source, folder = new_folder(spark, "source"), new_folder(spark, "mirror")
+
+    def run(batches):
+        for batch in batches:
+            paths = [f"{source}/{doc_id}.txt" for doc_id in batch["doc_id"]]
+            for path, text in zip(paths, batch["text"]):
+                objects.put(path, text.encode("utf-8"))
+            yield pd.DataFrame({"source": paths})
+
+    listing = new_folder(spark, "sources")
+    I.table(spark, sf, "documents").select("doc_id", "text").mapInPandas(run, "source string").write.parquet(listing)
+    copies = spark.read.parquet(listing).withColumn(
+        "target", F.concat(F.lit(folder + "/mirror/docs/"), P.basename(F.col("source")))
+    )
+    objects.mirror(copies).write.parquet(new_folder(spark, "copied"))
+    return _stored(spark, folder)
+
+
 @query("archive_errors")
 def archive_errors(spark, sf):
     """Archives with what they should and do hold: a corrupt one gives no members but an error."""

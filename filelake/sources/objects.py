@@ -1,4 +1,4 @@
-"""Object bytes on the executors: digests and ZIP members.
+"""Object bytes on the executors: copies, digests and ZIP members.
 
 Drivers and shuffles carry paths only. A file is opened by the task that needs it and read in
 chunks, so neither an object nor an archive has to fit in memory or in a binary column.
@@ -7,8 +7,9 @@ chunks, so neither an object nor an archive has to fit in memory or in a binary
 from __future__ import annotations
 
 import hashlib
+import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyarrow import fs
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from filelake.functions import paths as P
 from filelake.operators.archive import visible_members
+from filelake.session import spread
 
 CHUNK = 8 * 1024 * 1024
 
@@ -40,12 +42,20 @@ def _open(uri: str):
     return filesystem.open_input_file(path)
 
 
-def put(uri: str, content: bytes) -> None:
-    """Write one object; a repeated task attempt writes the same again."""
+def _store(stream, uri: str) -> int:
+    """Write a stream as one object in chunks; a repeated task attempt writes the same again."""
     filesystem, path = _locate(uri)
     filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    total = 0
     with filesystem.open_output_stream(path) as sink:
-        sink.write(content)
+        while chunk := stream.read(CHUNK):
+            total += len(chunk)
+            sink.write(chunk)
+    return total
+
+
+def put(uri: str, content: bytes) -> int:
+    return _store(io.BytesIO(content), uri)
 
 
 class _ZipSource:
@@ -91,7 +101,8 @@ def digests(objects: DataFrame) -> DataFrame:
             out = pd.DataFrame(rows, columns=["path", "n_bytes", "sha256", "error"])
             yield out.astype({"n_bytes": "Int64"})
 
-    return objects.select("path").mapInPandas(run, "path string, n_bytes bigint, sha256 string, error string")
+    rows, _ = spread(objects.select("path"), "path")
+    return rows.mapInPandas(run, "path string, n_bytes bigint, sha256 string, error string")
 
 
 def zip_entries(archives: DataFrame) -> DataFrame:
@@ -111,49 +122,102 @@ def zip_entries(archives: DataFrame) -> DataFrame:
                 out = pd.DataFrame(rows, columns=["path", "inner_path", "file_size", "pos", "error"])
                 yield out.astype({"file_size": "Int64", "pos": "Int64"})
 
-    return archives.select("path").mapInPandas(
+    rows, _ = spread(archives.select("path"), "path")
+    return rows.mapInPandas(
         run, "path string, inner_path string, file_size bigint, pos bigint, error string"
     )
 
 
-def zip_members(archives: DataFrame, parallelism: int | None = None) -> DataFrame:
-    """Content digest of every visible, supported member: ``path, inner_path, pos, n_bytes, sha256, error``.
+def manifest(archives: DataFrame) -> DataFrame:
+    """Member manifest ``(file_id, inner_path, file_size, pos, error)`` of ``(file_id, path)`` archives."""
+    return archives.select("file_id", "path").join(zip_entries(archives), "path").drop("path")
+
+
+def _each_member(members: DataFrame, extra: list[str], act: Callable, schema: str) -> DataFrame:
+    """Open every member ``(path, inner_path, pos, *extra)`` and add what ``act(stream, row)`` gives.
 
     The members of all archives are spread over the tasks by position, so one huge archive is read
-    by many tasks. A member that fails carries its error and does not touch the others.
+    by many tasks. A member that fails carries its error and does not touch the others. ``schema``
+    describes the values of ``act``.
     """
-    wanted = visible_members(
-        zip_entries(archives).where(F.col("inner_path").isNotNull()).withColumnRenamed("path", "file_id")
-    ).where(F.col("category").isNotNull())
-    keys = [F.col("file_id"), F.col("pos")]
-    spread = wanted.select("file_id", "inner_path", "pos", "category")
-    spread = spread.repartition(parallelism, *keys) if parallelism else spread.repartition(*keys)
+    keys = ["path", "inner_path", "pos", *extra]
+    added = [c.split()[0] for c in schema.split(", ")]
+    kinds = {f.name: f.dataType.simpleString() for f in members.schema}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for path, group in batch.groupby("file_id", sort=False):
+            for path, group in batch.groupby("path", sort=False):
+                wanted = list(group[keys].itertuples(index=False))
                 try:
                     with _open(path) as stream, zipfile.ZipFile(_ZipSource(stream)) as archive:
                         entries = archive.infolist()
-                        for inner, pos, category in group[["inner_path", "pos", "category"]].itertuples(index=False):
+                        for row in wanted:
                             try:
-                                with archive.open(entries[pos]) as member:
-                                    rows.append((path, inner, pos, category, *_digest(member), None))
+                                with archive.open(entries[row.pos]) as member:
+                                    rows.append((*row, *act(member, row), None))
                             except Exception as error:
-                                rows.append((path, inner, pos, category, None, None, _error(error)))
+                                rows.append((*row, *[None] * len(added), _error(error)))
                 except Exception as error:
-                    rows += [
-                        (path, inner, pos, category, None, None, _error(error))
-                        for inner, pos, category in group[["inner_path", "pos", "category"]].itertuples(index=False)
-                    ]
-            out = pd.DataFrame(rows, columns=["path", "inner_path", "pos", "category", "n_bytes", "sha256", "error"])
-            yield out.astype({"n_bytes": "Int64"})
+                    rows += [(*row, *[None] * len(added), _error(error)) for row in wanted]
+            yield pd.DataFrame(rows, columns=[*keys, *added, "error"]).astype({"n_bytes": "Int64"})
 
-    return spread.mapInPandas(
-        run,
-        "path string, inner_path string, pos bigint, category string, n_bytes bigint, sha256 string, error string",
-    )
+    out = ", ".join(f"{k} {kinds[k]}" for k in keys) + f", {schema}, error string"
+    # A number given is kept: the rows are few bytes each, and adaptive merging would undo the spread.
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return members.select(*keys).repartition(tasks, "path", "pos").mapInPandas(run, out)
+
+
+def zip_members(archives: DataFrame) -> DataFrame:
+    """Digest of every visible, supported member of the archives at ``path``.
+
+    The result is ``(path, inner_path, pos, category, n_bytes, sha256, error)``.
+    """
+    entries = zip_entries(archives).where(F.col("inner_path").isNotNull())
+    wanted = visible_members(entries).where(F.col("category").isNotNull())
+    return _each_member(wanted, ["category"], lambda s, _: _digest(s), "n_bytes bigint, sha256 string")
+
+
+def unpack(members: DataFrame) -> DataFrame:
+    """Store members ``(path, inner_path, pos, target)`` as objects at ``target``."""
+    return _each_member(members, ["target"], lambda s, row: (_store(s, row.target),), "n_bytes bigint")
+
+
+def mirror(copies: DataFrame) -> DataFrame:
+    """Copy objects ``(source, target)``: bytes written per object, or its error.
+
+    Copying again overwrites, so a repeated attempt is harmless.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for source, target in batch.itertuples(index=False):
+                try:
+                    with _open(source) as stream:
+                        rows.append((source, target, _store(stream, target), None))
+                except Exception as error:
+                    rows.append((source, target, None, _error(error)))
+            yield pd.DataFrame(rows, columns=["source", "target", "n_bytes", "error"]).astype({"n_bytes": "Int64"})
+
+    schema = "source string, target string, n_bytes bigint, error string"
+    rows, _ = spread(copies.select("source", "target"), "target")
+    return rows.mapInPandas(run, schema)
+
+
+def fetcher(source: str, root: str) -> Callable[[DataFrame], DataFrame]:
+    """Fetch step of ``SyncJob``: copies new plain files from below ``source`` into the mirror."""
+
+    def fetch(attempted: DataFrame) -> DataFrame:
+        key = P.object_key(F.col("category"), F.col("file_id"), F.col("ext"))
+        plain = attempted.where(~F.col("archive")).select(
+            "seq", F.concat(F.lit(source.rstrip("/")), "path_display").alias("source"),
+            P.object_uri(root, key).alias("target"),
+        )
+        copied = mirror(plain).select("source", "target", "error")
+        return plain.join(copied, ["source", "target"]).select("seq", "error")
+
+    return fetch
 
 
 def file_ids(entries: DataFrame) -> DataFrame:

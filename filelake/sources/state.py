@@ -70,8 +70,9 @@ class StateTable:
             rows = skew.latest(rows, self.key, "_version")
         return rows.where(~F.col("removed")).select(*columns)
 
-    def compact(self) -> None:
-        """Fold all deltas into a full snapshot of the newest version."""
+    def compact(self, after: int = 1) -> None:
+        """Fold the deltas into a full snapshot of the newest version, if there are ``after`` of them."""
         found = self.versions()
-        if found and not found[-1][1]:
+        base = max((v for v, full in found if full), default=-1)
+        if sum(not full and v > base for v, full in found) >= after:
             self.write(found[-1][0], self.read(), full=True)

@@ -48,6 +48,8 @@ class SyncJob:
     root: str
     fetch: Fetch | None = None
     max_group: int = skew.MAX_GROUP
+    # Deltas after which the state tables are folded into a snapshot.
+    compact_after: int = 24
 
     @property
     def live(self) -> StateTable:
@@ -99,6 +101,9 @@ class SyncJob:
             self._merge(batch, batch_id)
         finally:
             batch.unpersist()
+        # After the cursor: a batch that is computed again must not find a snapshot of itself.
+        for table in (self.live, self.retry):
+            table.compact(self.compact_after)
 
     def _merge(self, batch: DataFrame, batch_id: int) -> None:
         events = batch.withColumn("attempts", F.lit(0).cast("bigint"))

@@ -58,6 +58,25 @@ def test_digests_isolate_a_missing_object(spark, tmp_path):
     assert rows["e.bin" if "e.bin" in rows else "n.bin"].error
 
 
+def test_unpack_and_mirror(spark, archives, tmp_path):
+    members = objects.zip_members(archives).where("inner_path <> 'b.PDF'")
+    target = F.concat(F.lit(f"{tmp_path}/out/"), F.replace("inner_path", F.lit("/"), F.lit("_")))
+    done = objects.unpack(members.withColumn("target", target)).collect()
+    assert {r.inner_path: r.n_bytes for r in done} == {"a/x.jpg": 3, "ok.txt": 4, "bad.txt": None}
+    assert (tmp_path / "out" / "a_x.jpg").read_bytes() == b"one"
+    copies = spark.createDataFrame([(f"{tmp_path}/out/a_x.jpg", f"{tmp_path}/m/d/x"), ("/none", f"{tmp_path}/m/y")],
+                                   "source string, target string")
+    rows = {r.source[-1]: (r.n_bytes, r.error is None) for r in objects.mirror(copies).collect()}
+    assert rows == {"g": (3, True), "e": (None, False)}
+    assert (tmp_path / "m" / "d" / "x").read_bytes() == b"one"
+
+
+def test_manifest_names_the_archive(archives):
+    named = archives.withColumn("file_id", F.lit("Z"))
+    rows = objects.manifest(named).where("error is null").collect()
+    assert {(r.file_id, r.inner_path) for r in rows} >= {("Z", "a/x.jpg"), ("Z", "in.zip")}
+
+
 def test_missing_sidecar_folder_is_empty(spark, tmp_path):
     assert sidecar.read_sidecars(spark, str(tmp_path / "none")).count() == 0
 

@@ -4,6 +4,7 @@ from feeds import frame, replay
 from pyspark.sql import functions as F
 from test_sync import paired
 
+from filelake.sources import objects
 from filelake.streaming.sync import SyncJob
 
 
@@ -18,7 +19,7 @@ def expected(rows):
 
 def test_stream_equals_replay_and_stops_when_nothing_is_new(spark, tmp_path):
     rows = paired(random.Random(6), 240)
-    job, feed = SyncJob(spark, str(tmp_path / "job"), max_group=30), str(tmp_path / "feed")
+    job, feed = SyncJob(spark, str(tmp_path / "job"), max_group=30, compact_after=2), str(tmp_path / "feed")
     for start in range(0, 240, 120):
         frame(spark, rows[start : start + 120]).coalesce(1).write.mode("append").parquet(feed)
         assert job.run(feed) == [120]
@@ -33,7 +34,7 @@ def test_stream_equals_replay_and_stops_when_nothing_is_new(spark, tmp_path):
     metas = {r.file_id: r.object_uri for r in job.sidecars("lake://t").collect()}
     assert set(metas) == {i for p, (i, _) in state(job).items() if not p.endswith(".zip")}
     # A full snapshot in place of the deltas changes nothing.
-    job.live.compact()
+    assert job.live.versions()[-1] == (1, True)
     assert state(job) == expected(rows)
 
 
@@ -69,3 +70,20 @@ def test_failed_fetch_is_not_committed_and_tried_again(spark, tmp_path):
     assert state(job) == {"/a.jpg": ("A", "r1"), "/c.jpg": ("C", "r1")}
     assert job.retry.read().count() == 0
     assert job.cursor.read().first().cursor == 3
+
+
+def test_fetcher_stores_objects_and_reports_missing_ones(spark, tmp_path):
+    from feeds import change
+
+    source = tmp_path / "source"
+    source.mkdir()
+    (source / "a.jpg").write_bytes(b"picture")
+    job = SyncJob(spark, str(tmp_path / "job"), fetch=objects.fetcher(str(source), str(tmp_path / "lake")))
+    job.apply(frame(spark, [change(0, "file", "/a.jpg", "A", "r1"), change(1, "file", "/b.pdf", "B", "r1"),
+                            change(2, "file", "/z.zip", "Z", "r1")]), 0)
+    assert state(job) == {"/a.jpg": ("A", "r1"), "/z.zip": ("Z", "r1")}
+    assert (tmp_path / "lake" / "mirror" / "images" / "A").read_bytes() == b"picture"
+    (source / "b.pdf").write_bytes(b"text")
+    job.apply(frame(spark, []), 1)
+    assert (tmp_path / "lake" / "mirror" / "docs" / "B.pdf").read_bytes() == b"text"
+    assert state(job)["/b.pdf"] == ("B", "r1")
