@@ -80,6 +80,8 @@ def replay(
         enrich(changes.where(F.col("kind") != "folder"))
         .withColumn("file_id", F.coalesce("file_id", F.lit("")))
         .withColumn("ok", acceptable())
+        # Every round writes the events, so they carry what the rules and the outcome need.
+        .select("seq", "kind", "path_lower", "file_id", "rev", "size", "category", "archive", "ok")
     )
     before = F.lit(-1).cast("bigint").alias("seq")
     off = F.lit(False).alias("ok")

@@ -26,9 +26,10 @@ def advance(changes: DataFrame, saved: DataFrame) -> DataFrame:
     """
     old = saved.agg(F.max("cursor")).scalar()
     new = F.coalesce(F.col("seq") > old, F.lit(True))
-    return changes.agg(
-        F.when(F.any_value(old).isNull(), "baseline").otherwise("incremental").alias("mode"),
-        F.any_value(old).alias("old_cursor"),
-        F.count_if(new).alias("n_events"),
-        F.coalesce(F.max("seq"), F.any_value(old)).alias("new_cursor"),
+    seen = changes.agg(F.count_if(new).alias("n_events"), F.max("seq").alias("last"))
+    return seen.select(
+        F.when(old.isNull(), "baseline").otherwise("incremental").alias("mode"),
+        old.alias("old_cursor"),
+        "n_events",
+        F.coalesce("last", old).alias("new_cursor"),
     )
