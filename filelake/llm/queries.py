@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filelake.llm import packing, simhash, toxicity, url_filter
+from filelake.llm import line_dedup, mixing, packing, pii, simhash, toxicity, url_filter
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -21,6 +21,62 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("removed_lines", F.lit(0), lambda n, x: n + x.e - x.s + 1)
+    return found.select("doc_id", "text", F.coalesce(removed, F.lit(0)).alias("n_removed"))
+
+
+# All runs written out: the text of every shortest run of enough words, its copies found by comparing texts.
+OP1_SQL = r"""
+with physical as (
+  select doc_id, p, line, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as t from (
+    select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as p
+    from (select doc_id, string_split(text, chr(10)) as lines from documents))
+), owned as (
+  select *, cast(sum((t <> '')::int) over (partition by doc_id order by p) as bigint) as i from physical
+), lines as (
+  select doc_id, i, t, length(t) - length(replace(t, ' ', '')) + 1 as words from owned where t <> ''
+), places as (
+  select *, sum(words) over (partition by doc_id order by i) as end_,
+    sum(words) over (partition by doc_id) as total from lines
+), lists as (
+  select doc_id, list(t order by i) as ts from lines group by doc_id
+), sized as (
+  select *, end_ - words as start_,
+    count(*) over (partition by doc_id order by end_ - words range between 1 following and 49 following) + 1 as ahead,
+    count(*) over (partition by doc_id order by end_ range between 49 preceding and 1 preceding) + 1 as back
+  from places
+), runs as (
+  select doc_id, i as s, ahead as h from sized where total - start_ >= 50
+  union select doc_id, i - back + 1 as s, back as h from sized where end_ >= 50
+), copies as (
+  select r.doc_id, r.s, r.h, row_number() over (
+    partition by list_slice(l.ts, r.s, r.s + r.h - 1) order by r.doc_id, r.s) as n
+  from runs r join lists l using (doc_id)
+), gone as (
+  select distinct doc_id, unnest(range(s, s + h)) as i from copies where n > 1
+), kept as (
+  select o.doc_id, string_agg(o.line, chr(10) order by o.p) filter (where g.i is null) as text,
+    count(distinct g.i) as n_removed
+  from owned o left join gone g using (doc_id, i) group by o.doc_id
+)
+select d.doc_id, case when d.text is null then null else coalesce(k.text, '') end as text,
+  cast(coalesce(k.n_removed, 0) as int) as n_removed
+from documents d left join kept k using (doc_id)
+"""
+
+
+# Production parameters of the mixture: small sources at most four times, entropy near that of equal sources.
+MIX_ENTROPY = 0.98
+MIX_REPETITION = 4.0
+
+
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), target_entropy=MIX_ENTROPY, max_repetition=MIX_REPETITION)
+    return mixed.select("doc_id", "source", "pass", "place")
+
+
 def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -30,6 +86,15 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+# Stands for a key from the user's own store of secrets.
+PSEUDONYM_KEY = "a key that only the owner of the data knows"
+
+
+def op8_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    renamed = pii.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
+    return renamed.select("doc_id", "text", F.size("pseudonyms").alias("n_pseudonyms"), "pseudonyms")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -69,9 +134,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op4_mix_sources": op4_mix_sources,
     "op6_pack_sequences": op6_pack_sequences,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op8_pseudonyms": op8_pseudonyms,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
 }
-ORACLES = {"op9_url_filter": OP9_SQL}
+ORACLES = {"op1_line_dedup": OP1_SQL, "op9_url_filter": OP9_SQL}

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filelake.llm import scratch
@@ -222,27 +222,38 @@ def train(
     return Model({f: float(weights[i]) for f, i in index.items() if abs(weights[i]) > 1e-6}, bias)
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text", flag: float = 0.5) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1), ``predicted`` (1 from one half on) and ``sentences``.
+def score_of(text: Column, spark: SparkSession, model: Model, flag: float | None = None) -> Column:
+    """Score of a column of whole texts; with ``flag``, a struct with the ``sentences`` that reach it."""
+    sent = spark.sparkContext.broadcast(model)
 
-    ``sentences`` lists the offending ones, ``(number, score)`` of sentences with a score of ``flag`` or
-    more, in order of the text. Whole texts are read. A null or empty text is one sentence without words
-    and gets the model's lowest score. The columns replace any of the same name; rows are scored one by
-    one, so repeated rows and ties get equal scores; no rows give no rows.
-    """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    @F.pandas_udf("double")
+    def scores(texts: pd.Series) -> pd.Series:
+        of = sent.value.scorer()
+        return pd.Series([sent.value.document(*of(t)) for t in texts], dtype=float)
 
     @F.pandas_udf("score double, sentences array<struct<number:int,score:double>>")
-    def scored(texts: pd.Series) -> pd.DataFrame:
+    def located(texts: pd.Series) -> pd.DataFrame:
         of = sent.value.scorer()
-        scores, places = [], []
+        total, places = [], []
         for text in texts:
             found, n = of(text)
-            scores.append(sent.value.document(found, n))
+            total.append(sent.value.document(found, n))
             places.append([{"number": i, "score": p} for i, p in found if p >= flag])
-        return pd.DataFrame({"score": scores, "sentences": places})
+        return pd.DataFrame({"score": pd.Series(total, dtype=float), "sentences": places})
+
+    return scores(text) if flag is None else located(text)
 
-    out = docs.withColumn("__scored", scored(F.col(text_col)))
+
+def score(docs: DataFrame, model: Model, text_col: str = "text", flag: float = 0.5) -> DataFrame:
+    """``docs`` with ``score`` (0 to 1), ``predicted`` (1 from one half on) and ``sentences``.
+
+    ``sentences`` lists the offending ones, ``(number, score)`` of sentences with a score of ``flag`` or
+    more, in order of the text. Whole texts are read. A null or empty text is one sentence without words
+    and gets the model's lowest score. The columns replace any of the same name; rows are scored one by
+    one, so repeated rows and ties get equal scores; no rows give no rows.
+    """
+    scored = score_of(F.col(text_col), docs.sparkSession, model, flag)
+    out = docs.withColumn("__scored", scored)
     return out.withColumns({
         "score": F.col("__scored.score"),
         "predicted": (F.col("__scored.score") >= 0.5).cast("int"),
