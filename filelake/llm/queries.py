@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filelake.llm import line_dedup, mixing, packing, pii, simhash, toxicity, url_filter
+from filelake.llm import html_extract, itq, line_dedup, mixing, packing, pii, simhash, toxicity, url_filter
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -67,6 +67,14 @@ from documents d left join kept k using (doc_id)
 """
 
 
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 # Production parameters of the mixture: small sources at most four times, entropy near that of equal sources.
 MIX_ENTROPY = 0.98
 MIX_REPETITION = 4.0
@@ -135,6 +143,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_html_extract": op2_html_extract,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op6_pack_sequences": op6_pack_sequences,
     "op7_simhash_dedup": op7_simhash_dedup,
