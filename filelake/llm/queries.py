@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filelake.llm import html_extract, itq, line_dedup, mixing, packing, pii, simhash, toxicity, url_filter
+from filelake.llm import cover_tree, html_extract, itq, line_dedup, mixing, packing, pii, simhash, toxicity, url_filter
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -85,6 +85,28 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "pass", "place")
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = _table(spark, sf_dir, "embeddings").select("vec_id", cover_tree.scaled(F.col("embedding")).alias("v"))
+    points = points.filter("v is not null and vec_id is not null")
+    queries = points.filter("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    return cover_tree.top_k(points, queries, 5)
+
+
+OP5_SQL = """
+with points as (
+  select vec_id, [floor(256 * x::double) for x in embedding] as v from embeddings
+  where vec_id is not null and embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), scored as (
+  select q.vec_id as query_id, p.vec_id, cast(list_dot_product(q.v, p.v) as bigint) as score
+  from points q join points p on q.vec_id <> p.vec_id where q.vec_id % 50 = 0
+), ranked as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
+
 def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -146,10 +168,11 @@ QUERIES = {
     "op2_html_extract": op2_html_extract,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_mix_sources": op4_mix_sources,
+    "op5_exact_top_k": op5_exact_top_k,
     "op6_pack_sequences": op6_pack_sequences,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_pseudonyms": op8_pseudonyms,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
 }
-ORACLES = {"op1_line_dedup": OP1_SQL, "op9_url_filter": OP9_SQL}
+ORACLES = {"op1_line_dedup": OP1_SQL, "op5_exact_top_k": OP5_SQL, "op9_url_filter": OP9_SQL}
