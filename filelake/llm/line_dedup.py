@@ -132,7 +132,7 @@ def line_dedup(
     Lines are equal if they are so without white space at their ends; lines without a word take no part
     and stay or go with the line above them. A run of consecutive lines with at least ``min_words`` words
     (a line has one more than it has spaces) that occurs more than once, in other documents or the same
-    one, stays where it occurs first in the order of ids and lines, and is deleted elsewhere. All maximal
+    one (copies may overlap), stays where it occurs first in the order of ids and lines, and is deleted elsewhere. All maximal
     repeated runs are found, whole texts read. ``removed_lines`` lists the deleted spans ``(s, e)`` of
     line numbers from 0, blank lines not counted, and replaces a column of this name.
 
