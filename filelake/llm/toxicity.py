@@ -11,6 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,14 +155,19 @@ def _sparse(index: dict[str, int]):
     return of
 
 
-def _fit(rows: list, n_features: int, weight: dict[int, float], steps: int = 300, l2: float = 0.02) -> tuple[np.ndarray, float]:
+def _flat(lists: pa.ChunkedArray) -> np.ndarray:
+    return pa.chunked_array([c.flatten() for c in lists.chunks], pa.int32()).to_numpy()
+
+
+def _fit(data: pa.Table, n_features: int, weight: dict[int, float], steps: int = 300, l2: float = 0.02) -> tuple[np.ndarray, float]:
     """Weights and bias that maximise the likelihood of the document labels under noisy-or."""
-    y = np.array([r["y"] for r in rows], dtype=float)
-    blank = np.array([r["n"] - len(r["sizes"]) for r in rows], dtype=float)
-    of_doc = np.repeat(np.arange(len(rows)), [len(r["sizes"]) for r in rows])
-    sizes = np.array([s for r in rows for s in r["sizes"]], dtype=np.int64)
-    of_sentence = np.repeat(np.arange(len(sizes)), sizes)
-    feature = np.array([f for r in rows for f in r["flat"]], dtype=np.int64)
+    y = data.column("y").to_numpy().astype(float)
+    scored = pc.list_value_length(data.column("sizes")).to_numpy()
+    blank = (data.column("n").to_numpy() - scored).astype(float)
+    of_doc = np.repeat(np.arange(len(y), dtype=np.int32), scored)
+    sizes = _flat(data.column("sizes"))
+    of_sentence = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    feature = _flat(data.column("flat"))
     importance = np.array([weight[int(v)] for v in y])
     w, bias = np.zeros(n_features), -6.0
     past_w, past_b = np.full(n_features, 1e-6), 1e-6
@@ -169,7 +175,7 @@ def _fit(rows: list, n_features: int, weight: dict[int, float], steps: int = 300
         z = bias + np.bincount(of_sentence, w[feature], len(sizes))
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         p0 = 1 / (1 + math.exp(-bias))
-        clean = np.exp(np.bincount(of_doc, np.log1p(-np.minimum(p, 1 - 1e-9)), len(rows)) + blank * math.log1p(-p0))
+        clean = np.exp(np.bincount(of_doc, np.log1p(-np.minimum(p, 1 - 1e-9)), len(y)) + blank * math.log1p(-p0))
         toxic = np.maximum(1 - clean, 1e-9)
         # Derivative of the log-likelihood by a sentence's z: p (1-P)/P in a toxic document, -p in a clean one.
         factor = importance * np.where(y == 1, clean / toxic, -1.0)
@@ -216,7 +222,7 @@ def train(
     sample, path = scratch.put(texts.join(ids, "__id").select("text", "y"), "toxicity-sample")
     chosen = _select(sample, taken[1], taken[0])
     index = {f: i for i, f in enumerate(chosen)}
-    data = sample.mapInArrow(_sparse(index), "y int, n int, sizes array<int>, flat array<int>").collect()
+    data = sample.mapInArrow(_sparse(index), "y int, n int, sizes array<int>, flat array<int>").toArrow()
     scratch.drop(docs.sparkSession, path)
     weights, bias = _fit(data, len(chosen), {y: whole[y] / taken[y] for y in taken})
     return Model({f: float(weights[i]) for f, i in index.items() if abs(weights[i]) > 1e-6}, bias)
