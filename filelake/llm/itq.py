@@ -30,7 +30,6 @@ SLACK = 5.0
 class Codes:
     """Rotations that make codes, and the tables over substrings of these."""
 
-    mean: np.ndarray
     rotations: np.ndarray
     bits: int
     # Of each table: its set of codes, first bit and number of bits.
@@ -39,7 +38,7 @@ class Codes:
 
     def encode(self, x: np.ndarray) -> np.ndarray:
         """Codes of unit vectors: one unsigned number for each rotation."""
-        signs = np.stack([(x - self.mean) @ r > 0 for r in self.rotations], axis=1)
+        signs = np.stack([x @ r > 0 for r in self.rotations], axis=1)
         weights = np.uint64(1) << np.arange(self.bits, dtype=np.uint64)
         return (signs * weights).sum(axis=2, dtype=np.uint64)
 
@@ -50,7 +49,7 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def learn_rotation(x: np.ndarray, start: np.ndarray, iterations: int = ITERATIONS) -> np.ndarray:
-    """Rotation of centred, projected vectors that brings them nearest to the corners of a cube."""
+    """Rotation of projected vectors that brings them nearest to the corners of a cube."""
     r = start
     for _ in range(iterations):
         corners = np.where(x @ r > 0, 1.0, -1.0)
@@ -64,10 +63,11 @@ def fit(sample: np.ndarray, n: int, cosine: float = COSINE, recall: float = RECA
 
     Substrings have about log2(n) bits, so that a table's buckets stay small at every size. A table finds
     the pairs that differ in at most one bit of its substring; there are as many as ``recall`` needs, over
-    several rotations where one has too few substrings.
+    several rotations where one has too few substrings. Vectors are not centred: cosines are angles at the
+    origin, and the mean of a corpus with one large group of near copies lies among these, where every
+    plane through it would part them.
     """
-    mean = sample.mean(axis=0)
-    x = sample - mean
+    x = sample
     bits = min(BITS, x.shape[1])
     values, vectors = np.linalg.eigh(x.T @ x)
     project = vectors[:, np.argsort(-values)[:bits]]
@@ -85,7 +85,7 @@ def fit(sample: np.ndarray, n: int, cosine: float = COSINE, recall: float = RECA
         start = np.linalg.qr(random.standard_normal((bits, bits)))[0]
         rotations.append(project @ learn_rotation(x @ project, start))
     farthest = math.floor(bits * flip + SLACK * math.sqrt(bits * flip * (1 - flip)))
-    return Codes(mean, np.array(rotations), bits, tables, farthest)
+    return Codes(np.array(rotations), bits, tables, farthest)
 
 
 def valid(embedding: Column) -> Column:
