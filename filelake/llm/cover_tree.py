@@ -13,8 +13,9 @@ from filelake.llm import scratch
 
 # Points of a block and queries of a group: what meets in one task.
 BLOCK = 1024
-# Points of a leaf, and children of a node.
+# Points of a leaf, queries of one, and children of a node.
 LEAF = 128
+QUERY_LEAF = 16
 CHILDREN = 16
 # Points that the upper nodes are chosen from, and how many upper nodes there are at most.
 SAMPLE = 8192
@@ -34,17 +35,15 @@ class Node:
     children: list[Node] = field(default_factory=list)
 
 
-def build(x: np.ndarray, rows: np.ndarray | None = None, leaf: int = LEAF) -> Node:
+def build(x: np.ndarray, leaf: int) -> Node:
     """Cover tree of the points ``x``: children cover their points with half the radius where they can.
 
     The first child keeps its parent's centre. Further centres are the points farthest from those chosen,
     at most ``CHILDREN``; if they do not cover all with half the radius, the rest goes to the nearest, and the
     radii say what is really covered.
     """
-    rows = np.arange(len(x)) if rows is None else rows
-    own = x[rows]
-    centre = own[np.argmin(((own - own.mean(axis=0)) ** 2).sum(axis=1))]
-    return _node(x, rows, centre, leaf)
+    centre = x[np.argmin(((x - x.mean(axis=0)) ** 2).sum(axis=1))]
+    return _node(x, np.arange(len(x)), centre, leaf)
 
 
 def _node(x: np.ndarray, rows: np.ndarray, centre: np.ndarray, leaf: int) -> Node:
@@ -125,7 +124,7 @@ def dual_search(q: np.ndarray, q_id: np.ndarray, p: np.ndarray, p_id: np.ndarray
                 visit(a, child)
 
     if len(q) and len(p):
-        visit(build(qf), build(pf))
+        visit(build(qf, QUERY_LEAF), build(pf, LEAF))
     return best
 
 
@@ -148,7 +147,7 @@ def _near(centres: np.ndarray):
 
 def _upper(x: np.ndarray, wanted: int) -> np.ndarray:
     """Centres of about ``wanted`` upper nodes of the cover tree of a sample."""
-    level = [build(x, leaf=max(1, len(x) // max(1, wanted)))]
+    level = [build(x, max(1, len(x) // max(1, wanted)))]
     while len(level) < wanted and any(n.children for n in level):
         largest = max((n for n in level if n.children), key=lambda n: len(n.rows))
         level = [n for n in level if n is not largest] + largest.children
