@@ -22,7 +22,7 @@ MAX_TOXIC = 4_000
 MAX_CLEAN = 8_000
 # Most features of a model, and the documents of a class that a feature must occur in.
 MAX_FEATURES = 20_000
-MIN_DOCUMENTS = 4
+MIN_DOCUMENTS = 3
 # Association with the label that a feature needs: a likelihood ratio at the 0.1 % level.
 MIN_RATIO = 10.83
 PREFIXES = (3, 4, 5, 6, 7)
