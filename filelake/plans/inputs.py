@@ -92,9 +92,21 @@ def meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sync.file_meta(live(spark, sf_dir), ROOT)
 
 
+def stored_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sidecars of everything in the mirror: the live plain files and the members of live archives."""
+    inside = archive.expand(live_archives(spark, sf_dir), members(spark, sf_dir), ROOT)
+    return meta(spark, sf_dir).unionByName(inside.drop("zip_id", "pos"), allowMissingColumns=True)
+
+
+def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sidecars: the mirror's and the thin ones of the archives, which have no object."""
+    heads = archive.archive_meta(live_archives(spark, sf_dir), members(spark, sf_dir))
+    return stored_meta(spark, sf_dir).unionByName(heads, allowMissingColumns=True)
+
+
 def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listing of the mirror: key and length of each live plain file."""
-    return meta(spark, sf_dir).select(
+    """Listing of the mirror: key and length of each object, archive members included."""
+    return stored_meta(spark, sf_dir).select(
         F.replace(F.col("object_uri"), F.lit(ROOT + "/"), F.lit("")).alias("object_key"),
         F.col("size").alias("length"), "file_id", "object_uri", "category",
     )
@@ -106,6 +118,16 @@ def rev_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.groupBy("file_id").agg(F.min_by("rev", "seq").alias("rev"))
 
 
+def all_revs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisions on record with those of archive members, which have the one of their archive."""
+    plain = rev_index(spark, sf_dir)
+    inner = archive.visible_members(members(spark, sf_dir)).where(F.col("category").isNotNull())
+    stored = inner.join(plain, "file_id").select(
+        P.member_id(F.col("file_id"), F.col("inner_path")).alias("file_id"), "rev"
+    )
+    return plain.unionByName(stored.distinct())
+
+
 def path_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every path a file was ever seen at, archive members included."""
     files = sync.enrich(changes(spark, sf_dir)).where(F.col("kind") == "file")

@@ -36,12 +36,12 @@ def feed_cursor(spark, sf):
     return feed.advance(I.changes(spark, sf), I.previous_cursor(spark, sf))
 
 
-@query("list_prefix", "select object_key, size as length from meta where object_key like 'mirror/images/%'")
+@query("list_prefix", "select object_key, size as length from stored_meta where object_key like 'mirror/images/%'")
 def list_prefix(spark, sf):
     return catalog.with_prefix(I.objects(spark, sf), "mirror/images/").select("object_key", "length")
 
 
-@query("docs_glob", "select object_key, size as length from meta where object_key like 'mirror/docs/%'")
+@query("docs_glob", "select object_key, size as length from stored_meta where object_key like 'mirror/docs/%'")
 def docs_glob(spark, sf):
     return catalog.with_prefix(I.objects(spark, sf), "mirror/docs/").select("object_key", "length")
 
@@ -50,7 +50,7 @@ def docs_glob(spark, sf):
 select file_id, rev, coalesce(length, 0) as length from (
   select file_id, arg_max(rev, seq) as rev, 'mirror/images/' || file_id as object_key
   from ev where kind = 'file' and category = 'images' group by file_id)
-left join (select object_key, size as length from meta where true) using (object_key)""")
+left join (select object_key, size as length from stored_meta where true) using (object_key)""")
 def object_size_probe(spark, sf):
     seen = sync.enrich(I.changes(spark, sf)).where((F.col("kind") == "file") & (F.col("category") == "images"))
     wanted = seen.groupBy("file_id").agg(F.max_by("rev", "seq").alias("rev")).withColumn(
@@ -284,10 +284,10 @@ def archive_expand(spark, sf):
     return archive.expand(I.live_archives(spark, sf), I.members(spark, sf), I.ROOT)
 
 
-@query("member_meta", f"select {_MEMBER.replace('zip_id, ', '')} from expanded where category = 'docs'")
+@query("member_meta", f"select {_MEMBER.replace('zip_id, ', '')} from expanded")
 def member_meta(spark, sf):
     rows = archive.expand(I.live_archives(spark, sf), I.members(spark, sf), I.ROOT)
-    return rows.where(F.col("category") == "docs").drop("zip_id", "pos")
+    return rows.drop("zip_id", "pos")
 
 
 @query("archive_meta", """
@@ -321,23 +321,23 @@ def member_collisions(spark, sf):
 # --- catalog reports and sets ------------------------------------------------------------------
 
 
-@query("category_counts", "select category, count(*) as n from meta group by category")
+@query("category_counts", "select category, count(*) as n from catalog group by category")
 def category_counts(spark, sf):
-    return catalog.category_counts(I.meta(spark, sf))
+    return catalog.category_counts(I.catalog(spark, sf))
 
 
 @query("ext_breakdown", r"""
-select regexp_extract(object_uri, '(\.[a-z]+)$', 1) as ext, count(*) as n from meta where category = 'docs' group by 1""")
+select regexp_extract(object_uri, '(\.[a-z]+)$', 1) as ext, count(*) as n from stored_meta where category = 'docs' group by 1""")
 def ext_breakdown(spark, sf):
-    return catalog.ext_breakdown(I.meta(spark, sf))
+    return catalog.ext_breakdown(I.stored_meta(spark, sf))
 
 
 @query("coverage", """
 select category, count(*) as total, count(r.rev) as done, round(100.0 * count(r.rev) / count(*), 1) as percent
-from meta m left join rev_index r on m.file_id = r.file_id and m.rev = r.rev group by category""")
+from catalog m left join all_revs r on m.file_id = r.file_id and m.rev = r.rev group by category""")
 def coverage(spark, sf):
-    held = I.rev_index(spark, sf).withColumn("done", F.lit(True))
-    rows = I.meta(spark, sf).join(held, ["file_id", "rev"], "left")
+    held = I.all_revs(spark, sf).withColumn("done", F.lit(True))
+    rows = I.catalog(spark, sf).join(held, ["file_id", "rev"], "left")
     done, total = F.count_if(F.col("done").isNotNull()), F.count(F.lit(1))
     return rows.groupBy("category").agg(
         total.alias("total"), done.alias("done"), catalog.percent(done, total).alias("percent")
@@ -415,7 +415,7 @@ def apply_deletes(spark, sf):
     return catalog.apply_deletes(listing, doomed)
 
 
-@query("sample_keys", "select object_key from meta order by object_key limit 20")
+@query("sample_keys", "select object_key from stored_meta order by object_key limit 20")
 def sample_keys(spark, sf):
     return I.objects(spark, sf).select("object_key").orderBy("object_key").limit(20)
 
@@ -438,12 +438,12 @@ def display_fields(spark, sf):
 @query("dq_mirror", """
 with c as (select count(*) filter (category = 'images') as images, count(*) filter (category = 'docs') as docs,
     count(*) filter (category = 'media') as media, count(*) as sidecars,
-    (select count(*) from path_index) as paths from meta)
+    (select count(*) from path_index) as paths from catalog)
 select 'images' as "check", images as value, true as passed from c union all select 'docs', docs, true from c
 union all select 'media', media, true from c union all select 'images_or_docs', images + docs, images + docs > 0 from c
 union all select 'sidecars', sidecars, sidecars > 0 from c union all select 'paths', paths, paths > 0 from c""")
 def dq_mirror(spark, sf):
-    return quality.mirror_report(I.meta(spark, sf), I.path_index(spark, sf))
+    return quality.mirror_report(I.catalog(spark, sf), I.path_index(spark, sf))
 
 
 @query("dq_embeddings", """
@@ -457,15 +457,13 @@ def dq_embeddings(spark, sf):
 
 @query("dq_integrity", """
 with n as (select
-  (select count(*) from (select distinct path_lower, file_id from ev where kind = 'file') where file_id not in (select file_id from meta)) as a,
-  (select count(*) from rev_index where file_id not in (select file_id from meta)) as b,
-  (select count(*) from meta where file_id not in (select file_id from ev where kind = 'file')) as c,
-  (select count(*) from meta where file_id not in (select file_id from rev_index)) as d,
-  (select count(*) from meta where category is null) as e)
+  (select count(*) from path_index where file_id not in (select file_id from catalog)) as a,
+  (select count(*) from all_revs where file_id not in (select file_id from catalog)) as b,
+  (select count(*) from catalog where file_id not in (select file_id from path_index)) as c,
+  (select count(*) from catalog where file_id not in (select file_id from all_revs)) as d,
+  (select count(*) from catalog where category is null) as e)
 select 'paths_without_meta' as "check", a as value, a = 0 as passed from n union all select 'revs_without_meta', b, b = 0 from n
 union all select 'meta_without_path', c, c = 0 from n union all select 'meta_without_rev', d, d = 0 from n
 union all select 'meta_without_category', e, e = 0 from n""")
 def dq_integrity(spark, sf):
-    files = sync.enrich(I.changes(spark, sf)).where(F.col("kind") == "file")
-    paths = files.select("path_lower", "file_id").distinct()
-    return quality.integrity_report(paths, I.rev_index(spark, sf), I.meta(spark, sf))
+    return quality.integrity_report(I.path_index(spark, sf), I.all_revs(spark, sf), I.catalog(spark, sf))

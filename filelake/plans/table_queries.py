@@ -42,17 +42,11 @@ select file_id, rev, category, extracted_count from (
 def meta_scan(spark, sf):
     """Sidecars of files, members and archives, written as JSON and scanned together."""
     folder = new_folder(spark, "meta")
-    heads, inside = I.live_archives(spark, sf), I.members(spark, sf)
-    rows = (
-        I.meta(spark, sf)
-        .unionByName(archive.expand(heads, inside, I.ROOT).drop("zip_id", "pos"), allowMissingColumns=True)
-        .unionByName(archive.archive_meta(heads, inside), allowMissingColumns=True)
-    )
-    sidecar.write_sidecars(rows, folder)
+    sidecar.write_sidecars(I.catalog(spark, sf), folder)
     return sidecar.read_sidecars(spark, folder).select("file_id", "rev", "category", "extracted_count")
 
 
-@query("write_catalog", "select file_id, object_key, size as length, category from meta")
+@query("write_catalog", "select file_id, object_key, size as length, category from stored_meta")
 def write_catalog(spark, sf):
     folder = new_folder(spark, "catalog")
     sidecar.write_catalog(I.objects(spark, sf).drop("object_uri"), folder)
@@ -93,13 +87,13 @@ def write_state(spark, sf):
 
 
 @query("resync", f"""
-select cast(null as bigint) as cursor, file_id, rev from rev_index where file_id in (
-  select file_id from meta where category = 'images' or category = 'docs')""")
+select cast(null as bigint) as cursor, file_id, rev from all_revs where file_id in (
+  select file_id from stored_meta where category = 'images' or category = 'docs')""")
 def resync(spark, sf):
     """Re-scan on demand: only valid revisions stay on record, and the cursor is cleared."""
     revs = StateTable(spark, new_folder(spark, "revs"), "file_id", schemas.REV_INDEX)
     cursor = StateTable(spark, new_folder(spark, "cursor"), "cursor", schemas.SYNC_STATE)
-    revs.write(0, I.rev_index(spark, sf), full=True)
+    revs.write(0, I.all_revs(spark, sf), full=True)
     cursor.write(0, I.previous_cursor(spark, sf), full=True)
     keep = catalog.valid_ids(I.objects(spark, sf).select("object_uri"))
     revs.write(1, catalog.resync_keep(revs.read(), keep), full=True)

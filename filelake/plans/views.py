@@ -92,6 +92,16 @@ select * exclude (rn) from (select v.file_id as zip_id, v.file_id || '___' || re
   row_number() over (partition by v.file_id || '___' || replace(inner_path, '/', '_') order by v.pos desc) as rn
 from visible v join live l on v.file_id = l.file_id
 where l.archive and v.category is not null) where rn = 1""",
+    "stored_meta": f"""
+select file_id, path, rev, size, category, object_uri, object_key from meta where true
+union all select file_id, path, rev, size, category, object_uri, replace(object_uri, '{ROOT}/', '') from expanded""",
+    "catalog": """
+select file_id, path, rev, size, category, object_uri, object_key from stored_meta where true
+union all select file_id, path_display, rev, size, 'archive', null, null from live where archive""",
+    "all_revs": """
+select file_id, rev from rev_index where true
+union all select distinct v.file_id || '___' || replace(v.inner_path, '/', '_'), r.rev
+from visible v join rev_index r on v.file_id = r.file_id where v.category is not null""",
     "member_totals": """
 select file_id, count(category) as n_members, count(*) - count(category) as n_skipped,
   count(distinct case when category is not null then inner_path end) as n_paths,
