@@ -35,13 +35,16 @@ MAX_MEMBER_BYTES = 1024**3
 MAX_IMAGE_BYTES = 20 * 1024**2
 
 # Retrieval and import defaults.
-TOP_K = 10
 COMBINED_TOP_K = 5
 SNIPPET_CHARS = 120
 IMPORT_BATCH = 50
 LEAF_SIZE = 500
 LEAF_SEARCH_FRACTION = 0.10
-VECTOR_DIM = 1408
+# Fixed value: bytes read from an object at a time.
+CHUNK_BYTES = 8 * 1024 * 1024
+# URIs of objects in order, images without an extension and documents with one.
+IMAGE_URI = r"/mirror/images/([^/]+)$"
+DOC_URI = r"/mirror/docs/([^/]+)\.[a-z]+$"
 
 # BM25 parameters and the precision at which scores are compared.
 BM25_K1 = 1.2

@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from filelake import constants as C
 from filelake.operators import skew
 from filelake.operators.vectors import (
-    MAX_SENT_BYTES, MAX_SENT_QUERIES, _result_schema, _to_arrow, dense, keep_best, ranked_batch, sent_queries,
-    topk, valid_vector,
+    MAX_SENT_BYTES, MAX_SENT_QUERIES, _result_schema, _to_arrow, dense, keep_best, ranked_batch, topk, valid_vector,
 )
+from filelake.session import stage
 
 
 @dataclass(frozen=True)
@@ -67,26 +67,42 @@ def search(
 ) -> DataFrame:
     """Top-k over the ``probes`` best leaves per query, by default a tenth of them.
 
-    Inside the searched leaves the ranking is exact, so probing all leaves equals ``topk``. More
-    queries than can be sent to every task are ranked exactly by ``topk`` instead.
+    Leaves are ranked by the dot product of query and centroid, the measure of the search itself. Inside
+    the searched leaves the ranking is exact, so probing all leaves equals ``topk``. More than
+    ``max_sent`` queries are searched in blocks of this size one after another, each reading the leaves it
+    needs: the answer does not depend on the number of queries.
     """
     leaves = len(index.centroids)
     probes = min(leaves, probes or math.ceil(C.LEAF_SEARCH_FRACTION * leaves))
-    k_max = queries.agg(F.max("k")).first()[0] or 0
-    asked = queries.where(valid_vector(F.col("vector"), index.dim))
-    sent = sent_queries(asked, ["query_id", "vector"], max_sent, index.dim)
-    if sent is None or sent.num_rows == 0 or k_max == 0 or probes == leaves:
+    k_max = int(queries.agg(F.max("k")).first()[0] or 0)
+    asked = queries.where(valid_vector(F.col("vector"), index.dim)).select("query_id", "vector")
+    bound = max(1, min(max_sent, MAX_SENT_BYTES // (8 * index.dim)))
+    n = asked.count()
+    if n == 0 or k_max == 0 or probes == leaves:
         return topk(queries, index.table, index.dim, max_sent)
+    blocks = math.ceil(n / bound)
+    asked = stage(asked.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))), "asked")
+    candidates = None
+    for number in range(blocks):
+        # A block by hash may hold a few more than the bound; it is cut, never sent whole.
+        sent = asked.where(F.col("_block") == number).select("query_id", "vector").toArrow()
+        for start in range(0, sent.num_rows, bound):
+            found = _search_block(sent.slice(start, bound), index, probes, k_max, _result_schema(queries, index.table))
+            candidates = found if candidates is None else candidates.unionByName(found)
+    best = skew.top_k(candidates, "query_id", [F.col("distance").desc(), F.col("datapoint_id")], k_max)
+    return best.join(queries.select("query_id", "k"), "query_id").where(F.col("rank") <= F.col("k")).drop("k")
+
+
+def _search_block(sent: pa.Table, index: LeafIndex, probes: int, k: int, schema) -> DataFrame:
+    """Candidates of the queries in ``sent`` from the leaves they probe."""
     matrix = dense(sent["vector"], index.dim)
-    # Nearest leaves by centroid: squared distance up to the query's own norm.
-    gap = (index.centroids**2).sum(axis=1) - 2.0 * matrix @ index.centroids.T
-    probed = np.argsort(gap, axis=1, kind="stable")[:, :probes]
-    searched = np.unique(probed)
-    of_leaf = {int(leaf): np.flatnonzero((probed == leaf).any(axis=1)) for leaf in searched}
-    shared = queries.sparkSession.sparkContext.broadcast(
-        (sent["query_id"].to_pandas().to_numpy(), matrix, of_leaf)
-    )
-    dim, k = index.dim, int(k_max)
+    probed = np.argsort(-(matrix @ index.centroids.T), axis=1, kind="stable")[:, :probes]
+    # Queries of each leaf, by one sort of all (leaf, query) pairs.
+    order = np.argsort(probed.ravel(), kind="stable")
+    searched, starts = np.unique(probed.ravel()[order], return_index=True)
+    of_leaf = dict(zip(searched.tolist(), np.split(order // probes, starts[1:])))
+    shared = index.table.sparkSession.sparkContext.broadcast((sent["query_id"].to_pandas().to_numpy(), matrix, of_leaf))
+    dim = index.dim
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, rows, queries_of = shared.value
@@ -104,11 +120,8 @@ def search(
             yield from _to_arrow(best).to_batches()
 
     # At most as many leaf numbers as centroids: a partition filter when the table is stored by leaf.
-    near = index.table.where(F.col("leaf").isin([int(x) for x in searched]))
-    schema = _result_schema(queries, index.table)
-    candidates = near.select("datapoint_id", "feature_vector", F.col("leaf").cast("int")).mapInArrow(run, schema)
-    best = skew.top_k(candidates, "query_id", [F.col("distance").desc(), F.col("datapoint_id")], k)
-    return best.join(queries.select("query_id", "k"), "query_id").where(F.col("rank") <= F.col("k")).drop("k")
+    near = index.table.where(F.col("leaf").isin(searched.tolist()))
+    return near.select("datapoint_id", "feature_vector", F.col("leaf").cast("int")).mapInArrow(run, schema)
 
 
 def recall(found: DataFrame, truth: DataFrame) -> DataFrame:

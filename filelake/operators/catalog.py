@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filelake import constants as C
 from filelake.functions import paths as P
 from filelake.operators import skew
 from filelake.session import small_side
@@ -48,8 +49,8 @@ def rebuild_revs(sidecars: DataFrame, order: str) -> DataFrame:
 def valid_ids(object_uris: DataFrame) -> DataFrame:
     """Ids whose objects are in order: images, and documents with a plain lower-case extension."""
     uri = F.col("object_uri")
-    image = F.regexp_extract(uri, r"/mirror/images/([^/]+)$", 1)
-    doc = F.regexp_extract(uri, r"/mirror/docs/([^/]+)\.[a-z]+$", 1)
+    image = F.regexp_extract(uri, C.IMAGE_URI, 1)
+    doc = F.regexp_extract(uri, C.DOC_URI, 1)
     found = F.when(image != "", image).when(doc != "", doc)
     return object_uris.select(found.alias("file_id")).where(F.col("file_id").isNotNull()).distinct()
 

@@ -28,6 +28,8 @@ class EmbedJob:
     root: str
     make_encoder: Callable[[], Callable[[bytes], np.ndarray]]
     dim: int
+    # Versions after which the tables are folded into a snapshot.
+    compact_after: int = 24
 
     @property
     def state(self) -> StateTable:
@@ -38,14 +40,18 @@ class EmbedJob:
         return StateTable(self.spark, f"{self.root}/points", "datapoint_id", schemas.DATAPOINT)
 
     def run(self, images: DataFrame, contents: DataFrame) -> DataFrame:
-        """Embed ``images`` ``(file_id, rev, size)`` from ``contents`` ``(file_id, content)``.
+        """Embed ``images`` ``(file_id, rev, size)`` from ``contents``.
+
+        ``contents`` is ``(file_id, uri)``, then only the objects that are pending are opened, or
+        ``(file_id, content)`` if the bytes are in a table.
 
         Returns the counters ``(outcome, n)`` of embedded, skipped, removed and errors.
         """
         version = max((v for v, _ in self.state.versions()), default=-1) + 1
         plan = stage(vectors.embed_plan(images, self.state.read(version - 1)), "embed-plan")
         todo = small_side(plan.where(F.col("action") == "embedded").select("file_id", "rev"), "pending")
-        found = contents.select("file_id", "content").join(todo, "file_id")
+        value = "uri" if "uri" in contents.columns else "content"
+        found = contents.select("file_id", value).join(todo, "file_id")
         done = stage(vectors.encode_batch(found, self.make_encoder, self.dim), "encoded")
         good = done.where(F.col("error").isNull())
         gone = plan.where(F.col("action") == "removed").select("file_id", F.lit(True).alias("removed"))
@@ -59,6 +65,8 @@ class EmbedJob:
         self.state.write(version, good.select("file_id", "rev", F.lit(False).alias("removed")).unionByName(
             gone, allowMissingColumns=True
         ))
+        for table in (self.points, self.state):
+            table.compact(self.compact_after)
         # An image without an object is an error as well.
         marked = plan.join(good.select("file_id", F.lit(True).alias("good")), "file_id", "left")
         outcome = (

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from filelake.functions import paths as P
 from filelake.operators import skew
 from filelake.operators.sync import acceptable, archive_cascade, enrich, outcome
-from filelake.session import stage
+from filelake.session import remove, stage_at
 
 
 def _own_key(prefix: str):
@@ -99,10 +99,12 @@ def replay(
         )
     events = events.withColumn("taken", F.col("ok")).withColumn("target", F.lit(None).cast("string"))
     # Written to the shared folder: the loop must not grow its lineage.
-    events = stage(events, "replay")
+    events, path = stage_at(events, "replay")
     rows = events.count()
     while True:
-        events = stage(_round(events, max_group, rows), "replay")
+        events, new_path = stage_at(_round(events, max_group, rows), "replay")
+        remove(events.sparkSession, path)
+        path = new_path
         if events.where("changed").isEmpty():
             break
         events = events.drop("changed", "prev_rev")

@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 from filelake import constants as C
 from filelake.functions import text as X
 from filelake.operators import skew
-from filelake.session import send_if_small, small_side, spread, stage
+from filelake.session import send_if_small, small_side, spread, spread_paths, stage
+from filelake.sources.files import read_bytes
 
 # Most query vectors that are sent to every task at once, and their size in bytes.
 MAX_SENT_QUERIES = 4096
@@ -101,9 +102,10 @@ def hashing_encoder(dim: int) -> Callable[[bytes], np.ndarray]:
 def encode_batch(
     objects: DataFrame, make_encoder: Callable[[], Callable[[bytes], np.ndarray]], dim: int
 ) -> DataFrame:
-    """Vector per object of ``(file_id, rev, content)``, or the error that object met.
+    """Vector per object of ``(file_id, rev, content)`` or ``(file_id, rev, uri)``, or the error that object met.
 
-    ``make_encoder`` runs once per task. A row that fails, or whose vector is empty or of another
+    With ``uri`` the task that encodes an object opens it, so that no bytes are shuffled and none are
+    read but those of these rows. ``make_encoder`` runs once per task. A row that fails, or whose vector is empty or of another
     length, gets an ``error`` and leaves the other rows alone.
     """
 
@@ -113,6 +115,8 @@ def encode_batch(
             rows = []
             for file_id, rev, content in batch.itertuples(index=False):
                 try:
+                    if by_uri:
+                        content = read_bytes(content)
                     vector = np.asarray(encode(content), dtype=np.float32)
                     if len(vector) != dim:
                         raise ValueError("empty vector" if not len(vector) else f"dimension {len(vector)}")
@@ -121,7 +125,11 @@ def encode_batch(
                     rows.append((file_id, rev, None, f"{type(error).__name__}: {error}"))
             yield pd.DataFrame(rows, columns=["file_id", "rev", "feature_vector", "error"])
 
-    rows, _ = spread(objects.select("file_id", "rev", "content"), "file_id")
+    by_uri = "uri" in objects.columns
+    if by_uri:
+        rows = spread_paths(objects.select("file_id", "rev", "uri"))
+    else:
+        rows, _ = spread(objects.select("file_id", "rev", "content"), "file_id")
     return rows.mapInPandas(
         run, "file_id string, rev string, feature_vector array<float>, error string"
     )

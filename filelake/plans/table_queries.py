@@ -207,6 +207,29 @@ def mirror_objects(spark, sf):
     return _stored(spark, folder)
 
 
+@query("remove_objects", """
+select doc_id || '.txt' as name, cast(octet_length(encode(text)) as bigint) as n_bytes, sha256(text) as sha256
+from documents where doc_id not in (select doc_id from labels)""")
+def remove_objects(spark, sf):
+    """The mirror after the labelled documents' objects were deleted, twice over."""
+    folder = new_folder(spark, "mirror")
+
+    def run(batches):
+        for batch in batches:
+            paths = [f"{folder}/mirror/docs/{doc_id}.txt" for doc_id in batch["doc_id"]]
+            for path, text in zip(paths, batch["text"]):
+                objects.put(path, text.encode("utf-8"))
+            yield pd.DataFrame({"path": paths})
+
+    stored = I.table(spark, sf, "documents").select("doc_id", "text").mapInPandas(run, "path string")
+    stored.write.parquet(new_folder(spark, "stored"))
+    name = F.concat(F.lit(f"{folder}/mirror/docs/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    gone = I.table(spark, sf, "labels").select(name.alias("path"))
+    for label in ("removed", "removed-again"):
+        objects.remove(gone).write.parquet(new_folder(spark, label))
+    return _stored(spark, folder)
+
+
 @query("archive_errors")
 def archive_errors(spark, sf):
     """Archives with what they should and do hold: a corrupt one gives no members but an error."""
@@ -270,6 +293,20 @@ def stream_counts(spark, sf):
     return job.counts.read()
 
 
+@query("stream_bounded", """
+select cast(count(*) as bigint) as batches, cast(sum(n) as bigint) as events, max(n) as largest from (
+  select count(*) as n from changes group by dayofweek(server_modified))""")
+def stream_bounded(spark, sf):
+    """One run over a feed of many files, one to a batch: every batch is in the list it returns."""
+    job, feed = SyncJob(spark, new_folder(spark, "sync")), new_folder(spark, "feed")
+    day = F.dayofweek("server_modified")
+    parts = I.changes(spark, sf).withColumn("day", day).repartition(1, "day")
+    parts.write.partitionBy("day").parquet(feed)
+    sizes = job.run(f"{feed}/day=*", max_files=1)
+    rows = spark.createDataFrame([(n,) for n in sizes], "n bigint")
+    return rows.agg(F.count("n").alias("batches"), F.sum("n").alias("events"), F.max("n").alias("largest"))
+
+
 @query("stream_replay", _FOLDED)
 def stream_replay(spark, sf):
     """Every batch delivered twice, the second time after its commit was lost."""

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 MAX_SENT_TABLE = 64 * 1024**2
 # Input below this much per core may sit in too few row groups to keep the cores busy.
 SPREAD_BYTES_PER_CORE = 8 * 1024**2
+# Objects that one task opens.
+PATHS_PER_TASK = 256
 
 
 def build_session(app: str = "filelake", master: str | None = None, **conf: str) -> SparkSession:
@@ -59,10 +61,21 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
     Cuts the lineage at a table that outlives lost executors, and gives the next plan real sizes.
     """
+    return stage_at(df, label)[0]
+
+
+def stage_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``stage`` with the folder, for loops that ``remove`` each round's table after the next one."""
     spark = df.sparkSession
     path = new_folder(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ``new_folder`` that no later plan reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def _estimated_bytes(df: DataFrame) -> int:
@@ -82,6 +95,18 @@ def small_side(df: DataFrame, label: str) -> DataFrame:
     return send_if_small(stage(df, label))
 
 
+def spread_paths(df: DataFrame) -> DataFrame:
+    """Deal a list of object paths to the tasks that open them.
+
+    A path is a few bytes but may stand for gigabytes, so the size of the list tells nothing: there are
+    ``PATHS_PER_TASK`` paths a task, and on short lists as many tasks as cores.
+    """
+    staged = stage(df, "paths")
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-staged.count() // PATHS_PER_TASK))
+    # A number given is kept: adaptive merging would undo the spread of such small rows.
+    return staged.repartition(tasks, *staged.columns)
+
+
 def spread(df: DataFrame, key: str) -> tuple[DataFrame, bool]:
     """Hash a small input by ``key`` over all cores before costly per-row work.
 

@@ -16,11 +16,11 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filelake import constants as C
 from filelake.functions import paths as P
 from filelake.operators.archive import visible_members
-from filelake.session import spread
-
-CHUNK = 8 * 1024 * 1024
+from filelake.session import spread_paths
+from filelake.sources.files import locate, open_file
 
 
 def list_objects(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -31,24 +31,13 @@ def list_objects(spark: SparkSession, path: str, glob: str | None = None) -> Dat
     return reader.load(path).select("path", "length")
 
 
-def _locate(uri: str) -> tuple[fs.FileSystem, str]:
-    if uri.startswith("/"):
-        uri = f"file://{uri}"
-    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-
-
-def _open(uri: str):
-    filesystem, path = _locate(uri)
-    return filesystem.open_input_file(path)
-
-
 def _store(stream, uri: str) -> int:
     """Write a stream as one object in chunks; a repeated task attempt writes the same again."""
-    filesystem, path = _locate(uri)
+    filesystem, path = locate(uri)
     filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
     total = 0
     with filesystem.open_output_stream(path) as sink:
-        while chunk := stream.read(CHUNK):
+        while chunk := stream.read(C.CHUNK_BYTES):
             total += len(chunk)
             sink.write(chunk)
     return total
@@ -76,7 +65,7 @@ class _ZipSource:
 
 def _digest(stream) -> tuple[int, str]:
     total, sha = 0, hashlib.sha256()
-    while chunk := stream.read(CHUNK):
+    while chunk := stream.read(C.CHUNK_BYTES):
         total += len(chunk)
         sha.update(chunk)
     return total, sha.hexdigest()
@@ -94,14 +83,14 @@ def digests(objects: DataFrame) -> DataFrame:
             rows = []
             for path in batch["path"]:
                 try:
-                    with _open(path) as stream:
+                    with open_file(path) as stream:
                         rows.append((path, *_digest(stream), None))
                 except Exception as error:
                     rows.append((path, None, None, _error(error)))
             out = pd.DataFrame(rows, columns=["path", "n_bytes", "sha256", "error"])
             yield out.astype({"n_bytes": "Int64"})
 
-    rows, _ = spread(objects.select("path"), "path")
+    rows = spread_paths(objects.select("path"))
     return rows.mapInPandas(run, "path string, n_bytes bigint, sha256 string, error string")
 
 
@@ -115,14 +104,14 @@ def zip_entries(archives: DataFrame) -> DataFrame:
         for batch in batches:
             for path in batch["path"]:
                 try:
-                    with _open(path) as stream, zipfile.ZipFile(_ZipSource(stream)) as archive:
+                    with open_file(path) as stream, zipfile.ZipFile(_ZipSource(stream)) as archive:
                         rows = [(path, e.filename, e.file_size, n, None) for n, e in enumerate(archive.infolist())]
                 except Exception as error:
                     rows = [(path, None, None, None, _error(error))]
                 out = pd.DataFrame(rows, columns=["path", "inner_path", "file_size", "pos", "error"])
                 yield out.astype({"file_size": "Int64", "pos": "Int64"})
 
-    rows, _ = spread(archives.select("path"), "path")
+    rows = spread_paths(archives.select("path"))
     return rows.mapInPandas(
         run, "path string, inner_path string, file_size bigint, pos bigint, error string"
     )
@@ -150,7 +139,7 @@ def _each_member(members: DataFrame, extra: list[str], act: Callable, schema: st
             for path, group in batch.groupby("path", sort=False):
                 wanted = list(group[keys].itertuples(index=False))
                 try:
-                    with _open(path) as stream, zipfile.ZipFile(_ZipSource(stream)) as archive:
+                    with open_file(path) as stream, zipfile.ZipFile(_ZipSource(stream)) as archive:
                         entries = archive.infolist()
                         for row in wanted:
                             try:
@@ -163,9 +152,7 @@ def _each_member(members: DataFrame, extra: list[str], act: Callable, schema: st
             yield pd.DataFrame(rows, columns=[*keys, *added, "error"]).astype({"n_bytes": "Int64"})
 
     out = ", ".join(f"{k} {kinds[k]}" for k in keys) + f", {schema}, error string"
-    # A number given is kept: the rows are few bytes each, and adaptive merging would undo the spread.
-    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return members.select(*keys).repartition(tasks, "path", "pos").mapInPandas(run, out)
+    return spread_paths(members.select(*keys)).mapInPandas(run, out)
 
 
 def zip_members(archives: DataFrame) -> DataFrame:
@@ -194,17 +181,40 @@ def mirror(copies: DataFrame) -> DataFrame:
             rows = []
             for source, target in batch.itertuples(index=False):
                 try:
-                    with _open(source) as stream:
+                    with open_file(source) as stream:
                         rows.append((source, target, _store(stream, target), None))
                 except Exception as error:
                     rows.append((source, target, None, _error(error)))
             yield pd.DataFrame(rows, columns=["source", "target", "n_bytes", "error"]).astype({"n_bytes": "Int64"})
 
     schema = "source string, target string, n_bytes bigint, error string"
-    rows, _ = spread(copies.select("source", "target"), "target")
+    rows = spread_paths(copies.select("source", "target"))
     return rows.mapInPandas(run, schema)
 
 
+def remove(objects: DataFrame) -> DataFrame:
+    """Delete the objects at ``path``: whether each was there, or its error. Nothing there is no error."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                try:
+                    filesystem, place = locate(path)
+                    there = filesystem.get_file_info(place).type == fs.FileType.File
+                    if there:
+                        filesystem.delete_file(place)
+                    rows.append((path, there, None))
+                except FileNotFoundError:
+                    # Another attempt of this task was faster.
+                    rows.append((path, False, None))
+                except Exception as error:
+                    rows.append((path, None, _error(error)))
+            yield pd.DataFrame(rows, columns=["path", "removed", "error"])
+
+    return spread_paths(objects.select("path").distinct()).mapInPandas(run, "path string, removed boolean, error string")
+
+
 def fetcher(source: str, root: str) -> Callable[[DataFrame], DataFrame]:
     """Fetch step of ``SyncJob``: copies new plain files from below ``source`` into the mirror."""
 
@@ -214,12 +224,8 @@ def fetcher(source: str, root: str) -> Callable[[DataFrame], DataFrame]:
             "seq", F.concat(F.lit(source.rstrip("/")), "path_display").alias("source"),
             P.object_uri(root, key).alias("target"),
         )
-        copied = mirror(plain).select("source", "target", "error")
+        # A file with several events in a batch is copied once, and each event gets its result.
+        copied = mirror(plain.select("source", "target").distinct()).select("source", "target", "error")
         return plain.join(copied, ["source", "target"]).select("seq", "error")
 
     return fetch
-
-
-def file_ids(entries: DataFrame) -> DataFrame:
-    """Archive id of each row: the base name of its path without the extension."""
-    return entries.withColumn("zip_id", P.uri_id(F.col("path")))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filelake.operators import skew
+from filelake.session import remove
 
 
 @dataclass(frozen=True)
@@ -36,15 +37,10 @@ class StateTable:
         jvm = self.spark._jvm
         root = jvm.org.apache.hadoop.fs.Path(self.root)
         fs = root.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        if not fs.exists(root):
-            return []
-        found = []
-        for status in fs.listStatus(root):
-            path = status.getPath()
-            kind, _, number = path.getName().partition("-")
-            if kind in ("full", "delta") and fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
-                found.append((int(number), kind == "full"))
-        return sorted(found)
+        # One call for all versions: the markers' own paths name them.
+        marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "{full,delta}-*/_SUCCESS")) or []
+        names = [m.getPath().getParent().getName().partition("-") for m in marks]
+        return sorted((int(number), kind == "full") for kind, _, number in names)
 
     def write(self, version: int, rows: DataFrame, full: bool = False) -> None:
         if "removed" not in rows.columns:
@@ -76,3 +72,13 @@ class StateTable:
         base = max((v for v, full in found if full), default=-1)
         if sum(not full and v > base for v, full in found) >= after:
             self.write(found[-1][0], self.read(), full=True)
+            self._forget()
+
+    def _forget(self) -> None:
+        """Remove what only reads of versions before the last two snapshots would need."""
+        found = self.versions()
+        keep = sorted((v for v, full in found if full), reverse=True)[:2]
+        if len(keep) == 2:
+            for version, full in found:
+                if version < keep[1] or (version == keep[1] and not full):
+                    remove(self.spark, self._folder(version, full))

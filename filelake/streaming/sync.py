@@ -30,6 +30,7 @@ _LIVE = T.StructType([
 ])
 _RETRY = T.StructType([*schemas.CHANGE.fields, T.StructField("attempts", T.LongType())])
 _COUNTS = T.StructType([T.StructField("outcome", T.StringType()), T.StructField("n", T.LongType())])
+_BATCHES = T.StructType([T.StructField("batch", T.LongType()), T.StructField("n", T.LongType())])
 
 # Marks rows that could not be fetched: gets (seq, path_lower, ..., attempts), returns (seq, error).
 Fetch = Callable[[DataFrame], DataFrame]
@@ -68,6 +69,11 @@ class SyncJob:
     def cursor(self) -> StateTable:
         return StateTable(self.spark, f"{self.root}/cursor", "cursor", schemas.SYNC_STATE)
 
+    @property
+    def batches(self) -> StateTable:
+        """Events of every batch; the stream's own progress forgets old ones."""
+        return StateTable(self.spark, f"{self.root}/batches", "batch", _BATCHES)
+
     def sidecars(self, mirror: str) -> DataFrame:
         """Sidecars of the live plain files, with their objects below ``mirror``."""
         return file_meta(self.live.read(), mirror)
@@ -77,6 +83,8 @@ class SyncJob:
 
         ``max_files`` bounds a batch and so what a crash can lose. Feed files must be in order.
         """
+        before = self.batches.read().agg(F.max("batch")).first()[0]
+        before = -1 if before is None else before
         reader = self.spark.readStream.schema(schemas.CHANGE).format("parquet")
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
@@ -88,7 +96,8 @@ class SyncJob:
             .start()
         )
         query.awaitTermination()
-        return [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+        new = self.batches.read().where(F.col("batch") > before).orderBy("batch")
+        return [r["n"] for r in new.where("n > 0").collect()]
 
     def apply(self, batch: DataFrame, batch_id: int, again: bool = False) -> None:
         """Merge one batch. ``again`` repeats it although its cursor is there."""
@@ -102,7 +111,7 @@ class SyncJob:
         finally:
             batch.unpersist()
         # After the cursor: a batch that is computed again must not find a snapshot of itself.
-        for table in (self.live, self.retry):
+        for table in (self.live, self.retry, self.batches):
             table.compact(self.compact_after)
 
     def _merge(self, batch: DataFrame, batch_id: int) -> None:
@@ -120,6 +129,8 @@ class SyncJob:
         effect = skew.latest(marked.where(settled), "path_lower", "seq")
         self.live.write(batch_id, effect.withColumn("removed", F.col("kind") == "deleted"))
         totals = marked.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+        size = batch.agg(F.count(F.lit(1)).alias("n")).select(F.lit(batch_id).cast("bigint").alias("batch"), "n")
+        self.batches.write(batch_id, size)
         before = self.counts.read(batch_id - 1)
         self.counts.write(
             batch_id, before.unionByName(totals).groupBy("outcome").agg(F.sum("n").alias("n")), full=True

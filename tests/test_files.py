@@ -5,12 +5,16 @@ import zipfile
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from filelake import schemas
+from filelake.functions import paths as P
 from filelake.operators import imports
 from filelake.sources import objects, sidecar
 from filelake.sources.state import StateTable
 
+_KEYED = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
+
 
 @pytest.fixture
 def archives(spark, tmp_path):
@@ -34,7 +38,7 @@ def archives(spark, tmp_path):
 
 
 def test_zip_members(archives):
-    rows = objects.file_ids(objects.zip_members(archives)).collect()
+    rows = objects.zip_members(archives).withColumn("zip_id", P.uri_id(F.col("path"))).collect()
     good = {(r.inner_path, r.category, r.n_bytes, r.sha256) for r in rows if r.zip_id == "good"}
     digest = lambda b: hashlib.sha256(b).hexdigest()
     assert good == {("a/x.jpg", "images", 3, digest(b"one")), ("b.PDF", "docs", 3, digest(b"two")),
@@ -45,7 +49,7 @@ def test_zip_members(archives):
 
 
 def test_corrupt_archive_is_reported(archives):
-    rows = objects.file_ids(objects.zip_entries(archives)).where(F.col("error").isNotNull()).collect()
+    rows = objects.zip_entries(archives).withColumn("zip_id", P.uri_id(F.col("path"))).where(F.col("error").isNotNull()).collect()
     assert [r.zip_id for r in rows] == ["corrupt"]
     assert "BadZipFile" in rows[0].error
 
@@ -131,3 +135,14 @@ def test_import_results(spark):
         1: (50, 0), 2: (0, 50), 3: (48, 2), 4: (7, 0), 5: (0, 0), 6: (0, 9), 7: (50, 3)
     }
     assert imports.import_totals(df).first() == (155, 64)
+
+
+def test_old_versions_are_forgotten(spark, tmp_path):
+    table = StateTable(spark, str(tmp_path / "t"), "k", _KEYED)
+    for n in range(7):
+        table.write(n, spark.createDataFrame([(f"k{n % 3}", n)], _KEYED))
+        if n % 2:
+            table.compact()
+    assert {r.k: r.v for r in table.read().collect()} == {"k0": 6, "k1": 4, "k2": 5}
+    # The last two snapshots and what came after the first of them.
+    assert table.versions() == [(3, True), (4, False), (5, False), (5, True), (6, False)]

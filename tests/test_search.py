@@ -81,6 +81,8 @@ def test_ann_over_all_leaves_is_exact_and_partial_is_a_subset_of_leaves(spark, d
     near = ann.search(asked(spark, q), index, probes=3)
     share = ann.recall(near, truth).agg(F.avg("recall")).first()[0]
     assert 0.3 < share <= 1.0
+    # The number of queries that can be sent at once changes nothing.
+    assert ranked(ann.search(asked(spark, q), index, probes=3, max_sent=4)) == ranked(near)
     leaves = index.table.select("datapoint_id", "leaf")
     assert near.join(leaves, "datapoint_id").groupBy("query_id").agg(
         F.count_distinct("leaf").alias("n")).where("n > 3").count() == 0
@@ -148,6 +150,18 @@ def test_embed_job_repeats_failures_and_removes_stale_vectors(spark, tmp_path):
     assert [(p.datapoint_id, p.restricts[0].allow_list) for p in points] == [("B", ["images"])]
 
 
+def test_embedding_opens_pending_objects_only(spark, tmp_path):
+    """Only the pending image has a file: opening any other one would be an error."""
+    (tmp_path / "C.png").write_bytes(b"new picture")
+    job = EmbedJob(spark, str(tmp_path / "job"), lambda: vectors.hashing_encoder(16), 16, compact_after=1)
+    job.state.write(0, spark.createDataFrame([("A", "r1"), ("B", "r1")], "file_id string, rev string"), full=True)
+    images = spark.createDataFrame([("A", "r1", 1), ("B", "r1", 1), ("C", "r1", 1)], "file_id string, rev string, size bigint")
+    uris = images.select("file_id", F.concat(F.lit(f"{tmp_path}/"), "file_id", F.lit(".png")).alias("uri"))
+    assert {r.outcome: r.n for r in job.run(images, uris).collect()} == {"embedded": 1, "skipped": 2}
+    assert [p.datapoint_id for p in job.points.read().collect()] == ["C"]
+    assert job.state.versions()[-1] == (1, True)
+
+
 DOCS = [(1, "The cat sat on the mat."), (2, "the the the dog"), (3, "Cats and dogs"), (4, ""), (5, "ÉTÉ été 42"),
         (6, "a cat, a DOG; it's \"quoted\"")]
 QUERIES = [(1, "the cat", 2), (2, "été", 5), (3, "zebra", 5), (4, "it's \"quoted\" '); drop", 5), (5, "", 5)]

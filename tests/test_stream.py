@@ -87,3 +87,33 @@ def test_fetcher_stores_objects_and_reports_missing_ones(spark, tmp_path):
     job.apply(frame(spark, []), 1)
     assert (tmp_path / "lake" / "mirror" / "docs" / "B.pdf").read_bytes() == b"text"
     assert state(job)["/b.pdf"] == ("B", "r1")
+
+
+def test_all_batches_of_a_run_are_listed(spark, tmp_path):
+    """More batches than the stream's own progress remembers."""
+    rows = paired(random.Random(8), 60)
+    job, feed = SyncJob(spark, str(tmp_path / "job")), str(tmp_path / "feed")
+    for start in range(0, 60, 15):
+        frame(spark, rows[start : start + 15]).coalesce(1).write.mode("append").parquet(feed)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        assert job.run(feed, max_files=1) == [15] * 4
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert sum(r.n for r in job.counts.read().collect()) == 60
+
+
+def test_two_failing_events_of_a_file_count_twice(spark, tmp_path):
+    from feeds import change
+
+    job = SyncJob(spark, str(tmp_path / "job"), fetch=objects.fetcher(str(tmp_path), str(tmp_path / "lake")))
+    job.apply(frame(spark, [change(0, "file", "/a.jpg", "A", "r1"), change(1, "file", "/a.jpg", "A", "r2")]), 0)
+    assert {r.outcome: r.n for r in job.counts.read().collect()} == {"skipped": 2}
+    assert state(job) == {} and job.retry.read().count() == 1
+
+
+def test_removed_objects_and_missing_ones(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"x")
+    paths = spark.createDataFrame([(f"{tmp_path}/a",), (f"{tmp_path}/a",), (f"{tmp_path}/b",)], "path string")
+    done = {r.path[-1]: (r.removed, r.error) for r in objects.remove(paths).collect()}
+    assert done == {"a": (True, None), "b": (False, None)} and not (tmp_path / "a").exists()
