@@ -50,7 +50,7 @@ def document_page(queries: DataFrame, docs: DataFrame) -> DataFrame:
     ``docs`` is ``(doc_id, text, title, link)``.
     """
     terms = stage(text.query_terms(queries), "query-terms")
-    page = text.first_page(text.match(queries, docs, terms), queries)
+    page = text.page(queries, docs, terms)
     return text.snippets(page, terms, docs)
 
 

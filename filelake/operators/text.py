@@ -2,14 +2,28 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from filelake import constants as C
 from filelake.functions import text as X
 from filelake.operators import skew
+from filelake.operators.vectors import keep_best
 from filelake.session import small_side, spread, stage
 
+# Queries whose terms are sent to every task at once; more are searched in blocks of this size.
+MAX_QUERIES = 4096
+# Cells of the matrix of scores, queries by documents, that a task holds.
+MAX_CELLS = 2_000_000
+
 # Not a term: marks the one row per document that its own counts hang on.
 _WHOLE = ""
 
@@ -119,6 +133,127 @@ def first_page(scores: DataFrame, queries: DataFrame) -> DataFrame:
     return best.join(queries.select("query_id", "k"), "query_id").where(F.col("rank") <= F.col("k")).drop("k")
 
 
+def page(queries: DataFrame, docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
+    """``first_page`` straight from the documents: ``(query_id, doc_id, score, rank)``.
+
+    Texts are read and tokenised once: a first pass keeps, for each document, how often it holds each term
+    of the queries. Document frequencies come from this table, and a second pass over it scores a batch of
+    documents against all queries as a matrix. A document is one row, so nothing is shuffled but the best
+    ``k`` of every query and task; pairs of queries and documents are never rows. More than ``MAX_QUERIES``
+    queries are searched in blocks, one after another, with the same answers.
+    """
+    if terms is None:
+        terms = stage(query_terms(queries), "query-terms")
+    k = int(queries.agg(F.max("k")).first()[0] or 0)
+    blocks = max(1, math.ceil(queries.count() / MAX_QUERIES))
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    schema = T.StructType([
+        T.StructField("query_id", queries.schema["query_id"].dataType),
+        T.StructField("doc_id", docs.schema["doc_id"].dataType),
+        T.StructField("score", T.DoubleType()),
+    ])
+    best = None
+    for number in range(blocks):
+        asked = terms.where(block == number).select("query_id", "term").toArrow()
+        found = _block_page(asked, docs, k, schema)
+        best = found if best is None else best.unionByName(found)
+    best = skew.top_k(best, "query_id", [F.col("score").desc(), F.col("doc_id")], k)
+    return best.join(queries.select("query_id", "k"), "query_id").where(F.col("rank") <= F.col("k")).drop("k")
+
+
+def _block_page(asked: pa.Table, docs: DataFrame, k: int, schema: T.StructType) -> DataFrame:
+    """Candidates of the queries in ``asked``, the best ``k`` of each task."""
+    spark = docs.sparkSession
+    words = pc.unique(asked["term"])
+    if not len(words) or k == 0:
+        return spark.createDataFrame([], schema)
+    counted = stage(_counted_terms(docs, words), "counted-terms")
+    totals_ = counted.agg(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("dl")).first()
+    # At most one row per term that was sent.
+    df = counted.select(F.explode("terms").alias("t")).groupBy("t").count().toArrow()
+    frequency = np.zeros(len(words))
+    frequency[df["t"].to_numpy()] = df["count"].to_numpy()
+    idf = np.log(1.0 + (totals_["n"] - frequency + 0.5) / (frequency + 0.5))
+    average = (totals_["dl"] or 0) / max(1, totals_["n"])
+
+    # For each term the places of the queries that hold it.
+    query_ids = pc.unique(asked["query_id"])
+    term_of = pc.index_in(asked["term"], value_set=words).to_numpy()
+    place_of = pc.index_in(asked["query_id"], value_set=query_ids).to_numpy()
+    order = np.argsort(term_of, kind="stable")
+    of_term = np.split(place_of[order], np.cumsum(np.bincount(term_of, minlength=len(words)))[:-1])
+    shared = spark.sparkContext.broadcast((query_ids.to_pandas().to_numpy(), idf, of_term))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, weight, places = shared.value
+        step, best = max(1, MAX_CELLS // len(ids)), None
+        for batch in batches:
+            # Ties go to the lower id, which comes first.
+            batch = batch.take(pc.sort_indices(batch.column("doc_id")))
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                scores = _scores(part, weight, places, len(ids), average)
+                q, d = _best_columns(scores, k)
+                doc_ids = part.column("doc_id").take(pa.array(d)).to_pandas().to_numpy()
+                new = pd.DataFrame({"q": ids[q], "id": doc_ids, "score": scores[q, d]})
+                best = new if best is None else keep_best(pd.concat([best, new], ignore_index=True), k)
+        if best is not None:
+            table = pa.table({"query_id": pa.array(best["q"]), "doc_id": pa.array(best["id"]), "score": pa.array(best["score"])})
+            yield from table.to_batches()
+
+    return counted.mapInArrow(run, schema)
+
+
+def _counted_terms(docs: DataFrame, words: pa.Array) -> DataFrame:
+    """``(doc_id, dl, terms, tfs)``: of every document the numbers of its ``words`` and their counts."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = shared.value
+        for batch in batches:
+            toks = batch.column("toks")
+            number = pc.index_in(toks.flatten(), value_set=wanted)
+            row = np.repeat(np.arange(len(toks)), pc.list_value_length(toks).to_numpy())
+            known = number.is_valid().to_numpy(zero_copy_only=False)
+            pairs, tf = np.unique(row[known] * len(wanted) + number.filter(pa.array(known)).to_numpy(), return_counts=True)
+            offsets = pa.array(np.searchsorted(pairs // len(wanted), np.arange(len(toks) + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(v.astype(np.int32))) for v in (pairs % len(wanted), tf)]
+            yield pa.record_batch([batch.column("doc_id"), batch.column("dl"), *lists], ["doc_id", "dl", "terms", "tfs"])
+
+    rows = tokenized(docs).select("doc_id", "dl", F.coalesce("toks", F.array().cast("array<string>")).alias("toks"))
+    schema = T.StructType([
+        rows.schema["doc_id"], rows.schema["dl"],
+        *[T.StructField(n, T.ArrayType(T.IntegerType())) for n in ("terms", "tfs")],
+    ])
+    return rows.mapInArrow(run, schema)
+
+
+def _scores(batch: pa.RecordBatch, idf: np.ndarray, places: list[np.ndarray], n_queries: int, average: float) -> np.ndarray:
+    """BM25 of each query (row) for each document (column), rounded; -1 where they share no term."""
+    dl = batch.column("dl").to_numpy()
+    sizes = pc.list_value_length(batch.column("terms")).to_numpy()
+    doc = np.repeat(np.arange(len(dl)), sizes)
+    term, tf = batch.column("terms").flatten().to_numpy(), batch.column("tfs").flatten().to_numpy()
+    length = (1 - C.BM25_B) + C.BM25_B * dl[doc] / average if average else np.ones(len(doc))
+    gain = idf[term] * tf * (C.BM25_K1 + 1) / (tf + C.BM25_K1 * length)
+    scores = np.zeros((n_queries, len(dl)))
+    order = np.argsort(term, kind="stable")
+    bounds = np.nonzero(np.diff(term[order]))[0] + 1
+    for rows in np.split(order, bounds) if len(order) else []:
+        scores[np.ix_(places[term[rows[0]]], doc[rows])] += gain[rows]
+    return np.where(scores > 0, np.round(scores, C.SCORE_DIGITS), -1.0)
+
+
+def _best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the ``k`` best matches of each row; of equal ones the first."""
+    keep = scores >= 0
+    if scores.shape[1] > k:
+        kth = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k, None]
+        above, level = scores > kth, scores == kth
+        keep &= above | (level & (np.cumsum(level, axis=1) <= k - above.sum(axis=1, keepdims=True)))
+    return np.nonzero(keep)
+
+
 def totals(scores: DataFrame, queries: DataFrame) -> DataFrame:
     """Matching documents per query before the page is cut; 0 where nothing matches."""
     counted = scores.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
@@ -127,13 +262,59 @@ def totals(scores: DataFrame, queries: DataFrame) -> DataFrame:
     )
 
 
+def matching(queries: DataFrame, docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
+    """Number of matching documents per query, without scores: ``totals`` straight from the documents.
+
+    Each task counts the queries its documents match; one row per query and task is shuffled.
+    """
+    if terms is None:
+        terms = stage(query_terms(queries), "query-terms")
+    blocks = max(1, math.ceil(queries.count() / MAX_QUERIES))
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    kind = queries.schema["query_id"].dataType
+    schema = T.StructType([T.StructField("query_id", kind), T.StructField("n", T.LongType())])
+    counted = None
+    for number in range(blocks):
+        asked = terms.where(block == number).select("query_id", "term").toArrow()
+        found = _block_matches(asked, docs, schema)
+        counted = found if counted is None else counted.unionByName(found)
+    counted = counted.groupBy("query_id").agg(F.sum("n").alias("n"))
+    return queries.select("query_id").join(counted, "query_id", "left").select(
+        "query_id", F.coalesce("n", F.lit(0)).alias("total_size")
+    )
+
+
+def _block_matches(asked: pa.Table, docs: DataFrame, schema: T.StructType) -> DataFrame:
+    words = pc.unique(asked["term"])
+    if not len(words):
+        return docs.sparkSession.createDataFrame([], schema)
+    query_ids = pc.unique(asked["query_id"])
+    term_of = pc.index_in(asked["term"], value_set=words).to_numpy()
+    place_of = pc.index_in(asked["query_id"], value_set=query_ids).to_numpy()
+    order = np.argsort(term_of, kind="stable")
+    of_term = np.split(place_of[order], np.cumsum(np.bincount(term_of, minlength=len(words)))[:-1])
+    shared = docs.sparkSession.sparkContext.broadcast((query_ids, of_term))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, places = shared.value
+        n = np.zeros(len(ids), dtype=np.int64)
+        for batch in batches:
+            for terms in batch.column("terms"):
+                hit = [places[t] for t in terms.as_py()]
+                if hit:
+                    n[np.unique(np.concatenate(hit))] += 1
+        yield pa.record_batch([ids, pa.array(n)], ["query_id", "n"])
+
+    return _counted_terms(docs, words).mapInArrow(run, schema)
+
+
 def snippets(page: DataFrame, terms: DataFrame, docs: DataFrame) -> DataFrame:
     """Add ``title, link, snippet`` to the hits: the text from the first query term on, cut to size.
 
     ``page`` holds one page per query; it is written first, so that it goes to the texts and the
     texts are not shuffled.
     """
-    wanted = terms.groupBy("query_id").agg(F.array_join(F.collect_set("term"), "|").alias("_terms"))
+    wanted = terms.groupBy("query_id").agg(F.array_join(F.array_sort(F.collect_set("term")), "|").alias("_terms"))
     hits = small_side(page.join(wanted, "query_id"), "hits")
     # Terms are letters and digits, so their alternation finds the first of them in one pass.
     at = F.greatest(F.regexp_instr(F.lower(F.col("text")), F.col("_terms")), F.lit(1))

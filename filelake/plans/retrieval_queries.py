@@ -246,7 +246,7 @@ def postings(spark, sf):
 @query("bm25_topk", "select query_id, doc_id, score, rank from page")
 def bm25_topk(spark, sf):
     q = I.queries(spark, sf)
-    return _rank(text.first_page(text.match(q, I.docs(spark, sf)), q))
+    return _rank(text.page(q, I.docs(spark, sf)))
 
 
 @query("bm25_index", "select query_id, doc_id, score, rank from page")
@@ -263,7 +263,7 @@ def bm25_index(spark, sf):
 select query_id, count(doc_id) as total_size from queries left join scored using (query_id) group by query_id""")
 def search_total(spark, sf):
     q = I.queries(spark, sf)
-    return text.totals(text.match(q, I.docs(spark, sf)), q)
+    return text.matching(q, I.docs(spark, sf))
 
 
 def _hits(spark, sf):

@@ -181,11 +181,18 @@ def bm25(docs, query):
     return sorted(((round(-s, 6), d) for d, s in scores.items()))
 
 
-def test_bm25(spark):
+def test_bm25(spark, monkeypatch):
     docs = spark.createDataFrame(DOCS, "doc_id bigint, text string")
     queries = spark.createDataFrame(QUERIES, "query_id bigint, text string, k bigint")
     scores = text.match(queries, docs)
     page = text.first_page(scores, queries)
+    pages = sorted(map(tuple, page.select("query_id", "rank", "doc_id", "score").collect()))
+    for most in (4096, 1):
+        monkeypatch.setattr(text, "MAX_QUERIES", most)
+        monkeypatch.setattr(text, "MAX_CELLS", 3 * most)
+        direct = text.page(queries, docs).select("query_id", "rank", "doc_id", "score")
+        assert sorted(map(tuple, direct.collect())) == pages
+        assert sorted(map(tuple, text.matching(queries, docs).collect())) == sorted(map(tuple, text.totals(scores, queries).collect()))
     got = {}
     for r in page.orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.doc_id, r.score))
@@ -204,6 +211,14 @@ def test_one_search_shuffles_scores_by_query_only(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_page_reads_the_texts_once_and_shuffles_the_best_only(spark):
+    docs = spark.createDataFrame(DOCS, "doc_id bigint, text string")
+    queries = spark.createDataFrame(QUERIES, "query_id bigint, text string, k bigint")
+    plan = text.page(queries, docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "WindowGroupLimit" in plan and "regexp_extract_all" not in plan
+    assert "HashAggregate" not in plan and "Generate" not in plan
+
+
 def test_index_upsert_equals_rebuild(spark):
     docs = spark.createDataFrame(DOCS, "doc_id bigint, text string")
     changed = spark.createDataFrame([(2, "a new cat"), (9, "added")], "doc_id bigint, text string")
