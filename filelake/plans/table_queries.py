@@ -18,7 +18,7 @@ from filelake.plans.registry import query
 from filelake.session import new_folder
 from filelake.sources import objects, sidecar
 from filelake.sources.state import StateTable
-from filelake.streaming.sync import SyncJob
+from filelake.streaming.sync import MovingSyncJob, SyncJob
 
 _META = "file_id, path, rev, mime_type, size, server_modified, category, object_uri, caption"
 
@@ -245,16 +245,15 @@ def archive_errors(spark, sf):
 # --- streams -----------------------------------------------------------------------------------
 
 
-def _slices(spark, sf):
-    """The feed in thirds of the month, as it arrives run by run."""
-    c = I.changes(spark, sf)
+def _slices(c):
+    """A feed in thirds of the month, as it arrives run by run."""
     day = F.day("server_modified")
     return [c.where(day <= 10), c.where((day > 10) & (day <= 20)), c.where(day > 20)]
 
 
 def _run_slices(spark, sf, job, feed):
     sizes = []
-    for part in _slices(spark, sf):
+    for part in _slices(I.changes(spark, sf)):
         part.write.mode("append").parquet(feed)
         sizes.append(sum(job.run(feed)))
         sizes.append(sum(job.run(feed)))
@@ -311,13 +310,32 @@ def stream_bounded(spark, sf):
 def stream_replay(spark, sf):
     """Every batch delivered twice, the second time after its commit was lost."""
     job = SyncJob(spark, new_folder(spark, "sync"))
-    for number, part in enumerate(_slices(spark, sf)):
+    for number, part in enumerate(_slices(I.changes(spark, sf))):
         job.apply(part, number)
         job.apply(part, number)
         job.apply(part, number, again=True)
     return job.live.read().select("path_lower", "file_id", "rev", "category")
 
 
+def _moving_state(spark, feed):
+    job = MovingSyncJob(spark, new_folder(spark, "sync"))
+    for number, part in enumerate(_slices(feed)):
+        job.apply(part, number)
+    return job.paths.read().join(job.revs.read(), "file_id", "left").select("path_lower", "file_id", "rev")
+
+
+@query("stream_moves")
+def stream_moves(spark, sf):
+    """Paths, ids and revisions after three batches of a feed in which files move."""
+    return _moving_state(spark, I.moves(spark, sf))
+
+
+@query("stream_moves_paired", "select path_lower, file_id, rev from live")
+def stream_moves_paired(spark, sf):
+    """On a feed of paired paths and ids the moving fold must agree with the plain one."""
+    return _moving_state(spark, I.changes(spark, sf))
+
+
 @query("failed_not_committed", _FOLDED)
 def failed_not_committed(spark, sf):
     """Every media file of the first twenty days fails at first and is stored by a later batch."""

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filelake import schemas
-from filelake.operators import skew
-from filelake.operators.sync import classify, file_meta
+from filelake.operators import replay, skew
+from filelake.operators.sync import classify, enrich, file_meta
 from filelake.session import stage
 from filelake.sources.state import StateTable
 
@@ -30,6 +30,7 @@ _LIVE = T.StructType([
 ])
 _RETRY = T.StructType([*schemas.CHANGE.fields, T.StructField("attempts", T.LongType())])
 _COUNTS = T.StructType([T.StructField("outcome", T.StringType()), T.StructField("n", T.LongType())])
+_PATHS = T.StructType([T.StructField("path_lower", T.StringType()), T.StructField("file_id", T.StringType())])
 _BATCHES = T.StructType([T.StructField("batch", T.LongType()), T.StructField("n", T.LongType())])
 
 # Marks rows that could not be fetched: gets (seq, path_lower, ..., attempts), returns (seq, error).
@@ -111,9 +112,12 @@ class SyncJob:
         finally:
             batch.unpersist()
         # After the cursor: a batch that is computed again must not find a snapshot of itself.
-        for table in (self.live, self.retry, self.batches):
+        for table in self._tables():
             table.compact(self.compact_after)
 
+    def _tables(self) -> tuple[StateTable, ...]:
+        return self.live, self.retry, self.batches
+
     def _merge(self, batch: DataFrame, batch_id: int) -> None:
         events = batch.withColumn("attempts", F.lit(0).cast("bigint"))
         if self.fetch:
@@ -128,6 +132,10 @@ class SyncJob:
         settled = F.col("outcome").isin("synced", "archive", "deleted", "archive_deleted")
         effect = skew.latest(marked.where(settled), "path_lower", "seq")
         self.live.write(batch_id, effect.withColumn("removed", F.col("kind") == "deleted"))
+        self._close(batch, batch_id, marked)
+
+    def _close(self, batch: DataFrame, batch_id: int, marked: DataFrame) -> None:
+        """Counters of the batch, and last the cursor."""
         totals = marked.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
         size = batch.agg(F.count(F.lit(1)).alias("n")).select(F.lit(batch_id).cast("bigint").alias("batch"), "n")
         self.batches.write(batch_id, size)
@@ -155,3 +163,45 @@ class SyncJob:
         closed = self.retry.read(batch_id - 1).join(waiting.select("path_lower"), "path_lower", "left_anti")
         self.retry.write(batch_id, waiting.unionByName(closed.withColumn("removed", F.lit(True))))
         return marked
+
+
+def _changes(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Rows of ``new`` that are not in ``old``, and the keys that are gone."""
+    gone = old.join(new.select(key), key, "left_anti").withColumn("removed", F.lit(True))
+    return new.join(old, new.columns, "left_anti").withColumn("removed", F.lit(False)).unionByName(gone)
+
+
+@dataclass(frozen=True)
+class MovingSyncJob(SyncJob):
+    """Folds a feed in which files move: ids and paths mix freely, as in ``operators.replay``.
+
+    The state is what each path holds and the revision of each id. A batch reads the paths it names, and
+    the ids it names or that are at those paths; no other state can change or matter. Outcomes are those of
+    applying all batches event by event. Objects are not fetched, archives count as files.
+    """
+
+    @property
+    def paths(self) -> StateTable:
+        return StateTable(self.spark, f"{self.root}/paths", "path_lower", _PATHS)
+
+    @property
+    def revs(self) -> StateTable:
+        return StateTable(self.spark, f"{self.root}/revs", "file_id", schemas.REV_INDEX)
+
+    def _tables(self) -> tuple[StateTable, ...]:
+        return self.paths, self.revs, self.batches
+
+    def _merge(self, batch: DataFrame, batch_id: int) -> None:
+        if self.fetch:
+            raise ValueError("fetching is part of SyncJob only")
+        events = enrich(batch.where(F.col("kind") != "folder"))
+        named = events.select("path_lower").distinct()
+        paths = stage(self.paths.read(batch_id - 1).join(named, "path_lower", "left_semi"), "paths")
+        ids = events.select("file_id").unionAll(paths.select("file_id")).distinct()
+        revs = stage(self.revs.read(batch_id - 1).join(ids, "file_id", "left_semi"), "revs")
+        settled = replay.replay(batch, paths, revs, self.max_group)
+        self.paths.write(batch_id, _changes(paths, replay.final_paths(settled), "path_lower"))
+        self.revs.write(batch_id, _changes(revs, replay.final_revs(settled), "file_id"))
+        folders = batch.where(F.col("kind") == "folder").select(F.lit("folder").alias("outcome"))
+        judged = settled.where(~F.col("kind").startswith("seed")).select("outcome")
+        self._close(batch, batch_id, judged.unionAll(folders))

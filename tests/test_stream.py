@@ -1,11 +1,12 @@
 import random
 
-from feeds import frame, replay
+import pytest
+from feeds import frame, random_feed, replay
 from pyspark.sql import functions as F
 from test_sync import paired
 
 from filelake.sources import objects
-from filelake.streaming.sync import SyncJob
+from filelake.streaming.sync import MovingSyncJob, SyncJob
 
 
 def state(job):
@@ -117,3 +118,29 @@ def test_removed_objects_and_missing_ones(spark, tmp_path):
     paths = spark.createDataFrame([(f"{tmp_path}/a",), (f"{tmp_path}/a",), (f"{tmp_path}/b",)], "path string")
     done = {r.path[-1]: (r.removed, r.error) for r in objects.remove(paths).collect()}
     assert done == {"a": (True, None), "b": (False, None)} and not (tmp_path / "a").exists()
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_moving_feed_in_batches_equals_plain_replay(spark, tmp_path, seed):
+    rows = random_feed(seed, 120)
+    job = MovingSyncJob(spark, str(tmp_path / "job"), compact_after=2)
+    for number, start in enumerate(range(0, 120, 40)):
+        job.apply(frame(spark, rows[start : start + 40]), number)
+        job.apply(frame(spark, rows[start : start + 40]), number, again=number == 0)
+    outcomes, where, revs = replay(rows)
+    assert {r.path_lower: r.file_id for r in job.paths.read().collect()} == where
+    assert {r.file_id: r.rev for r in job.revs.read().collect()} == revs
+    counts = {}
+    for outcome in [*outcomes.values(), *["folder"] * sum(r[1] == "folder" for r in rows)]:
+        counts[outcome] = counts.get(outcome, 0) + 1
+    assert {r.outcome: r.n for r in job.counts.read().collect()} == counts
+
+
+def test_renamed_file_in_a_later_batch(spark, tmp_path):
+    from feeds import change
+
+    job = MovingSyncJob(spark, str(tmp_path / "job"))
+    job.apply(frame(spark, [change(0, "file", "/p1.jpg", "A", "r1")]), 0)
+    job.apply(frame(spark, [change(1, "file", "/p2.jpg", "A", "r1")]), 1)
+    assert {r.outcome: r.n for r in job.counts.read().collect()} == {"synced": 1, "unchanged": 1}
+    assert [tuple(r) for r in job.paths.read().collect()] == [("/p1.jpg", "A")]
