@@ -15,7 +15,7 @@ from filelake.llm import scratch
 BLOCK = 1024
 # Points of a leaf, queries of one, and children of a node.
 LEAF = 128
-QUERY_LEAF = 16
+QUERY_LEAF = 64
 CHILDREN = 16
 # Points that the upper nodes are chosen from, and how many upper nodes there are at most.
 SAMPLE = 8192
@@ -39,7 +39,7 @@ def build(x: np.ndarray, leaf: int) -> Node:
     """Cover tree of the points ``x``: children cover their points with half the radius where they can.
 
     The first child keeps its parent's centre. Further centres are the points farthest from those chosen,
-    at most ``CHILDREN``; if they do not cover all with half the radius, the rest goes to the nearest, and the
+    at most ``CHILDREN`` and no more than leaves would hold the points; if they do not cover all with half the radius, the rest goes to the nearest, and the
     radii say what is really covered.
     """
     centre = x[np.argmin(((x - x.mean(axis=0)) ** 2).sum(axis=1))]
@@ -53,7 +53,8 @@ def _node(x: np.ndarray, rows: np.ndarray, centre: np.ndarray, leaf: int) -> Nod
     if len(rows) <= leaf or node.radius == 0:
         return node
     centres, owner = [centre], np.zeros(len(rows), dtype=np.int64)
-    while len(centres) < CHILDREN and nearest.max() > node.radius / 2:
+    most = min(CHILDREN, -(-len(rows) // leaf))
+    while len(centres) < most and nearest.max() > node.radius / 2:
         new = own[np.argmax(nearest)]
         distance = np.sqrt(((own - new) ** 2).sum(axis=1))
         closer = distance < nearest
@@ -88,6 +89,11 @@ class Best:
         return float(np.maximum(self.score[rows, -1], self.floor[rows]).min())
 
     def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        # Only queries for which a score may count are ranked anew.
+        some = scores.max(axis=1) >= np.maximum(self.score[rows, -1], self.floor[rows])
+        if not some.any():
+            return
+        rows, scores = rows[some], scores[some]
         score = np.concatenate([self.score[rows], scores], axis=1)
         both = np.concatenate([self.id[rows], np.broadcast_to(ids, scores.shape)], axis=1)
         order = np.lexsort((both, -np.maximum(score, LOWEST + 1)), axis=1)[:, : self.k]

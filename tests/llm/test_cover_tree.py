@@ -39,6 +39,7 @@ def test_tree_covers_its_points():
 
 def test_search_in_a_task_is_exact_and_prunes(monkeypatch):
     monkeypatch.setattr(cover_tree, "LEAF", 16)
+    monkeypatch.setattr(cover_tree, "QUERY_LEAF", 16)
     x, q = points(2, 2000), points(2, 400)
     seen = []
     plain = cover_tree.inner
