@@ -93,3 +93,40 @@ def test_queries_match_sql(spark, name):
 def test_every_operator_is_registered():
     numbers = [int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op")]
     assert sorted(numbers) == list(range(1, 11)) and "pipeline" in entry.queries()
+
+
+SHAPES = {
+    "op2_html_extract": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
+    "op3_embedding_dedup": {"vec_id": "bigint", "n_links": "bigint", "component_id": "bigint", "kept": "boolean"},
+    "op5_exact_top_k": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"},
+    "op6_pack_sequences": {
+        "doc_id": "bigint", "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint",
+        "sequence_id": "bigint", "offset": "bigint",
+    },
+    "op7_simhash_dedup": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
+    "op9_url_filter": {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"},
+    "op10_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+}
+
+
+@pytest.mark.parametrize("name", sorted(SHAPES))
+def test_columns_of_the_queries(spark, name):
+    df = queries.QUERIES[name](spark, SF)
+    kinds = dict(df.dtypes)
+    assert {c: kinds.get(c) for c in SHAPES[name]} == SHAPES[name]
+    assert df.count() > 0
+
+
+def test_simhash_query_on_all_documents(spark):
+    from test_simhash import brute_groups
+
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    wanted = {(i, f"{p:016x}", c) for i, p, c in brute_groups(docs)}
+    assert {tuple(r) for r in queries.op7_simhash_dedup(spark, SF).collect()} == wanted
+
+
+def test_held_out_fold_is_that_of_crc32(spark):
+    import zlib
+
+    rows = queries.op10_toxicity(spark, SF).select("doc_id", "held_out").collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
