@@ -23,18 +23,23 @@ SEED = 42
 WIDTHS = (11, 11, 11, 11, 10, 10)
 
 
-def fingerprint(text: str | None, words: int = WORDS) -> int:
-    """Unsigned 64-bit SimHash of the word shingles of a whole text; zero if it has no word."""
+def shingle_hashes(text: str | None, words: int = WORDS) -> np.ndarray:
+    """Hashes of the word shingles of a whole text, in its order; a shorter text is one shingle, none if it has no word."""
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
-        return 0
+        return np.zeros(0, dtype=np.uint64)
     joined = b" ".join(parts)
     width = min(words, len(parts))
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     digest, seed = xxhash.xxh64_intdigest, SEED
     spans = zip(starts[: len(parts) - width + 1].tolist(), ends[width - 1 :].tolist())
-    hashes = np.array([digest(joined[s:e], seed) for s, e in spans], dtype=np.uint64)
+    return np.array([digest(joined[s:e], seed) for s, e in spans], dtype=np.uint64)
+
+
+def fingerprint(text: str | None, words: int = WORDS) -> int:
+    """Unsigned 64-bit SimHash of the word shingles of a whole text; zero if it has no word."""
+    hashes = shingle_hashes(text, words)
     counts = np.zeros(64, dtype=np.int64)
     for i in range(0, len(hashes), 1 << 16):
         part = hashes[i : i + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8)
@@ -150,9 +155,14 @@ def keep_one(
     equal rows any one. Rows without an id stay only where their group has no other; all groups without
     any id count as one.
     """
+    groups = _groups(docs, id_col, text_col, words, distance).withColumnRenamed("component_id", "label")
+    return first_rows(docs, groups, id_col, text_col)
+
+
+def first_rows(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The first row of ``docs`` of each label of ``groups (_id, _text, label)``."""
     first = (
-        _groups(docs, id_col, text_col, words, distance)
-        .groupBy("component_id")
+        groups.groupBy("label")
         .agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_text")).alias("s"))
         .select(F.coalesce(F.col("s._id").cast("string"), F.lit("")).alias("__row_id"), F.col("s._text").alias("__row_text"))
     )
