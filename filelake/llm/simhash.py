@@ -115,7 +115,10 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 
 def _groups(docs: DataFrame, id_col: str, text_col: str, words: int, distance: int) -> DataFrame:
-    """``(_id, _text, fp, component_id)`` of every row; ``_text`` tells texts of one id apart."""
+    """``(_id, _text, fp, label, component_id)`` of every row; ``_text`` tells texts of one id apart.
+
+    ``label`` is a fingerprint that stands for the group, so groups without any id stay apart.
+    """
     prints, _ = scratch.put(
         docs.select(
             F.col(id_col).cast("long").alias("_id"),
@@ -124,11 +127,11 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, words: int, distance: i
         ),
         "simhash",
     )
-    reps = prints.groupBy("fp").agg(F.min("_id").alias("rep"))
-    found = connected_components(links(reps.filter("rep is not null"), distance), "simhash-groups")
-    of_print = reps.join(found, F.col("rep") == F.col("node"), "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id")
-    )
+    least = prints.groupBy("fp").agg(F.min("_id").alias("least"))
+    found = connected_components(links(least.select("fp", F.col("fp").alias("rep")), distance), "simhash-groups")
+    labelled = least.join(found, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("label"))
+    of_label = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
+    of_print = labelled.select("fp", "label").join(of_label, "label")
     return prints.join(of_print, "fp")
 
 
@@ -139,8 +142,8 @@ def near_duplicates(
 
     Texts whose fingerprints differ in at most ``distance`` bits are linked; ``component_id`` is the
     smallest id reachable, the row's own included. A null or empty text has fingerprint zero and is
-    linked like any other. A null id takes the component of its fingerprint, null if no row of it has an
-    id. Repeated rows and equal texts share a component. Rows that share an id but not a text are
+    linked like any other. A row without an id links others too; its component is null if no row reachable
+    has an id. Repeated rows and equal texts share a component. Rows that share an id but not a text are
     separate documents. Other columns are not read. No rows give no rows.
     """
     return _groups(docs, id_col, text_col, words, distance).select(F.col("_id").alias(id_col), "fp", "component_id")
@@ -152,11 +155,10 @@ def keep_one(
     """``docs`` without near copies: one row of each group stays, with its columns as they are.
 
     It is the row with the smallest id; of several texts under this id the one with the smallest hash; of
-    equal rows any one. Rows without an id stay only where their group has no other; all groups without
-    any id count as one.
+    equal rows any one. Rows without an id stay only where their group has no other; one of each group
+    without any id stays.
     """
-    groups = _groups(docs, id_col, text_col, words, distance).withColumnRenamed("component_id", "label")
-    return first_rows(docs, groups, id_col, text_col)
+    return first_rows(docs, _groups(docs, id_col, text_col, words, distance), id_col, text_col)
 
 
 def first_rows(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:

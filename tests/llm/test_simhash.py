@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from filelake.llm import simhash
 from filelake.llm.components import connected_components
@@ -92,6 +93,19 @@ def test_keep_one(docs):
     assert [g for g in got if g[0] is None] == [(None, "lone text here now")]
 
 
+def test_rows_without_an_id_stay_and_link(docs, monkeypatch):
+    # Fingerprints given by hand: 0 - 15 - 255 is a chain through a row without an id; 1 << 40 and -1 stand alone.
+    values = {"a": 0, "b": 15, "c": 255, "d": (1 << 40) - 1 << 20, "e": (1 << 64) - 1}
+    rows = [(1, "a"), (None, "b"), (2, "c"), (None, "d"), (None, "e"), (None, "e")]
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    by_text = [(t, signed(v)) for t, v in values.items()]
+    monkeypatch.setattr(simhash, "fingerprints", lambda text, words: F.create_map(*[F.lit(x) for p in by_text for x in p])[text].cast("long"))
+    found = {(r["doc_id"], r["fp"]): r["component_id"] for r in simhash.near_duplicates(docs(rows)).collect()}
+    assert found == {(1, 0): 1, (None, 15): 1, (2, 255): 1, (None, signed(values["d"])): None, (None, -1): None}
+    kept = sorted([(r["doc_id"], r["text"]) for r in simhash.keep_one(docs(rows)).collect()], key=str)
+    assert kept == sorted([(1, "a"), (None, "d"), (None, "e")], key=str)
+
+
 def test_empty_table(docs):
     assert simhash.near_duplicates(docs([])).count() == 0
     assert simhash.keep_one(docs([])).count() == 0
