@@ -47,9 +47,10 @@ class Model:
     bias: float
 
     def scorer(self):
-        """Function from a whole text to the scores of its sentences that hold a feature, and their total number.
+        """Function from a whole text to the scores of its sentences that hold a feature, and those that count.
 
-        Each scored sentence comes as ``(number, probability)``.
+        Each scored sentence comes as ``(number, probability)``; of equal sentences the first one counts, as
+        saying it again is no new evidence.
         """
         known: dict[str, float] = {}
         weights, bias = self.weights, self.bias
@@ -60,24 +61,24 @@ class Model:
             total = known[word] = sum(weights.get(f, 0.0) for f in features(word))
             return total
 
-        def score(text: str | None) -> tuple[list[tuple[int, float]], int]:
-            found = []
-            sentences = SENTENCE_END.split((text or "").lower())
-            for i, s in enumerate(sentences):
+        def score(text: str | None) -> tuple[list[tuple[int, float]], list[float]]:
+            found, once = [], {}
+            for i, s in enumerate(SENTENCE_END.split((text or "").lower())):
                 total = 0.0
                 for w in s.split():
                     x = known.get(w)
                     total += weight(w) if x is None else x
                 if total:
-                    found.append((i, _sigmoid(bias + total)))
-            return found, len(sentences)
+                    p = _sigmoid(bias + total)
+                    found.append((i, p))
+                    once[s.strip()] = p
+            return found, list(once.values())
 
         return score
 
-    def document(self, scored: list[tuple[int, float]], sentences: int) -> float:
-        """Noisy-or over all sentences, those without a feature included."""
-        log_clean = (sentences - len(scored)) * math.log1p(-_sigmoid(self.bias))
-        log_clean += sum(math.log1p(-min(p, 1 - 1e-12)) for _, p in scored)
+    def document(self, scored: list[tuple[int, float]], counted: list[float]) -> float:
+        """Noisy-or over the sentences that count, and the bias once: sentences without a feature add nothing."""
+        log_clean = math.log1p(-_sigmoid(self.bias)) + sum(math.log1p(-min(p, 1 - 1e-12)) for p in counted)
         return min(1.0, max(0.0, -math.expm1(log_clean)))
 
 
@@ -126,15 +127,15 @@ def _select(sample: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
 
 
 def _sparse(index: dict[str, int]):
-    """Features of each document's sentences, as numbers; sentences without any are only counted."""
+    """Features of each document's different sentences, as numbers; sentences without any are left out."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[int]] = {}
         for batch in batches:
             rows = []
             for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
-                sentences, flat, sizes = SENTENCE_END.split((text or "").lower()), [], []
-                for s in sentences:
+                flat, sizes = [], []
+                for s in dict.fromkeys(s.strip() for s in SENTENCE_END.split((text or "").lower())):
                     own: list[int] = []
                     for w in s.split():
                         if w not in known:
@@ -145,10 +146,10 @@ def _sparse(index: dict[str, int]):
                     if own:
                         flat += own
                         sizes.append(len(own))
-                rows.append((y, len(sentences), sizes, flat))
-            y, n, sizes, flat = zip(*rows)
+                rows.append((y, sizes, flat))
+            y, sizes, flat = zip(*rows)
             yield pa.record_batch({
-                "y": pa.array(y, pa.int32()), "n": pa.array(n, pa.int32()),
+                "y": pa.array(y, pa.int32()),
                 "sizes": pa.array(sizes, pa.list_(pa.int32())), "flat": pa.array(flat, pa.list_(pa.int32())),
             })
 
@@ -163,7 +164,6 @@ def _fit(data: pa.Table, n_features: int, weight: dict[int, float], steps: int =
     """Weights and bias that maximise the likelihood of the document labels under noisy-or."""
     y = data.column("y").to_numpy().astype(float)
     scored = pc.list_value_length(data.column("sizes")).to_numpy()
-    blank = (data.column("n").to_numpy() - scored).astype(float)
     of_doc = np.repeat(np.arange(len(y), dtype=np.int32), scored)
     sizes = _flat(data.column("sizes"))
     of_sentence = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
@@ -175,13 +175,13 @@ def _fit(data: pa.Table, n_features: int, weight: dict[int, float], steps: int =
         z = bias + np.bincount(of_sentence, w[feature], len(sizes))
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         p0 = 1 / (1 + math.exp(-bias))
-        clean = np.exp(np.bincount(of_doc, np.log1p(-np.minimum(p, 1 - 1e-9)), len(y)) + blank * math.log1p(-p0))
+        clean = np.exp(np.bincount(of_doc, np.log1p(-np.minimum(p, 1 - 1e-9)), len(y)) + math.log1p(-p0))
         toxic = np.maximum(1 - clean, 1e-9)
         # Derivative of the log-likelihood by a sentence's z: p (1-P)/P in a toxic document, -p in a clean one.
         factor = importance * np.where(y == 1, clean / toxic, -1.0)
         by_sentence = p * factor[of_doc]
         grad_w = np.bincount(feature, by_sentence[of_sentence], n_features) - l2 * w
-        grad_b = by_sentence.sum() + (factor * blank).sum() * p0
+        grad_b = by_sentence.sum() + factor.sum() * p0
         past_w += grad_w**2
         past_b += grad_b**2
         w += 0.5 * grad_w / np.sqrt(past_w)
@@ -222,7 +222,7 @@ def train(
     sample, path = scratch.put(texts.join(ids, "__id").select("text", "y"), "toxicity-sample")
     chosen = _select(sample, taken[1], taken[0])
     index = {f: i for i, f in enumerate(chosen)}
-    data = sample.mapInArrow(_sparse(index), "y int, n int, sizes array<int>, flat array<int>").toArrow()
+    data = sample.mapInArrow(_sparse(index), "y int, sizes array<int>, flat array<int>").toArrow()
     scratch.drop(docs.sparkSession, path)
     weights, bias = _fit(data, len(chosen), {y: whole[y] / taken[y] for y in taken})
     return Model({f: float(weights[i]) for f, i in index.items() if abs(weights[i]) > 1e-6}, bias)
@@ -242,8 +242,8 @@ def score_of(text: Column, spark: SparkSession, model: Model, flag: float | None
         of = sent.value.scorer()
         total, places = [], []
         for text in texts:
-            found, n = of(text)
-            total.append(sent.value.document(found, n))
+            found, counted = of(text)
+            total.append(sent.value.document(found, counted))
             places.append([{"number": i, "score": p} for i, p in found if p >= flag])
         return pd.DataFrame({"score": pd.Series(total, dtype=float), "sentences": places})
 

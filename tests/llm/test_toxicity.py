@@ -71,3 +71,18 @@ def test_query_on_held_out_rows(spark):
     right = sum(r["toxic"] == r["predicted"] for r in found)
     assert right / len(found) > 0.97
     assert all(r["toxic"] for r in found if r["predicted"]) or sum(1 - r["toxic"] for r in found if r["predicted"]) < 0.01 * len(found)
+
+
+def test_length_alone_is_no_evidence(spark):
+    """Clean texts written a thousand times, and a hundred thousand other words, stay clean."""
+    sf = "/root/testdata/sf0.01"
+    documents, labels = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "labels"))
+    model = toxicity.train(documents, labels)
+    assert model.weights
+    score = model.scorer()
+    clean = [r["text"] for r in documents.join(labels.filter("toxic = 0"), "doc_id").orderBy("doc_id").limit(40).collect()]
+    once = [model.document(*score(t)) for t in clean]
+    again = [model.document(*score((t + "\n") * 1000)) for t in clean]
+    assert all(b < 0.5 for a, b in zip(once, again) if a < 0.5) and sum(a < 0.5 for a in once) >= 39
+    assert model.document(*score(". ".join(f"{i} {i + 1}" for i in range(100_000)))) < 0.5
+    assert model.document(*score(None)) == model.document(*score("1. 2. 3"))
