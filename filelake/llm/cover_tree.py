@@ -246,8 +246,8 @@ def top_k(points: DataFrame, queries: DataFrame, k: int, sample: int = SAMPLE) -
     cover trees in a task, pruning in the same way.
     """
     by_vector = Window.partitionBy("v").orderBy("vec_id")
-    points = points.select("vec_id", "v").withColumn("n", F.row_number().over(by_vector)).filter(F.col("n") <= k + 1).drop("n")
-    points, _ = scratch.put(points.distinct(), "cover-points")
+    points = points.select("vec_id", "v").distinct().withColumn("n", F.row_number().over(by_vector)).filter(F.col("n") <= k + 1).drop("n")
+    points, _ = scratch.put(points, "cover-points")
     queries, _ = scratch.put(queries.select("query_id", "v").distinct(), "cover-queries")
     n_points, n_queries = points.count(), queries.count()
     nothing = points.select(

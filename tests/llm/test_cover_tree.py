@@ -76,3 +76,8 @@ def test_scaled(spark):
     rows = [([0.5, -0.001],), ([None, 1.0],), ([float("nan")],), ([float("inf")],), (None,), ([],)]
     df = spark.createDataFrame(rows, "e array<float>").select(cover_tree.scaled("e").alias("v"))
     assert [r["v"] for r in df.collect()] == [[128, -1], None, None, None, None, []]
+
+
+def test_repeated_rows_do_not_push_out_ids_of_equal_vectors(spark):
+    x, ids = [[1, 2, 3]] * 11, [1] * 6 + [2, 3, 4, 5, 6]
+    assert run(spark, x, ids, [[1, 0, 0]], [50], 5) == [(50, n, n, 1) for n in range(1, 6)]
