@@ -17,8 +17,14 @@ CARD = r"[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2,3}(?:[ -][0-9]{1,4})?|[0-9]{4}[
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}"
 SECRET = r"[0-9a-f]{64}|[0-9A-F]{64}|[0-9a-f]{40}|[0-9A-F]{40}|[0-9a-f]{32}|[0-9A-F]{32}"
-# Earlier ones win where two start at the same place.
-ALL = f"(?:{EMAIL}|{BEFORE}(?:{SECRET}|{SSN}|{DATE}|(?:{IPV4})(?!\\.?[0-9])|{CARD}){AFTER}|(?<![0-9A-Za-z.])(?:{PHONE}){AFTER})"
+# Earlier ones win where two start at the same place. The card numbers are those of the text with a right check digit.
+BEFORE_CARDS = f"(?:{EMAIL}|{BEFORE}(?:{SECRET}|{SSN}|{DATE}|(?:{IPV4})(?!\\.?[0-9])"
+AFTER_CARDS = f"){AFTER}|(?<![0-9A-Za-z.])(?:{PHONE}){AFTER})"
+# Forms of card numbers, each looked for at every place, also inside a longer row of groups of digits.
+CARD_FORMS = (
+    r"[0-9]{4}(?:[ -][0-9]{4}){3}[ -][0-9]{1,3}", r"[0-9]{4}(?:[ -][0-9]{4}){3}", r"[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}",
+    r"[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,3}", r"[0-9]{13,19}",
+)
 FIRST_YEAR, YEARS, FIRST_LEAP_YEAR = 1900, 200, 1904
 SSN_AREAS, SSN_REST = 898, 99 * 9999
 
@@ -112,14 +118,30 @@ def _check_digit(body: Column) -> Column:
     return ((10 - total % 10) % 10).cast("string")
 
 
+def _is_card(digits: Column) -> Column:
+    body = F.substr(digits, F.lit(1), F.length(digits) - 1)
+    return F.length(digits).between(13, 19) & (_check_digit(body) == F.right(digits, F.lit(1)))
+
+
 def _card(value: Column, key: str) -> tuple[Column, Column]:
     digits = _digits(value)
     body = F.substr(digits, F.lit(1), F.length(digits) - 1)
-    valid = F.length(digits).between(13, 19) & (_check_digit(body) == F.right(digits, F.lit(1)))
+    valid = _is_card(digits)
     renamed = permute_chars(body, key, "card")
     return valid, _refill(value, F.concat(renamed, _check_digit(renamed)))
 
 
+def _all(text: Column) -> Column:
+    """Pattern of everything that is looked for in ``text``: its own card numbers are written out, the longest first."""
+    found = F.flatten(F.array(*[
+        F.array_distinct(F.regexp_extract_all(text, F.lit(f"{BEFORE}(?=({form}){AFTER})"), F.lit(1))) for form in CARD_FORMS
+    ]))
+    valid = F.filter(F.transform(found, lambda v: F.struct(v.alias("v"), _digits(v).alias("d"))), lambda x: _is_card(x.d))
+    # Only places that look like a card number are compared with the list; its last entry fits nothing.
+    cards = F.array_join(F.concat(F.transform(valid, lambda x: x.v), F.array(F.lit("(?!)"))), "|")
+    return F.concat(F.lit(f"{BEFORE_CARDS}|(?={'|'.join(CARD_FORMS)})(?:"), cards, F.lit(f"){AFTER_CARDS}"))
+
+
 def _phone(value: Column, key: str) -> tuple[Column, Column]:
     digits = _digits(value)
     # The country code stays, so that a number is the same with and without it.
@@ -235,7 +257,8 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
 
     Looked for are e-mail addresses, telephone numbers, IPv4 addresses, card numbers with a right check digit, US
     social security numbers, dates of 1900 to 2099 and hexadecimal secrets. Numbers that only look alike
-    (wrong check digit, impossible date) stay. A pseudonym has the format of its value, is valid in it, and is the
+    (wrong check digit, impossible date) stay. A card number among other groups of digits is found
+    in each of its forms; of several that start at one place the longest is taken. A pseudonym has the format of its value, is valid in it, and is the
     same for equal values under one ``key`` in all documents, however they are written; different values
     have different ones. Whole texts are read. ``pseudonyms`` lists ``(kind, value)`` of the new values in the order of
     the text and replaces a column of this name; it is empty where nothing was found.
@@ -246,11 +269,11 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     text = F.col(text_col)
     # Texts without a digit or an at sign hold nothing: they are not searched.
     worth = text.rlike("[0-9@]")
-    matches = F.when(worth, F.regexp_extract_all(text, F.lit(ALL), F.lit(0)))
-    found = docs.withColumn("__matches", matches).withColumn(
+    matches = F.when(worth, F.regexp_extract_all(text, F.col("__all"), F.lit(0)))
+    found = docs.withColumn("__all", F.when(worth, _all(text))).withColumn("__matches", matches).withColumn(
         "__new", F.transform("__matches", lambda m: _renamed(m, key))
     )
-    between = F.split(text, ALL, -1)
+    between = F.split(text, F.col("__all"), -1)
     parts = F.transform(
         between,
         lambda gap, i: F.concat(
@@ -263,4 +286,4 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
         "pseudonyms": F.coalesce(
             F.filter("__new", lambda x: x.isNotNull()), F.array().cast("array<struct<kind:string,value:string>>")
         ),
-    }).drop("__matches", "__new")
+    }).drop("__all", "__matches", "__new")

@@ -106,3 +106,22 @@ def test_long_texts_and_repeated_rows(docs):
 def test_plan_is_native(docs):
     plan = pii.pseudonymise(docs([(1, "x")]), "k")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_cards_next_to_other_numbers(docs):
+    number = "4111 1111 1111 1111"
+    texts = [
+        f"{number} 12/27", f"{number} 123", f"0000 {number}", f"0000 0001 {number}", f"{number} 1234 5678", f"1234 {number.replace(' ', '-')} 12/27",
+        "3782 822463 10005 1234", "1234 3782-822463-10005 4111111111111111 123", f"{number} {number} 99",
+    ]
+    new, found = run(docs, texts)
+    by_number = {"4111": re.sub(r"\D", "", found[0][0][1]), "3782": re.sub(r"\D", "", found[6][0][1])}
+    assert all(luhn(v) for v in by_number.values())
+    for old, text, made in zip(texts, new, found):
+        assert "1111 1111" not in text and "1111-1111" not in text and "822463" not in text and "11111111" not in text
+        assert [k for k, _ in made] == ["card"] * (2 if old in texts[-2:] else 1)
+        assert all(re.sub(r"\D", "", v) in by_number.values() for _, v in made)
+        # What stands around the card numbers stays.
+        assert re.sub(r"4111(.?)1111\1?1111\1?1111|3782.822463.10005", "#", old) == re.sub("|".join(re.escape(v) for _, v in made), "#", text)
+    bad = "4111 1111 1111 1112 13"
+    assert run(docs, [bad]) == ([bad], [[]])
