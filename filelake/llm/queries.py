@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filelake.llm import cover_tree, html_extract, itq, line_dedup, mixing, packing, pii, simhash, toxicity, url_filter
+from filelake.llm import (
+    cover_tree, html_extract, itq, line_dedup, mixing, packing, pii, presence, simhash, substring_dedup, toxicity, url_filter, whitening,
+)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -163,6 +165,69 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold() == 0).alias("held_out"), "score", "predicted", "sentences")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components_long(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+# Every window written out as its text.
+OP12_SQL = r"""
+with parts as (
+  select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents
+), windows as (
+  select r, p, array_to_string(list_slice(ws, p, p + 34), ' ') as w
+  from (select r, ws, unnest(generate_series(1, len(ws) - 34)) as p from parts)
+), repeated as (
+  select r, p from (select r, p, count(*) over (partition by w) as n from windows) where n > 1
+), gone as (
+  select distinct r, unnest(generate_series(p, p + 34)) as p from repeated
+), words as (
+  select r, unnest(ws) as word, generate_subscripts(ws, 1) as p from parts
+), kept as (
+  select w.r, string_agg(w.word, ' ' order by w.p) as text, count(*) as n
+  from words w left join gone g using (r, p) where g.p is null group by w.r
+)
+select d.doc_id, cast(len(d.ws) as bigint) as n_words, cast(len(d.ws) - coalesce(k.n, 0) as bigint) as n_removed,
+  sha256(coalesce(k.text, '')) as kept_sha256
+from parts d left join kept k using (r)
+"""
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return presence.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 20)
+
+
+OP13_SQL = r"""
+with terms as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as t from documents
+), asked as (
+  select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as t from benchmark
+), lengths as (
+  select doc_id, count(*) as n from terms group by doc_id
+), totals as (
+  select count(*) as nn, cast(sum(n) as bigint) as ll from lengths
+), counted as (
+  select doc_id, t, count(*) as tf from terms group by doc_id, t
+), weights as (
+  select t, cast(floor(1000 * ln((2 * any_value(nn) + 2)::double / (2 * count(*) + 1))) as bigint) as w from counted, totals group by t
+), gains as (
+  select c.doc_id, c.t, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll))) as gain
+  from counted c join weights using (t) join lengths using (doc_id), totals
+), scored as (
+  select item_id, doc_id, cast(sum(gain) as bigint) as score from asked join gains using (t) group by item_id, doc_id
+), ranked as (
+  select *, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank from scored where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 20
+"""
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_html_extract": op2_html_extract,
@@ -174,5 +239,11 @@ QUERIES = {
     "op8_pseudonyms": op8_pseudonyms,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_ranked_search": op13_ranked_search,
+}
+ORACLES = {
+    "op1_line_dedup": OP1_SQL, "op5_exact_top_k": OP5_SQL, "op9_url_filter": OP9_SQL, "op12_substring_dedup": OP12_SQL,
+    "op13_ranked_search": OP13_SQL,
 }
-ORACLES = {"op1_line_dedup": OP1_SQL, "op5_exact_top_k": OP5_SQL, "op9_url_filter": OP9_SQL}

@@ -92,7 +92,7 @@ def test_queries_match_sql(spark, name):
 
 def test_every_operator_is_registered():
     numbers = [int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op")]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 SHAPES = {
@@ -106,6 +106,12 @@ SHAPES = {
     "op7_simhash_dedup": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
     "op9_url_filter": {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"},
     "op10_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op11_embedding_whitening": {
+        "vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double", "explained": "double",
+        "identity_error": "double",
+    },
+    "op12_substring_dedup": {"doc_id": "bigint", "n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string"},
+    "op13_ranked_search": {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
 }
 
 
