@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filelake.llm import line_dedup, mixing, near_copies, packing, queries, scratch, toxicity
+from filelake.llm import line_dedup, mixing, packing, queries, scratch, simhash, toxicity
 
 # A source is repeated at most this often, as the small ones are raised towards equal shares.
 MAX_REPETITION = 2.0
@@ -20,8 +20,7 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents whose toxicity score is below one half; the model is trained from the labelled ones."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels)
-    scored = docs.withColumn("__predicted", toxicity.score_of(F.col("text"), spark, model))
-    return scored.filter(F.col("__predicted") < 0.5).select(*docs.columns)
+    return docs.filter(toxicity.score_of(F.col("text"), spark, model) < 0.5)
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +32,8 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8 or more, compared exactly."""
-    return near_copies.keep_one(docs).select(*docs.columns)
+    """One document of each group whose SimHash fingerprints link: four-word shingles, at most 4 differing bits."""
+    return simhash.keep_one(docs).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
