@@ -7,7 +7,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,45 +15,27 @@ from filelake.llm import runs, scratch
 WINDOW = 35
 # Words of the pieces among which a window's leader is chosen.
 PIECE = 8
-# Window starts that a task hashes at a time, and rows after which it hands on what it has counted.
+# Bytes of text that are hashed at a time, window starts of a part of a long text, and rows after which a task hands on
+# what it has counted.
+BYTES = 1 << 20
 PART = 1 << 18
-BLOCK = 1 << 20
-# Distinct words whose hashes a worker remembers.
-REMEMBERED = 500_000
+BLOCK = 1 << 18
 # Count-min sketch: rows, bits of a cell's number, and the keys that share one sketch. With half as many keys as cells
 # in a row, 2 to 3 in 100 unrepeated keys are estimated as repeated, at every size of the input.
 DEPTH = 4
 CELL_BITS = 21
 KEYS = 1 << 20
 _random = np.random.default_rng(12)
-_ODD = _random.integers(0, 1 << 63, DEPTH + 4, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD = _random.integers(0, 1 << 63, DEPTH + 6, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 ROW_FACTORS, FACTORS = _ODD[:DEPTH], _ODD[DEPTH:]
+# A random number for each byte, once for each of the two hashes of a word.
+BYTE_VALUES = _random.integers(0, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+# White space between words.
+SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 # Places of a leader within a part take the low bits of its order.
 PLACE = np.uint64((1 << 20) - 1)
 
 
-class Words(dict):
-    """Numbers of words, and two 64-bit hashes of each; emptied when it has grown too large."""
-
-    def __init__(self):
-        super().__init__()
-        self.hashes = np.empty((1 << 16, 2), dtype=np.uint64)
-
-    def __missing__(self, word: bytes) -> int:
-        n = len(self)
-        if n == len(self.hashes):
-            self.hashes = np.concatenate([self.hashes, np.empty_like(self.hashes)])
-        self.hashes[n] = np.frombuffer(xxhash.xxh3_128_digest(word), dtype=np.uint64)
-        self[word] = n
-        return n
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > REMEMBERED:
-            self.clear()
-        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return self.hashes[numbers]
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * FACTORS[2]
     x = (x ^ (x >> np.uint64(29))) * FACTORS[3]
@@ -72,23 +53,94 @@ def _powers(factor: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
     return both[0], both[1]
 
 
-_POWERS = [_powers(f, PART + WINDOW) for f in FACTORS[:2]]
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _sums(values: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of a polynomial's terms, and the factors that make a difference of two of them start at power 0."""
+    n = len(values)
+    if n > len(_POWERS.get(which, ((),))[0]):
+        _POWERS[which] = _powers(FACTORS[which], max(n, BYTES + 1))
+    up, down = _POWERS[which]
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(values * up[:n], dtype=np.uint64, out=sums[1:])
+    return sums, down[:n]
 
 
 def sequence_hashes(h: np.ndarray, length: int, which: int = 0) -> np.ndarray:
-    """A 64-bit hash of every ``length`` consecutive entries: a polynomial, from running sums of its terms."""
-    up, down = _POWERS[which] if len(h) <= PART + WINDOW else _powers(FACTORS[which], len(h))
-    sums = np.zeros(len(h) + 1, dtype=np.uint64)
-    np.cumsum(h * up[: len(h)], dtype=np.uint64, out=sums[1:])
+    """A 64-bit hash of every ``length`` consecutive entries."""
+    sums, down = _sums(h, which)
     return _mix((sums[length:] - sums[:-length]) * down[: len(h) - length + 1])
 
 
-def leaders(h: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(key, first, last)``: the windows ``first`` to ``last`` have their least piece at one place.
+def word_hashes(data: np.ndarray, offsets: np.ndarray, hashes: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """``hashes`` 64-bit hashes of every word of texts that stand one after another, and the words of each text."""
+    space = SPACE[data]
+    edge = np.ones(len(data) + 1, dtype=bool)
+    edge[1:-1] = space[1:] | space[:-1]
+    edge[offsets] = True
+    cuts = np.nonzero(edge)[0]
+    own = ~space[cuts[:-1]] if len(cuts) > 1 else np.zeros(0, dtype=bool)
+    starts, ends = cuts[:-1][own], cuts[1:][own]
+    out = []
+    for which in range(hashes):
+        sums, down = _sums(BYTE_VALUES[which][data], which)
+        out.append(_mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * FACTORS[4 + which]))
+    return out, np.diff(np.searchsorted(starts, offsets))
+
+
+def _pieces(data: np.ndarray) -> Iterator[np.ndarray]:
+    """A long text cut at white space into pieces of about ``BYTES``."""
+    at = 0
+    while at < len(data):
+        upto = at + BYTES
+        while upto < len(data) and not SPACE[data[upto]]:
+            near = np.nonzero(SPACE[data[upto : upto + BYTES]])[0]
+            upto = upto + int(near[0]) if len(near) else upto + BYTES
+        yield data[at:upto]
+        at = upto
+
+
+def grouped(texts: pa.Array, hashes: int, window: int) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray, int]]:
+    """``(hashes, rows, words, at)``: the words of some rows, how many each has, and the number of the first one in its row.
+
+    Short texts come many at a time. A long one comes alone, in parts of at most ``PART`` window starts, so that
+    every window is in just one part.
+    """
+    texts = texts.cast(pa.binary())
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)
+    row = 0
+    while row < len(texts):
+        upto = max(row + 1, int(np.searchsorted(offsets, offsets[row] + BYTES, side="right")) - 1)
+        own, rows = data[offsets[row] : offsets[upto]], np.arange(row, upto)
+        if len(own) <= BYTES:
+            found, words = word_hashes(own, offsets[row : upto + 1] - offsets[row], hashes)
+            yield found, rows, words, 0
+        else:
+            made = [word_hashes(p, np.array([0, len(p)]), hashes)[0] for p in _pieces(own)]
+            found = [np.concatenate(h) for h in zip(*made)]
+            for at in range(0, max(1, len(found[0]) - window + 1), PART):
+                part = [h[at : at + PART + window - 1] for h in found]
+                yield part, rows, np.array([len(part[0])]), at
+        row = upto
+
+
+def whole_windows(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts with so many words, one after another: each window's first word in all, its text, and its number there."""
+    ends = np.cumsum(words)
+    count = np.maximum(words - window + 1, 0)
+    text = np.repeat(np.arange(len(words)), count)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
+    return number + (ends - words)[text], text, number
+
+
+def leaders(h: np.ndarray, window: int = WINDOW, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(key, first, last)``: the windows ``at[first]`` to ``at[last]`` have their least piece at one place.
 
     The least piece of a window follows from its words, the leftmost of equal ones counts. So equal windows that
     start at two places have equal leaders at two places, and the number of a leader's places
-    is never below the number of any of its windows' starts.
+    is never below the number of any of its windows' starts. ``at`` is all windows by default.
     """
     piece = min(PIECE, window)
     keys = sequence_hashes(h, piece)
@@ -99,16 +151,11 @@ def leaders(h: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray
         order = np.minimum(order[:-step], order[step:])
         span += step
     place = (order & PLACE).astype(np.int64)
+    place = place if at is None else place[at]
     first = np.concatenate([[0], np.nonzero(place[1:] != place[:-1])[0] + 1])
     return keys[place[first]], first, np.concatenate([first[1:], [len(place)]]) - 1
 
 
-def parts(words: list[bytes], window: int) -> Iterator[tuple[int, list[bytes]]]:
-    """A long text as parts of at most ``PART`` window starts; every window is in just one."""
-    for at in range(0, len(words) - window + 1, PART):
-        yield at, words[at : at + PART + window - 1]
-
-
 class Sketched:
     """What a task has counted of a block: keys that occur once, with their places, and keys that repeat.
 
@@ -128,7 +175,10 @@ class Sketched:
             return
         k1, k2, *rest = [np.concatenate(c) for c in zip(*self.columns)]
         self.columns, self.rows = [], 0
-        order = np.lexsort((k2, k1))
+        order = np.argsort(k1)
+        same = np.diff(k1[order]) == 0
+        if (same & (np.diff(k2[order]) != 0)).any():
+            order = np.lexsort((k2, k1))
         k1, k2, rest = k1[order], k2[order], [c[order] for c in rest]
         new = np.ones(len(k1) + 1, dtype=bool)
         new[1:-1] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
@@ -148,23 +198,20 @@ ROWS = "k1 long, k2 long, t1 long, t2 long, first int, last int, n int"
 NAMES = ["t1", "t2", "first", "last"]
 
 
-def _texts(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple]:
-    """Rows with the text as words; a few at a time stand in memory as Python objects."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, 64):
-            part = batch.slice(at, 64)
-            texts = part.column("text").cast(pa.binary()).to_pylist()
-            yield from zip((t.split() if t else [] for t in texts), *(part.column(n).to_pylist() for n in names))
-
-
 def _leaders_of(window: int):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, block = Words(), Sketched(NAMES)
-        for words, t1, t2 in _texts(batches, ["t1", "t2"]):
-            for at, part in parts(words, window):
-                key, first, last = leaders(memory.of(part)[:, 0], window)
-                same = np.full(len(key), 0, dtype=np.int64)
-                block.add(key, same.view(np.uint64), same + t1, same + t2, (first + at).astype(np.int32), (last + at).astype(np.int32))
+        block = Sketched(NAMES)
+        for batch in batches:
+            t1, t2 = (batch.column(n).to_numpy() for n in NAMES[:2])
+            for (h,), rows, words, base in grouped(batch.column("text"), 1, window):
+                at, text, number = whole_windows(words, window)
+                if len(at):
+                    key, first, last = leaders(h, window, at)
+                    row = rows[text[first]]
+                    block.add(
+                        key, np.zeros(len(key), np.uint64), t1[row], t2[row],
+                        (number[first] + base).astype(np.int32), (number[last] + base).astype(np.int32),
+                    )
                 if block.rows >= BLOCK:
                     yield from block.take()
         yield from block.take()
@@ -211,15 +258,17 @@ def _suspects(docs: DataFrame, window: int) -> tuple[DataFrame, str]:
 
 
 def _spans(places: DataFrame, name: str) -> DataFrame:
-    """All spans of a text in one binary column: 32-bit first and last."""
-    pair = F.concat(F.unhex(F.lpad(F.hex("first"), 8, "0")), F.unhex(F.lpad(F.hex("last"), 8, "0")))
-    return places.groupBy("t1", "t2").agg(F.array_join(F.collect_set(F.hex(pair)), "").alias("_h")).select(
-        "t1", "t2", F.unhex("_h").alias(name)
-    )
+    """All spans of a text in one array of numbers: the first window in the upper 32 bits, the number of further ones below.
+
+    With the last window below, all spans of one window would share a hash code in the set.
+    """
+    pair = F.shiftleft(F.col("first").cast("long"), 32).bitwiseOR((F.col("last") - F.col("first")).cast("long"))
+    return places.groupBy("t1", "t2").agg(F.collect_set(pair).alias(name))
 
 
-def _read_spans(packed: bytes | None) -> np.ndarray:
-    return np.frombuffer(packed or b"", dtype=">i4").reshape(-1, 2).astype(np.int64)
+def _read_spans(packed: np.ndarray | None) -> np.ndarray:
+    packed = np.zeros(0, np.int64) if packed is None else np.asarray(packed, dtype=np.int64)
+    return np.stack([packed >> 32, (packed >> 32) + (packed & 0xFFFFFFFF)], axis=1)
 
 
 def _covered(spans: np.ndarray, n: int, more: int = 0) -> np.ndarray:
@@ -234,18 +283,26 @@ def _windows_of(window: int):
     """Exact keys of the suspected windows."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, block = Words(), Sketched(NAMES)
-        for words, t1, t2, packed in _texts(batches, ["t1", "t2", "suspect"]):
-            starts = max(0, len(words) - window + 1)
-            wanted = _covered(_read_spans(packed), starts)
-            for at, part in parts(words, window):
-                own = np.nonzero(wanted[at : at + PART])[0]
-                if len(own):
-                    h = memory.of(part)
-                    k1, k2 = (sequence_hashes(h[:, i], window, i)[own] for i in (0, 1))
-                    same = np.zeros(len(own), dtype=np.int64)
-                    place = (own + at).astype(np.int32)
-                    block.add(k1, k2, same + t1, same + t2, place, place)
+        block = Sketched(NAMES)
+        for batch in batches:
+            t1, t2 = (batch.column(n).to_numpy() for n in NAMES[:2])
+            spans = batch.column("suspect")
+            for found, rows, words, base in grouped(batch.column("text"), 2, window):
+                at, text, number = whole_windows(words, window)
+                if not len(at):
+                    continue
+                # Windows of the group that are in a span: its ends among the windows of its text.
+                per_row = [_read_spans(spans[r].values.to_numpy()) for r in rows.tolist()]
+                first = np.concatenate([[0], np.cumsum(np.maximum(words - window + 1, 0))])
+                marked = [np.clip(p + [0, 1] - base, 0, first[i + 1] - first[i]) + first[i] for i, p in enumerate(per_row)]
+                step = np.zeros(len(at) + 1, dtype=np.int64)
+                edges = np.concatenate(marked)
+                np.add.at(step, edges[:, 0], 1)
+                np.add.at(step, edges[:, 1], -1)
+                own = np.nonzero(np.cumsum(step[:-1]) > 0)[0]
+                k1, k2 = (sequence_hashes(h, window, i)[at[own]] for i, h in enumerate(found))
+                row, place = rows[text[own]], (number[own] + base).astype(np.int32)
+                block.add(k1, k2, t1[row], t2[row], place, place)
                 if block.rows >= BLOCK:
                     yield from _joined(block.take())
         yield from _joined(block.take())
@@ -301,7 +358,7 @@ def _cut(window: int):
         for text, packed in zip(texts, repeats):
             words = text.encode("utf-8", "surrogatepass").split() if text else []
             n = len(words)
-            if not packed:
+            if packed is None:
                 rows.append((b" ".join(words).decode("utf-8", "surrogatepass"), n, 0, []))
                 continue
             gone = _covered(_read_spans(packed), n, window - 1)

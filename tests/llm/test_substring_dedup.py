@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from filelake.llm import substring_dedup as S
@@ -60,14 +61,35 @@ def test_windows_across_parts_and_blocks(spark, monkeypatch):
     texts[5] = texts[5] + " " + " ".join(texts[5].split()[600:640])
     expected = brute(texts, 35)
     assert run(spark, texts, 35) == expected
-    words = [t.split() for t in texts]
-    memory = S.Words()
-    whole = [S.sequence_hashes(memory.of([x.encode() for x in w])[:, 0], 35) for w in words]
+    data = pa.array([t.encode() for t in texts], pa.binary())
+    whole = {}
+    for (h,), rows, words, _ in S.grouped(data, 1, 35):
+        at, text, number = S.whole_windows(words, 35)
+        for k, r, n in zip(S.sequence_hashes(h, 35)[at].tolist(), rows[text].tolist(), number.tolist()):
+            whole[r, n] = k
     monkeypatch.setattr(S, "PART", 64)
-    for w, hashes in zip(words, whole):
-        cut = [S.sequence_hashes(memory.of([x.encode() for x in p])[:, 0], 35) for _, p in S.parts(w, 35)]
-        assert np.array_equal(np.concatenate(cut), hashes)
-        assert [len(c) for c in cut[:-1]] == [64] * (len(cut) - 1)
+    monkeypatch.setattr(S, "BYTES", 500)
+    cut = {}
+    for (h,), rows, words, base in S.grouped(data, 1, 35):
+        assert words.tolist() == [len(h)] and len(h) <= 64 + 34
+        for n, k in enumerate(S.sequence_hashes(h, 35).tolist()):
+            assert (rows[0], n + base) not in cut
+            cut[rows[0], n + base] = k
+    assert cut == whole and len(whole) == sum(len(t.split()) - 34 for t in texts)
+
+
+def test_words_are_those_of_the_pattern():
+    texts = ["", " ", "a", "a b", "  \x0bä\x0c\r\nb\x1cc\x85d ", "x" * 300, "a a", "b a"]
+    (a, b), words = S.word_hashes(*flat(texts), 2)
+    assert words.tolist() == [len(re.findall(r"[^\x20\x09-\x0D]+", t)) for t in texts]
+    named = [w for t in texts for w in re.findall(r"[^\x20\x09-\x0D]+", t)]
+    for h in (a, b):
+        assert len(set(h.tolist())) == len(set(named)) and len(set(zip(named, h.tolist()))) == len(set(named))
+
+
+def flat(texts):
+    data = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], np.cumsum([len(d) for d in data])])
 
 
 def test_repeated_rows_and_ids(spark):
