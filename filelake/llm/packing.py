@@ -6,6 +6,7 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -13,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filelake.llm import scratch
+from filelake.llm import bytewords, scratch
 
 CAPACITY = 4096
 # Pieces that are packed together in one task, and the groups whose open bins meet in the next round.
@@ -24,21 +25,61 @@ OPEN_BINS = 48
 # Rounds of swaps over the open bins of a group, and how many of the emptiest are tried as giver.
 SWAP_ROUNDS = 200
 GIVERS = 16
-# Distinct chunks and words whose token ids a worker remembers.
-REMEMBERED = 500_000
+# Distinct chunks whose token ids a worker remembers, and how many new ones it keeps aside before it merges them.
+REMEMBERED = 1_000_000
+ASIDE = 1 << 16
 
-# White space at which the tokenizer's result for a text is that of its parts.
-# Python's split() also breaks at 1C-1F, which the tokenizer does not count as white space.
-ODD_SPACE = re.compile(r"[\x1c-\x1f]")
+# What may follow a word of letters whose ids do not change by it.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 PLAIN_WORD = re.compile(r"[a-zß-öø-ÿ]+")
 
 
+@dataclass
+class Known:
+    """Chunks by their two hashes in the order of the first, with the place of their ids; ``used`` since it was made."""
+
+    k1: np.ndarray
+    k2: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+    used: np.ndarray
+
+    @staticmethod
+    def of(k1: np.ndarray, k2: np.ndarray, start: np.ndarray, size: np.ndarray) -> Known:
+        order = np.argsort(k1)
+        return Known(k1[order], k2[order], start[order], size[order], np.zeros(len(k1), dtype=bool))
+
+    def find(self, k1: np.ndarray, k2: np.ndarray, mark: bool = True) -> np.ndarray:
+        """Rows of chunks, -1 for those not here and -2 where another chunk has the same first hash."""
+        if not len(self.k1):
+            return np.full(len(k1), -1)
+        at = np.minimum(np.searchsorted(self.k1, k1), len(self.k1) - 1)
+        same = self.k1[at] == k1
+        here = same & (self.k2[at] == k2)
+        if mark:
+            self.used[at[here]] = True
+        return np.where(here, at, np.where(same, -2, -1))
+
+
+NOTHING = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+
+def _joined(arrays: list[np.ndarray], kind) -> np.ndarray:
+    return np.concatenate(arrays) if arrays else np.zeros(0, dtype=kind)
+
+
+def _gather(ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Slices of ``ids`` one after another."""
+    before = np.cumsum(size) - size
+    return ids[np.repeat(start - before, size) + np.arange(int(size.sum()))]
+
+
 class TokenIds:
-    """Token ids of whole texts as little-endian bytes, remembering those of the words seen before.
+    """Token ids of whole texts, remembering those of the chunks between white space that were seen before.
 
-    A tokenizer that works on words gives a text the ids of its words one after another, so only new words
-    reach it. Both memories are bounded and emptied when full.
+    A tokenizer that works on words gives a text the ids of its words one after another, so only new chunks
+    reach it. Chunks are told apart by 128 bits of themselves and looked up many at a time; where the first 64 bits are
+    not enough, a text is encoded whole. A full memory keeps the chunks that were used again.
     """
 
     def __init__(self, path: str):
@@ -48,64 +89,106 @@ class TokenIds:
         vocabulary = self.tokenizer.get_vocab()
         self.word_end = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.word_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.known, self.aside = Known.of(*NOTHING), Known.of(*NOTHING)
+        self.ids = np.zeros(1 << 20, dtype="<u4")
+        self.filled = 0
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
-    def _learn_words(self, words: list[str]) -> None:
-        """Words of letters only are encoded many at a time; the ids that end a word tell them apart."""
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters only, and how many each has. They are encoded many at a time: some ids end a word."""
+        found, sizes = [], []
         for i in range(0, len(words), 256):
             part = words[i : i + 256]
-            ids = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids
-            ids = np.array(ids, dtype="<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
             ends = np.nonzero(self.word_end[ids])[0] + 1
             if len(ends) != len(part):
-                self.words.update((w, self._whole(w)) for w in part)
-                continue
-            at = 0
-            for w, end in zip(part, ends.tolist()):
-                self.words[w] = ids[at:end].tobytes()
-                at = end
-
-    def _learn(self, chunks: set[str]) -> None:
-        split, rest, new = [], [], set()
-        for chunk in chunks:
-            core = chunk.rstrip(MARKS)
-            word = core.lower()
-            if PLAIN_WORD.fullmatch(word):
-                split.append((chunk, word, chunk[len(core) :]))
-                if word not in self.words:
-                    new.add(word)
+                each = [self._whole(w) for w in part]
+                ids, ends = np.concatenate(each), np.cumsum([len(e) for e in each])
+            found.append(ids)
+            sizes.append(np.diff(ends, prepend=0))
+        return _joined(found, "<u4"), _joined(sizes, np.int64)
+
+    def _new(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks, each alone, and how many each has: those of a word and the marks after it, or of the whole chunk."""
+        cores = [c.rstrip(MARKS) for c in chunks]
+        words = [w if PLAIN_WORD.fullmatch(w) else "" for w in map(str.lower, cores)]
+        # What the ids of a chunk are made of: nothing, words, then marks and whole chunks by their text.
+        number = {w: i for i, w in enumerate(dict.fromkeys(["", *words]))}
+        ids, sizes = self._words(list(number)[1:])
+        rest = [c[len(core) :] if w else c for c, core, w in zip(chunks, cores, words)]
+        other = {r: i for i, r in enumerate(dict.fromkeys(rest), len(number))}
+        whole = [self._whole(r) for r in other]
+        pool = np.concatenate([ids, _joined(whole, "<u4")])
+        sizes = np.concatenate([[0], sizes, [len(w) for w in whole]]).astype(np.int64)
+        parts = np.array([[number[w], other[r]] for w, r in zip(words, rest)], dtype=np.int64)
+        starts = np.cumsum(sizes) - sizes
+        return _gather(pool, starts[parts].ravel(), sizes[parts].ravel()), sizes[parts].sum(axis=1)
+
+    def _add(self, k1: np.ndarray, k2: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        old = self.aside
+        start = self._store(ids, size)
+        both = [np.concatenate(x) for x in zip((old.k1, old.k2, old.start, old.size), (k1, k2, start, size))]
+        used = np.concatenate([old.used, np.zeros(len(k1), dtype=bool)])
+        order = np.argsort(both[0])
+        self.aside = Known(*(x[order] for x in both), used[order])
+
+    def _store(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        while self.filled + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.filled : self.filled + len(ids)] = ids
+        start = np.cumsum(size) - size + self.filled
+        self.filled += len(ids)
+        return start
+
+    def _make_room(self) -> None:
+        """Merge the chunks kept aside; if there are too many, keep those used again, or none if that are most."""
+        if len(self.aside.k1) <= ASIDE:
+            return
+        names = ("k1", "k2", "start", "size", "used")
+        k1, k2, start, size, used = (np.concatenate([getattr(self.known, n), getattr(self.aside, n)]) for n in names)
+        self.aside = Known.of(*NOTHING)
+        order = np.argsort(k1)
+        if len(k1) > REMEMBERED:
+            order = order[used[order]] if used.mean() < 0.75 else order[:0]
+            used = np.zeros_like(used)
+        self.known = Known(k1[order], k2[order], start[order], size[order], used[order])
+        if len(order) < len(k1):
+            kept, self.ids, self.filled = _gather(self.ids, start[order], size[order]), np.zeros(1 << 20, dtype="<u4"), 0
+            self.known.start = self._store(kept, self.known.size)
+
+    def _piece(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """Ids of the texts that stand in ``data`` one after another."""
+        (k1, k2), begin, end = bytewords.word_hashes(data, offsets)
+        own1, first, word = np.unique(k1, return_index=True, return_inverse=True)
+        own2 = k2[first]
+        if (own2[word] != k2).any():
+            return [self._whole(data[a:b].tobytes().decode()) for a, b in zip(offsets[:-1], offsets[1:])]
+        self._make_room()
+        at, aside = self.known.find(own1, own2), self.aside.find(own1, own2)
+        if (at == -2).any() or (aside == -2).any():
+            return [self._whole(data[a:b].tobytes().decode()) for a, b in zip(offsets[:-1], offsets[1:])]
+        new = np.nonzero((at < 0) & (aside < 0))[0]
+        if len(new):
+            raw = data.tobytes()
+            places = zip(begin[first[new]].tolist(), end[first[new]].tolist())
+            self._add(own1[new], own2[new], *self._new([raw[a:b].decode("utf-8", "replace") for a, b in places]))
+            aside = self.aside.find(own1, own2, mark=False)
+        start, size = np.zeros(len(own1), np.int64), np.zeros(len(own1), np.int64)
+        for level, rows in ((self.known, at), (self.aside, aside)):
+            here = rows >= 0
+            start[here], size[here] = level.start[rows[here]], level.size[rows[here]]
+        ids = _gather(self.ids, start[word], size[word])
+        ends = np.concatenate([[0], np.cumsum(size[word])])[np.searchsorted(begin, offsets)]
+        return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+    def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        for rows, data, offsets in bytewords.groups(texts):
+            if len(rows) > 1 or len(data) <= bytewords.BYTES:
+                yield from self._piece(data, offsets)
             else:
-                rest.append(chunk)
-        self._learn_words(sorted(new))
-        for chunk, word, marks in split:
-            ids = self.words[word]
-            if marks:
-                if marks not in self.words:
-                    self.words[marks] = self._whole(marks)
-                ids += self.words[marks]
-            self.chunks[chunk] = ids
-        for chunk, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.chunks[chunk] = np.array(e.ids, dtype="<u4").tobytes()
-
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            if ODD_SPACE.search(text):
-                yield self._whole(text)
-                continue
-            parts = text.split()
-            known = self.chunks
-            try:
-                yield b"".join([known[p] for p in parts])
-            except KeyError:
-                if len(known) > REMEMBERED or len(self.words) > REMEMBERED:
-                    known.clear()
-                    self.words.clear()
-                self._learn({p for p in parts if p not in known})
-                yield b"".join([known[p] for p in parts])
+                yield np.concatenate([self._piece(p, np.array([0, len(p)]))[0] for p in bytewords.pieces(data)])
 
 
 _TOKEN_IDS: dict[str, TokenIds] = {}
@@ -120,15 +203,11 @@ def _cut(path: str, end_id: int, capacity: int):
         encode = _TOKEN_IDS[path]
         for batch in batches:
             out: list[tuple] = []
-            # A few texts at a time, so that long ones do not stand in memory together.
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                for key, ids in zip(part.column("id").to_pylist(), encode(texts)):
-                    ids += end
-                    for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
-                        own = ids[start : start + 4 * capacity]
-                        out.append((key, piece, start // 4, len(own) // 4, zlib.crc32(own)))
+            for key, found in zip(batch.column("id").to_pylist(), encode(batch.column("text"))):
+                ids = found.tobytes() + end
+                for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
+                    own = ids[start : start + 4 * capacity]
+                    out.append((key, piece, start // 4, len(own) // 4, zlib.crc32(own)))
             if out:
                 columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
                 yield pa.record_batch(columns, ["id", "piece", "start", "length", "ids_crc32"])

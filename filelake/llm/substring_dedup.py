@@ -10,14 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filelake.llm import runs, scratch
+from filelake.llm import bytewords, runs, scratch
 
 WINDOW = 35
 # Words of the pieces among which a window's leader is chosen.
 PIECE = 8
-# Bytes of text that are hashed at a time, window starts of a part of a long text, and rows after which a task hands on
-# what it has counted.
-BYTES = 1 << 20
+# Window starts of a part of a long text, and rows after which a task hands on what it has counted.
 PART = 1 << 18
 BLOCK = 1 << 18
 # Count-min sketch: rows, bits of a cell's number, and the keys that share one sketch. With half as many keys as cells
@@ -25,80 +23,16 @@ BLOCK = 1 << 18
 DEPTH = 4
 CELL_BITS = 21
 KEYS = 1 << 20
-_random = np.random.default_rng(12)
-_ODD = _random.integers(0, 1 << 63, DEPTH + 6, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-ROW_FACTORS, FACTORS = _ODD[:DEPTH], _ODD[DEPTH:]
-# A random number for each byte, once for each of the two hashes of a word.
-BYTE_VALUES = _random.integers(0, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-# White space between words.
-SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_random = np.random.default_rng(13)
+ROW_FACTORS = _random.integers(0, 1 << 63, DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 # Places of a leader within a part take the low bits of its order.
 PLACE = np.uint64((1 << 20) - 1)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * FACTORS[2]
-    x = (x ^ (x >> np.uint64(29))) * FACTORS[3]
-    return x ^ (x >> np.uint64(32))
-
-
-def _powers(factor: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse, modulo 2^64."""
-    inverse = np.uint64(pow(int(factor), -1, 1 << 64))
-    both = []
-    for base in (factor, inverse):
-        steps = np.full(n, base, dtype=np.uint64)
-        steps[:1] = 1
-        both.append(np.cumprod(steps, dtype=np.uint64))
-    return both[0], both[1]
-
-
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _sums(values: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray]:
-    """Running sums of a polynomial's terms, and the factors that make a difference of two of them start at power 0."""
-    n = len(values)
-    if n > len(_POWERS.get(which, ((),))[0]):
-        _POWERS[which] = _powers(FACTORS[which], max(n, BYTES + 1))
-    up, down = _POWERS[which]
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(values * up[:n], dtype=np.uint64, out=sums[1:])
-    return sums, down[:n]
-
-
 def sequence_hashes(h: np.ndarray, length: int, which: int = 0) -> np.ndarray:
     """A 64-bit hash of every ``length`` consecutive entries."""
-    sums, down = _sums(h, which)
-    return _mix((sums[length:] - sums[:-length]) * down[: len(h) - length + 1])
-
-
-def word_hashes(data: np.ndarray, offsets: np.ndarray, hashes: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """``hashes`` 64-bit hashes of every word of texts that stand one after another, and the words of each text."""
-    space = SPACE[data]
-    edge = np.ones(len(data) + 1, dtype=bool)
-    edge[1:-1] = space[1:] | space[:-1]
-    edge[offsets] = True
-    cuts = np.nonzero(edge)[0]
-    own = ~space[cuts[:-1]] if len(cuts) > 1 else np.zeros(0, dtype=bool)
-    starts, ends = cuts[:-1][own], cuts[1:][own]
-    out = []
-    for which in range(hashes):
-        sums, down = _sums(BYTE_VALUES[which][data], which)
-        out.append(_mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * FACTORS[4 + which]))
-    return out, np.diff(np.searchsorted(starts, offsets))
-
-
-def _pieces(data: np.ndarray) -> Iterator[np.ndarray]:
-    """A long text cut at white space into pieces of about ``BYTES``."""
-    at = 0
-    while at < len(data):
-        upto = at + BYTES
-        while upto < len(data) and not SPACE[data[upto]]:
-            near = np.nonzero(SPACE[data[upto : upto + BYTES]])[0]
-            upto = upto + int(near[0]) if len(near) else upto + BYTES
-        yield data[at:upto]
-        at = upto
+    sums, down = bytewords.running_sums(h, which)
+    return bytewords.mix((sums[length:] - sums[:-length]) * down[: len(h) - length + 1])
 
 
 def grouped(texts: pa.Array, hashes: int, window: int) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray, int]]:
@@ -107,23 +41,16 @@ def grouped(texts: pa.Array, hashes: int, window: int) -> Iterator[tuple[list[np
     Short texts come many at a time. A long one comes alone, in parts of at most ``PART`` window starts, so that
     every window is in just one part.
     """
-    texts = texts.cast(pa.binary())
-    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
-    data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)
-    row = 0
-    while row < len(texts):
-        upto = max(row + 1, int(np.searchsorted(offsets, offsets[row] + BYTES, side="right")) - 1)
-        own, rows = data[offsets[row] : offsets[upto]], np.arange(row, upto)
-        if len(own) <= BYTES:
-            found, words = word_hashes(own, offsets[row : upto + 1] - offsets[row], hashes)
-            yield found, rows, words, 0
-        else:
-            made = [word_hashes(p, np.array([0, len(p)]), hashes)[0] for p in _pieces(own)]
-            found = [np.concatenate(h) for h in zip(*made)]
-            for at in range(0, max(1, len(found[0]) - window + 1), PART):
-                part = [h[at : at + PART + window - 1] for h in found]
-                yield part, rows, np.array([len(part[0])]), at
-        row = upto
+    for rows, data, offsets in bytewords.groups(texts):
+        if len(rows) > 1 or len(data) <= bytewords.BYTES:
+            found, starts, _ = bytewords.word_hashes(data, offsets, hashes)
+            yield found, rows, np.diff(np.searchsorted(starts, offsets)), 0
+            continue
+        made = [bytewords.word_hashes(p, np.array([0, len(p)]), hashes)[0] for p in bytewords.pieces(data)]
+        found = [np.concatenate(h) for h in zip(*made)]
+        for at in range(0, max(1, len(found[0]) - window + 1), PART):
+            part = [h[at : at + PART + window - 1] for h in found]
+            yield part, rows, np.array([len(part[0])]), at
 
 
 def whole_windows(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -3,9 +3,10 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-from filelake.llm import packing
+from filelake.llm import bytewords, packing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
@@ -23,15 +24,35 @@ def texts(n=30, seed=1):
 def test_ids_are_those_of_the_tokenizer():
     plain, ours = Tokenizer.from_file(PATH), packing.TokenIds(PATH)
     every = [t or "" for t in ODD] + texts()
-    for text, ids in zip(every, ours(every)):
-        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    for text, ids in zip(every, ours(pa.array(every))):
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
 def test_memory_of_words_is_bounded(monkeypatch):
-    monkeypatch.setattr(packing, "REMEMBERED", 20)
+    monkeypatch.setattr(packing, "REMEMBERED", 60)
+    monkeypatch.setattr(packing, "ASIDE", 10)
+    monkeypatch.setattr(bytewords, "BYTES", 2000)
     plain, ours = Tokenizer.from_file(PATH), packing.TokenIds(PATH)
-    for text, ids in zip(texts(8), ours(texts(8))):
-        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    some = texts(8, 2) + texts(8, 3) + texts(8, 2)
+    for text, ids in zip(some, ours(pa.array(some))):
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert len(ours.known.k1) <= 60 + 10 + 200
+
+
+def test_chunks_that_share_half_their_hash(monkeypatch):
+    real = bytewords.word_hashes
+
+    def half(data, offsets, hashes=2):
+        (a, b), begin, end = real(data, offsets)
+        return [a % np.uint64(7), b], begin, end
+
+    monkeypatch.setattr(bytewords, "word_hashes", half)
+    plain, ours = Tokenizer.from_file(PATH), packing.TokenIds(PATH)
+    for _ in range(2):
+        for text, ids in zip(texts(5), ours(pa.array(texts(5)))):
+            assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+        for word in ("one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten"):
+            assert [i.tolist() for i in ours(pa.array([word]))] == [plain.encode(word, add_special_tokens=False).ids]
 
 
 def check_packing(rows, sequences_of, capacity):

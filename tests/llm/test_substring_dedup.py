@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from filelake.llm import bytewords
 from filelake.llm import substring_dedup as S
 
 
@@ -68,7 +69,7 @@ def test_windows_across_parts_and_blocks(spark, monkeypatch):
         for k, r, n in zip(S.sequence_hashes(h, 35)[at].tolist(), rows[text].tolist(), number.tolist()):
             whole[r, n] = k
     monkeypatch.setattr(S, "PART", 64)
-    monkeypatch.setattr(S, "BYTES", 500)
+    monkeypatch.setattr(bytewords, "BYTES", 500)
     cut = {}
     for (h,), rows, words, base in S.grouped(data, 1, 35):
         assert words.tolist() == [len(h)] and len(h) <= 64 + 34
@@ -80,8 +81,9 @@ def test_windows_across_parts_and_blocks(spark, monkeypatch):
 
 def test_words_are_those_of_the_pattern():
     texts = ["", " ", "a", "a b", "  \x0bä\x0c\r\nb\x1cc\x85d ", "x" * 300, "a a", "b a"]
-    (a, b), words = S.word_hashes(*flat(texts), 2)
-    assert words.tolist() == [len(re.findall(r"[^\x20\x09-\x0D]+", t)) for t in texts]
+    data, offsets = flat(texts)
+    (a, b), starts, _ = bytewords.word_hashes(data, offsets)
+    assert np.diff(np.searchsorted(starts, offsets)).tolist() == [len(re.findall(r"[^\x20\x09-\x0D]+", t)) for t in texts]
     named = [w for t in texts for w in re.findall(r"[^\x20\x09-\x0D]+", t)]
     for h in (a, b):
         assert len(set(h.tolist())) == len(set(named)) and len(set(zip(named, h.tolist()))) == len(set(named))
