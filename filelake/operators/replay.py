@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from filelake.functions import paths as P
 from filelake.operators import skew
-from filelake.operators.sync import acceptable, archive_cascade, enrich, outcome
+from filelake.operators.sync import acceptable, archive_cascade, enrich, not_failed, outcome
 from filelake.session import remove, stage_at
 
 
@@ -79,7 +79,7 @@ def replay(
     events = (
         enrich(changes.where(F.col("kind") != "folder"))
         .withColumn("file_id", F.coalesce("file_id", F.lit("")))
-        .withColumn("ok", acceptable())
+        .withColumn("ok", acceptable() & not_failed(changes))
         # Every round writes the events, so they carry what the rules and the outcome need.
         .select("seq", "kind", "path_lower", "file_id", "rev", "size", "category", "archive", "ok")
     )

@@ -38,6 +38,11 @@ def acceptable() -> Column:
     return (F.col("kind") == "file") & supported & within_limit()
 
 
+def not_failed(events: DataFrame) -> Column:
+    """Events may carry ``failed``: their file could not be fetched."""
+    return ~F.col("failed") if "failed" in events.columns else F.lit(True)
+
+
 def with_previous_rev(
     changes: DataFrame,
     prior: DataFrame | None = None,
@@ -48,9 +53,10 @@ def with_previous_rev(
 
     The feed must pair paths and ids one to one; ``replay.replay`` covers the general case.
     ``prior`` is ``(path_lower, file_id, rev)``, the state before this feed; ``rows`` is how many rows both
-    have at most, if the caller knows.
+    have at most, if the caller knows. Events with ``failed`` set are not taken in.
     """
-    events = enrich(changes.where(F.col("kind") != "folder")).withColumn("ok", acceptable())
+    events = enrich(changes.where(F.col("kind") != "folder"))
+    events = events.withColumn("ok", acceptable() & not_failed(events))
     if prior is not None:
         seeds = prior.select(
             F.lit(-1).cast("bigint").alias("seq"), F.lit("seed").alias("kind"), "path_lower", "file_id", "rev",
@@ -97,7 +103,8 @@ def classify(
 ) -> DataFrame:
     """Every event with its ``outcome``; folders bypass the state window."""
     folders = changes.where(F.col("kind") == "folder")
-    events = with_previous_rev(changes, prior, max_group, rows).withColumn("outcome", outcome())
+    events = with_previous_rev(changes, prior, max_group, rows)
+    events = events.withColumn("outcome", F.when(~not_failed(events), "skipped").otherwise(outcome()))
     return events.unionByName(
         enrich(folders).withColumn("outcome", F.lit("folder")), allowMissingColumns=True
     )

@@ -8,15 +8,18 @@ from __future__ import annotations
 
 import hashlib
 import io
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filelake import constants as C
+from filelake import schemas
 from filelake.functions import paths as P
 from filelake.operators.archive import visible_members
 from filelake.session import spread_paths
@@ -32,14 +35,24 @@ def list_objects(spark: SparkSession, path: str, glob: str | None = None) -> Dat
 
 
 def _store(stream, uri: str) -> int:
-    """Write a stream as one object in chunks; a repeated task attempt writes the same again."""
+    """Write a stream as one object in chunks; a repeated task attempt writes the same again.
+
+    The object gets its name when it is whole, so a stream that breaks off leaves what was there before.
+    """
     filesystem, path = locate(uri)
-    filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    total = 0
-    with filesystem.open_output_stream(path) as sink:
-        while chunk := stream.read(C.CHUNK_BYTES):
-            total += len(chunk)
-            sink.write(chunk)
+    folder, _, name = path.rpartition("/")
+    filesystem.create_dir(folder, recursive=True)
+    part, total = f"{folder}/.{name}.{uuid.uuid4().hex}", 0
+    try:
+        with filesystem.open_output_stream(part) as sink:
+            while chunk := stream.read(C.CHUNK_BYTES):
+                total += len(chunk)
+                sink.write(chunk)
+        filesystem.move(part, path)
+    except BaseException:
+        if filesystem.get_file_info(part).type == fs.FileType.File:
+            filesystem.delete_file(part)
+        raise
     return total
 
 
@@ -215,17 +228,63 @@ def remove(objects: DataFrame) -> DataFrame:
     return spread_paths(objects.select("path").distinct()).mapInPandas(run, "path string, removed boolean, error string")
 
 
+def put_texts(texts: DataFrame) -> DataFrame:
+    """Write every ``text`` as the object at ``path``: bytes written, or the error."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for path, text in batch[["path", "text"]].itertuples(index=False):
+                try:
+                    rows.append((path, put(path, text.encode("utf-8")), None))
+                except Exception as error:
+                    rows.append((path, None, _error(error)))
+            yield pd.DataFrame(rows, columns=["path", "n_bytes", "error"]).astype({"n_bytes": "Int64"})
+
+    return spread_paths(texts.select("path", "text")).mapInPandas(run, "path string, n_bytes bigint, error string")
+
+
 def fetcher(source: str, root: str) -> Callable[[DataFrame], DataFrame]:
-    """Fetch step of ``SyncJob``: copies new plain files from below ``source`` into the mirror."""
+    """Fetch step of ``SyncJob`` alone: copies new plain files from below ``source`` into the mirror."""
+    return Mirror(source, root).copy_events
+
+
+@dataclass(frozen=True)
+class Mirror:
+    """Objects below ``root`` that are copies of the files below ``source``, with a JSON sidecar each."""
+
+    source: str
+    root: str
 
-    def fetch(attempted: DataFrame) -> DataFrame:
+    def place(self) -> Column:
+        """Where the file of a row is read from."""
+        return F.concat(F.lit(self.source.rstrip("/")), "path_display")
+
+    def copy_events(self, attempted: DataFrame) -> DataFrame:
+        """``(seq, error)`` of plain file events after copying their files."""
         key = P.object_key(F.col("category"), F.col("file_id"), F.col("ext"))
         plain = attempted.where(~F.col("archive")).select(
-            "seq", F.concat(F.lit(source.rstrip("/")), "path_display").alias("source"),
-            P.object_uri(root, key).alias("target"),
+            "seq", self.place().alias("source"), P.object_uri(self.root, key).alias("target")
         )
         # A file with several events in a batch is copied once, and each event gets its result.
         copied = mirror(plain.select("source", "target").distinct()).select("source", "target", "error")
         return plain.join(copied, ["source", "target"]).select("seq", "error")
 
-    return fetch
+    def fetch(self, attempted: DataFrame) -> DataFrame:
+        """``(seq, error)`` of all file events: plain files are copied, the directories of archives read."""
+        zips = attempted.where(F.col("archive")).select("seq", self.place().alias("path"))
+        broken = zip_entries(zips.select("path").distinct()).where(F.col("error").isNotNull()).select("path", "error")
+        return self.copy_events(attempted).unionByName(zips.join(broken, "path", "left").select("seq", "error"))
+
+    def manifest(self, archives: DataFrame) -> DataFrame:
+        """Member manifest of live archives, with the ``source`` it was read from."""
+        places = archives.select("file_id", self.place().alias("path"))
+        return places.join(zip_entries(places), "path").withColumnRenamed("path", "source")
+
+    def sidecar_uri(self) -> Column:
+        return P.object_uri(self.root, P.meta_key(F.col("file_id")))
+
+    def write_sidecars(self, meta: DataFrame) -> DataFrame:
+        """One JSON object for each row of ``meta``."""
+        fields = [F.col(f) for f in schemas.FILE_META.fieldNames()]
+        return put_texts(meta.select(self.sidecar_uri().alias("path"), F.to_json(F.struct(*fields)).alias("text")))

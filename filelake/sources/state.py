@@ -67,12 +67,17 @@ class StateTable:
         return rows.where(~F.col("removed")).select(*columns)
 
     def compact(self, after: int = 1) -> None:
-        """Fold the deltas into a full snapshot of the newest version, if there are ``after`` of them."""
+        """Fold the deltas into a full snapshot of the newest version, if there are ``after`` of them.
+
+        A table that is written whole every time only loses what no read needs any more.
+        """
         found = self.versions()
         base = max((v for v, full in found if full), default=-1)
         if sum(not full and v > base for v, full in found) >= after:
             self.write(found[-1][0], self.read(), full=True)
             self._forget()
+        elif sum(full for _, full in found) > max(2, after):
+            self._forget()
 
     def _forget(self) -> None:
         """Remove what only reads of versions before the last two snapshots would need."""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from test_sync import paired
 
 from filelake.sources import objects
-from filelake.streaming.sync import MovingSyncJob, SyncJob
+from filelake.streaming.sync import SyncJob
 
 
 def state(job):
@@ -123,7 +123,7 @@ def test_removed_objects_and_missing_ones(spark, tmp_path):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_moving_feed_in_batches_equals_plain_replay(spark, tmp_path, seed):
     rows = random_feed(seed, 120)
-    job = MovingSyncJob(spark, str(tmp_path / "job"), compact_after=2)
+    job = SyncJob(spark, str(tmp_path / "job"), compact_after=2)
     for number, start in enumerate(range(0, 120, 40)):
         job.apply(frame(spark, rows[start : start + 40]), number)
         job.apply(frame(spark, rows[start : start + 40]), number, again=number == 0)
@@ -139,7 +139,7 @@ def test_moving_feed_in_batches_equals_plain_replay(spark, tmp_path, seed):
 def test_renamed_file_in_a_later_batch(spark, tmp_path):
     from feeds import change
 
-    job = MovingSyncJob(spark, str(tmp_path / "job"))
+    job = SyncJob(spark, str(tmp_path / "job"))
     job.apply(frame(spark, [change(0, "file", "/p1.jpg", "A", "r1")]), 0)
     job.apply(frame(spark, [change(1, "file", "/p2.jpg", "A", "r1")]), 1)
     assert {r.outcome: r.n for r in job.counts.read().collect()} == {"synced": 1, "unchanged": 1}
