@@ -27,13 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _slot(number: Column) -> Column:
+def slot(number: Column) -> Column:
     return F.element_at(F.array(*[F.lit(e) for e in SLOTS]), (number % 17 + 1).cast("int"))
 
 
 def _feed(events: DataFrame, file_no: Column, path_no: Column) -> DataFrame:
     """Change feed over ``events``: ``file_no`` names the id, ``path_no`` the path."""
-    ext = _slot(path_no)
+    ext = slot(path_no)
     name = F.concat(F.lit("F"), path_no.cast("string"), ext)
     folder = F.concat(F.lit("/Team"), (path_no % 7).cast("string"), F.lit("/"))
     kind = F.when(F.col("event_type") == "error", "deleted").when(F.col("event_type") == "view", "folder")
@@ -66,7 +66,7 @@ def moves(spark: SparkSession, sf_dir: str) -> DataFrame:
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Member manifest of the archives: each document is a member of one of four of them."""
     d = table(spark, sf_dir, "documents")
-    stem = F.concat(F.lit("f"), (F.col("n_chars") % 1000).cast("string"), _slot(F.col("n_chars")))
+    stem = F.concat(F.lit("f"), (F.col("n_chars") % 1000).cast("string"), slot(F.col("n_chars")))
     number = F.col("doc_id").cast("string")
     inner = (
         F.when(F.col("doc_id") % 23 == 0, F.concat(F.lit("__MACOSX/"), number, F.lit(".png")))
@@ -199,7 +199,7 @@ def query_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def doc_uris(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Object URI of every document; the key's number is padded so that URI order is id order."""
     d = table(spark, sf_dir, "documents")
-    name = F.concat(F.lpad(F.col("doc_id").cast("string"), 12, "0"), _slot(F.col("doc_id")))
+    name = F.concat(F.lpad(F.col("doc_id").cast("string"), 12, "0"), slot(F.col("doc_id")))
     return d.select(F.concat(F.lit(ROOT + "/mirror/docs/"), name).alias("uri"), "doc_id", "n_chars")
 
 

@@ -7,6 +7,7 @@ import zipfile
 
 import pandas as pd
 from pyspark import TaskContext
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from filelake import schemas
@@ -18,7 +19,7 @@ from filelake.plans.registry import query
 from filelake.session import new_folder
 from filelake.sources import objects, sidecar
 from filelake.sources.state import StateTable
-from filelake.streaming.sync import MovingSyncJob, SyncJob
+from filelake.streaming.sync import SyncJob
 
 _META = "file_id, path, rev, mime_type, size, server_modified, category, object_uri, caption"
 
@@ -318,7 +319,7 @@ def stream_replay(spark, sf):
 
 
 def _moving_state(spark, feed):
-    job = MovingSyncJob(spark, new_folder(spark, "sync"))
+    job = SyncJob(spark, new_folder(spark, "sync"))
     for number, part in enumerate(_slices(feed)):
         job.apply(part, number)
     return job.paths.read().join(job.revs.read(), "file_id", "left").select("path_lower", "file_id", "rev")
@@ -332,7 +333,7 @@ def stream_moves(spark, sf):
 
 @query("stream_moves_paired", "select path_lower, file_id, rev from live")
 def stream_moves_paired(spark, sf):
-    """On a feed of paired paths and ids the moving fold must agree with the plain one."""
+    """On a feed of paired paths and ids what is left is the folded state."""
     return _moving_state(spark, I.changes(spark, sf))
 
 
@@ -347,3 +348,148 @@ def failed_not_committed(spark, sf):
     job = SyncJob(spark, new_folder(spark, "sync"), fetch=fetch)
     _run_slices(spark, sf, job, new_folder(spark, "feed"))
     return job.live.read().select("path_lower", "file_id", "rev", "category")
+
+
+@query("stream_ownership", "select path_lower, file_id, rev, category from moved_live")
+def stream_ownership(spark, sf):
+    """Files at the paths that own them after three batches of a feed in which files move."""
+    job = SyncJob(spark, new_folder(spark, "sync"))
+    for number, part in enumerate(_slices(I.moves(spark, sf))):
+        job.apply(part, number)
+    return job.files().select("path_lower", "file_id", "rev", "category")
+
+
+# What every plain source file holds.
+_PLAIN = b"content"
+
+
+def _source_files(spark, sf, feed, source, spoil=0, without=None):
+    """A source file for every path of ``feed``: plain ones, and archives that share out all documents.
+
+    With ``spoil`` 1, every second archive loses its end and the others' first member is damaged. Documents in the
+    language ``without`` are left out.
+    """
+    paths = feed.where("kind = 'file'").select("path_lower", "path_display").distinct()
+    zips = paths.where(F.col("path_lower").endswith(".zip"))
+    zips = zips.withColumn("box", F.row_number().over(Window.orderBy("path_lower")) - 1)
+    docs = I.table(spark, sf, "documents").select("doc_id", "text", "lang", "n_chars")
+    if without:
+        docs = docs.where(F.col("lang") != without)
+    inner = F.concat(F.lit("src/"), F.col("doc_id").cast("string"), I.slot(F.col("n_chars")))
+    number = zips.agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
+    members = docs.select(inner.alias("inner_path"), "text", (F.col("doc_id") % number).cast("int").alias("box"))
+
+    def pack(key, rows):
+        place = source + rows["path_display"].iloc[0]
+        buffer = io.BytesIO()
+        named = rows.dropna(subset=["inner_path"]).sort_values("inner_path")
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_STORED) as out:
+            for name, text in named[["inner_path", "text"]].itertuples(index=False):
+                out.writestr(name, text)
+        content = bytearray(buffer.getvalue())
+        if spoil and key[0] % 2:
+            content = content[: len(content) // 2]
+        elif spoil and len(named):
+            # The first content byte after the first local header.
+            content[30 + len(named["inner_path"].iloc[0].encode())] ^= 1
+        objects.put(place, bytes(content))
+        return pd.DataFrame({"path": [place]})
+
+    def plain(batches):
+        for batch in batches:
+            for path in batch["path_display"]:
+                objects.put(source + path, _PLAIN)
+            yield pd.DataFrame({"path": source + batch["path_display"]})
+
+    made = zips.join(members, "box", "left").groupBy("box").applyInPandas(pack, "path string")
+    files = paths.where(~F.col("path_lower").endswith(".zip")).select("path_display").mapInPandas(plain, "path string")
+    made.unionAll(files).write.parquet(new_folder(spark, "sources"))
+
+
+def _mirror_job(spark, sf, feed, name="sync", spoil=0):
+    folder = new_folder(spark, "lake")
+    source, lake = f"{folder}/source", f"{folder}/lake"
+    _source_files(spark, sf, feed, source, spoil)
+    return SyncJob(spark, f"{folder}/{name}", mirror=objects.Mirror(source, lake)), source, lake
+
+
+def _listing(spark, lake):
+    """Objects of the mirror, without the sidecars."""
+    found = objects.list_objects(spark, f"{lake}/mirror").where(~F.col("path").contains("/mirror/meta/"))
+    return found.select(F.concat(F.lit("mirror/"), F.substring_index("path", "/lake/mirror/", -1)).alias("object_key"), "length")
+
+
+_PLAIN_KEYS = """
+select prefix || file_id || case when category = 'docs' then ext else '' end as object_key, cast(7 as bigint) as length
+from {live} where not archive"""
+_MEMBER_KEYS = """
+select prefix || file_id || suffix as object_key, n_bytes as length from box_members"""
+
+
+@query("stream_deletes", _PLAIN_KEYS.format(live="moved_live") + """
+union all
+select m.prefix || l.file_id || '___' || inner_id || suffix, n_bytes
+from moved_live l join moved_boxes b on l.path_lower = b.path_lower
+  join boxed m on m.doc_id % (select count(*) from moved_boxes) = b.box""")
+def stream_deletes(spark, sf):
+    """Objects left in the mirror by a feed in which files move, change their type and end, archives among them."""
+    feed = I.moves(spark, sf)
+    job, _, lake = _mirror_job(spark, sf, feed)
+    for number, part in enumerate(_slices(feed)):
+        job.apply(part, number)
+    return _listing(spark, lake)
+
+
+@query("stream_archives", """
+select file_id, zip_id, path, rev, category, n_bytes as size from box_members""")
+def stream_archives(spark, sf):
+    """Members on record after the whole feed came in one run, without those that broke off before."""
+    feed = I.changes(spark, sf)
+    job, _, _ = _mirror_job(spark, sf, feed)
+    job.apply(feed, 0)
+    return job.items.read().where("zip_id is not null").select("file_id", "zip_id", "path", "rev", "category", "size")
+
+
+@query("stream_archive_retry", _PLAIN_KEYS.format(live="live") + "\nunion all\n" + _MEMBER_KEYS)
+def stream_archive_retry(spark, sf):
+    """The mirror after half of the archives were cut off and a member of the others damaged, and all were mended."""
+    feed = I.changes(spark, sf)
+    job, source, lake = _mirror_job(spark, sf, feed, spoil=1)
+    job.apply(feed, 0)
+    _source_files(spark, sf, feed, source)
+    job.apply(feed.limit(0), 1)
+    return _listing(spark, lake)
+
+
+@query("stream_archive_update", """
+with latest as (
+  select o.file_id, max(c.server_modified) as read_at from outcomes o join changes c using (seq)
+  where o.outcome = 'archive' group by o.file_id
+)
+select m.file_id, m.zip_id, m.path, m.rev, m.category, m.n_bytes as size
+from box_members m join latest on latest.file_id = m.zip_id where day(read_at) <= 20 or lang <> 'en'""")
+def stream_archive_update(spark, sf):
+    """Members after the archives lost their English documents before the last third of the feed."""
+    feed = I.changes(spark, sf)
+    job, source, _ = _mirror_job(spark, sf, feed)
+    for number, part in enumerate(_slices(feed)):
+        if number == 2:
+            _source_files(spark, sf, feed, source, without="en")
+        job.apply(part, number)
+    return job.items.read().where("zip_id is not null").select("file_id", "zip_id", "path", "rev", "category", "size")
+
+
+@query("stream_bootstrap", """
+select file_id, path_display as path, rev, case when archive then 'archive' else category end as category from live where true
+union all select file_id, path, rev, category from box_members""")
+def stream_bootstrap(spark, sf):
+    """Everything on record where the state was lost before the last third of the feed and rebuilt from sidecars."""
+    feed = I.changes(spark, sf)
+    job, source, lake = _mirror_job(spark, sf, feed, "lost")
+    parts = _slices(feed)
+    for number, part in enumerate(parts[:2]):
+        job.apply(part, number)
+    again = SyncJob(spark, new_folder(spark, "again"), mirror=job.mirror)
+    again.bootstrap(sidecar.read_sidecars(spark, f"{lake}/mirror/meta"))
+    again.apply(parts[2], 0)
+    return again.items.read().select("file_id", "path", "rev", "category")

@@ -61,6 +61,31 @@ select * from (select *, row_number() over (partition by path_lower order by seq
     "live": """
 select * exclude (rn, rn2) from (select *, row_number() over (partition by file_id order by seq desc) as rn2
   from owners) where rn2 = 1""",
+    "moved_ev": f"""
+select c.*, replace(c.raw_id, 'id:', '') as file_id, x.category, x.prefix, c.ext = '.zip' as archive,
+  c.kind = 'file' and (c.ext = '.zip' and c.size <= {C.MAX_ARCHIVE_BYTES}
+    or x.category is not null and c.size <= {C.MAX_FILE_BYTES}) as ok
+from moves c left join ext_dim x on c.ext = x.ext""",
+    "moved_live": """
+select * exclude (rn, rm) from (
+  select *, row_number() over (partition by file_id order by seq desc) as rm from (
+    select *, row_number() over (partition by path_lower order by seq desc) as rn
+    from moved_ev where ok or kind = 'deleted') where rn = 1 and kind = 'file') where rm = 1""",
+    "boxes": """
+select path_lower, path_display, row_number() over (order by path_lower) - 1 as box
+from (select distinct path_lower, path_display from changes where kind = 'file' and ext = '.zip')""",
+    "moved_boxes": """
+select path_lower, path_display, row_number() over (order by path_lower) - 1 as box
+from (select distinct path_lower, path_display from moves where kind = 'file' and ext = '.zip')""",
+    "boxed": f"""
+select doc_id, lang, text, 'src/' || doc_id || slot as inner_path, 'src_' || doc_id || slot as inner_id, x.category,
+  x.prefix, case when x.category = 'docs' then lower(slot) else '' end as suffix,
+  cast(octet_length(encode(text)) as bigint) as n_bytes
+from (select *, {_SLOT_LIST}[n_chars % 17 + 1] as slot from documents) d join ext_dim x on lower(slot) = x.ext""",
+    "box_members": """
+select l.file_id as zip_id, l.rev, m.*, l.file_id || '___' || inner_id as file_id, l.path_lower || '!/' || inner_path as path
+from live l join boxes b on l.path_lower = b.path_lower
+  join boxed m on m.doc_id % (select count(*) from boxes) = b.box""",
     "meta": f"""
 select file_id, path_display as path, rev, mime as mime_type, size, {_time_sql('server_modified')} as server_modified,
   category, '{ROOT}/' || prefix || file_id || case when category = 'docs' then ext else '' end as object_uri,

@@ -8,7 +8,7 @@ import __spark_entry__ as e
 SF = "/root/testdata/sf0.001"
 # Without rows on 200 documents and one archive: these run on the next larger data set.
 LARGER = "/root/testdata/sf0.01"
-EMPTY_AT_THIS_SCALE = {"embed_stale", "archive_expand", "member_meta", "archive_meta", "member_collisions"}
+EMPTY_AT_THIS_SCALE = {"stream_archives", "stream_archive_update", "embed_stale", "archive_expand", "member_meta", "archive_meta", "member_collisions"}
 ROWS_ONLY = sorted(set(e.queries()) - set(e.oracle_sql()) - set(e.LLM_QUERIES))
 
 
