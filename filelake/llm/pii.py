@@ -10,7 +10,8 @@ ROUNDS = 8
 # The formats that are looked for. Each stands alone, not inside a longer word or number.
 BEFORE = r"(?<![0-9A-Za-z])"
 AFTER = r"(?![0-9A-Za-z])"
-EMAIL = r"(?<![A-Za-zÀ-ɏ0-9._%+-])[A-Za-zÀ-ɏ0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# A domain has at most 127 labels; without a bound the pattern would recurse once for each.
+EMAIL = r"(?<![A-Za-zÀ-ɏ0-9._%+-])[A-Za-zÀ-ɏ0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,126}\.[A-Za-z]{2,}"
 PHONE = r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
 IPV4 = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}"
 CARD = r"[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2,3}(?:[ -][0-9]{1,4})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}"

@@ -26,6 +26,8 @@ MIN_DOCUMENTS = 3
 # Association with the label that a feature needs: a likelihood ratio at the 0.1 % level.
 MIN_RATIO = 10.83
 PREFIXES = (3, 4, 5, 6, 7)
+# What the ordinary sentences of a document may add to the exponent of the noisy-or.
+NOISE = 0.3
 # Distinct words whose weight a worker remembers.
 REMEMBERED = 400_000
 
@@ -45,6 +47,8 @@ def features(word: str) -> list[str]:
 class Model:
     weights: dict[str, float]
     bias: float
+    # Falling scores of sentences of clean documents, and what those so far add to the exponent, a sentence; see ``_noise``.
+    noise: tuple[np.ndarray, np.ndarray] | None = None
 
     def scorer(self):
         """Function from a whole text to the scores of its sentences that hold a feature, and those that count.
@@ -77,9 +81,23 @@ class Model:
         return score
 
     def document(self, scored: list[tuple[int, float]], counted: list[float]) -> float:
-        """Noisy-or over the sentences that count, and the bias once: sentences without a feature add nothing."""
-        log_clean = math.log1p(-_sigmoid(self.bias)) + sum(math.log1p(-min(p, 1 - 1e-12)) for p in counted)
-        return min(1.0, max(0.0, -math.expm1(log_clean)))
+        """Noisy-or over the sentences from the gate on, and the bias once; at least the worst sentence's score."""
+        gate = self.gate(len(counted))
+        log_clean = math.log1p(-_sigmoid(self.bias)) + sum(math.log1p(-min(p, 1 - 1e-12)) for p in counted if p >= gate)
+        return min(1.0, max(0.0, -math.expm1(log_clean), max(counted, default=0.0)))
+
+    def gate(self, sentences: int) -> float:
+        """Least score that is evidence in a document with so many scored sentences.
+
+        Under noisy-or, weak scores of ordinary sentences add up to any score in a long enough text. From the gate on,
+        as many sentences of clean documents add at most ``NOISE`` to the exponent. It is never above one half, as a
+        sentence that is toxic by itself must count.
+        """
+        if self.noise is None or not sentences:
+            return 0.0
+        falling, added = self.noise
+        at = int(np.searchsorted(added, NOISE / sentences, side="right"))
+        return min(0.5, float(falling[at]) * (1 + 1e-9)) if at < len(falling) else 0.0
 
 
 def _sigmoid(x: float) -> float:
@@ -189,6 +207,20 @@ def _fit(data: pa.Table, n_features: int, weight: dict[int, float], steps: int =
     return w, float(bias)
 
 
+def _noise(data: pa.Table, weights: np.ndarray, bias: float) -> tuple[np.ndarray, np.ndarray] | None:
+    """Falling scores of the sample's sentences of clean documents, and the running mean of what they add."""
+    sizes = _flat(data.column("sizes"))
+    scored = pc.list_value_length(data.column("sizes")).to_numpy()
+    clean = np.repeat(data.column("y").to_numpy() == 0, scored)
+    of_sentence = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    z = bias + np.bincount(of_sentence, weights[_flat(data.column("flat"))], len(sizes))
+    p = np.sort(1 / (1 + np.exp(-np.clip(z[clean], -30, 30))))[::-1]
+    # Sentences of a half or more count anyway.
+    added = np.cumsum(np.where(p < 0.5, -np.log1p(-np.minimum(p, 0.5)), 0.0)) / max(len(p), 1)
+    some = p > 1e-4
+    return (p[some], added[some]) if some.any() else None
+
+
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN,
@@ -197,7 +229,8 @@ def train(
 
     Fitted on at most ``max_toxic`` and ``max_clean`` labelled ids, those with the smallest hash; weights
     restore the shares of the classes among all labels. Other labels and null ids are left out, an id with
-    both labels counts as toxic, null texts count as empty, repeated documents as often as they occur.
+    both labels counts as toxic, null texts count as empty. Of several documents with one id, the one whose text has the
+    smallest hash is used, so the sample has no more rows than ids.
     Without labels of both classes the model knows no feature and scores everything near zero.
     """
     marked = (
@@ -219,13 +252,15 @@ def train(
     # At most max_toxic + max_clean ids, so the broadcast is bounded and the texts stay where they are.
     ids = F.broadcast(picked.select("__id", "y"))
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
-    sample, path = scratch.put(texts.join(ids, "__id").select("text", "y"), "toxicity-sample")
+    one = texts.join(ids, "__id").groupBy("__id").agg(F.max("y").alias("y"), F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample, path = scratch.put(one.select("text", "y"), "toxicity-sample")
     chosen = _select(sample, taken[1], taken[0])
     index = {f: i for i, f in enumerate(chosen)}
     data = sample.mapInArrow(_sparse(index), "y int, sizes array<int>, flat array<int>").toArrow()
     scratch.drop(docs.sparkSession, path)
     weights, bias = _fit(data, len(chosen), {y: whole[y] / taken[y] for y in taken})
-    return Model({f: float(weights[i]) for f, i in index.items() if abs(weights[i]) > 1e-6}, bias)
+    kept = {f: float(weights[i]) for f, i in index.items() if abs(weights[i]) > 1e-6}
+    return Model(kept, bias, _noise(data, weights, bias))
 
 
 def score_of(text: Column, spark: SparkSession, model: Model, flag: float | None = None) -> Column:

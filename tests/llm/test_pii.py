@@ -125,3 +125,12 @@ def test_cards_next_to_other_numbers(docs):
         assert re.sub(r"4111(.?)1111\1?1111\1?1111|3782.822463.10005", "#", old) == re.sub("|".join(re.escape(v) for _, v in made), "#", text)
     bad = "4111 1111 1111 1112 13"
     assert run(docs, [bad]) == ([bad], [[]])
+
+
+def test_domains_of_very_many_labels(spark):
+    """No form may recurse once for each part of a long text."""
+    texts = ["x@" + "a." * 100_000 + "com", "1." * 100_000, "1234 " * 100_000, "12-" * 100_000, "a@b." * 50_000, "me@" + "a.b-" * 30 + "org"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.pseudonymise(df, "key").collect()}
+    assert [len(got[i]["text"]) for i in range(len(texts))] == [len(t) for t in texts]
+    assert got[1]["text"] == texts[1] and got[5]["text"] != texts[5] and got[5]["text"].endswith("@" + "a.b-" * 30 + "org")

@@ -86,3 +86,32 @@ def test_length_alone_is_no_evidence(spark):
     assert all(b < 0.5 for a, b in zip(once, again) if a < 0.5) and sum(a < 0.5 for a in once) >= 39
     assert model.document(*score(". ".join(f"{i} {i + 1}" for i in range(100_000)))) < 0.5
     assert model.document(*score(None)) == model.document(*score("1. 2. 3"))
+
+
+def test_different_clean_documents_joined_stay_clean(spark):
+    """Up to a megabyte of clean labelled documents, none of them repeated, and toxic ones among them are found."""
+    sf = "/root/testdata/sf0.1"
+    documents, labels = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "labels"))
+    fold = "crc32(cast(doc_id as string)) % 5"
+    model = toxicity.train(documents, labels.filter(f"{fold} != 0"))
+    score = model.scorer()
+    rows = documents.join(labels, "doc_id").orderBy("doc_id").selectExpr("doc_id", "toxic", "text", f"{fold} = 0 as held").collect()
+    clean = [r["text"] for r in rows if not r["toxic"] and model.document(*score(r["text"])) < 0.5]
+    assert len(clean) > 0.99 * sum(not r["toxic"] for r in rows)
+    for size in (10**5, 3 * 10**5, 10**6):
+        text, at = "", 0
+        while len(text) < size and at < len(clean):
+            text, at = text + "\n" + clean[at], at + 1
+        assert model.document(*score(text)) < 0.5, size
+    bad = [r["text"] for r in rows if r["toxic"] and r["held"]]
+    alone = [model.document(*score(t)) >= 0.5 for t in bad]
+    inside = [model.document(*score("\n".join([*clean[:40], t, *clean[40:80]]))) >= 0.5 for t in bad]
+    assert sum(alone) >= 0.9 * len(bad) and sum(inside) >= 0.95 * sum(alone)
+
+
+def test_a_repeated_id_gives_one_document(spark, docs):
+    rows, labels, _ = corpus(200)
+    marked = spark.createDataFrame(labels, "doc_id long, toxic int")
+    once = toxicity.train(docs(rows), marked)
+    again = toxicity.train(docs(rows + [rows[3]] * 50), marked)
+    assert once.weights.keys() == again.weights.keys()
