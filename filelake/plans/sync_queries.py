@@ -260,14 +260,16 @@ def replay_outcomes(spark, sf):
     return settled.where(~F.col("kind").startswith("seed")).select("seq", "outcome")
 
 
-@query("replay_exact")
+@query("replay_exact", "select seq, path_lower, file_id, outcome, target from replayed")
 def replay_exact(spark, sf):
     """Events of the feed in which files move between paths, as applied one by one."""
     settled = replay.replay(I.moves(spark, sf))
     return settled.select("seq", "path_lower", "file_id", "outcome", "target")
 
 
-@query("replay_index")
+@query("replay_index", """
+select path_lower, file_id from replayed_paths where path_lower not in (select path_lower from replayed_members)
+union all select path_lower, file_id from replayed_members""")
 def replay_index(spark, sf):
     """Path index left by the same feed, archive members included."""
     inside = archive.visible_members(I.members(spark, sf))

@@ -325,7 +325,8 @@ def _moving_state(spark, feed):
     return job.paths.read().join(job.revs.read(), "file_id", "left").select("path_lower", "file_id", "rev")
 
 
-@query("stream_moves")
+@query("stream_moves", """
+select p.path_lower, p.file_id, r.rev from replayed_paths p left join replayed_revs r using (file_id)""")
 def stream_moves(spark, sf):
     """Paths, ids and revisions after three batches of a feed in which files move."""
     return _moving_state(spark, I.moves(spark, sf))

@@ -11,6 +11,10 @@ _SLOT_LIST = "[" + ",".join(f"'{e}'" for e in SLOTS) + "]"
 _TYPES = ",\n".join(f"('{e}','{c}','{C.PREFIXES[c]}','{m}')" for e, c, m in C.FILE_TYPES)
 
 
+# Rounds in which the checks apply the moving feed.
+_ROUNDS = 60
+
+
 def _feed_sql(path_no: str) -> str:
     return f"""
 select event_id as seq,
@@ -71,6 +75,49 @@ select * exclude (rn, rm) from (
   select *, row_number() over (partition by file_id order by seq desc) as rm from (
     select *, row_number() over (partition by path_lower order by seq desc) as rn
     from moved_ev where ok or kind = 'deleted') where rn = 1 and kind = 'file') where rm = 1""",
+    # The feed applied event by event, as the fixpoint of its two rules; more rounds than its longest chain change nothing.
+    "replayed": f"""
+with recursive acts as (
+  select seq, kind, path_lower, file_id, rev, size, category, archive, ok from moved_ev where kind <> 'folder'
+), rounds as (
+  select 0 as n, seq, ok as taken, cast(null as varchar) as target, cast(null as varchar) as held from acts
+  union all
+  select n + 1, seq, ok and coalesce(held <> rev, true), target, held from (
+    select *, nullif(last_value(case when kind = 'file' and ok then rev when target is not null then '' end ignore nulls) over (
+        partition by case when kind = 'file' then file_id when target is not null then target else '#' || seq end
+        order by seq rows between unbounded preceding and 1 preceding), '') as held
+    from (
+      select n, a.*, case when kind = 'deleted' then nullif(last_value(
+          case when taken then file_id when kind = 'deleted' then '' end ignore nulls) over (
+          partition by path_lower order by seq rows between unbounded preceding and 1 preceding), '') end as target
+      from rounds r join acts a using (seq) where n < {_ROUNDS}))
+)
+select a.*, r.taken, r.target, case
+  when kind = 'deleted' and archive then 'archive_deleted'
+  when kind = 'deleted' then case when target is null then 'skipped' else 'deleted' end
+  when archive and rev = held then 'unchanged'
+  when archive then case when size > {C.MAX_ARCHIVE_BYTES} then 'skipped' else 'archive' end
+  when category is null or size > {C.MAX_FILE_BYTES} then 'skipped'
+  when rev = held then 'unchanged' else 'synced' end as outcome
+from rounds r join acts a using (seq) where n = {_ROUNDS}""",
+    "replayed_paths": """
+select path_lower, file_id from (
+  select *, row_number() over (partition by path_lower order by seq desc) as rn from replayed where taken or kind = 'deleted')
+where rn = 1 and kind <> 'deleted'""",
+    "replayed_revs": """
+select owner as file_id, rev from (
+  select *, row_number() over (partition by owner order by seq desc) as rn
+  from (select *, coalesce(target, file_id) as owner from replayed where ok or target is not null))
+where rn = 1 and kind <> 'deleted'""",
+    "replayed_members": """
+select path as path_lower, id as file_id from (
+  select t.path_lower || '!/' || v.inner_path as path, t.file_id || '___' || replace(v.inner_path, '/', '_') as id,
+    row_number() over (partition by t.path_lower || '!/' || v.inner_path order by t.seq desc, v.pos desc) as rn
+  from (select path_lower, file_id, max(seq) as seq from replayed where taken and archive group by all) t
+    join visible v on t.file_id = v.file_id
+    left join (select path_lower, max(seq) as seq from replayed where kind = 'deleted' and archive group by all) g
+      on t.path_lower = g.path_lower
+  where v.category is not null and (g.seq is null or t.seq > g.seq)) where rn = 1""",
     "boxes": """
 select path_lower, path_display, row_number() over (order by path_lower) - 1 as box
 from (select distinct path_lower, path_display from changes where kind = 'file' and ext = '.zip')""",
