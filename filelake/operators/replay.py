@@ -7,8 +7,10 @@ earlier event, so the true outcome is the only fixpoint of two rules:
 * path rule: a deletion removes the id last put at its path, if no deletion came in between;
 * id rule: a file event is unchanged if its id still holds the same revision.
 
-Each round evaluates both rules for all events at once with windows. It starts from "every
-acceptable event is taken in" and stops when a round changes nothing. A round settles at least one
+The first round evaluates both rules for all events at once with windows, starting from "every
+acceptable event is taken in". In a large feed every later one evaluates the path rule only on paths where an event
+changed, and the id rule only on ids whose deletions changed; what it finds is kept as a small table
+of corrections, so settled events are neither sorted nor written again. A round settles at least one
 more link of every dependency chain, so the loop ends, and the number of rounds is the longest chain
 of deletions across paths and ids, not the number of events. No group of related events is ever
 collected: hot paths and hot ids are split by ``skew.with_previous``.
@@ -22,7 +24,12 @@ from pyspark.sql import functions as F
 from filelake.functions import paths as P
 from filelake.operators import skew
 from filelake.operators.sync import acceptable, archive_cascade, enrich, not_failed, outcome
-from filelake.session import remove, stage_at
+from filelake.session import remove, send_if_small, stage_at
+
+# Rows from which later rounds look only at paths and ids that can still change.
+FRONTIER_FROM = 1_000_000
+# What the rounds find out about an event.
+STATUS = ("taken", "target", "prev_rev")
 
 
 def _own_key(prefix: str):
@@ -30,40 +37,85 @@ def _own_key(prefix: str):
     return F.concat(F.lit(f"\x00{prefix}"), F.col("kind"), F.col("path_lower"), F.col("file_id"), F.col("seq"))
 
 
-def _round(events: DataFrame, max_group: int, rows: int) -> DataFrame:
-    """One evaluation of both rules. ``taken`` and ``target`` are replaced, ``changed`` is set."""
+def _path_rule(events: DataFrame, max_group: int, rows: int) -> DataFrame:
+    """Add ``new_target``: the id that a deletion removes, by which events are ``taken``."""
     at_path = F.col("kind").isin("file", "deleted", "seed_path")
     events = events.withColumn("_pkey", F.when(at_path, F.col("path_lower")).otherwise(_own_key("p")))
     holds = F.when(
         (F.col("kind") == "seed_path") | F.col("taken"), F.struct(F.col("file_id").alias("id"))
     ).when(F.col("kind") == "deleted", F.struct(F.lit(None).cast("string").alias("id")))
-    paths = skew.with_previous(events, "_pkey", "seq", holds, "_at", max_group, rows)
-    paths = paths.withColumn("_new_target", F.when(F.col("kind") == "deleted", F.col("_at.id")))
+    out = skew.with_previous(events, "_pkey", "seq", holds, "_at", max_group, rows)
+    return out.withColumn("new_target", F.when(F.col("kind") == "deleted", F.col("_at.id"))).drop("_pkey", "_at")
+
 
+def _id_rule(events: DataFrame, max_group: int, rows: int) -> DataFrame:
+    """Add ``new_taken`` and ``new_rev``, the revision that the id held before, by the ``target`` of deletions."""
     owner = (
         F.when(F.col("kind").isin("file", "seed_rev"), F.col("file_id"))
-        .when(F.col("_new_target").isNotNull(), F.col("_new_target"))
+        .when(F.col("target").isNotNull(), F.col("target"))
         .otherwise(_own_key("i"))
     )
-    paths = paths.withColumn("_ikey", owner)
     rev = F.when(
         F.col("ok") | (F.col("kind") == "seed_rev"), F.struct(F.col("rev").alias("rev"))
-    ).when(F.col("_new_target").isNotNull(), F.struct(F.lit(None).cast("string").alias("rev")))
-    ids = skew.with_previous(paths, "_ikey", "seq", rev, "_held", max_group, rows)
-
+    ).when(F.col("target").isNotNull(), F.struct(F.lit(None).cast("string").alias("rev")))
+    out = skew.with_previous(events.withColumn("_ikey", owner), "_ikey", "seq", rev, "_held", max_group, rows)
     held = F.col("_held.rev")
-    new_taken = F.col("ok") & F.coalesce(held != F.col("rev"), F.lit(True))
-    return (
-        ids.withColumn("_new_taken", new_taken)
-        .withColumn(
-            "changed",
-            (F.col("_new_taken") != F.col("taken")) | ~F.col("_new_target").eqNullSafe(F.col("target")),
-        )
-        .withColumn("prev_rev", held)
-        .withColumn("taken", F.col("_new_taken"))
-        .withColumn("target", F.col("_new_target"))
-        .drop("_pkey", "_at", "_ikey", "_held", "_new_taken", "_new_target")
+    taken = F.col("ok") & F.coalesce(held != F.col("rev"), F.lit(True))
+    return out.withColumn("new_taken", taken).withColumn("new_rev", held).drop("_ikey", "_held")
+
+
+def _whole_round(events: DataFrame, path: str, max_group: int, rows: int) -> tuple[DataFrame, str]:
+    """Both rules for all events, written in place of the table at ``path``."""
+    seen = _path_rule(events, max_group, rows).withColumn("target", F.col("new_target"))
+    turns = F.col("new_taken") != F.col("taken")
+    seen = _id_rule(seen, max_group, rows).withColumns({"moved": turns, "taken": F.col("new_taken"), "prev_rev": F.col("new_rev")})
+    base, new_path = stage_at(seen.drop("new_target", "new_taken", "new_rev"), "replay")
+    remove(events.sparkSession, path)
+    return base, new_path
+
+
+def _corrected(base: DataFrame, patch: DataFrame | None) -> DataFrame:
+    """Events with the newest ``taken``, ``target`` and ``prev_rev``."""
+    if patch is None:
+        return base
+    own = [F.col(c).alias(f"_{c}") for c in STATUS]
+    joined = base.join(send_if_small(patch).select("row", F.lit(True).alias("_own"), *own), "row", "left")
+    newest = {c: F.when(F.col("_own"), F.col(f"_{c}")).otherwise(F.col(c)) for c in STATUS}
+    return joined.withColumns(newest).select(*base.columns)
+
+
+def _next(base: DataFrame, patch: DataFrame | None, max_group: int, rows: int) -> tuple[DataFrame, list[str]]:
+    """All corrections after another round, and the folders written for them.
+
+    A correction is the newest status of an event; ``moved`` tells whether the round changed that it is taken in.
+    """
+    events = _corrected(base, patch)
+    paths = (base if patch is None else patch).where("moved").select("path_lower").distinct()
+    seen = _path_rule(events.join(paths, "path_lower", "left_semi"), max_group, rows)
+    hits, hits_path = stage_at(seen.where(~F.col("new_target").eqNullSafe(F.col("target"))), "replay")
+    ids = hits.select(F.explode(F.array("target", "new_target")).alias("_id")).where("_id is not null").distinct()
+    turned = send_if_small(hits).select("row", "new_target", F.lit(True).alias("_hit"))
+    events = events.join(turned, "row", "left")
+    events = events.withColumn("target", F.when(F.col("_hit"), F.col("new_target")).otherwise(F.col("target")))
+    of_id = F.when(F.col("kind").isin("file", "seed_rev"), F.col("file_id")).otherwise(F.col("target"))
+    touched = events.withColumn("_id", of_id).join(ids, "_id", "left_semi").drop("_id")
+    seen = _id_rule(touched, max_group, rows)
+    turns = F.col("new_taken") != F.col("taken")
+    newest = F.lit(1).alias("age")
+    found = seen.where(turns | F.col("_hit") | ~F.col("new_rev").eqNullSafe(F.col("prev_rev"))).select(
+        "row", "path_lower", F.col("new_taken").alias("taken"), "target", F.col("new_rev").alias("prev_rev"), turns.alias("moved"), newest
+    )
+    # Deletions that remove nothing any more are under no id.
+    nothing = F.lit(None).cast("string")
+    none = hits.where(F.col("new_target").isNull()).select(
+        "row", "path_lower", "taken", nothing.alias("target"), nothing.alias("prev_rev"), F.lit(False).alias("moved"), newest
     )
+    known = found.unionByName(none)
+    if patch is not None:
+        old = patch.withColumns({"moved": F.lit(False), "age": F.lit(0)})
+        known = skew.latest(known.unionByName(old), "row", "age")
+    known, path = stage_at(known.drop("age"), "replay")
+    return known, [hits_path, path]
 
 
 def replay(
@@ -71,10 +123,12 @@ def replay(
     path_index: DataFrame | None = None,
     rev_index: DataFrame | None = None,
     max_group: int = skew.MAX_GROUP,
+    frontier_from: int = FRONTIER_FROM,
 ) -> DataFrame:
     """Settled events, seeds included: ``outcome``, ``taken`` and ``target`` of each.
 
-    ``path_index`` and ``rev_index`` are the state before the feed.
+    ``path_index`` and ``rev_index`` are the state before the feed. Feeds of fewer than ``frontier_from`` rows go through
+    whole rounds: there a round costs less than the joins that find what can still change.
     """
     events = (
         enrich(changes.where(F.col("kind") != "folder"))
@@ -97,22 +151,29 @@ def replay(
             ),
             allowMissingColumns=True,
         )
-    events = events.withColumn("taken", F.col("ok")).withColumn("target", F.lit(None).cast("string"))
+    events = events.withColumns({
+        "taken": F.col("ok"), "target": F.lit(None).cast("string"), "row": F.monotonically_increasing_id(),
+    })
     # Written to the shared folder: the loop must not grow its lineage.
+    spark = events.sparkSession
     events, path = stage_at(events, "replay")
     rows = events.count()
-    while True:
-        events, new_path = stage_at(_round(events, max_group, rows), "replay")
-        remove(events.sparkSession, path)
-        path = new_path
-        if events.where("changed").isEmpty():
-            break
-        events = events.drop("changed", "prev_rev")
+    base, path = _whole_round(events, path, max_group, rows)
+    patch, folders = None, []
+    while not (base if patch is None else patch).where("moved").isEmpty():
+        if rows < frontier_from:
+            base, path = _whole_round(base.drop("moved", "prev_rev"), path, max_group, rows)
+            continue
+        patch, written = _next(base, patch, max_group, rows)
+        for folder in folders:
+            remove(spark, folder)
+        folders = written
+    events = _corrected(base, patch).drop("row", "moved")
     result = F.when(
         F.col("kind") == "deleted",
         F.when(F.col("archive"), "archive_deleted").when(F.col("target").isNull(), "skipped").otherwise("deleted"),
     ).otherwise(outcome())
-    return events.drop("changed").withColumn("outcome", F.when(~F.col("kind").startswith("seed"), result))
+    return events.withColumn("outcome", F.when(~F.col("kind").startswith("seed"), result))
 
 
 def final_paths(settled: DataFrame) -> DataFrame:

@@ -271,9 +271,9 @@ def replay_exact(spark, sf):
 select path_lower, file_id from replayed_paths where path_lower not in (select path_lower from replayed_members)
 union all select path_lower, file_id from replayed_members""")
 def replay_index(spark, sf):
-    """Path index left by the same feed, archive members included."""
+    """Path index left by the same feed, archive members included; rounds look only at what can still change."""
     inside = archive.visible_members(I.members(spark, sf))
-    return replay.final_index(replay.replay(I.moves(spark, sf)), inside)
+    return replay.final_index(replay.replay(I.moves(spark, sf), frontier_from=0), inside)
 
 
 # --- archives ----------------------------------------------------------------------------------

@@ -83,8 +83,10 @@ def test_limits(spark):
     }
 
 
-@pytest.mark.parametrize("seed, hot, max_group", [(1, 0.0, 1_000_000), (2, 0.5, 9), (3, 0.3, 40)])
-def test_replay_equals_plain_replay(spark, seed, hot, max_group):
+@pytest.mark.parametrize("seed, hot, max_group, frontier_from", [
+    (1, 0.0, 1_000_000, 0), (2, 0.5, 9, 0), (3, 0.3, 40, 0), (4, 0.0, 1_000_000, 10**9), (5, 0.5, 9, 10**9),
+])
+def test_replay_equals_plain_replay(spark, seed, hot, max_group, frontier_from):
     rows = random_feed(seed, 500, hot=hot)
     members = [(f"i{i}", inner) for i in range(9) for inner in ("a/x.jpg", "a_x.jpg", "y.pdf")[: i % 4]]
     paths = {"/d/p0.jpg": "i0", "/d/p2.zip": "i2", "/d/p2.zip!/old.jpg": "i2___old.jpg", "/d/p5.pdf": "i1"}
@@ -92,7 +94,7 @@ def test_replay_equals_plain_replay(spark, seed, hot, max_group):
     want, want_paths, want_revs = replay(rows, members, paths, revs)
     settled = exact.replay(
         frame(spark, rows), spark.createDataFrame(list(paths.items()), "path_lower string, file_id string"),
-        spark.createDataFrame(list(revs.items()), "file_id string, rev string"), max_group,
+        spark.createDataFrame(list(revs.items()), "file_id string, rev string"), max_group, frontier_from,
     )
     assert outcomes(settled) == want
     assert {r.file_id: r.rev for r in exact.final_revs(settled).collect()} == want_revs
@@ -105,7 +107,8 @@ def test_replay_equals_plain_replay(spark, seed, hot, max_group):
     assert got == want_paths
 
 
-def test_replay_chain(spark):
+@pytest.mark.parametrize("frontier_from", [0, 10**9])
+def test_replay_chain(spark, frontier_from):
     """Each deletion decides what the next one finds, across many paths and ids."""
     rows, seq = [], 0
     for step in range(12):
@@ -113,7 +116,7 @@ def test_replay_chain(spark):
                     ("deleted", f"/p{step}.jpg", None, None), ("file", f"/p{step + 1}.jpg", f"i{step}", "r0")):
             rows.append(change(seq, *row))
             seq += 1
-    assert outcomes(exact.replay(frame(spark, rows))) == replay(rows)[0]
+    assert outcomes(exact.replay(frame(spark, rows), frontier_from=frontier_from)) == replay(rows)[0]
 
 
 def test_with_previous_splits_hot_keys(spark):
