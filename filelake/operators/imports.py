@@ -46,7 +46,11 @@ def row_index(df: DataFrame, order: str) -> DataFrame:
 
 def batches(uris: DataFrame, size: int = C.IMPORT_BATCH) -> DataFrame:
     """Import requests ``(batch_id, uris, mode)`` of ``size`` URIs each, in URI order."""
-    numbered = row_index(uris.select("uri"), "uri")
+    return requests(row_index(uris.select("uri"), "uri"), size)
+
+
+def requests(numbered: DataFrame, size: int = C.IMPORT_BATCH) -> DataFrame:
+    """Import requests of ``size`` numbered URIs ``(idx, uri)`` each."""
     cell = F.struct("idx", "uri")
     return numbered.groupBy(F.floor(F.col("idx") / F.lit(size)).alias("batch_id")).agg(
         F.transform(F.array_sort(F.collect_list(cell)), lambda c: c["uri"]).alias("uris"),

@@ -10,6 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from filelake import constants as C
 from filelake import schemas
 from filelake.functions import paths as P
 from filelake.operators import archive, catalog
@@ -494,3 +495,39 @@ def stream_bootstrap(spark, sf):
     again.bootstrap(sidecar.read_sidecars(spark, f"{lake}/mirror/meta"))
     again.apply(parts[2], 0)
     return again.items.read().select("file_id", "path", "rev", "category")
+
+
+@query("stream_imports", f"""
+with thirds as (
+  select *, case when day(server_modified) <= 10 then 0 when day(server_modified) <= 20 then 1 else 2 end as third from ev
+), ends as (
+  select k.third, t.file_id, t.path_lower, t.kind, t.category, t.prefix, t.ext, t.archive, t.rev,
+    row_number() over (partition by k.third, t.path_lower order by t.seq desc) as rn
+  from thirds t, (select unnest([0, 1, 2]) as third) k where (t.ok or t.kind = 'deleted') and t.third <= k.third
+), stored as (
+  select e.* from ends e semi join (
+    select t.third, o.file_id from outcomes o join thirds t using (seq) where o.outcome in ('synced', 'archive')
+  ) n on e.third = n.third and e.file_id = n.file_id
+  anti join ends b on e.archive and b.rn = 1 and b.kind = 'file' and b.third = e.third - 1 and b.file_id = e.file_id and b.rev = e.rev
+  where e.rn = 1 and e.kind = 'file'
+), documents_of as (
+  select third, prefix || file_id || ext as object_key from stored where category = 'docs'
+  union all
+  select s.third, m.prefix || s.file_id || '___' || m.inner_id || m.suffix from stored s
+    join boxes b on s.path_lower = b.path_lower join boxed m on m.doc_id % (select count(*) from boxes) = b.box
+  where s.archive and m.category = 'docs'
+), numbered as (
+  select object_key, row_number() over (order by third, object_key) - 1 as position from documents_of
+)
+select cast(position // {C.IMPORT_BATCH} as bigint) as batch_id, cast(position % {C.IMPORT_BATCH} as bigint) as place, object_key
+from numbered""")
+def stream_imports(spark, sf):
+    """Import requests of three runs: their numbers go on from run to run, also when a run is delivered again."""
+    feed = I.changes(spark, sf)
+    job, _, lake = _mirror_job(spark, sf, feed)
+    for number, part in enumerate(_slices(feed)):
+        job.apply(part, number)
+    job.apply(part, number, again=True)
+    places = job.import_requests().select("batch_id", F.posexplode("uris").alias("at", "uri"))
+    key = F.concat(F.lit("mirror/"), F.substring_index("uri", "/lake/mirror/", -1))
+    return places.select("batch_id", F.col("at").cast("bigint").alias("place"), key.alias("object_key"))

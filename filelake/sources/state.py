@@ -49,6 +49,10 @@ class StateTable:
         # The job commit adds _SUCCESS last: a version is either whole or not there.
         rows.select(*columns).write.mode("overwrite").parquet(self._folder(version, full))
 
+    def read_version(self, version: int) -> DataFrame:
+        """What one delta version holds."""
+        return self.spark.read.schema(self._stored()).parquet(self._folder(version, False))
+
     def read(self, upto: int | None = None) -> DataFrame:
         """State as of version ``upto``, by default the newest."""
         found = [v for v in self.versions() if upto is None or v[0] <= upto]

@@ -22,9 +22,10 @@ BEHIND = T.StructType([T.StructField("file_id", T.StringType()), T.StructField("
 
 @dataclass(frozen=True)
 class Changes:
-    """What a batch does to the mirror's tables, and the member counters."""
+    """What a batch does to the mirror's tables, the documents it stored anew, and the member counters."""
 
     items: DataFrame
+    documents: DataFrame
     behind: DataFrame
     counts: DataFrame
 
@@ -58,7 +59,8 @@ def follow(
     plain = _as_items(file_meta(live, mirror.root))
     fetched = stage(fetched.distinct(), "fetched")
     once = fetched.groupBy("file_id", "object_uri").agg(F.min("path").alias("path"), F.max("path").alias("last"))
-    late = _not_in(plain, _not_in(own, fetched, "file_id"), "file_id", "rev", "object_uri")
+    still_there = _not_in(own, fetched, "file_id")
+    late = _not_in(plain, still_there, "file_id", "rev", "object_uri")
     late = _not_in(late, once.where("path = last"), "file_id", "object_uri", "path")
     late = late.select("file_id", F.col("path").alias("path_display"), F.col("object_uri").alias("target"))
     copied = stage(
@@ -105,6 +107,7 @@ def follow(
     stage(objects.remove(doomed.select(F.col("object_uri").alias("path")).unionByName(gone.select(mirror.sidecar_uri().alias("path")))), "removed")
     stage(mirror.write_sidecars(new), "sidecars")
 
+    fresh = _not_in(stored_plain, still_there, "file_id", "rev", "object_uri").unionByName(new_members)
     late_ids = failed.unionByName(broken).unionByName(spoiled.select(F.col("zip_id").alias("file_id"), "error"))
     late_ids = late_ids.groupBy("file_id").agg(F.min("error").alias("error"))
     done = _not_in(behind.join(ids, "file_id", "left_semi"), late_ids, "file_id")
@@ -117,6 +120,7 @@ def follow(
     )
     return Changes(
         new.withColumn("removed", F.lit(False)).unionByName(gone.withColumn("removed", F.lit(True))),
+        fresh.where(F.col("category") == "docs").select("object_uri"),
         late_ids.withColumn("removed", F.lit(False)).unionByName(done.withColumn("removed", F.lit(True))),
         counted.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")),
     )

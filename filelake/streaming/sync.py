@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from filelake import constants as C
 from filelake import schemas
 from filelake.functions import paths as P
-from filelake.operators import replay, skew
+from filelake.operators import imports, replay, skew
 from filelake.operators.sync import acceptable, classify, enrich, file_meta, not_failed
 from filelake.session import stage
 from filelake.sources import objects
@@ -34,6 +35,8 @@ _LIVE = T.StructType([
 ])
 _RETRY = T.StructType([*schemas.CHANGE.fields, T.StructField("attempts", T.LongType())])
 _COUNTS = T.StructType([T.StructField("outcome", T.StringType()), T.StructField("n", T.LongType())])
+_QUEUE = T.StructType([T.StructField("position", T.LongType()), T.StructField("uri", T.StringType())])
+_TOTAL = T.StructType([T.StructField("total", T.LongType())])
 _BATCHES = T.StructType([T.StructField("batch", T.LongType()), T.StructField("n", T.LongType())])
 
 # Marks rows that could not be fetched: gets (seq, path_lower, ..., attempts), returns (seq, error).
@@ -89,6 +92,20 @@ class SyncJob:
         """Files whose objects, or archives some of whose members, could not be read yet."""
         return StateTable(self.spark, f"{self.root}/behind", "file_id", mirroring.BEHIND)
 
+    @property
+    def queue(self) -> StateTable:
+        """Documents to import, numbered in the order of batches and names; a new revision is queued again."""
+        return StateTable(self.spark, f"{self.root}/queue", "position", _QUEUE)
+
+    @property
+    def queued(self) -> StateTable:
+        """How many documents were queued so far."""
+        return StateTable(self.spark, f"{self.root}/queued", "total", _TOTAL)
+
+    def import_requests(self, size: int = C.IMPORT_BATCH) -> DataFrame:
+        """Import requests ``(batch_id, uris, mode)``, which go on across the micro-batches."""
+        return imports.requests(self.queue.read().withColumnRenamed("position", "idx"), size)
+
     @property
     def retry(self) -> StateTable:
         """Events whose fetch failed; they take part in the next batch again."""
@@ -175,7 +192,10 @@ class SyncJob:
             table.compact(self.compact_after)
 
     def _tables(self) -> tuple[StateTable, ...]:
-        return self.live, self.paths, self.revs, self.items, self.behind, self.retry, self.batches, self.counts, self.cursor
+        return (
+            self.live, self.paths, self.revs, self.items, self.behind, self.queue, self.queued, self.retry, self.batches,
+            self.counts, self.cursor,
+        )
 
     def _merge(self, batch: DataFrame, batch_id: int) -> None:
         before = batch_id - 1
@@ -306,6 +326,11 @@ class SyncJob:
         changes = mirroring.follow(self.mirror, ids, desired, self.items.read(before), behind, fetched)
         self.items.write(batch_id, changes.items)
         self.behind.write(batch_id, changes.behind)
+        so_far = self.queued.read(before).agg(F.max("total")).first()[0] or 0
+        numbered = imports.row_index(changes.documents.withColumnRenamed("object_uri", "uri").distinct(), "uri")
+        self.queue.write(batch_id, numbered.withColumn("position", F.col("idx") + so_far))
+        total = self.queue.read_version(batch_id).agg((F.count(F.lit(1)) + so_far).alias("total"))
+        self.queued.write(batch_id, total, full=True)
         return changes.counts
 
     def _closing(self, batch: DataFrame, batch_id: int, totals: DataFrame) -> list[Callable[[], None]]:
