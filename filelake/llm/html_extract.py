@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pandas as pd
@@ -65,12 +66,36 @@ SMOOTHING = 1.0
 THRESHOLD = 0.5
 
 
+@dataclass(slots=True)
+class Elements:
+    """The block elements of a page by number, in the order of their start tags: parents come before children."""
+
+    parent: list[int]
+    tag: list[str]
+
+    def last(self) -> list[int]:
+        """The last element inside each element; those inside are numbered from its own number to this one."""
+        last = list(range(len(self.parent)))
+        for n in range(len(last) - 1, 0, -1):
+            last[self.parent[n]] = max(last[self.parent[n]], last[n])
+        return last
+
+    def weights(self, content: list[Block]) -> list[int]:
+        """Characters of the blocks inside each element."""
+        weight = [0] * len(self.parent)
+        for b in content:
+            weight[b.element] += len(b.text)
+        for n in range(len(weight) - 1, 0, -1):
+            weight[self.parent[n]] += weight[n]
+        return weight
+
+
 @dataclass(slots=True)
 class Block:
-    """Text of one block: its tag path, the elements around it, by number and tag,, and whether these rule it out."""
+    """Text of one block: the numbers of its tag path and of the element around it, and whether it is ruled out."""
 
-    path: str
-    inside: tuple[tuple[int, str], ...]
+    path: int
+    element: int
     never: bool
     heading: bool
     text: str
@@ -93,22 +118,26 @@ def _is_never(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
     return any(NEVER_WORD.search(attributes.get(a, "")) for a in ("class", "id"))
 
 
-def blocks(page: str) -> list[Block]:
-    """Blocks of text in page order. Inline elements belong to the block around them."""
+def blocks(page: str) -> tuple[list[Block], Elements]:
+    """Blocks of text in page order, and the elements. Inline elements belong to the block around them."""
     found: list[Block] = []
-    # Open block elements: (tag, number, path, ruled out, in the article).
-    stack: list[tuple[str, int, str, bool, bool]] = [("", 0, "", False, False)]
+    elements = Elements([0], [""])
+    # A path is a number for each pair of the path above and a tag.
+    paths: dict[tuple[int, str], int] = {}
+    # Open block elements: (tag, number, path, ruled out, in the article, in a heading), and how many there are of a tag.
+    stack: list[tuple[str, int, int, bool, bool, bool]] = [("", 0, 0, False, False, False)]
+    open_tags: Counter[str] = Counter()
     pieces: list[str] = []
     links = linked = 0
     skipped: list[str] = []
-    number, at = 0, 0
+    at = 0
 
     def end_block() -> None:
         nonlocal linked
         text = WHITE.sub(" ", html.unescape("".join(pieces))).strip(" ")
         if text:
-            inside = tuple((n, t) for t, n, *_ in stack)
-            found.append(Block(stack[-1][2], inside, stack[-1][3], bool(HEADINGS & {t for t, *_ in stack}), text, linked))
+            _, number, path, never, _, heading = stack[-1]
+            found.append(Block(path, number, never, heading, text, linked))
         pieces.clear()
         linked = 0
 
@@ -119,11 +148,14 @@ def blocks(page: str) -> list[Block]:
             linked += len(text)
 
     def close(tags: set[str], limits: set[str]) -> None:
+        if not any(open_tags[t] for t in tags):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i][0] in limits:
                 return
             if stack[i][0] in tags:
                 end_block()
+                open_tags.subtract(t for t, *_ in stack[i:])
                 del stack[i:]
                 return
 
@@ -170,7 +202,7 @@ def blocks(page: str) -> list[Block]:
             continue
         skipped.clear()
         if closing:
-            if any(t == tag for t, *_ in stack):
+            if open_tags[tag]:
                 close({tag}, set())
             elif tag == "p":
                 end_block()
@@ -186,15 +218,19 @@ def blocks(page: str) -> list[Block]:
         above = stack[-1]
         attributes = _attributes(m[3] or m[6] or "")
         article = above[4] or tag in ("article", "main") or attributes.get("role", "").lower() in ("main", "article")
-        number += 1
-        stack.append((tag, number, f"{above[2]}/{tag}", above[3] or _is_never(tag, attributes, above[4]), article))
+        path = paths.setdefault((above[2], tag), len(paths) + 1)
+        never = above[3] or _is_never(tag, attributes, above[4])
+        stack.append((tag, len(elements.tag), path, never, article, above[5] or tag in HEADINGS))
+        elements.parent.append(above[1])
+        elements.tag.append(tag)
+        open_tags[tag] += 1
     end_block()
-    return found
+    return found, elements
 
 
-def path_scores(candidates: list[Block]) -> dict[str, float]:
+def path_scores(candidates: list[Block]) -> dict[int, float]:
     """Fused, smoothed ratios of the tag paths: characters and punctuation marks to each block of a path."""
-    count: dict[str, list[float]] = {}
+    count: dict[int, list[float]] = {}
     for b in candidates:
         own = count.setdefault(b.path, [0, 0, 0])
         own[0] += max(0, len(b.text) - 2 * b.linked)
@@ -217,7 +253,8 @@ def path_scores(candidates: list[Block]) -> dict[str, float]:
 
 def main_text(page: str | None) -> str:
     """Text of the article of one page, its blocks joined by line ends."""
-    candidates = [b for b in blocks(page or "") if not b.never]
+    found, elements = blocks(page or "")
+    candidates = [b for b in found if not b.never]
     if not candidates:
         return ""
     scores = path_scores(candidates)
@@ -228,19 +265,18 @@ def main_text(page: str | None) -> str:
     # The article is the innermost part of the page with nearly all text of the chosen paths: an article
     # or main element if one has it, else any that can hold several blocks. All in it belongs to it.
     content = [b for b in candidates if b.path in chosen]
-    weight: dict[tuple[int, str], int] = {}
-    for b in content:
-        for e in b.inside:
-            weight[e] = weight.get(e, 0) + len(b.text)
-    whole = sum(len(b.text) for b in content)
-    around = [e for e, w in weight.items() if w >= 0.8 * whole and e[1] not in SINGLE]
-    article = max([e for e in around if e[1] in ("article", "main")] or around, default=(0, ""))
-    inner = [b for b in candidates if article in b.inside]
-    if article[1] in ("div", "section") and not any(b.heading for b in inner):
+    weight, last = elements.weights(content), elements.last()
+    least = 0.8 * sum(len(b.text) for b in content)
+    around = [e for e, w in enumerate(weight) if w >= least and w and elements.tag[e] not in SINGLE]
+    article = max([e for e in around if elements.tag[e] in ("article", "main")] or around, default=0)
+    inner = [b for b in candidates if article <= b.element <= last[article]]
+    if elements.tag[article] in ("div", "section") and not any(b.heading for b in inner):
         # Its heading may stand before it in the element around both.
-        outer = max(e for e in content[0].inside if e < article and e[1] not in SINGLE)
-        near = [b for b in candidates if outer in b.inside]
-        if outer[1] in ("div", "section") and all(b.heading or b in inner for b in near):
+        outer = content[0].element
+        while outer and (outer >= article or elements.tag[outer] in SINGLE):
+            outer = elements.parent[outer]
+        near = [b for b in candidates if outer <= b.element <= last[outer]]
+        if elements.tag[outer] in ("div", "section") and all(b.heading or article <= b.element <= last[article] for b in near):
             inner = near
     kept = [b for b in inner if b.path in chosen or b.heading or 2 * b.linked <= len(b.text)]
     return "\n".join(b.text for b in kept)

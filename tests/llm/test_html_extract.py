@@ -55,3 +55,22 @@ def test_rows_and_columns(spark):
     rows = html_extract.extract(df).orderBy("page_id").collect()
     assert [len(r["text"]) == r["n_chars"] for r in rows] == [True] * 3 and rows[2]["text"] == "" and rows[0] == rows[1]
     assert html_extract.extract(df.limit(0)).count() == 0
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    for tag in ("div", "blockquote", "li", "ul><li", "section"):
+        start = time.time()
+        text = html_extract.main_text(f"<{tag}>x" * 50_000)
+        assert text.count("x") == 50_000 or tag == "section" and text
+        assert time.time() - start < 20
+    start = time.time()
+    text = html_extract.main_text("<article>" + "<div><p>Some text, with marks.</p>" * 30_000 + "</div>" * 30_000 + "</article>")
+    assert text.split("\n") == ["Some text, with marks."] * 30_000 and time.time() - start < 20
+
+
+def test_elements_know_what_is_inside_them():
+    found, elements = html_extract.blocks("<div><p>a</p><section><p>b</p></section></div><p>c</p>")
+    assert elements.tag == ["", "div", "p", "section", "p", "p"] and elements.parent == [0, 0, 1, 1, 3, 0]
+    assert elements.last() == [5, 4, 2, 4, 4, 5] and elements.weights(found) == [3, 2, 1, 1, 1, 1]
