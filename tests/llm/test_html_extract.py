@@ -63,7 +63,8 @@ def test_deep_pages_take_linear_time():
     for tag in ("div", "blockquote", "li", "ul><li", "section"):
         start = time.time()
         text = html_extract.main_text(f"<{tag}>x" * 50_000)
-        assert text.count("x") == 50_000 or tag == "section" and text
+        # The innermost element with four fifths of the text is the article.
+        assert text.count("x") >= 40_000
         assert time.time() - start < 20
     start = time.time()
     text = html_extract.main_text("<article>" + "<div><p>Some text, with marks.</p>" * 30_000 + "</div>" * 30_000 + "</article>")
