@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,10 +70,27 @@ def stage_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """``stage`` with the folder, for loops that ``remove`` each round's table after the next one."""
     spark = df.sparkSession
     path = new_folder(spark, label)
+    if _WITHIN:
+        _WITHIN[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+# Folders staged within each open ``dropping_staged``.
+_WITHIN: list[list[str]] = []
+
+
+@contextmanager
+def dropping_staged(spark: SparkSession) -> Iterator[None]:
+    """Remove what is staged inside, for work whose results are all written by its end."""
+    _WITHIN.append([])
+    try:
+        yield
+    finally:
+        for path in _WITHIN.pop():
+            remove(spark, path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of ``new_folder`` that no later plan reads."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

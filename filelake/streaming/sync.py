@@ -15,7 +15,7 @@ from filelake import schemas
 from filelake.functions import paths as P
 from filelake.operators import imports, replay, skew
 from filelake.operators.sync import acceptable, classify, enrich, file_meta, not_failed
-from filelake.session import stage
+from filelake.session import dropping_staged, stage
 from filelake.sources import objects
 from filelake.sources.state import StateTable
 from filelake.streaming import mirror as mirroring
@@ -184,7 +184,8 @@ class SyncJob:
         # The merge reads the batch several times; the feed files are to be read once.
         batch = batch.persist()
         try:
-            self._merge(batch, batch_id)
+            with dropping_staged(self.spark):
+                self._merge(batch, batch_id)
         finally:
             batch.unpersist()
         # After the cursor: a batch that is computed again must not find a snapshot of itself.
