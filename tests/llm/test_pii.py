@@ -129,8 +129,10 @@ def test_cards_next_to_other_numbers(docs):
 
 def test_domains_of_very_many_labels(spark):
     """No form may recurse once for each part of a long text."""
-    texts = ["x@" + "a." * 100_000 + "com", "1." * 100_000, "1234 " * 100_000, "12-" * 100_000, "a@b." * 50_000, "me@" + "a.b-" * 30 + "org"]
+    texts = ["x@" + "a." * 100_000 + "com", "1." * 100_000, "1234 " * 100_000, "12-" * 100_000, "a@b." * 50_000, "me@" + "a.b-" * 30 + "c.org"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r for r in pii.pseudonymise(df, "key").collect()}
-    assert [len(got[i]["text"]) for i in range(len(texts))] == [len(t) for t in texts]
-    assert got[1]["text"] == texts[1] and got[5]["text"] != texts[5] and got[5]["text"].endswith("@" + "a.b-" * 30 + "org")
+    # The last four of many numbers are an address, whose new octets may be longer; nothing else changes its length.
+    assert got[1]["text"].startswith("1." * 99_996) and len(got[1]["text"]) <= len(texts[1]) + 8
+    assert all(len(got[i]["text"]) == len(texts[i]) for i in (0, 2, 3, 4, 5))
+    assert got[5]["text"] != texts[5] and got[5]["text"].endswith("@" + "a.b-" * 30 + "c.org")
