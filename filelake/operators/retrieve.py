@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from filelake import constants as C
 from filelake import schemas
 from filelake.operators import text, vectors
+from filelake.operators.index import IndexJob
 from filelake.session import stage
 
 
@@ -44,23 +45,26 @@ def combined(queries: DataFrame, images: DataFrame, documents: DataFrame) -> Dat
     )
 
 
-def document_page(queries: DataFrame, docs: DataFrame) -> DataFrame:
+def document_page(queries: DataFrame, docs: DataFrame, index: IndexJob | None = None) -> DataFrame:
     """Best documents of every query with score, rank, title, link and snippet.
 
-    ``docs`` is ``(doc_id, text, title, link)``.
+    ``docs`` is ``(doc_id, text, title, link)``. With a stored ``index`` of them only the texts of the hits
+    are read.
     """
     terms = stage(text.query_terms(queries), "query-terms")
-    page = text.page(queries, docs, terms)
+    page = index.page(queries, terms) if index else text.page(queries, docs, terms)
     return text.snippets(page, terms, docs)
 
 
-def search(queries: DataFrame, docs: DataFrame, datapoints: DataFrame, dim: int) -> DataFrame:
+def search(
+    queries: DataFrame, docs: DataFrame, datapoints: DataFrame, dim: int, index: IndexJob | None = None
+) -> DataFrame:
     """Nearest images and best documents of ``(query_id, text, k)``, one row per query.
 
     Query texts are encoded into the space of the datapoints; see ``vectors.text_vectors``.
     """
     asked = vectors.text_vectors(queries, "query_id", "text", dim)
-    return combined(queries, vectors.topk(asked, datapoints, dim), document_page(queries, docs))
+    return combined(queries, vectors.topk(asked, datapoints, dim), document_page(queries, docs, index))
 
 
 def as_json(results: DataFrame) -> DataFrame:

@@ -142,25 +142,39 @@ def page(queries: DataFrame, docs: DataFrame, terms: DataFrame | None = None) ->
     ``k`` of every query and task; pairs of queries and documents are never rows. More than ``MAX_QUERIES``
     queries are searched in blocks, one after another, with the same answers.
     """
+    return paged(queries, docs.schema["doc_id"].dataType, lambda asked, k, schema: _block_page(asked, docs, k, schema), terms)
+
+
+def paged(queries: DataFrame, id_type: T.DataType, search, terms: DataFrame | None = None) -> DataFrame:
+    """Best documents of all queries, block after block of queries.
+
+    ``search(asked, k, schema)`` gives candidates ``(query_id, doc_id, score)`` of the ``(query_id, term)``
+    rows of one block, among them the best ``k`` of each of its queries.
+    """
     if terms is None:
         terms = stage(query_terms(queries), "query-terms")
     k = int(queries.agg(F.max("k")).first()[0] or 0)
-    blocks = max(1, math.ceil(queries.count() / MAX_QUERIES))
-    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
     schema = T.StructType([
         T.StructField("query_id", queries.schema["query_id"].dataType),
-        T.StructField("doc_id", docs.schema["doc_id"].dataType),
+        T.StructField("doc_id", id_type),
         T.StructField("score", T.DoubleType()),
     ])
     best = None
-    for number in range(blocks):
-        asked = terms.where(block == number).select("query_id", "term").toArrow()
-        found = _block_page(asked, docs, k, schema)
+    for asked in _query_blocks(queries, terms):
+        found = search(asked, k, schema)
         best = found if best is None else best.unionByName(found)
     best = skew.top_k(best, "query_id", [F.col("score").desc(), F.col("doc_id")], k)
     return best.join(queries.select("query_id", "k"), "query_id").where(F.col("rank") <= F.col("k")).drop("k")
 
 
+def _query_blocks(queries: DataFrame, terms: DataFrame) -> Iterator[pa.Table]:
+    """Terms of at most about ``MAX_QUERIES`` queries after another."""
+    blocks = max(1, math.ceil(queries.count() / MAX_QUERIES))
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    for number in range(blocks):
+        yield terms.where(block == number).select("query_id", "term").toArrow()
+
+
 def _block_page(asked: pa.Table, docs: DataFrame, k: int, schema: T.StructType) -> DataFrame:
     """Candidates of the queries in ``asked``, the best ``k`` of each task."""
     spark = docs.sparkSession
@@ -173,26 +187,41 @@ def _block_page(asked: pa.Table, docs: DataFrame, k: int, schema: T.StructType)
     df = counted.select(F.explode("terms").alias("t")).groupBy("t").count().toArrow()
     frequency = np.zeros(len(words))
     frequency[df["t"].to_numpy()] = df["count"].to_numpy()
-    idf = np.log(1.0 + (totals_["n"] - frequency + 0.5) / (frequency + 0.5))
+    idf = weights(frequency, totals_["n"])
     average = (totals_["dl"] or 0) / max(1, totals_["n"])
+    return best_documents(counted, *places(asked, words), idf, average, k, schema)
+
 
-    # For each term the places of the queries that hold it.
+def weights(frequency: np.ndarray, n_docs: int) -> np.ndarray:
+    """Inverse document frequency of terms that ``frequency`` of ``n_docs`` documents hold."""
+    return np.log(1.0 + (n_docs - frequency + 0.5) / (frequency + 0.5))
+
+
+def places(asked: pa.Table, words: pa.Array) -> tuple[pa.Array, list[np.ndarray]]:
+    """Queries of ``(query_id, term)`` rows, and for each of ``words`` the places of the queries that hold it."""
     query_ids = pc.unique(asked["query_id"])
     term_of = pc.index_in(asked["term"], value_set=words).to_numpy()
     place_of = pc.index_in(asked["query_id"], value_set=query_ids).to_numpy()
     order = np.argsort(term_of, kind="stable")
-    of_term = np.split(place_of[order], np.cumsum(np.bincount(term_of, minlength=len(words)))[:-1])
-    shared = spark.sparkContext.broadcast((query_ids.to_pandas().to_numpy(), idf, of_term))
+    return query_ids, np.split(place_of[order], np.cumsum(np.bincount(term_of, minlength=len(words)))[:-1])
+
+
+def best_documents(
+    counted: DataFrame, query_ids: pa.Array, of_term: list[np.ndarray], idf: np.ndarray, average: float,
+    k: int, schema: T.StructType,
+) -> DataFrame:
+    """Best ``k`` of each task and query among ``counted`` documents ``(doc_id, dl, terms, tfs)``."""
+    shared = counted.sparkSession.sparkContext.broadcast((query_ids.to_pandas().to_numpy(), idf, of_term))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, weight, places = shared.value
+        ids, weight, places_ = shared.value
         step, best = max(1, MAX_CELLS // len(ids)), None
         for batch in batches:
             # Ties go to the lower id, which comes first.
             batch = batch.take(pc.sort_indices(batch.column("doc_id")))
             for start in range(0, batch.num_rows, step):
                 part = batch.slice(start, step)
-                scores = _scores(part, weight, places, len(ids), average)
+                scores = _scores(part, weight, places_, len(ids), average)
                 q, d = _best_columns(scores, k)
                 doc_ids = part.column("doc_id").take(pa.array(d)).to_pandas().to_numpy()
                 new = pd.DataFrame({"q": ids[q], "id": doc_ids, "score": scores[q, d]})
@@ -236,12 +265,20 @@ def _scores(batch: pa.RecordBatch, idf: np.ndarray, places: list[np.ndarray], n_
     term, tf = batch.column("terms").flatten().to_numpy(), batch.column("tfs").flatten().to_numpy()
     length = (1 - C.BM25_B) + C.BM25_B * dl[doc] / average if average else np.ones(len(doc))
     gain = idf[term] * tf * (C.BM25_K1 + 1) / (tf + C.BM25_K1 * length)
-    scores = np.zeros((n_queries, len(dl)))
+    scores = spread_gains(term, doc, gain, places, n_queries, len(dl))
+    return np.where(scores > 0, np.round(scores, C.SCORE_DIGITS), -1.0)
+
+
+def spread_gains(
+    term: np.ndarray, column: np.ndarray, gain: np.ndarray, places: list[np.ndarray], n_queries: int, n_columns: int
+) -> np.ndarray:
+    """Matrix of queries by columns: the gains of each column's terms, summed for the queries that hold them."""
+    sums = np.zeros((n_queries, n_columns))
     order = np.argsort(term, kind="stable")
     bounds = np.nonzero(np.diff(term[order]))[0] + 1
     for rows in np.split(order, bounds) if len(order) else []:
-        scores[np.ix_(places[term[rows[0]]], doc[rows])] += gain[rows]
-    return np.where(scores > 0, np.round(scores, C.SCORE_DIGITS), -1.0)
+        sums[np.ix_(places[term[rows[0]]], column[rows])] += gain[rows]
+    return sums
 
 
 def _best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -267,45 +304,43 @@ def matching(queries: DataFrame, docs: DataFrame, terms: DataFrame | None = None
 
     Each task counts the queries its documents match; one row per query and task is shuffled.
     """
+    return matched(queries, lambda words: _counted_terms(docs, words), terms)
+
+
+def matched(queries: DataFrame, counted, terms: DataFrame | None = None) -> DataFrame:
+    """``matching`` over the documents ``counted(words)`` gives for the terms of a block of queries."""
     if terms is None:
         terms = stage(query_terms(queries), "query-terms")
-    blocks = max(1, math.ceil(queries.count() / MAX_QUERIES))
-    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-    kind = queries.schema["query_id"].dataType
-    schema = T.StructType([T.StructField("query_id", kind), T.StructField("n", T.LongType())])
-    counted = None
-    for number in range(blocks):
-        asked = terms.where(block == number).select("query_id", "term").toArrow()
-        found = _block_matches(asked, docs, schema)
-        counted = found if counted is None else counted.unionByName(found)
-    counted = counted.groupBy("query_id").agg(F.sum("n").alias("n"))
-    return queries.select("query_id").join(counted, "query_id", "left").select(
+    schema = T.StructType([T.StructField("query_id", queries.schema["query_id"].dataType), T.StructField("n", T.LongType())])
+    found = None
+    for asked in _query_blocks(queries, terms):
+        words = pc.unique(asked["term"])
+        if len(words):
+            part = _block_matches(counted(words), *places(asked, words), schema)
+            found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = queries.sparkSession.createDataFrame([], schema)
+    summed = found.groupBy("query_id").agg(F.sum("n").alias("n"))
+    return queries.select("query_id").join(summed, "query_id", "left").select(
         "query_id", F.coalesce("n", F.lit(0)).alias("total_size")
     )
 
 
-def _block_matches(asked: pa.Table, docs: DataFrame, schema: T.StructType) -> DataFrame:
-    words = pc.unique(asked["term"])
-    if not len(words):
-        return docs.sparkSession.createDataFrame([], schema)
-    query_ids = pc.unique(asked["query_id"])
-    term_of = pc.index_in(asked["term"], value_set=words).to_numpy()
-    place_of = pc.index_in(asked["query_id"], value_set=query_ids).to_numpy()
-    order = np.argsort(term_of, kind="stable")
-    of_term = np.split(place_of[order], np.cumsum(np.bincount(term_of, minlength=len(words)))[:-1])
-    shared = docs.sparkSession.sparkContext.broadcast((query_ids, of_term))
+def _block_matches(counted: DataFrame, query_ids: pa.Array, of_term: list[np.ndarray], schema: T.StructType) -> DataFrame:
+    shared = counted.sparkSession.sparkContext.broadcast((query_ids, of_term))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, places = shared.value
-        n = np.zeros(len(ids), dtype=np.int64)
+        ids, places_ = shared.value
+        n, step = np.zeros(len(ids), dtype=np.int64), max(1, MAX_CELLS // len(ids))
         for batch in batches:
-            for terms in batch.column("terms"):
-                hit = [places[t] for t in terms.as_py()]
-                if hit:
-                    n[np.unique(np.concatenate(hit))] += 1
+            for start in range(0, batch.num_rows, step):
+                terms = batch.column("terms").slice(start, step)
+                doc = np.repeat(np.arange(len(terms)), pc.list_value_length(terms).to_numpy())
+                term = terms.flatten().to_numpy()
+                n += (spread_gains(term, doc, np.ones(len(term)), places_, len(ids), len(terms)) > 0).sum(axis=1)
         yield pa.record_batch([ids, pa.array(n)], ["query_id", "n"])
 
-    return _counted_terms(docs, words).mapInArrow(run, schema)
+    return counted.mapInArrow(run, schema)
 
 
 def snippets(page: DataFrame, terms: DataFrame, docs: DataFrame) -> DataFrame:

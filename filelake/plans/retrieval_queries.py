@@ -10,6 +10,7 @@ from filelake import constants as C
 from filelake.functions import text as X
 from filelake.operators import ann, imports, retrieve, text, vectors
 from filelake.operators.embed import EmbedJob
+from filelake.operators.index import IndexJob
 from filelake.plans import inputs as I
 from filelake.plans.registry import query
 from filelake.session import new_folder, stage
@@ -252,11 +253,42 @@ def bm25_topk(spark, sf):
 @query("bm25_index", "select query_id, doc_id, score, rank from page")
 def bm25_index(spark, sf):
     """The same search over a stored index instead of the texts."""
-    d, q = I.docs(spark, sf), I.queries(spark, sf)
-    index, stats = stage(text.postings(d), "postings"), stage(text.doc_stats(d), "doc-stats")
-    terms = stage(text.query_terms(q), "query-terms")
-    scores = text.scored(terms, text.index_term_stats(index, stats, text.wanted_terms(terms)), index)
-    return _rank(text.first_page(scores, q))
+    index = IndexJob(spark, new_folder(spark, "index"))
+    index.run(I.docs(spark, sf))
+    return _rank(index.page(I.queries(spark, sf)))
+
+
+def _imported(spark, sf):
+    """Index after three imports: titles in place of all texts, with pages that leave again; then the
+    labelled documents; then all others."""
+    docs = I.docs(spark, sf)
+    labelled = I.table(spark, sf, "labels").select("doc_id").distinct()
+    pages = I.table(spark, sf, "pages").select((-1 - F.col("page_id")).alias("doc_id"), F.col("html").alias("text"))
+    index = IndexJob(spark, new_folder(spark, "index"))
+    index.run(docs.select("doc_id", F.col("title").alias("text")).unionByName(pages))
+    index.run(docs.join(labelled, "doc_id", "left_semi"), pages)
+    index.run(docs.join(labelled, "doc_id", "left_anti"))
+    return index
+
+
+@query("index_job", "select query_id, doc_id, score, rank from page")
+def index_job(spark, sf):
+    """An index kept over imports answers as one built from the final documents."""
+    return _rank(_imported(spark, sf).page(I.queries(spark, sf)))
+
+
+@query("index_total", """
+select query_id, count(doc_id) as total_size from queries left join scored using (query_id) group by query_id""")
+def index_total(spark, sf):
+    return _imported(spark, sf).matching(I.queries(spark, sf))
+
+
+@query("index_combined", """
+select query_id, rank, doc_id, title, link, snippet from page join docs using (doc_id) join snippets using (query_id, doc_id)""")
+def index_combined(spark, sf):
+    """Ranked results with title, link and snippet, found in the stored index."""
+    hits = retrieve.document_page(I.queries(spark, sf), I.docs(spark, sf), _imported(spark, sf))
+    return _rank(hits).select("query_id", "rank", "doc_id", "title", "link", "snippet")
 
 
 @query("search_total", """

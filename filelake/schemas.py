@@ -37,6 +37,11 @@ REV_INDEX = T.StructType([
     T.StructField("file_id", T.StringType()),
     T.StructField("rev", T.StringType()),
 ])
+# Stored text index: documents and words of a segment, those of them that later imports ended, and the
+# first version whose ended documents may lie in it.
+SEGMENT = T.StructType([
+    T.StructField(name, T.LongType()) for name in ("segment", "n_docs", "sum_dl", "n_gone", "gone_dl", "gone_from")
+])
 SYNC_STATE = T.StructType([T.StructField("cursor", T.LongType())])
 
 DATAPOINT = T.StructType([
