@@ -45,11 +45,22 @@ NEVER_ROLE = frozenset(
 NEVER_WORD = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertis\w*|adsense|adbox|adslot|banners?|breadcrumbs?|comments?|commentlist|"
     r"disqus|cookies?|consent|gdpr|footers?|footnotes?nav|headers?bar|masthead|topbar|navbar|navs?|navigation|menus?|"
-    r"notices?|alerts?|popups?|modals?|overlay|newsletters?|subscribe|subscription|signup|login|promos?|promotions?|"
-    r"promoted|sponsor\w*|related|recommend\w*|sidebars?|sidenav|share|sharing|social|widgets?|pagination|pager|"
-    r"respond|replies|reply|skip-link|site-header|page-header|site-footer|toolbar|search|hidden|sr-only)(?:$|[\s_-])",
+    r"notices?|popups?|modals?|overlay|newsletters?|subscribe|subscription|signup|login|promos?|promotions?|"
+    r"promoted|sponsor\w*|sidebars?|sidenav|pagination|pager|"
+    r"respond|skip-link|site-header|page-header|site-footer|toolbar|hidden|sr-only)(?:$|[\s_-])",
     re.I,
 )
+# Words that name such parts alone or beside a word for a part of a page ("related-posts"), and are part of a
+# subject beside another ("related-work"): there the ratios of the paths decide.
+TWOFOLD = frozenset(
+    "related recommend recommended recommendation recommendations share sharing social search alert alerts widget "
+    "widgets reply replies".split()
+)
+PART = frozenset(
+    "article articles area bar block body bottom box btn button buttons container content entries footer form header "
+    "heading icon icons inner input item items left link links list main media module news outer page pages panel post "
+    "posts right row section site sites stories story tab tabs this title tool tools top topics wrap wrapper".split()
+)
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
 TOKEN = re.compile(
@@ -92,10 +103,12 @@ class Elements:
 
 @dataclass(slots=True)
 class Block:
-    """Text of one block: the numbers of its tag path and of the element around it, and whether it is ruled out."""
+    """Text of one block: the numbers of its tag path, of the element around it and of the outermost element
+    around it whose name is doubtful (0: none), and whether it is ruled out."""
 
     path: int
     element: int
+    doubt: int
     never: bool
     heading: bool
     text: str
@@ -115,17 +128,29 @@ def _is_never(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
         return True
     if tag in ("html", "body", "article", "main", *HEADINGS):
         return False
-    return any(NEVER_WORD.search(attributes.get(a, "")) for a in ("class", "id"))
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
+    return bool(NEVER_WORD.search(names)) or any(rest <= PART for rest in _twofold(names))
+
+
+def _twofold(names: str) -> list[set[str]]:
+    """For each class or id with a twofold word its other words, numbers aside."""
+    words = [{w for w in re.split(r"[-_\d]+", name) if w} for name in names.lower().split()]
+    return [w - TWOFOLD for w in words if w & TWOFOLD]
+
+
+def _is_doubtful(attributes: dict[str, str]) -> bool:
+    return bool(_twofold(f"{attributes.get('class', '')} {attributes.get('id', '')}"))
 
 
 def blocks(page: str) -> tuple[list[Block], Elements]:
     """Blocks of text in page order, and the elements. Inline elements belong to the block around them."""
     found: list[Block] = []
     elements = Elements([0], [""])
-    # A path is a number for each pair of the path above and a tag.
-    paths: dict[tuple[int, str], int] = {}
-    # Open block elements: (tag, number, path, ruled out, in the article, in a heading), and how many there are of a tag.
-    stack: list[tuple[str, int, int, bool, bool, bool]] = [("", 0, 0, False, False, False)]
+    # A path is a number for each triple of the path above, a tag and its classes, numbers aside.
+    paths: dict[tuple[int, str, str], int] = {}
+    # Open block elements: (tag, number, path, ruled out, in the article, in a heading, doubtful one around), and how
+    # many there are of a tag.
+    stack: list[tuple[str, int, int, bool, bool, bool, int]] = [("", 0, 0, False, False, False, 0)]
     open_tags: Counter[str] = Counter()
     pieces: list[str] = []
     links = linked = 0
@@ -136,8 +161,8 @@ def blocks(page: str) -> tuple[list[Block], Elements]:
         nonlocal linked
         text = WHITE.sub(" ", html.unescape("".join(pieces))).strip(" ")
         if text:
-            _, number, path, never, _, heading = stack[-1]
-            found.append(Block(path, number, never, heading, text, linked))
+            _, number, path, never, _, heading, doubt = stack[-1]
+            found.append(Block(path, number, doubt, never, heading, text, linked))
         pieces.clear()
         linked = 0
 
@@ -218,9 +243,12 @@ def blocks(page: str) -> tuple[list[Block], Elements]:
         above = stack[-1]
         attributes = _attributes(m[3] or m[6] or "")
         article = above[4] or tag in ("article", "main") or attributes.get("role", "").lower() in ("main", "article")
-        path = paths.setdefault((above[2], tag), len(paths) + 1)
+        classes = re.sub(r"\d+", "", " ".join(sorted(set(attributes.get("class", "").lower().split()))))
+        path = paths.setdefault((above[2], tag, classes), len(paths) + 1)
         never = above[3] or _is_never(tag, attributes, above[4])
-        stack.append((tag, len(elements.tag), path, never, article, above[5] or tag in HEADINGS))
+        number = len(elements.tag)
+        doubt = above[6] or (number if _is_doubtful(attributes) else 0)
+        stack.append((tag, number, path, never, article, above[5] or tag in HEADINGS, doubt))
         elements.parent.append(above[1])
         elements.tag.append(tag)
         open_tags[tag] += 1
@@ -262,6 +290,11 @@ def main_text(page: str | None) -> str:
     total = sum(len(b.text) for b in candidates)
     limit = THRESHOLD * sum(scores[b.path] * len(b.text) for b in candidates) / total
     chosen = {p for p, s in scores.items() if s >= limit}
+    # A part with a doubtful name is content if most of its text is in chosen paths.
+    for_it: Counter[int] = Counter()
+    for b in candidates:
+        for_it[b.doubt] += len(b.text) if b.path in chosen else -len(b.text)
+    candidates = [b for b in candidates if not b.doubt or for_it[b.doubt] > 0]
     # The article is the innermost part of the page with nearly all text of the chosen paths: an article
     # or main element if one has it, else any that can hold several blocks. All in it belongs to it.
     content = [b for b in candidates if b.path in chosen]
@@ -278,18 +311,22 @@ def main_text(page: str | None) -> str:
         near = [b for b in candidates if outer <= b.element <= last[outer]]
         if elements.tag[outer] in ("div", "section") and all(b.heading or article <= b.element <= last[article] for b in near):
             inner = near
-    kept = [b for b in inner if b.path in chosen or b.heading or 2 * b.linked <= len(b.text)]
+    # An article or main element says what the article is. Lists of links in another element are menus.
+    stated = elements.tag[article] in ("article", "main")
+    kept = [b for b in inner if stated or b.path in chosen or b.heading or 2 * b.linked <= len(b.text)]
     return "\n".join(b.text for b in kept)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """``pages`` with ``text``, the main text of each page, and ``n_chars``, its code points.
 
-    Blocks of text get the path of block elements from the root. For each path, characters outside links
-    and punctuation marks per block are smoothed over neighbouring paths and multiplied; paths above a
-    part of the mean are content. The innermost element with four fifths of the content is the
-    article; its blocks are returned in page order, without those that are mostly links. Menus, footers, page headers,
-    sidebars, forms, scripts and elements named after adverts, notices or comments are left out before.
+    Blocks of text get the path of block elements and their classes from the root. For each path, characters
+    outside links and punctuation marks per block are smoothed over neighbouring paths and multiplied; paths above a
+    part of the mean are content. The innermost element with four fifths of the content is the article; its blocks
+    are returned in page order. Where it is neither an article nor a main element, blocks outside content paths that
+    are mostly links are menus. Footers, page headers, sidebars, forms, scripts and elements named after adverts,
+    notices or comments are left out before; where a name may also tell a subject, as "related-work", the part is left
+    out unless most of its text is in content paths.
 
     Character references are decoded, white space in a block becomes one space. Whole pages are read,
     broken and cut off ones too. A null or empty page and one without text have an empty text. Pages are

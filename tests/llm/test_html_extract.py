@@ -75,3 +75,54 @@ def test_elements_know_what_is_inside_them():
     found, elements = html_extract.blocks("<div><p>a</p><section><p>b</p></section></div><p>c</p>")
     assert elements.tag == ["", "div", "p", "section", "p", "p"] and elements.parent == [0, 0, 1, 1, 3, 0]
     assert elements.last() == [5, 4, 2, 4, 4, 5] and elements.weights(found) == [3, 2, 1, 1, 1, 1]
+
+
+# Nothing in its names or elements tells what the article is.
+PLAIN = """<html><body><div><table><tr><td><a href=/>Home</a><td><a href=/n>News</a><td>Mon 3</table></div>
+<div><div><h1>The bridge</h1><p>The old bridge, built in 1820, was closed on Monday; nobody knows why, or until when.</p>
+<p>Those who live nearby, as we do, now walk for an hour. It is, they say, a nuisance.</p>
+<p><a href=/map>A map of the way round, with all its stops.</a></p></div>
+<ul><li><a href=/1>Rain in May</a><li><a href=/2>A new mayor</a><li>Weather 12 C</ul></div>
+<dl><dt>Tel</dt><dd>12 34</dd><dt>Fax</dt><dd>56 78</dd></dl></body></html>"""
+PLAIN_TEXT = (
+    "The bridge\nThe old bridge, built in 1820, was closed on Monday; nobody knows why, or until when.\n"
+    "Those who live nearby, as we do, now walk for an hour. It is, they say, a nuisance.\nA map of the way round, with all its stops."
+)
+
+
+def test_ratios_find_the_article_where_names_tell_nothing(monkeypatch):
+    assert html_extract.main_text(PLAIN) == PLAIN_TEXT
+    with monkeypatch.context() as m:
+        # With equal scores the list beside it belongs to it.
+        m.setattr(html_extract, "path_scores", lambda candidates: {b.path: 1.0 for b in candidates})
+        assert html_extract.main_text(PLAIN) == PLAIN_TEXT + "\nRain in May\nA new mayor\nWeather 12 C"
+
+
+def part(name):
+    para = "<p>The first study, by far the best known, was done in 1990; others, less so, came later. All agree.</p>"
+    inner = f"<h2>Head</h2>{para}" if name in ("related-work", "share_price") else "<h2>Head</h2><p>More</p><p>Two</p>"
+    return f'<article><h1>T</h1>{para * 3}<div class="{name}">{inner}</div></article>'
+
+
+def test_ratios_decide_on_twofold_names(monkeypatch):
+    for name in ("related-work", "share_price"):
+        assert html_extract.main_text(part(name)).count("\n") == 5
+    for name in ("share-facts", "related", "related-posts", "share buttons", "social-2", "comment-price", "search"):
+        assert html_extract.main_text(part(name)).count("\n") == 3
+    monkeypatch.setattr(html_extract, "path_scores", lambda candidates: {b.path: 1.0 for b in candidates})
+    assert html_extract.main_text(part("share-facts")).endswith("Head\nMore\nTwo")
+
+
+def test_links_of_a_stated_article_stay():
+    page = "<article><p>Read, if you like, these.</p><ul><li><a href=a>One</a><li><a href=b>Two</a></ul></article>"
+    assert html_extract.main_text(page) == "Read, if you like, these.\nOne\nTwo"
+
+
+def test_classes_tell_paths_apart():
+    page = "<div class=a7>{}</div><div class=a8>{}</div><div class=b>{}</div>".format(
+        "<p>Long text of this page, with marks. And more, and more.</p>" * 3, "<p>Long text of this page, with marks.</p>" * 3, "<p>x</p>" * 9
+    )
+    found, _ = html_extract.blocks(page)
+    assert len({b.path for b in found}) == 2
+    scores = html_extract.path_scores(found)
+    assert scores[found[0].path] > scores[found[-1].path]
