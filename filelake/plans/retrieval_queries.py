@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from filelake import constants as C
 from filelake.functions import text as X
-from filelake.operators import ann, imports, retrieve, text, vectors
+from filelake.operators import ann, imports, leaf_tree, retrieve, text, vectors
 from filelake.operators.embed import EmbedJob
 from filelake.operators.index import IndexJob
 from filelake.plans import inputs as I
@@ -113,6 +113,32 @@ def vector_ann_all_leaves(spark, sf):
     return _rank(ann.search(I.query_vectors(spark, sf), index, probes=len(index.centroids)))
 
 
+def _stored_tree(spark, sf):
+    """Leaves of about 50 vectors in groups, written and read again."""
+    path = new_folder(spark, "leaf-tree")
+    leaf_tree.write(leaf_tree.build(I.datapoints(spark, sf), I.DIM, leaf_size=50), path)
+    return leaf_tree.read(spark, path, I.DIM)
+
+
+@query("vector_tree")
+def vector_tree(spark, sf):
+    """Search of a stored tree of two levels; a tenth of its leaves is searched."""
+    return _rank(leaf_tree.search(I.query_vectors(spark, sf), _stored_tree(spark, sf)))
+
+
+@query("vector_tree_members", "select vec_id as datapoint_id, cast(1 as bigint) as n from embeddings")
+def vector_tree_members(spark, sf):
+    """Every vector is in one leaf, and that leaf has a centroid."""
+    tree = _stored_tree(spark, sf)
+    return tree.table.join(tree.leaves, ["group", "leaf"]).groupBy("datapoint_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("vector_tree_all_leaves", "select query_id, datapoint_id, distance, rank from neighbors")
+def vector_tree_all_leaves(spark, sf):
+    """Pairs of all leaves and queries must give the exact answer; a fraction just below 1 takes the way by leaves."""
+    return _rank(leaf_tree.search(I.query_vectors(spark, sf), _stored_tree(spark, sf), fraction=1 - 1e-9))
+
+
 @query("vector_ann_blocks", "select query_id, cast(0 as bigint) as differing from queries")
 def vector_ann_blocks(spark, sf):
     """Queries sent 16 at a time get the answers of queries sent all at once: pairs that only one has."""
