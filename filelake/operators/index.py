@@ -157,11 +157,9 @@ class IndexJob:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             number = (segment << 2 * _BITS) + (TaskContext.get().partitionId() << _BITS)
             for batch in batches:
-                rows = []
                 for start in range(0, batch.num_rows, size):
-                    rows.append(_block_of(batch.slice(start, size), segment, number, arrow))
+                    yield _block_of(batch.slice(start, size), segment, number, arrow)
                     number += 1
-                yield from pa.Table.from_batches(rows).combine_chunks().to_batches()
 
         ordered = docs.repartitionByRange("dl", "doc_id").sortWithinPartitions("dl", "doc_id")
         ordered.mapInArrow(run, schema).write.mode("overwrite").parquet(f"{self.root}/segment-{segment}")
@@ -218,7 +216,7 @@ class IndexJob:
     def _documents(self, blocks: DataFrame) -> DataFrame:
         """Documents of ``blocks`` with ``gone`` places, as an import counts them."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in _by_postings(batches):
                 ids, dl, sizes, at, tf = _flat(batch)
                 offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
                 terms = pa.ListArray.from_arrays(offsets, batch.column("terms").flatten().take(pa.array(at)))
@@ -296,7 +294,7 @@ class IndexJob:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             wanted, n = shared.value, None
-            for batch in batches:
+            for batch in text.by_terms(batches, "terms"):
                 at = pc.index_in(batch.column("terms").flatten(), value_set=wanted)
                 known = at.is_valid()
                 found = np.bincount(
@@ -322,7 +320,7 @@ class IndexJob:
         shared = self.spark.sparkContext.broadcast(words)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in _by_postings(batches):
                 ids, dl, sizes, at, tf = _flat(batch)
                 number = pc.fill_null(pc.index_in(batch.column("terms").flatten(), value_set=shared.value), -1).to_numpy()[at]
                 doc, known = np.repeat(np.arange(len(dl)), sizes), number >= 0
@@ -340,7 +338,7 @@ def _arrow_type(spark: SparkSession, schema: T.StructType) -> pa.Schema:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``(doc_id, dl, toks)`` to ``(doc_id, dl, terms, tfs)``: each term of a document once, with its count."""
-    for batch in batches:
+    for batch in text.by_terms(batches, "toks"):
         toks = batch.column("toks")
         coded = toks.flatten().dictionary_encode()
         row = np.repeat(np.arange(len(toks)), pc.list_value_length(toks).to_numpy())
@@ -376,6 +374,15 @@ def _block_of(docs: pa.RecordBatch, segment: int, number: int, schema: pa.Schema
     return pa.record_batch([c.cast(f.type) for c, f in zip(columns, schema)], schema.names)
 
 
+def _by_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks in parts by the number of terms that their documents hold."""
+    for batch in batches:
+        lists = batch.column("docs")
+        ends = np.append(0, np.cumsum(pc.list_value_length(lists.flatten().field("terms")).to_numpy()))
+        places = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
+        yield from text.parts(batch, np.diff(ends[places]))
+
+
 def _flat(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Documents of a batch of blocks that are not gone: ids, lengths and numbers of terms; and of
     each of their terms, one after another, the place in the batch's flattened terms and the count."""
@@ -421,7 +428,7 @@ def _seeds(ask: tuple, most: int, spark: SparkSession):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = None
-        for batch in batches:
+        for batch in text.by_terms(batches, "terms"):
             numbers = batch.column("block").to_numpy()
             for start, bounds in _bounds(batch, shared.value):
                 top = np.argpartition(-bounds, min(most, bounds.shape[1]) - 1, axis=1)[:, :most]
@@ -443,7 +450,7 @@ def _above(ask: tuple, floor: np.ndarray, spark: SparkSession):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ask, least = shared.value
-        for batch in batches:
+        for batch in text.by_terms(batches, "terms"):
             for start, bounds in _bounds(batch, ask):
                 wanted = ((bounds > 0) & (bounds + slack >= least[:, None])).any(axis=0)
                 yield pa.record_batch([batch.column("block").slice(start, len(wanted)).filter(pa.array(wanted))], ["block"])

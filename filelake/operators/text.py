@@ -24,6 +24,9 @@ MAX_QUERIES = 4096
 # Cells of the matrix of scores, queries by documents, that a task holds.
 MAX_CELLS = 2_000_000
 
+# Terms of documents that a task works on at once; a batch that Spark hands over may hold many times more.
+MAX_TERMS = 500_000
+
 # Not a term: marks the one row per document that its own counts hang on.
 _WHOLE = ""
 
@@ -35,8 +38,27 @@ def tokenized(docs: DataFrame) -> DataFrame:
 
 def _tokenized(docs: DataFrame) -> tuple[DataFrame, bool]:
     rows, moved = spread(docs.select("doc_id", "text"), "doc_id")
+    return _tokens_of(rows), moved
+
+
+def _tokens_of(rows: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", X.tokens(F.col("text")).alias("toks"))
-    return rows.withColumn("dl", F.size("toks").cast("bigint")), moved
+    return rows.withColumn("dl", F.size("toks").cast("bigint"))
+
+
+def parts(batch: pa.RecordBatch, sizes: np.ndarray, most: int = MAX_TERMS) -> Iterator[pa.RecordBatch]:
+    """Slices of whole rows whose ``sizes`` add up to at most ``most``; a larger row is one by itself."""
+    ends, start, done = np.cumsum(sizes), 0, 0
+    while start < batch.num_rows:
+        end = max(start + 1, int(np.searchsorted(ends, done + most, side="right")))
+        yield batch.slice(start, end - start)
+        start, done = end, ends[end - 1]
+
+
+def by_terms(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """``parts`` of all batches by the lengths of the lists in ``column``."""
+    for batch in batches:
+        yield from parts(batch, pc.fill_null(pc.list_value_length(batch.column(column)), 0).to_numpy())
 
 
 def postings(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
@@ -239,7 +261,7 @@ def _counted_terms(docs: DataFrame, words: pa.Array) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = shared.value
-        for batch in batches:
+        for batch in by_terms(batches, "toks"):
             toks = batch.column("toks")
             number = pc.index_in(toks.flatten(), value_set=wanted)
             row = np.repeat(np.arange(len(toks)), pc.list_value_length(toks).to_numpy())
