@@ -17,7 +17,7 @@ from filelake import constants as C
 from filelake.functions import text as X
 from filelake.operators import skew
 from filelake.operators.vectors import keep_best
-from filelake.session import small_side, spread, stage
+from filelake.session import small_side, spread, spread_evenly, stage
 
 # Queries whose terms are sent to every task at once; more are searched in blocks of this size.
 MAX_QUERIES = 4096
@@ -65,9 +65,10 @@ def postings(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     """Inverted index ``(term, doc_id, tf, dl)``, for the given ``(term)`` rows only if set.
 
     Rows are spread by document, which is unique, not by term: the commonest word is in most
-    documents. A search that groups by document then needs no further shuffle.
+    documents. A search that groups by document then needs no further shuffle. Of all terms it is the texts
+    that are spread, which are several times smaller than their postings.
     """
-    rows, moved = _tokenized(docs)
+    rows, moved = _tokenized(docs) if terms is not None else (_tokens_of(spread_evenly(docs.select("doc_id", "text"), "doc_id")), True)
     words = X.each(rows, ["doc_id", "dl"], F.col("toks"), "term")
     if terms is not None:
         words = words.join(terms.select("term"), "term", "left_semi")
