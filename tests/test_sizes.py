@@ -92,3 +92,21 @@ def test_postings_move_the_texts_only(spark, monkeypatch):
     rows = sorted(tuple(r) for r in made.where("doc_id is not null").select("term", "doc_id", "tf", "dl").collect())
     assert rows == [("a", 1, 2, 3), ("b", 1, 1, 3), ("b", 3, 2, 2), ("c", 3, 2, 2), ("z", 3, 1, 1)]
     assert made.where("doc_id is null").count() == 1
+
+
+def test_plain_source_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    from feeds import change, frame
+
+    from filelake.plans import table_queries
+
+    spark.createDataFrame([(1, "t", "en", 1)], "doc_id bigint, text string, lang string, n_chars bigint").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    feed = frame(spark, [change(i, "file", f"/d/f{i}.jpg", f"i{i}", "r") for i in range(64)])
+    wrote = []
+    monkeypatch.setattr(table_queries, "new_folder", lambda s, label: wrote.append(str(tmp_path / label)) or wrote[-1])
+    table_queries._source_files(spark, str(tmp_path), feed, str(tmp_path / "source"))
+    made = spark.read.parquet(wrote[0])
+    assert made.count() == 64 and len(list((tmp_path / "source" / "d").iterdir())) == 64
+    with_files = made.select(F.input_file_name().alias("f")).distinct().count()
+    assert with_files > 1
