@@ -144,3 +144,45 @@ def test_renamed_file_in_a_later_batch(spark, tmp_path):
     job.apply(frame(spark, [change(1, "file", "/p2.jpg", "A", "r1")]), 1)
     assert {r.outcome: r.n for r in job.counts.read().collect()} == {"synced": 1, "unchanged": 1}
     assert [tuple(r) for r in job.paths.read().collect()] == [("/p1.jpg", "A")]
+
+
+def test_revision_of_an_archive_deleted_twice_ends(spark, tmp_path, monkeypatch):
+    """Its id would stay on record without a path, and all events of a later batch would go through the exact replay."""
+    from feeds import change
+
+    from filelake.streaming import sync
+
+    monkeypatch.setattr(sync.replay, "replay", lambda *_: 1 / 0)
+    job = SyncJob(spark, str(tmp_path / "job"))
+    job.apply(frame(spark, [change(0, "file", "/z.zip", "Z", "r1")]), 0)
+    job.apply(frame(spark, [change(1, "deleted", "/z.zip"), change(2, "deleted", "/z.zip")]), 1)
+    assert job.revs.read().count() == 0 and job.paths.read().count() == 0
+    job.apply(frame(spark, [change(3, "file", "/z.zip", "Z", "r1")]), 2)
+    assert {r.outcome: r.n for r in job.counts.read().collect()} == {"archive": 2, "archive_deleted": 2}
+    assert [tuple(r) for r in job.revs.read().collect()] == [("Z", "r1")]
+
+
+def test_only_paths_with_a_new_failure_are_judged_again(spark, tmp_path, monkeypatch):
+    from feeds import change
+
+    from filelake.streaming import sync
+
+    asked, judged = [], []
+
+    def fetch(attempted):
+        asked.append(sorted(r.seq for r in attempted.select("seq").collect()))
+        return attempted.select("seq", F.when(F.col("seq").isin(0, 1, 5), "read error").alias("error"))
+
+    plain = sync.classify
+    monkeypatch.setattr(sync, "classify", lambda events, *a, **k: judged.append(
+        sorted(r.seq for r in events.select("seq").collect())) or plain(events, *a, **k))
+    rows = [change(i, "file", "/a.jpg", "A", "r1") for i in range(3)] + [change(3, "file", "/b.jpg", "B", "r1")]
+    rows += [change(4, "file", "/c.jpg", "C", "r1"), change(5, "file", "/c.jpg", "C", "r2"), change(6, "deleted", "/c.jpg")]
+    job = SyncJob(spark, str(tmp_path / "job"), fetch=fetch)
+    job.apply(frame(spark, rows), 0)
+    # The copy of a failed revision is fetched in its place; the rest is fetched once.
+    assert asked == [[0, 3, 4, 5], [1], [2]]
+    assert judged == [[0, 1, 2, 3, 4, 5, 6], [0, 1, 2, 4, 5, 6], [0, 1, 2]]
+    assert state(job) == {"/a.jpg": ("A", "r1"), "/b.jpg": ("B", "r1")}
+    assert {r.outcome: r.n for r in job.counts.read().collect()} == {"synced": 3, "skipped": 3, "deleted": 1}
+    assert job.retry.read().count() == 0
