@@ -160,3 +160,20 @@ def test_new_archive_revision_replaces_the_members(spark):
     old = archive.expand(heads, spark.createDataFrame([("Z", "a.jpg", 1, 0), ("Z", "b.jpg", 1, 1)], schema), "lake://t")
     new = archive.expand(heads, spark.createDataFrame([("Z", "a.jpg", 1, 0)], schema), "lake://t")
     assert [r.file_id for r in archive.vanished(old, new).collect()] == ["Z___b.jpg"]
+
+
+def test_large_corrections_are_written_into_the_events(spark, monkeypatch):
+    """They are not sent to every task in each later round."""
+    patches, sent = [], []
+    plain, send = exact._next, exact.send_if_small
+    monkeypatch.setattr(exact, "MAX_PATCH", 0)
+    monkeypatch.setattr(exact, "_next", lambda base, patch, *a: patches.append(patch) or plain(base, patch, *a))
+    monkeypatch.setattr(exact, "send_if_small", lambda df: sent.append(df) or send(df))
+    rows = []
+    for step in range(8):
+        for kind, path, ident in (("file", step, f"i{step}"), ("file", step + 1, f"i{step}"), ("deleted", step, None), ("file", step + 1, f"i{step}")):
+            rows.append(change(len(rows), kind, f"/p{path}.jpg", ident, ident and "r0"))
+    settled = exact.replay(frame(spark, rows), frontier_from=0)
+    assert outcomes(settled) == replay(rows)[0]
+    assert patches and all(p is None for p in patches)
+    assert sent == []
