@@ -11,6 +11,13 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
+def plain(text: Column) -> Column:
+    """``text`` as ``operators.text.split_terms`` takes it, which knows the letters and digits of ASCII: unchanged if there
+    are no others, else in lower case and with spaces for what is beyond ASCII and part of no token."""
+    ascii_only = F.is_valid_utf8(text) & (F.octet_length(text) == F.char_length(text))
+    return F.when(ascii_only, text).otherwise(F.regexp_replace(F.lower(text), r"[^\x00-\x7F\p{L}\p{N}]+", " "))
+
+
 def term_bucket(term: Column, dim: int) -> Column:
     """Feature-hash bucket of a term: leading 32 bits of its md5, modulo ``dim``."""
     head = F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("bigint")

@@ -16,15 +16,18 @@ from pyspark.sql import types as T
 
 from filelake import constants as C
 from filelake import schemas
+from filelake.functions import text as X
 from filelake.operators import skew, text
 from filelake.operators.vectors import keep_best
-from filelake.session import dropping_staged, remove, small_side, stage
+from filelake.session import dropping_staged, remove, small_side, spread, stage
 from filelake.sources.state import StateTable
 
 # A block's number holds its segment, the task that wrote it and its place there: 2^21 of each.
 _BITS = 21
 # Blocks with the highest bounds that are searched first for every query, beyond those that hold k documents.
 SEED_BLOCKS = 4
+# Terms of documents that a task of a large import gathers, to put documents of similar length in one block.
+GATHERED_TERMS = 2_000_000
 # Versions after which the ended documents are written together again.
 GONE_VERSIONS = 16
 
@@ -107,34 +110,52 @@ class IndexJob:
         """
         live, version = self.segments(), self._next()
         with dropping_staged(self.spark):
-            rows = text.tokenized(changed.where(F.col("doc_id").isNotNull()).select(
-                F.col("doc_id").cast(self.id_type).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
-            ))
-            fresh = stage(rows.select("doc_id", "dl", "toks").mapInArrow(_counts, self._document), "import")
-            if not fresh.groupBy("doc_id").count().where(F.col("count") > 1).isEmpty():
-                fresh = stage(skew.latest(fresh, "doc_id", [F.col("dl").desc(), F.col("terms").desc(), F.col("tfs").desc()]), "import")
-            ids = fresh.select("doc_id")
+            fresh = self._take_in(version, changed)
+            ids = fresh.select(F.explode("docs.doc_id").alias("doc_id"))
             if removed is not None:
                 ids = ids.unionByName(removed.select(F.col("doc_id").cast(self.id_type).alias("doc_id"))).distinct()
-            ended = stage(self._places(live, version, ids), "ended")
+            places = self._places(live, version, ids)
+            first = min((s.gone_from for s in live), default=version)
+            if version - first >= GONE_VERSIONS:
+                # Written together with all older ones, which are then no longer read.
+                ended, first = stage(places, "ended"), version
+                ended.unionByName(self._gone(live, version - 1)).write.mode("overwrite").parquet(f"{self.root}/gone-{version}")
+            else:
+                places.write.mode("overwrite").parquet(f"{self.root}/gone-{version}")
+                ended = self.spark.read.schema(self._ended).parquet(f"{self.root}/gone-{version}")
             counted = ended.groupBy("segment").agg(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("dl"))
             lost = {r.segment: (r.n, r.dl) for r in counted.collect()}
-            n, dl = fresh.agg(F.count(F.lit(1)), F.coalesce(F.sum("dl"), F.lit(0))).first()
+            n, dl = fresh.select(F.explode("docs.dl").alias("dl")).agg(F.count(F.lit(1)), F.coalesce(F.sum("dl"), F.lit(0))).first()
             entries = [
                 {**s.asDict(), "n_gone": s.n_gone + lost.get(s.segment, (0, 0))[0], "gone_dl": s.gone_dl + lost.get(s.segment, (0, 0))[1]}
                 for s in live
             ]
-            first = min((s.gone_from for s in live), default=version)
-            if version - first >= GONE_VERSIONS:
-                # Written together with all older ones, which are then no longer read.
-                ended, first = ended.unionByName(self._gone(live, version - 1)), version
-            ended.write.mode("overwrite").parquet(f"{self.root}/gone-{version}")
             if n:
-                self._write(version, fresh)
                 entries.append({"segment": version, "n_docs": n, "sum_dl": dl, "n_gone": 0, "gone_dl": 0})
             self._commit(version, entries, first)
         self._merge()
 
+    def _take_in(self, segment: int, changed: DataFrame) -> DataFrame:
+        """Write the documents ``changed`` as a segment; its blocks."""
+        rows = changed.where(F.col("doc_id").isNotNull()).select(
+            F.col("doc_id").cast(self.id_type).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
+        )
+        rows, small = spread(rows, "doc_id")
+        rows = rows.select("doc_id", X.plain(F.col("text")).alias("text"))
+        path, most = f"{self.root}/segment-{segment}", GATHERED_TERMS
+        if small:
+            self._write(segment, stage(rows.mapInArrow(_counts, self._document), "import"))
+        else:
+            make = self._blocks_of(segment)
+            rows.mapInArrow(lambda batches: make(_by_length(_counts(batches), most)), self._block).write.mode("overwrite").parquet(path)
+        fresh = self.spark.read.schema(self._block).parquet(path)
+        repeated = fresh.select(F.explode("docs.doc_id").alias("doc_id")).groupBy("doc_id").count().where(F.col("count") > 1)
+        if not repeated.isEmpty():
+            docs = self._documents(fresh.withColumn("gone", F.lit(None).cast("array<int>")))
+            self._write(segment, stage(skew.latest(docs, "doc_id", [F.col("dl").desc(), F.col("terms").desc(), F.col("tfs").desc()]), "import"))
+            fresh = self.spark.read.schema(self._block).parquet(path)
+        return fresh
+
     def _places(self, live: list[Row], version: int, ids: DataFrame) -> DataFrame:
         """Where live segments hold the documents ``ids``, with their lengths and terms."""
         if not live:
@@ -143,16 +164,24 @@ class IndexJob:
         at = blocks.select("block", F.posexplode("docs.doc_id").alias("place", "doc_id"))
         at = at.join(small_side(ids, "changed"), "doc_id", "left_semi")
         at = at.join(self._gone(live, version - 1).select("block", "place"), ["block", "place"], "left_anti")
-        found = blocks.join(small_side(at, "places"), "block").withColumn("d", F.get("docs", F.col("place")))
-        return found.select(
-            "segment", "block", "place", "doc_id", "d.dl",
-            F.transform(F.col("d.terms"), lambda t: F.get(F.col("terms"), t)).alias("terms"),
-        )
+        at = at.groupBy("block").agg(F.collect_set("place").alias("at"))
 
-    def _write(self, segment: int, docs: DataFrame) -> None:
-        """Blocks of ``docs``; documents of similar length share one, which keeps its bounds tight."""
-        size, schema = self.block_docs, self._block
-        arrow = _arrow_type(self.spark, schema)
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in _by_postings(batches):
+                doc_ids, dl, sizes, at, _, doc = _flat(batch, batch.column("at"), False)
+                n = pc.list_value_length(batch.column("docs")).to_numpy()
+                row = np.repeat(np.arange(len(n)), n)[doc]
+                of_row = pa.array(row)
+                columns = [batch.column("segment").take(of_row), batch.column("block").take(of_row),
+                           pa.array((doc - (np.cumsum(n) - n)[row]).astype(np.int32)), doc_ids, pa.array(dl), _terms_of(batch, sizes, at)]
+                yield pa.record_batch(columns, ["segment", "block", "place", "doc_id", "dl", "terms"])
+
+        found = blocks.join(small_side(at, "places"), "block").select("segment", "block", "terms", "docs", "at")
+        return found.mapInArrow(run, self._ended)
+
+    def _blocks_of(self, segment: int):
+        """Function of a task that makes blocks of ordered documents ``(doc_id, dl, terms, tfs)``."""
+        size, arrow = self.block_docs, _arrow_type(self.spark, self._block)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             number = (segment << 2 * _BITS) + (TaskContext.get().partitionId() << _BITS)
@@ -161,8 +190,12 @@ class IndexJob:
                     yield _block_of(batch.slice(start, size), segment, number, arrow)
                     number += 1
 
+        return run
+
+    def _write(self, segment: int, docs: DataFrame) -> None:
+        """Blocks of ``docs``; documents of similar length share one, which keeps its bounds tight."""
         ordered = docs.repartitionByRange("dl", "doc_id").sortWithinPartitions("dl", "doc_id")
-        ordered.mapInArrow(run, schema).write.mode("overwrite").parquet(f"{self.root}/segment-{segment}")
+        ordered.mapInArrow(self._blocks_of(segment), self._block).write.mode("overwrite").parquet(f"{self.root}/segment-{segment}")
 
     def _commit(self, version: int, entries: list[dict], gone_from: int) -> None:
         kept = [{**e, "gone_from": gone_from} for e in entries if e["n_gone"] < e["n_docs"]]
@@ -202,7 +235,16 @@ class IndexJob:
         if not chosen:
             return
         with dropping_staged(self.spark):
-            self._write(version, self._documents(self._with_gone(self._blocks(chosen), chosen)))
+            blocks = self._with_gone(self._blocks(chosen), chosen)
+            n, longest, shortest = F.size("docs"), F.array_max("docs.dl"), F.array_min("docs.dl")
+            whole = F.col("gone").isNull() & (2 * n >= self.block_docs) & (longest <= 2 * shortest + 16)
+            alive = F.col("gone").isNull() | (F.size("gone") < n)
+            self._write(version, stage(self._documents(blocks.where(~whole & alive)), "merged"))
+            # Numbers of the upper half of the tasks, which the blocks just made leave free.
+            place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+            number = F.shiftleft(F.spark_partition_id().cast("bigint") + (1 << _BITS - 1), _BITS) + place
+            copied = blocks.where(whole).withColumn("segment", F.lit(version).cast("bigint")).withColumn("block", F.lit(version << 2 * _BITS) + number)
+            copied.select(*self._block.fieldNames()).write.mode("append").parquet(f"{self.root}/segment-{version}")
             # Nothing has ended since; the folder keeps versions without a gap.
             self.spark.createDataFrame([], self._ended).write.mode("overwrite").parquet(f"{self.root}/gone-{version}")
             entries = [s.asDict() for s in live if s not in chosen]
@@ -217,10 +259,10 @@ class IndexJob:
         """Documents of ``blocks`` with ``gone`` places, as an import counts them."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in _by_postings(batches):
-                ids, dl, sizes, at, tf = _flat(batch)
-                offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
-                terms = pa.ListArray.from_arrays(offsets, batch.column("terms").flatten().take(pa.array(at)))
-                yield pa.record_batch([ids, pa.array(dl), terms, pa.ListArray.from_arrays(offsets, pa.array(tf))], ["doc_id", "dl", "terms", "tfs"])
+                ids, dl, sizes, at, tf, _ = _flat(batch, batch.column("gone"))
+                terms = _terms_of(batch, sizes, at)
+                tfs = pa.ListArray.from_arrays(_offsets(sizes), pa.array(tf))
+                yield pa.record_batch([ids, pa.array(dl), terms, tfs], ["doc_id", "dl", "terms", "tfs"])
 
         return blocks.select("terms", "docs", "gone").mapInArrow(run, self._document)
 
@@ -266,9 +308,9 @@ class IndexJob:
         if not n or not len(words) or k == 0:
             return None
         average = sum(s.sum_dl - s.gone_dl for s in live) / n
-        idf = text.weights(self._frequency(live, words), n)
+        headers = self._headers(live, words)
+        idf = text.weights(self._frequency(live, words, headers), n)
         ask = (words, *text.places(asked, words), idf, average)
-        headers = self._blocks(live).select("block", "terms", "max_tf", "min_dl")
 
         # For every query the blocks that promise most, and the kth score in them.
         seeds = headers.mapInArrow(_seeds(ask, SEED_BLOCKS + k // self.block_docs, self.spark), "q int, block bigint, bound double")
@@ -287,32 +329,52 @@ class IndexJob:
         blocks = self._blocks(live).join(small_side(needed, "needed-blocks"), "block", "left_semi")
         return text.best_documents(self._counted(self._with_gone(blocks, live), words), ids, of_term, idf, average, k, schema)
 
-    def _frequency(self, live: list[Row], words: pa.Array) -> np.ndarray:
-        """Live documents that hold each of ``words``: sums of the segments less the ended documents."""
-        spark = self.spark
-        shared = spark.sparkContext.broadcast(words)
+    def _headers(self, live: list[Row], words: pa.Array) -> DataFrame:
+        """``(block, at, df, max_tf, min_dl)``: of each block what it says of ``words``, whose numbers are ``at``."""
+        shared = self.spark.sparkContext.broadcast(words)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            wanted, n = shared.value, None
             for batch in text.by_terms(batches, "terms"):
-                at = pc.index_in(batch.column("terms").flatten(), value_set=wanted)
+                at = pc.index_in(batch.column("terms").flatten(), value_set=shared.value)
                 known = at.is_valid()
-                found = np.bincount(
-                    at.filter(known).to_numpy(), batch.column("df").flatten().filter(known).to_numpy(), minlength=len(wanted)
-                ).astype(np.int64)
+                row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(batch.column("terms")).to_numpy())
+                offsets = _offsets(np.bincount(row[known.to_numpy(zero_copy_only=False)], minlength=batch.num_rows))
+                lists = [at, *(batch.column(c).flatten() for c in ("df", "max_tf", "min_dl"))]
+                lists = [pa.ListArray.from_arrays(offsets, v.filter(known)) for v in lists]
+                yield pa.record_batch([batch.column("block"), *lists], ["block", "at", "df", "max_tf", "min_dl"])
+
+        rows = self._blocks(live).select("block", "terms", "df", "max_tf", "min_dl")
+        # Read for the frequencies and for the bounds, twice.
+        return stage(rows.mapInArrow(run, "block bigint, at array<int>, df array<int>, max_tf array<int>, min_dl array<bigint>"), "headers")
+
+    def _frequency(self, live: list[Row], words: pa.Array, headers: DataFrame) -> np.ndarray:
+        """Live documents that hold each of ``words``: sums of the segments less the ended documents."""
+        shared = self.spark.sparkContext.broadcast(words)
+
+        def summed(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.RecordBatch]:
+            n = None
+            for at, df in batches:
+                found = np.bincount(at.to_numpy(), df.to_numpy(), minlength=len(shared.value)).astype(np.int64)
                 n = found if n is None else n + found
             if n is not None:
                 at = np.flatnonzero(n)
                 yield pa.record_batch([pa.array(at.astype(np.int32)), pa.array(n[at])], ["t", "n"])
 
-        rows = self._blocks(live).select("terms", "df").mapInArrow(run, "t int, n bigint")
+        def stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from summed((b.column("at").flatten(), b.column("df").flatten()) for b in batches)
+
+        def ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = (pc.index_in(b.column("terms").flatten(), value_set=shared.value).drop_null() for b in text.by_terms(batches, "terms"))
+            yield from summed((at, pa.array(np.ones(len(at)))) for at in found)
+
+        rows = headers.select("at", "df").mapInArrow(stored, "t int, n bigint")
         if any(s.n_gone for s in live):
-            ended = self._gone(live, self._next() - 1).select("terms", F.transform("terms", lambda t: F.lit(1)).alias("df"))
-            rows = rows.unionByName(ended.mapInArrow(run, "t int, n bigint").select("t", (-F.col("n")).alias("n")))
+            gone = self._gone(live, self._next() - 1).select("terms")
+            rows = rows.unionByName(gone.mapInArrow(ended, "t int, n bigint").select("t", (-F.col("n")).alias("n")))
         # At most one row per term that was sent.
-        summed = rows.groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+        total = rows.groupBy("t").agg(F.sum("n").alias("n")).toArrow()
         frequency = np.zeros(len(words))
-        frequency[summed["t"].to_numpy()] = summed["n"].to_numpy()
+        frequency[total["t"].to_numpy()] = total["n"].to_numpy()
         return frequency
 
     def _counted(self, blocks: DataFrame, words: pa.Array) -> DataFrame:
@@ -321,7 +383,7 @@ class IndexJob:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in _by_postings(batches):
-                ids, dl, sizes, at, tf = _flat(batch)
+                ids, dl, sizes, at, tf, _ = _flat(batch, batch.column("gone"))
                 number = pc.fill_null(pc.index_in(batch.column("terms").flatten(), value_set=shared.value), -1).to_numpy()[at]
                 doc, known = np.repeat(np.arange(len(dl)), sizes), number >= 0
                 offsets = pa.array(np.append(0, np.cumsum(np.bincount(doc[known], minlength=len(dl)))).astype(np.int32))
@@ -336,18 +398,45 @@ def _arrow_type(spark: SparkSession, schema: T.StructType) -> pa.Schema:
     return spark.createDataFrame([], schema).toArrow().schema
 
 
+def _offsets(sizes: np.ndarray) -> pa.Array:
+    return pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(doc_id, dl, toks)`` to ``(doc_id, dl, terms, tfs)``: each term of a document once, with its count."""
-    for batch in text.by_terms(batches, "toks"):
-        toks = batch.column("toks")
-        coded = toks.flatten().dictionary_encode()
-        row = np.repeat(np.arange(len(toks)), pc.list_value_length(toks).to_numpy())
-        width = max(1, len(coded.dictionary))
-        pairs, tf = np.unique(row * width + coded.indices.to_numpy(), return_counts=True)
-        offsets = pa.array(np.searchsorted(pairs // width, np.arange(len(toks) + 1)).astype(np.int32))
-        terms = coded.dictionary.take(pa.array(pairs % width))
-        lists = [pa.ListArray.from_arrays(offsets, v) for v in (terms, pa.array(tf.astype(np.int32)))]
-        yield pa.record_batch([batch.column("doc_id"), batch.column("dl"), *lists], ["doc_id", "dl", "terms", "tfs"])
+    """Plain ``(doc_id, text)`` to ``(doc_id, dl, terms, tfs)``: each term of a document once, with its count."""
+    for batch in batches:
+        for part in text.parts(batch, pc.binary_length(batch.column("text")).to_numpy(), text.MAX_TEXT):
+            toks = text.split_terms(part.column("text"))
+            coded = toks.flatten().dictionary_encode()
+            row = np.repeat(np.arange(len(toks)), pc.list_value_length(toks).to_numpy())
+            code, width = coded.indices.to_numpy(), max(1, len(coded.dictionary))
+            empty = pc.index(coded.dictionary, "").as_py()
+            if empty >= 0:
+                row, code = row[code != empty], code[code != empty]
+            pairs, tf = np.unique(row * width + code, return_counts=True)
+            offsets = pa.array(np.searchsorted(pairs // width, np.arange(len(toks) + 1)).astype(np.int32))
+            terms = coded.dictionary.take(pa.array(pairs % width))
+            lists = [pa.ListArray.from_arrays(offsets, v) for v in (terms, pa.array(tf.astype(np.int32)))]
+            dl = pa.array(np.bincount(row, minlength=len(toks)).astype(np.int64))
+            yield pa.record_batch([part.column("doc_id"), dl, *lists], ["doc_id", "dl", "terms", "tfs"])
+
+
+def _by_length(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Documents in the order of their lengths, gathered until they hold ``most`` terms."""
+    held, n = [], 0
+
+    def ordered() -> pa.RecordBatch:
+        docs = pa.concat_batches(held)
+        return docs.take(pc.sort_indices(docs, sort_keys=[("dl", "ascending"), ("doc_id", "ascending")]))
+
+    for batch in batches:
+        held.append(batch)
+        n += len(batch.column("tfs").flatten())
+        if n >= most:
+            yield ordered()
+            held, n = [], 0
+    if held:
+        yield ordered()
 
 
 def _block_of(docs: pa.RecordBatch, segment: int, number: int, schema: pa.Schema) -> pa.RecordBatch:
@@ -383,15 +472,21 @@ def _by_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from text.parts(batch, np.diff(ends[places]))
 
 
-def _flat(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Documents of a batch of blocks that are not gone: ids, lengths and numbers of terms; and of
-    each of their terms, one after another, the place in the batch's flattened terms and the count."""
-    lists, gone = batch.column("docs"), batch.column("gone")
+def _terms_of(batch: pa.RecordBatch, sizes: np.ndarray, at: np.ndarray) -> pa.ListArray:
+    """Lists of ``sizes`` terms, by their places in the flattened terms of a batch of blocks."""
+    return pa.ListArray.from_arrays(_offsets(sizes), batch.column("terms").flatten().take(pa.array(at)))
+
+
+def _flat(batch: pa.RecordBatch, places: pa.Array, left: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Documents of a batch of blocks that are not at ``places``, or those that are: ids, lengths and numbers of terms;
+    of each of their terms, one after another, the place in the batch's flattened terms and the count; and the numbers
+    of the documents in the batch."""
+    lists = batch.column("docs")
     docs = lists.flatten()
     n = pc.list_value_length(lists).to_numpy()
-    keep = np.ones(len(docs), dtype=bool)
-    ended = pc.fill_null(pc.list_value_length(gone), 0).to_numpy()
-    keep[np.repeat(np.cumsum(n) - n, ended) + gone.flatten().to_numpy()] = False
+    keep = np.full(len(docs), left)
+    listed = pc.fill_null(pc.list_value_length(places), 0).to_numpy()
+    keep[np.repeat(np.cumsum(n) - n, listed) + places.flatten().to_numpy()] = not left
     terms = docs.field("terms")
     sizes = pc.list_value_length(terms).to_numpy()
     width = pc.list_value_length(batch.column("terms")).to_numpy()
@@ -400,23 +495,18 @@ def _flat(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray, np.n
     used = np.repeat(keep, sizes)
     return (
         docs.field("doc_id").filter(pa.array(keep)), docs.field("dl").to_numpy()[keep], sizes[keep],
-        at[used], docs.field("tfs").flatten().to_numpy()[used],
+        at[used], docs.field("tfs").flatten().to_numpy()[used], np.flatnonzero(keep),
     )
 
 
 def _bounds(batch: pa.RecordBatch, ask: tuple) -> Iterator[tuple[int, np.ndarray]]:
     """Highest score that each query (row) can reach in each block (column), for parts of the batch from a row on."""
-    words, ids, of_term, idf, average = ask
+    _, ids, of_term, idf, average = ask
     step = max(1, text.MAX_CELLS // len(ids))
     for start in range(0, batch.num_rows, step):
         part = batch.slice(start, step)
-        at = pc.index_in(part.column("terms").flatten(), value_set=words)
-        known = at.is_valid()
-        kept = known.to_numpy(zero_copy_only=False)
-        block = np.repeat(np.arange(part.num_rows), pc.list_value_length(part.column("terms")).to_numpy())[kept]
-        term = at.filter(known).to_numpy()
-        tf = part.column("max_tf").flatten().filter(known).to_numpy()
-        dl = part.column("min_dl").flatten().filter(known).to_numpy()
+        block = np.repeat(np.arange(part.num_rows), pc.list_value_length(part.column("at")).to_numpy())
+        term, tf, dl = (part.column(c).flatten().to_numpy() for c in ("at", "max_tf", "min_dl"))
         # A document with a term has a word, so the average is not zero here.
         length = (1 - C.BM25_B) + C.BM25_B * dl / average if average else np.ones(len(dl))
         gain = idf[term] * tf * (C.BM25_K1 + 1) / (tf + C.BM25_K1 * length)
@@ -428,7 +518,7 @@ def _seeds(ask: tuple, most: int, spark: SparkSession):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = None
-        for batch in text.by_terms(batches, "terms"):
+        for batch in text.by_terms(batches, "at"):
             numbers = batch.column("block").to_numpy()
             for start, bounds in _bounds(batch, shared.value):
                 top = np.argpartition(-bounds, min(most, bounds.shape[1]) - 1, axis=1)[:, :most]
@@ -450,7 +540,7 @@ def _above(ask: tuple, floor: np.ndarray, spark: SparkSession):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ask, least = shared.value
-        for batch in text.by_terms(batches, "terms"):
+        for batch in text.by_terms(batches, "at"):
             for start, bounds in _bounds(batch, ask):
                 wanted = ((bounds > 0) & (bounds + slack >= least[:, None])).any(axis=0)
                 yield pa.record_batch([batch.column("block").slice(start, len(wanted)).filter(pa.array(wanted))], ["block"])

@@ -27,6 +27,12 @@ MAX_CELLS = 2_000_000
 # Terms of documents that a task works on at once; a batch that Spark hands over may hold many times more.
 MAX_TERMS = 500_000
 
+# Bytes of text that a task splits at once.
+MAX_TEXT = 4_000_000
+# ASCII bytes in lower case, those that are no letters or digits as spaces; bytes beyond ASCII as they are.
+_PLAIN = np.array([b if b >= 128 or chr(b).isalnum() else 32 for b in range(256)], dtype=np.uint8)
+_PLAIN[65:91] += 32
+
 # Not a term: marks the one row per document that its own counts hang on.
 _WHOLE = ""
 
@@ -61,6 +67,17 @@ def by_terms(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Reco
         yield from parts(batch, pc.fill_null(pc.list_value_length(batch.column(column)), 0).to_numpy())
 
 
+def split_terms(plain: pa.Array) -> pa.ListArray:
+    """Tokens of each of some ``functions.text.plain`` texts, the same as ``functions.text.tokens`` finds; there may be
+    empty strings among them."""
+    plain = plain.cast(pa.string())
+    _, ends, data = plain.buffers()
+    ends = np.frombuffer(ends, np.int32)[plain.offset : plain.offset + len(plain) + 1] if len(plain) else np.zeros(1, np.int32)
+    data = _PLAIN[np.frombuffer(data, np.uint8)[ends[0] : ends[-1]]] if data else np.zeros(0, np.uint8)
+    clean = pa.StringArray.from_buffers(len(plain), pa.py_buffer(ends - ends[0]), pa.py_buffer(data))
+    return pc.ascii_split_whitespace(clean)
+
+
 def postings(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     """Inverted index ``(term, doc_id, tf, dl)``, for the given ``(term)`` rows only if set.
 

@@ -2,8 +2,11 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from test_search import DOCS, QUERIES, bm25
 
+from filelake import session
+from filelake.functions import text as X
 from filelake.operators import index as stored
 from filelake.operators import retrieve, text
 from filelake.operators.index import IndexJob
@@ -138,3 +141,69 @@ def test_string_ids_and_the_combined_search(spark, tmp_path):
     q = queries(spark)
     rows = retrieve.document_page(q, docs, job)
     assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, retrieve.document_page(q, docs).collect()))
+
+
+def blocks_of(job):
+    return job._blocks(job.segments()).select("block", "docs.doc_id").collect()
+
+
+def test_split_terms_are_the_tokens(spark):
+    rng = random.Random(3)
+    signs = "aZ09 \t\n\x00\x1f_-.'\x7fäÖßéİIıſKΣςσǅ你好٣½²ⅷ́  ​–€😀𝔸𐐀𝟗"
+    texts = ["", " ", "A", "İstanbul ΟΔΟΣ", "no-Break here"] + ["".join(rng.choices(signs, k=rng.randrange(1, 40))) for _ in range(500)]
+    texts += ["".join(rng.choices([chr(c) for c in range(128)], k=60)) for _ in range(100)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], DOC).coalesce(1)
+    # Bytes that are no UTF-8 are read as Java reads them.
+    rows = rows.unionByName(spark.sql("select -1L as doc_id, cast(x'41ff42c320c3a4e4' as string) as text"))
+    got = rows.select("doc_id", X.plain(F.col("text")).alias("text"), X.tokens(F.col("text")).alias("toks")).toArrow().combine_chunks()
+    got = got.slice(1)
+    split = text.split_terms(got["text"].chunk(0)).to_pylist()
+    assert [[t for t in s if t] for s in split] == got["toks"].to_pylist()
+
+
+def test_large_import_makes_its_blocks_where_it_reads(spark, job, monkeypatch):
+    # A tenth of the terms of a task are gathered at once; a block still has documents of similar length.
+    monkeypatch.setattr(session, "SPREAD_BYTES_PER_CORE", 0)
+    monkeypatch.setattr(stored, "GATHERED_TERMS", 500)
+    monkeypatch.setattr(IndexJob, "_write", lambda *_: 1 / 0)
+    docs = corpus(400)
+    job.run(spark.createDataFrame(docs, DOC).coalesce(2))
+    holds(job, docs, ASKED)
+    found_ = blocks_of(job)
+    assert len({b.block for b in found_}) == len(found_) < 130
+
+
+def test_large_import_with_repeated_and_null_rows(spark, job, monkeypatch):
+    monkeypatch.setattr(session, "SPREAD_BYTES_PER_CORE", 0)
+    rows = [(1, "cat"), (1, "the cat sat"), (None, "the cat"), (1, "the cat sat"), (2, None), (2, "dog")]
+    job.run(spark.createDataFrame(rows, DOC))
+    holds(job, [(1, "the cat sat"), (2, "dog")])
+
+
+def test_merging_copies_whole_blocks(spark, job, monkeypatch):
+    job.run(spark.createDataFrame([(i, f"old w{i} " + "x " * (i // 8)) for i in range(40)], DOC))
+    decoded = []
+    documents = IndexJob._documents
+    monkeypatch.setattr(IndexJob, "_documents", lambda self, blocks: decoded.append(blocks.select(F.explode("docs.doc_id")).count()) or documents(self, blocks))
+    new = [(i, f"new w{i} " + "x " * (i // 8)) for i in range(39, 100)]
+    job.run(spark.createDataFrame(new, DOC))
+    # Only the block that has lost a document and those that are not full are taken apart.
+    assert len(job.segments()) == 1 and len(decoded) == 1 and decoded[0] <= 12
+    docs = [(i, f"old w{i} " + "x " * (i // 8)) for i in range(39)] + new
+    holds(job, docs, [(1, "old w3 w77", 5), (2, "new x", 90), (3, "w39", 2)])
+    found_ = blocks_of(job)
+    assert len({b.block for b in found_}) == len(found_)
+    assert sorted(d for b in found_ for d in b.doc_id) == [i for i, _ in docs]
+    # Blocks that were copied lose documents like others.
+    job.run(spark.createDataFrame([], DOC), spark.createDataFrame([(i,) for i in range(0, 100, 3)], "doc_id bigint"))
+    holds(job, [d for d in docs if d[0] % 3], [(1, "old w3 w77", 5), (2, "new x", 90), (3, "w39", 2)])
+
+
+def test_ended_documents_do_not_repeat_their_block(spark, job):
+    """A block goes once to the step that takes documents out of it, not once for each of them."""
+    job.run(spark.createDataFrame(corpus(60), DOC))
+    gone = job._places(job.segments(), job._next(), spark.createDataFrame([(i,) for i in range(0, 60, 2)], "doc_id bigint"))
+    plan = gone._jdf.queryExecution().executedPlan().toString()
+    assert "transform(" not in plan and plan.index("MapInArrow") < plan.index("Join")
+    want = {i: sorted(set(t.split())) for i, t in corpus(60) if i % 2 == 0}
+    assert {r.doc_id: sorted(r.terms) for r in gone.collect()} == want
