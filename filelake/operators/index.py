@@ -24,6 +24,8 @@ from filelake.sources.state import StateTable
 
 # A block's number holds its segment, the task that wrote it and its place there: 2^21 of each.
 _BITS = 21
+# Columns that hold the documents of a block.
+_POSTINGS = ("terms", "docs", "doc_terms", "doc_tfs")
 # Blocks with the highest bounds that are searched first for every query, beyond those that hold k documents.
 SEED_BLOCKS = 4
 # Terms of documents that a task of a large import gathers, to put documents of similar length in one block.
@@ -43,7 +45,8 @@ class IndexJob:
 
     A segment is a table of blocks of ``block_docs`` documents of similar length. A block has its terms with
     the highest count and the shortest length among their documents, which bound every score from above under
-    any corpus statistics. Statistics add up over segments, less those of the ended documents.
+    any corpus statistics. ``doc_terms`` and ``doc_tfs`` are the ``n`` terms of each document, as numbers in the
+    block's, and their counts: unsigned integers of as few bytes as the largest of the block needs. Statistics add up over segments, less those of the ended documents.
     """
 
     spark: SparkSession
@@ -72,7 +75,7 @@ class IndexJob:
     def _block(self) -> T.StructType:
         return T.StructType.fromDDL(
             "segment bigint, block bigint, terms array<string>, df array<int>, max_tf array<int>, min_dl array<bigint>, "
-            f"docs array<struct<doc_id: {self.id_type}, dl: bigint, terms: array<int>, tfs: array<int>>>"
+            f"docs array<struct<doc_id: {self.id_type}, dl: bigint, n: int>>, doc_terms binary, doc_tfs binary"
         )
 
     @property
@@ -176,7 +179,7 @@ class IndexJob:
                            pa.array((doc - (np.cumsum(n) - n)[row]).astype(np.int32)), doc_ids, pa.array(dl), _terms_of(batch, sizes, at)]
                 yield pa.record_batch(columns, ["segment", "block", "place", "doc_id", "dl", "terms"])
 
-        found = blocks.join(small_side(at, "places"), "block").select("segment", "block", "terms", "docs", "at")
+        found = blocks.join(small_side(at, "places"), "block").select("segment", "block", "at", *_POSTINGS)
         return found.mapInArrow(run, self._ended)
 
     def _blocks_of(self, segment: int):
@@ -261,10 +264,10 @@ class IndexJob:
             for batch in _by_postings(batches):
                 ids, dl, sizes, at, tf, _ = _flat(batch, batch.column("gone"))
                 terms = _terms_of(batch, sizes, at)
-                tfs = pa.ListArray.from_arrays(_offsets(sizes), pa.array(tf))
+                tfs = pa.ListArray.from_arrays(_offsets(sizes), pa.array(tf.astype(np.int32)))
                 yield pa.record_batch([ids, pa.array(dl), terms, tfs], ["doc_id", "dl", "terms", "tfs"])
 
-        return blocks.select("terms", "docs", "gone").mapInArrow(run, self._document)
+        return blocks.select("gone", *_POSTINGS).mapInArrow(run, self._document)
 
     # --- search --------------------------------------------------------------------------------
 
@@ -391,7 +394,7 @@ class IndexJob:
                 yield pa.record_batch([ids, pa.array(dl), *lists], ["doc_id", "dl", "terms", "tfs"])
 
         schema = T.StructType.fromDDL(f"doc_id {self.id_type}, dl bigint, terms array<int>, tfs array<int>")
-        return blocks.select("terms", "docs", "gone").mapInArrow(run, schema)
+        return blocks.select("gone", *_POSTINGS).mapInArrow(run, schema)
 
 
 def _arrow_type(spark: SparkSession, schema: T.StructType) -> pa.Schema:
@@ -448,26 +451,34 @@ def _block_of(docs: pa.RecordBatch, segment: int, number: int, schema: pa.Schema
     max_tf, min_dl = np.zeros(n, np.int32), np.full(n, np.iinfo(np.int64).max)
     np.maximum.at(max_tf, code, tf)
     np.minimum.at(min_dl, code, np.repeat(dl, sizes))
-    offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
-    listed = pa.StructArray.from_arrays(
-        [docs.column("doc_id"), pa.array(dl), *(pa.ListArray.from_arrays(offsets, pa.array(v.astype(np.int32))) for v in (code, tf))],
-        ["doc_id", "dl", "terms", "tfs"],
-    )
+    listed = pa.StructArray.from_arrays([docs.column("doc_id"), pa.array(dl), pa.array(sizes)], ["doc_id", "dl", "n"])
 
     def one(values: pa.Array) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
     df = np.bincount(code, minlength=n).astype(np.int32)
     columns = [pa.array([segment], pa.int64()), pa.array([number], pa.int64()),
-               *(one(v) for v in (coded.dictionary, pa.array(df), pa.array(max_tf), pa.array(min_dl), listed))]
+               *(one(v) for v in (coded.dictionary, pa.array(df), pa.array(max_tf), pa.array(min_dl), listed)),
+               *(pa.array([_packed(v)], pa.binary()) for v in (code, tf))]
     return pa.record_batch([c.cast(f.type) for c, f in zip(columns, schema)], schema.names)
 
 
+def _packed(values: np.ndarray) -> bytes:
+    width = np.min_scalar_type(int(values.max(initial=0))).itemsize
+    return values.astype(f"<u{width}").tobytes()
+
+
+def _unpacked(packed: pa.Array, n: np.ndarray) -> np.ndarray:
+    """Values of ``_packed`` arrays of ``n`` values, one after another."""
+    buffers = [(b.as_buffer(), k) for b, k in zip(packed, n) if k]
+    return np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(b, f"<u{b.size // k}") for b, k in buffers)]).astype(np.int64)
+
+
 def _by_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks in parts by the number of terms that their documents hold."""
     for batch in batches:
         lists = batch.column("docs")
-        ends = np.append(0, np.cumsum(pc.list_value_length(lists.flatten().field("terms")).to_numpy()))
+        ends = np.append(0, np.cumsum(lists.flatten().field("n").to_numpy(), dtype=np.int64))
         places = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
         yield from text.parts(batch, np.diff(ends[places]))
 
@@ -487,15 +498,16 @@ def _flat(batch: pa.RecordBatch, places: pa.Array, left: bool = True) -> tuple[p
     keep = np.full(len(docs), left)
     listed = pc.fill_null(pc.list_value_length(places), 0).to_numpy()
     keep[np.repeat(np.cumsum(n) - n, listed) + places.flatten().to_numpy()] = not left
-    terms = docs.field("terms")
-    sizes = pc.list_value_length(terms).to_numpy()
+    sizes = docs.field("n").to_numpy()
+    ends = np.append(0, np.cumsum(sizes, dtype=np.int64))
+    held = np.diff(ends[np.append(0, np.cumsum(n))])
     width = pc.list_value_length(batch.column("terms")).to_numpy()
     base = np.repeat(np.cumsum(width) - width, n)
-    at = terms.flatten().to_numpy() + np.repeat(base, sizes)
+    at = _unpacked(batch.column("doc_terms"), held) + np.repeat(base, sizes)
     used = np.repeat(keep, sizes)
     return (
         docs.field("doc_id").filter(pa.array(keep)), docs.field("dl").to_numpy()[keep], sizes[keep],
-        at[used], docs.field("tfs").flatten().to_numpy()[used], np.flatnonzero(keep),
+        at[used], _unpacked(batch.column("doc_tfs"), held)[used], np.flatnonzero(keep),
     )
 
 

@@ -207,3 +207,12 @@ def test_ended_documents_do_not_repeat_their_block(spark, job):
     assert "transform(" not in plan and plan.index("MapInArrow") < plan.index("Join")
     want = {i: sorted(set(t.split())) for i, t in corpus(60) if i % 2 == 0}
     assert {r.doc_id: sorted(r.terms) for r in gone.collect()} == want
+
+
+def test_counts_and_terms_of_any_width(spark, job):
+    # Counts beyond one and two bytes, more terms in a block than one byte can number, and an empty document.
+    docs = [(1, "cat " * 70_000 + "dog"), (2, "cat " * 300), (3, " ".join(f"w{i}" for i in range(70_000))), (4, ""), (5, "dog w69999")]
+    job.run(spark.createDataFrame(docs, DOC))
+    job.run(spark.createDataFrame([], DOC), spark.createDataFrame([(2,)], "doc_id bigint"))
+    holds(job, [d for d in docs if d[0] != 2], [(1, "cat dog", 5), (2, "w255 w256 w65536 w69999", 5)])
+    assert sorted(r.n for r in job._blocks(job.segments()).select(F.inline("docs")).collect() if r.doc_id in (1, 3, 4)) == [0, 2, 70_000]
