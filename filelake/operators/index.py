@@ -147,10 +147,10 @@ class IndexJob:
         rows = rows.select("doc_id", X.plain(F.col("text")).alias("text"))
         path, most = f"{self.root}/segment-{segment}", GATHERED_TERMS
         if small:
-            self._write(segment, stage(rows.mapInArrow(_counts, self._document), "import"))
+            self._write(segment, stage(rows.mapInArrow(lambda batches: _counts(_split(batches)), self._document), "import"))
         else:
             make = self._blocks_of(segment)
-            rows.mapInArrow(lambda batches: make(_by_length(_counts(batches), most)), self._block).write.mode("overwrite").parquet(path)
+            rows.mapInArrow(lambda batches: make(_by_length(_counts(_split(batches)), most)), self._block).write.mode("overwrite").parquet(path)
         fresh = self.spark.read.schema(self._block).parquet(path)
         repeated = fresh.select(F.explode("docs.doc_id").alias("doc_id")).groupBy("doc_id").count().where(F.col("count") > 1)
         if not repeated.isEmpty():
@@ -405,23 +405,27 @@ def _offsets(sizes: np.ndarray) -> pa.Array:
     return pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Plain ``(doc_id, text)`` to ``(doc_id, dl, terms, tfs)``: each term of a document once, with its count."""
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Plain ``(doc_id, text)`` to ``(doc_id, dl, toks)``."""
     for batch in batches:
         for part in text.parts(batch, pc.binary_length(batch.column("text")).to_numpy(), text.MAX_TEXT):
             toks = text.split_terms(part.column("text"))
-            coded = toks.flatten().dictionary_encode()
-            row = np.repeat(np.arange(len(toks)), pc.list_value_length(toks).to_numpy())
-            code, width = coded.indices.to_numpy(), max(1, len(coded.dictionary))
-            empty = pc.index(coded.dictionary, "").as_py()
-            if empty >= 0:
-                row, code = row[code != empty], code[code != empty]
-            pairs, tf = np.unique(row * width + code, return_counts=True)
-            offsets = pa.array(np.searchsorted(pairs // width, np.arange(len(toks) + 1)).astype(np.int32))
-            terms = coded.dictionary.take(pa.array(pairs % width))
-            lists = [pa.ListArray.from_arrays(offsets, v) for v in (terms, pa.array(tf.astype(np.int32)))]
-            dl = pa.array(np.bincount(row, minlength=len(toks)).astype(np.int64))
-            yield pa.record_batch([part.column("doc_id"), dl, *lists], ["doc_id", "dl", "terms", "tfs"])
+            dl = pc.list_value_length(toks).cast(pa.int64())
+            yield pa.record_batch([part.column("doc_id"), dl, toks], ["doc_id", "dl", "toks"])
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(doc_id, dl, toks)`` to ``(doc_id, dl, terms, tfs)``: each term of a document once, with its count."""
+    for batch in text.by_terms(batches, "toks"):
+        toks = batch.column("toks")
+        coded = toks.flatten().dictionary_encode()
+        row = np.repeat(np.arange(len(toks)), pc.list_value_length(toks).to_numpy())
+        width = max(1, len(coded.dictionary))
+        pairs, tf = np.unique(row * width + coded.indices.to_numpy(), return_counts=True)
+        offsets = pa.array(np.searchsorted(pairs // width, np.arange(len(toks) + 1)).astype(np.int32))
+        terms = coded.dictionary.take(pa.array(pairs % width))
+        lists = [pa.ListArray.from_arrays(offsets, v) for v in (terms, pa.array(tf.astype(np.int32)))]
+        yield pa.record_batch([batch.column("doc_id"), batch.column("dl"), *lists], ["doc_id", "dl", "terms", "tfs"])
 
 
 def _by_length(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:

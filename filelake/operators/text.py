@@ -28,7 +28,7 @@ MAX_CELLS = 2_000_000
 MAX_TERMS = 500_000
 
 # Bytes of text that a task splits at once.
-MAX_TEXT = 4_000_000
+MAX_TEXT = 3_000_000
 # ASCII bytes in lower case, those that are no letters or digits as spaces; bytes beyond ASCII as they are.
 _PLAIN = np.array([b if b >= 128 or chr(b).isalnum() else 32 for b in range(256)], dtype=np.uint8)
 _PLAIN[65:91] += 32
@@ -68,14 +68,18 @@ def by_terms(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Reco
 
 
 def split_terms(plain: pa.Array) -> pa.ListArray:
-    """Tokens of each of some ``functions.text.plain`` texts, the same as ``functions.text.tokens`` finds; there may be
-    empty strings among them."""
+    """Tokens of each of some ``functions.text.plain`` texts, the same as ``functions.text.tokens`` finds."""
     plain = plain.cast(pa.string())
     _, ends, data = plain.buffers()
     ends = np.frombuffer(ends, np.int32)[plain.offset : plain.offset + len(plain) + 1] if len(plain) else np.zeros(1, np.int32)
     data = _PLAIN[np.frombuffer(data, np.uint8)[ends[0] : ends[-1]]] if data else np.zeros(0, np.uint8)
-    clean = pa.StringArray.from_buffers(len(plain), pa.py_buffer(ends - ends[0]), pa.py_buffer(data))
-    return pc.ascii_split_whitespace(clean)
+    clean = pc.ascii_trim_whitespace(pa.StringArray.from_buffers(len(plain), pa.py_buffer(ends - ends[0]), pa.py_buffer(data)))
+    toks = pc.ascii_split_whitespace(clean)
+    # A text without tokens is split into one that is empty.
+    some = pc.greater(pc.binary_length(clean), 0)
+    sizes = pc.if_else(some, pc.list_value_length(toks), 0).to_numpy()
+    words = toks.flatten() if pc.all(some).as_py() else toks.filter(some).flatten()
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), words)
 
 
 def postings(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:

@@ -157,8 +157,7 @@ def test_split_terms_are_the_tokens(spark):
     rows = rows.unionByName(spark.sql("select -1L as doc_id, cast(x'41ff42c320c3a4e4' as string) as text"))
     got = rows.select("doc_id", X.plain(F.col("text")).alias("text"), X.tokens(F.col("text")).alias("toks")).toArrow().combine_chunks()
     got = got.slice(1)
-    split = text.split_terms(got["text"].chunk(0)).to_pylist()
-    assert [[t for t in s if t] for s in split] == got["toks"].to_pylist()
+    assert text.split_terms(got["text"].chunk(0)).to_pylist() == got["toks"].to_pylist()
 
 
 def test_large_import_makes_its_blocks_where_it_reads(spark, job, monkeypatch):
