@@ -29,6 +29,22 @@ def test_objects_are_listed_in_few_parts(spark, tmp_path):
     assert listed.rdd.getNumPartitions() <= session.PARTS_PER_CORE * spark.sparkContext.defaultParallelism
 
 
+def test_the_driver_does_not_hold_a_listing(spark, tmp_path):
+    """Entries of a folder are rows that tasks make, the same as those of Spark's listing, which is a list of files on the driver."""
+    for name in ("a.txt", "b c.txt", "s/t/u", "_a=b", "_g=1/m", "_x", "_metadata", ".h", ".e/k", "_d/k", "z._COPYING_", "none/.x"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"xx")
+    (tmp_path / "empty").write_bytes(b"")
+    for i in range(300):
+        (tmp_path / "s" / f"{i}.txt").write_bytes(b"x" * (i + 1))
+    listed = objects.list_objects(spark, str(tmp_path))
+    by_spark = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(tmp_path)).select("path", "length")
+    assert sorted(map(tuple, listed.collect())) == sorted(map(tuple, by_spark.collect()))
+    assert listed.count() == 305 and listed.dtypes == by_spark.dtypes
+    assert len(listed.inputFiles()) < 100 < len(by_spark.inputFiles())
+    assert not objects.list_objects(spark, str(tmp_path / "none")).collect()
+
+
 def test_members_of_an_archive_share_tasks(spark, tmp_path, monkeypatch):
     """Runs of members go to a task together, so that an archive is not opened again for every member."""
     rows = []
