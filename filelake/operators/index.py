@@ -19,7 +19,7 @@ from filelake import schemas
 from filelake.functions import text as X
 from filelake.operators import skew, text
 from filelake.operators.vectors import keep_best
-from filelake.session import dropping_staged, remove, small_side, spread, stage
+from filelake.session import dropping_staged, remove, small_batches, small_side, spread, stage
 from filelake.sources.state import StateTable
 
 # A block's number holds its segment, the task that wrote it and its place there: 2^21 of each.
@@ -29,7 +29,9 @@ _POSTINGS = ("terms", "docs", "doc_terms", "doc_tfs")
 # Blocks with the highest bounds that are searched first for every query, beyond those that hold k documents.
 SEED_BLOCKS = 4
 # Terms of documents that a task of a large import gathers, to put documents of similar length in one block.
-GATHERED_TERMS = 2_000_000
+GATHERED_TERMS = 1_000_000
+# Bytes of a row group of blocks: what a task that writes or reads them holds at once.
+GROUP_BYTES = 8 * 1024**2
 # Versions after which the ended documents are written together again.
 GONE_VERSIONS = 16
 
@@ -112,7 +114,7 @@ class IndexJob:
         counts. Only what the import brings is tokenised.
         """
         live, version = self.segments(), self._next()
-        with dropping_staged(self.spark):
+        with dropping_staged(self.spark), small_batches(self.spark):
             fresh = self._take_in(version, changed)
             ids = fresh.select(F.explode("docs.doc_id").alias("doc_id"))
             if removed is not None:
@@ -145,18 +147,18 @@ class IndexJob:
         )
         rows, small = spread(rows, "doc_id")
         rows = rows.select("doc_id", X.plain(F.col("text")).alias("text"))
-        path, most = f"{self.root}/segment-{segment}", GATHERED_TERMS
+        most = GATHERED_TERMS
         if small:
             self._write(segment, stage(rows.mapInArrow(lambda batches: _counts(_split(batches)), self._document), "import"))
         else:
             make = self._blocks_of(segment)
-            rows.mapInArrow(lambda batches: make(_by_length(_counts(_split(batches)), most)), self._block).write.mode("overwrite").parquet(path)
-        fresh = self.spark.read.schema(self._block).parquet(path)
+            self._store(segment, rows.mapInArrow(lambda batches: make(_by_length(_counts(_split(batches)), most)), self._block))
+        fresh = self._segment(segment)
         repeated = fresh.select(F.explode("docs.doc_id").alias("doc_id")).groupBy("doc_id").count().where(F.col("count") > 1)
         if not repeated.isEmpty():
             docs = self._documents(fresh.withColumn("gone", F.lit(None).cast("array<int>")))
             self._write(segment, stage(skew.latest(docs, "doc_id", [F.col("dl").desc(), F.col("terms").desc(), F.col("tfs").desc()]), "import"))
-            fresh = self.spark.read.schema(self._block).parquet(path)
+            fresh = self._segment(segment)
         return fresh
 
     def _places(self, live: list[Row], version: int, ids: DataFrame) -> DataFrame:
@@ -192,13 +194,26 @@ class IndexJob:
                 for start in range(0, batch.num_rows, size):
                     yield _block_of(batch.slice(start, size), segment, number, arrow)
                     number += 1
+                # Not held while the next documents are gathered.
+                del batch
+                pa.default_memory_pool().release_unused()
 
         return run
 
     def _write(self, segment: int, docs: DataFrame) -> None:
         """Blocks of ``docs``; documents of similar length share one, which keeps its bounds tight."""
         ordered = docs.repartitionByRange("dl", "doc_id").sortWithinPartitions("dl", "doc_id")
-        ordered.mapInArrow(self._blocks_of(segment), self._block).write.mode("overwrite").parquet(f"{self.root}/segment-{segment}")
+        self._store(segment, ordered.mapInArrow(self._blocks_of(segment), self._block))
+
+    def _store(self, segment: int, blocks: DataFrame, mode: str = "overwrite") -> None:
+        """Add ``blocks`` to the folder of a segment, or make it of them.
+
+        A block may have a few hundred kilobytes, and readers decode thousands of rows at once, but of one row group only.
+        """
+        blocks.write.option("parquet.block.size", GROUP_BYTES).mode(mode).parquet(f"{self.root}/segment-{segment}")
+
+    def _segment(self, segment: int) -> DataFrame:
+        return self.spark.read.schema(self._block).parquet(f"{self.root}/segment-{segment}")
 
     def _commit(self, version: int, entries: list[dict], gone_from: int) -> None:
         kept = [{**e, "gone_from": gone_from} for e in entries if e["n_gone"] < e["n_docs"]]
@@ -237,7 +252,7 @@ class IndexJob:
         chosen = run + [s for s in hollow if s not in run]
         if not chosen:
             return
-        with dropping_staged(self.spark):
+        with dropping_staged(self.spark), small_batches(self.spark):
             blocks = self._with_gone(self._blocks(chosen), chosen)
             n, longest, shortest = F.size("docs"), F.array_max("docs.dl"), F.array_min("docs.dl")
             whole = F.col("gone").isNull() & (2 * n >= self.block_docs) & (longest <= 2 * shortest + 16)
@@ -247,7 +262,7 @@ class IndexJob:
             place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
             number = F.shiftleft(F.spark_partition_id().cast("bigint") + (1 << _BITS - 1), _BITS) + place
             copied = blocks.where(whole).withColumn("segment", F.lit(version).cast("bigint")).withColumn("block", F.lit(version << 2 * _BITS) + number)
-            copied.select(*self._block.fieldNames()).write.mode("append").parquet(f"{self.root}/segment-{version}")
+            self._store(version, copied.select(*self._block.fieldNames()), "append")
             # Nothing has ended since; the folder keeps versions without a gap.
             self.spark.createDataFrame([], self._ended).write.mode("overwrite").parquet(f"{self.root}/gone-{version}")
             entries = [s.asDict() for s in live if s not in chosen]
@@ -285,15 +300,19 @@ class IndexJob:
             if found is None:
                 return self.spark.createDataFrame([], schema)
             needed, ask = found
-            return self._best(live, needed, ask, k, schema)
+            best = self._best(live, needed, ask, k, schema)
+            return stage(skew.top_k(best, "query_id", [F.col("score").desc(), F.col("doc_id")], k).drop("rank"), "best")
 
-        return text.paged(queries, self._document["doc_id"].dataType, search, terms)
+        with small_batches(self.spark):
+            return text.paged(queries, self._document["doc_id"].dataType, search, terms)
 
     def matching(self, queries: DataFrame, terms: DataFrame | None = None) -> DataFrame:
         """Number of matching documents per query, as ``text.matching``."""
         live = self.segments()
-        blocks = self._with_gone(self._blocks(live), live)
-        return text.matched(queries, lambda words: self._counted(blocks, words), terms)
+        with small_batches(self.spark):
+            blocks = self._with_gone(self._blocks(live), live)
+            # A row for each query.
+            return stage(text.matched(queries, lambda words: self._counted(blocks, words), terms), "matching")
 
     def needed_blocks(self, queries: DataFrame) -> DataFrame:
         """``(block)``: those that a search for few enough queries for one block of them scores."""
@@ -434,14 +453,16 @@ def _by_length(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Reco
 
     def ordered() -> pa.RecordBatch:
         docs = pa.concat_batches(held)
+        held.clear()
         return docs.take(pc.sort_indices(docs, sort_keys=[("dl", "ascending"), ("doc_id", "ascending")]))
 
     for batch in batches:
         held.append(batch)
         n += len(batch.column("tfs").flatten())
         if n >= most:
+            del batch
             yield ordered()
-            held, n = [], 0
+            n = 0
     if held:
         yield ordered()
 

@@ -6,6 +6,7 @@ import zipfile
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from filelake import session
@@ -96,6 +97,43 @@ def test_counts_do_not_grow_with_the_batch():
     assert peak < 8 * docs * words * 1.5, peak
 
 
+def test_workers_get_large_rows_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    rows = spark.range(0, 1000, 1, 1).select(F.repeat(F.lit("x"), 50_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.num_rows])], ["n"])
+
+    assert max(r.n for r in rows.mapInArrow(sizes, "n bigint").collect()) == 1000
+    with session.small_batches(spark):
+        found = [r.n for r in rows.mapInArrow(sizes, "n bigint").collect()]
+    assert sum(found) == 1000 and max(found) * 50_000 <= 2 * session.BATCH_BYTES
+    assert spark.conf.get(key) == before
+
+
+def test_index_holds_few_blocks_at_once(spark, tmp_path, monkeypatch):
+    """Blocks are large rows: their row groups are small, and each job over them hands small batches to the workers."""
+    monkeypatch.setattr(session, "SPREAD_BYTES_PER_CORE", 0)
+    monkeypatch.setattr(index, "GROUP_BYTES", 1)
+    key, held = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    monkeypatch.setattr(index, "stage", lambda df, label: held.append((label, spark.conf.get(key))) or session.stage(df, label))
+    store = index.IndexJob._store
+    monkeypatch.setattr(index.IndexJob, "_store", lambda job, *a: held.append(("segment", spark.conf.get(key))) or store(job, *a))
+    docs = session.stage(spark.range(0, 400, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.lit("a b"), F.col("id")).alias("text")), "docs")
+    job = index.IndexJob(spark, str(tmp_path / "index"), block_docs=1)
+    job.run(docs)
+    files = [pq.ParquetFile(f).metadata for f in (tmp_path / "index" / "segment-0").glob("*.parquet")]
+    assert sum(f.num_rows for f in files) == 400
+    assert all(f.row_group(g).num_rows <= 100 for f in files for g in range(f.num_row_groups))
+    queries = spark.createDataFrame([(1, "a b7", 2), (2, "none", 2)], "query_id bigint, text string, k bigint")
+    assert [tuple(r) for r in job.page(queries).where("rank = 1").select("query_id", "doc_id").collect()] == [(1, 7)]
+    assert sorted(map(tuple, job.matching(queries).collect())) == [(1, 400), (2, 0)]
+    assert {"segment", "headers", "best", "matching"} <= {label for label, _ in held}
+    assert {size for _, size in held} == {str(session.BATCH_BYTES)}
+
+
 def test_postings_move_the_texts_only(spark, monkeypatch):
     """Also on input too large to be dealt out as a whole, postings themselves are not shuffled."""
     monkeypatch.setattr(session, "SPREAD_BYTES_PER_CORE", 0)
