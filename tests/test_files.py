@@ -146,3 +146,21 @@ def test_old_versions_are_forgotten(spark, tmp_path):
     assert {r.k: r.v for r in table.read().collect()} == {"k0": 6, "k1": 4, "k2": 5}
     # The last two snapshots and what came after the first of them.
     assert table.versions() == [(3, True), (4, False), (5, False), (5, True), (6, False)]
+
+
+def test_many_sidecars_are_opened_by_tasks(spark, tmp_path, monkeypatch):
+    """The same rows as by Spark's reader, without a list of all files on the driver."""
+    fields = '{"file_id":"i%d","path":"/p/\u00fc %d","rev":"r1","size":%d,"category":"docs"}'
+    (tmp_path / "m" / "below").mkdir(parents=True)
+    for i in range(200):
+        (tmp_path / "m" / f"i{i}.json").write_text(fields % (i, i, i), encoding="utf-8")
+    (tmp_path / "m" / "two.json").write_text("\n" + fields % (300, 1, 1) + "\r\n" + '{"file_id": "x", "size": "wrong"}' + "\nno json\n")
+    (tmp_path / "m" / ".hidden.json").write_text(fields % (400, 1, 1))
+    (tmp_path / "m" / "below" / "i.json").write_text(fields % (500, 1, 1))
+    usual = sidecar.read_sidecars(spark, str(tmp_path / "m"))
+    monkeypatch.setattr(sidecar, "MANY", 100)
+    opened = sidecar.read_sidecars(spark, str(tmp_path / "m"))
+    key = lambda r: tuple(map(str, r))
+    assert sorted(opened.collect(), key=key) == sorted(usual.collect(), key=key)
+    assert opened.dtypes == usual.dtypes and opened.count() == 203
+    assert len(opened.inputFiles()) < 100 < len(usual.inputFiles())
