@@ -164,3 +164,23 @@ def test_many_sidecars_are_opened_by_tasks(spark, tmp_path, monkeypatch):
     assert sorted(opened.collect(), key=key) == sorted(usual.collect(), key=key)
     assert opened.dtypes == usual.dtypes and opened.count() == 203
     assert len(opened.inputFiles()) < 100 < len(usual.inputFiles())
+
+
+def test_tasks_write_in_hidden_folders_of_their_own(tmp_path):
+    """New names in a shared folder are not waited for; nothing but the objects is left, also after an error."""
+    class Broken:
+        def read(self, n):
+            raise OSError("broken")
+
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "kept").write_bytes(b"old")
+    with objects.Writer() as write, objects.Writer() as other:
+        for i in range(3):
+            assert write.put(str(tmp_path / "a" / f"{i}"), b"x" * i) == i
+            other.put(str(tmp_path / "a" / f"o{i}"), b"o")
+        with pytest.raises(OSError):
+            write.store(Broken(), str(tmp_path / "a" / "kept"))
+        hidden = [p for p in (tmp_path / "a").iterdir() if p.name.startswith(".")]
+        assert len(hidden) == 2 and all(p.is_dir() and not list(p.iterdir()) for p in hidden)
+    assert sorted(p.name for p in (tmp_path / "a").iterdir()) == ["0", "1", "2", "kept", "o0", "o1", "o2"]
+    assert (tmp_path / "a" / "kept").read_bytes() == b"old"
