@@ -300,9 +300,9 @@ class IndexJob:
             if found is None:
                 return self.spark.createDataFrame([], schema)
             needed, ask = found
-            best = self._best(live, needed, ask, k, schema)
-            return stage(skew.top_k(best, "query_id", [F.col("score").desc(), F.col("doc_id")], k).drop("rank"), "best")
+            return self._best(live, needed, ask, k, schema)
 
+        # What is looked up before the last scan, which runs with the plan that is returned.
         with small_batches(self.spark):
             return text.paged(queries, self._document["doc_id"].dataType, search, terms)
 
